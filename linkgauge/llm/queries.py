@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, decontaminate
 from .common import table
 
 
@@ -14,5 +14,28 @@ def op9_bpe(spark, sf_dir):
     return rows.select("doc_id", (F.length("token_ids") / 4).cast("long").alias("n_tokens"), F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {"op9_bpe": op9_bpe}
-ORACLE_SQL: dict[str, str] = {}
+
+def op8_decontaminate(spark, sf_dir):
+    rows = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return rows.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+OP8_SQL = r"""
+with b as (select cast(item_id as varchar) i, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w from benchmark where item_id is not null),
+win as (select distinct i, least(len(w), 10) n, array_to_string(w[p : p + least(len(w), 10) - 1], ' ') win
+  from (select i, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) p from b where len(w) > 0)),
+d as (select row_number() over () r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w from documents),
+pos as (select r, w, unnest(range(1, len(w) + 1)) p from d),
+sizes as (select distinct n from win),
+hits as (select pos.r, pos.p, win.n, win.i from pos, sizes, win
+  where sizes.n = win.n and pos.p + sizes.n - 1 <= len(pos.w) and array_to_string(pos.w[pos.p : pos.p + sizes.n - 1], ' ') = win.win),
+n_hit as (select r, count(distinct q) n from (select r, unnest(range(p, p + n)) q from (select distinct r, p, n from hits)) group by r),
+found as (select r, list_sort(list(distinct i)) ids from hits group by r)
+select d.doc_id, cast(len(d.w) as bigint) n_words, coalesce(n_hit.n, 0) n_hit, cast(coalesce(len(found.ids), 0) as bigint) n_items,
+  sha256(coalesce(array_to_string(found.ids, ','), '')) items_sha256, coalesce(n_hit.n, 0) > 0 contaminated
+from d left join n_hit using (r) left join found using (r)
+"""
+
+
+QUERIES = {"op8_decontaminate": op8_decontaminate, "op9_bpe": op9_bpe}
+ORACLE_SQL: dict[str, str] = {"op8_decontaminate": OP8_SQL.replace("\\\\", "\\")}
