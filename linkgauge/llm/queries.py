@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, reputation
-from .common import table
+from . import bpe, chat, decontaminate, langid, reputation
+from .common import held_out, table
 
 
 #: Fixed values of the query: the url rules.
@@ -70,6 +70,11 @@ def op9_bpe(spark, sf_dir):
 
 
 
+def op6_langid(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit(docs)).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op8_decontaminate(spark, sf_dir):
     rows = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return rows.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
@@ -92,5 +97,5 @@ from d left join n_hit using (r) left join found using (r)
 """
 
 
-QUERIES = {"op1_reputation": op1_reputation, "op3_chat": op3_chat, "op8_decontaminate": op8_decontaminate, "op9_bpe": op9_bpe}
+QUERIES = {"op1_reputation": op1_reputation, "op3_chat": op3_chat, "op6_langid": op6_langid, "op8_decontaminate": op8_decontaminate, "op9_bpe": op9_bpe}
 ORACLE_SQL: dict[str, str] = {"op1_reputation": OP1_SQL, "op3_chat": OP3_SQL, "op8_decontaminate": OP8_SQL}
