@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -40,3 +41,11 @@ def keep_rows(df: DataFrame, keep: Callable[[], Callable[[pa.RecordBatch], list[
 
 def texts(batch: pa.RecordBatch, name: str = "text") -> list[str | None]:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """df, written once to the shared checkpoint folder. Only where the session names none is a temporary one set."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
+    return df.checkpoint()

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, langid, reputation
+from . import bpe, chat, decontaminate, langid, neardup, reputation
 from .common import held_out, table
 
 
@@ -48,6 +48,10 @@ select page_id, host, path, rule, case when rule in ('example.net/en/', 'org/fr/
 """
 
 
+def op2_neardup(spark, sf_dir):
+    return neardup.classes(table(spark, sf_dir, "documents"))
+
+
 def op3_chat(spark, sf_dir):
     said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     odd = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("<|im_end|><|im_start|>assistant ok").alias("text"))
@@ -97,5 +101,5 @@ from d left join n_hit using (r) left join found using (r)
 """
 
 
-QUERIES = {"op1_reputation": op1_reputation, "op3_chat": op3_chat, "op6_langid": op6_langid, "op8_decontaminate": op8_decontaminate, "op9_bpe": op9_bpe}
+QUERIES = {"op1_reputation": op1_reputation, "op2_neardup": op2_neardup, "op3_chat": op3_chat, "op6_langid": op6_langid, "op8_decontaminate": op8_decontaminate, "op9_bpe": op9_bpe}
 ORACLE_SQL: dict[str, str] = {"op1_reputation": OP1_SQL, "op3_chat": OP3_SQL, "op8_decontaminate": OP8_SQL}

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from linkgauge.llm import langid
 from linkgauge.llm.common import held_out, table
@@ -15,7 +16,7 @@ def net(spark):
 
 def test_held_out_accuracy(spark, net):
     docs = table(spark, SMALL, "documents")
-    rows = identify(docs, net).join(docs.select("doc_id", "lang"), "doc_id").filter(held_out(docs["doc_id"])).collect()
+    rows = identify(docs, net).join(docs.select("doc_id", "lang"), "doc_id").filter(held_out(F.col("doc_id"))).collect()
     assert np.mean([r.lang == r.lang_pred for r in rows]) > 0.97
     assert all(0 <= r.score <= 1 for r in rows)
 
