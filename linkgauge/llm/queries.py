@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, langid, neardup, reputation
+from . import bpe, chat, decontaminate, langid, linetemplates, neardup, reputation
 from .common import held_out, table
 
 
@@ -74,6 +74,11 @@ def op9_bpe(spark, sf_dir):
 
 
 
+def op4_lines(spark, sf_dir):
+    rows = linetemplates.drop_recurring(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "text", F.col("_lines").alias("n_lines"), F.col("_dropped").alias("n_dropped"))
+
+
 def op6_langid(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return langid.identify(docs, langid.fit(docs)).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
@@ -101,5 +106,5 @@ from d left join n_hit using (r) left join found using (r)
 """
 
 
-QUERIES = {"op1_reputation": op1_reputation, "op2_neardup": op2_neardup, "op3_chat": op3_chat, "op6_langid": op6_langid, "op8_decontaminate": op8_decontaminate, "op9_bpe": op9_bpe}
+QUERIES = {"op1_reputation": op1_reputation, "op2_neardup": op2_neardup, "op3_chat": op3_chat, "op4_lines": op4_lines, "op6_langid": op6_langid, "op8_decontaminate": op8_decontaminate, "op9_bpe": op9_bpe}
 ORACLE_SQL: dict[str, str] = {"op1_reputation": OP1_SQL, "op3_chat": OP3_SQL, "op8_decontaminate": OP8_SQL}
