@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, langid, linetemplates, neardup, reputation
+from . import bpe, chat, decontaminate, langid, linetemplates, neardup, quality, reputation
 from .common import held_out, table
 
 
@@ -79,6 +79,15 @@ def op4_lines(spark, sf_dir):
     return rows.select("doc_id", "text", F.col("_lines").alias("n_lines"), F.col("_dropped").alias("n_dropped"))
 
 
+def _judged(scores, threshold):
+    return scores.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def op5_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return _judged(quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels"))), 0.7)
+
+
 def op6_langid(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return langid.identify(docs, langid.fit(docs)).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
@@ -106,5 +115,5 @@ from d left join n_hit using (r) left join found using (r)
 """
 
 
-QUERIES = {"op1_reputation": op1_reputation, "op2_neardup": op2_neardup, "op3_chat": op3_chat, "op4_lines": op4_lines, "op6_langid": op6_langid, "op8_decontaminate": op8_decontaminate, "op9_bpe": op9_bpe}
+QUERIES = {"op1_reputation": op1_reputation, "op2_neardup": op2_neardup, "op3_chat": op3_chat, "op4_lines": op4_lines, "op5_quality": op5_quality, "op6_langid": op6_langid, "op8_decontaminate": op8_decontaminate, "op9_bpe": op9_bpe}
 ORACLE_SQL: dict[str, str] = {"op1_reputation": OP1_SQL, "op3_chat": OP3_SQL, "op8_decontaminate": OP8_SQL}
