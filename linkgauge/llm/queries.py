@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, langid, linetemplates, neardup, quality, reputation
+from . import bpe, chat, decontaminate, langid, linetemplates, neardup, quality, reputation, toxicity
 from .common import held_out, table
 
 
@@ -115,5 +115,10 @@ from d left join n_hit using (r) left join found using (r)
 """
 
 
-QUERIES = {"op1_reputation": op1_reputation, "op2_neardup": op2_neardup, "op3_chat": op3_chat, "op4_lines": op4_lines, "op5_quality": op5_quality, "op6_langid": op6_langid, "op8_decontaminate": op8_decontaminate, "op9_bpe": op9_bpe}
+def op10_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return _judged(toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"))), 0.3)
+
+
+QUERIES = {"op1_reputation": op1_reputation, "op2_neardup": op2_neardup, "op3_chat": op3_chat, "op4_lines": op4_lines, "op5_quality": op5_quality, "op6_langid": op6_langid, "op8_decontaminate": op8_decontaminate, "op9_bpe": op9_bpe, "op10_toxicity": op10_toxicity}
 ORACLE_SQL: dict[str, str] = {"op1_reputation": OP1_SQL, "op3_chat": OP3_SQL, "op8_decontaminate": OP8_SQL}
