@@ -113,8 +113,9 @@ def labelled_terms(docs: DataFrame, labels: DataFrame, label: str) -> tuple[list
     share = F.lit(0.0)
     for row in known.groupBy("label").agg(F.count("*").alias("n")).orderBy("label").collect():
         share = F.when(F.col("label") == row.label, min(1.0, SAMPLE / row.n)).otherwise(share)
+    # at most some SAMPLE ids of each label, so they go to the documents and no text is exchanged
     picked = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share * 1_000_000)
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(picked, "doc_id")
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id")
 
     def count(batches):
         shapes = _Shapes()
