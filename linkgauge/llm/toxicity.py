@@ -192,8 +192,9 @@ def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     share = F.lit(0.0)
     for row in known.groupBy("label").agg(F.count("*").alias("n")).orderBy("label").collect():
         share = F.when(F.col("label") == row.label, min(1.0, SAMPLE / row.n)).otherwise(share)
+    # at most some SAMPLE ids of each label, so they go to the documents and no text is exchanged
     picked = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share * 1_000_000)
-    return docs.select("doc_id", "text").filter(F.col("text").isNotNull()).join(picked, "doc_id").distinct()
+    return docs.select("doc_id", "text").filter(F.col("text").isNotNull()).join(F.broadcast(picked), "doc_id").distinct()
 
 
 def lexicon(sample: DataFrame) -> set[str]:
