@@ -2,11 +2,14 @@
 
 1. Texts that are equal word for word collapse into one node, counted before any exchange.
 2. Each node gets a DartMinHash signature of its shingles; nodes that agree in all coordinates of a band share a bucket.
-3. In every bucket each node is compared with the bucket's least node (its pivot): no pairs within the group. Links are
-   exact Jaccard similarities of at least `least`, and connected nodes form a class.
-4. Buckets that still hold several classes are taken up again: pairs across classes are compared exactly, unless their
-   distances to the pivot differ by more than a link may span (Jaccard distance is a metric). Pairs inside one class
-   need no comparison, so no link that would join two classes is lost among the candidates.
+3. In every bucket each node is compared with the bucket's pivot alone: no pairs within the group. The pivot is the node
+   whose buckets hold the most nodes in all, which is the text that the others are variants of, if there is one. Links
+   are exact Jaccard similarities of at least `least`, and connected nodes form a class.
+4. Buckets that still hold several classes are taken up again: the nodes outside a bucket's largest class meet the nodes
+   of other classes, in the first bucket that both share. A pair is passed over if the distances to the pivot differ by
+   more than a link may span (Jaccard distance is a metric) or if longer signatures agree in so few coordinates that a
+   link is out of the question (4.5 standard deviations); the others are compared exactly. Pairs inside one class need
+   no comparison, so no candidate link that would join two classes is lost.
 
 With BANDS bands of ROWS coordinates a pair at similarity 0.8 shares no bucket with a probability of 3 in 100,000.
 """
@@ -24,6 +27,8 @@ from .darts import band_keys, mix, signatures
 
 WORDS, LEAST = 5, 0.8
 BANDS, ROWS = 20, 4
+#: Coordinates of the longer signature that pairs across classes must agree in before they are compared.
+MARKS = 512
 #: Shingles whose signatures are computed together, and word hashes that a task remembers.
 TOGETHER, REMEMBERED = 400_000, 300_000
 
@@ -81,6 +86,17 @@ def _sets(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["node", "shingles"])
 
 
+def _marks(batches):
+    """(node, marks): a byte of each coordinate of a longer signature."""
+    for batch in batches:
+        sets = [np.array(x, np.int64).view(np.uint64) for x in batch.column(1).to_pylist()]
+        for i in range(0, len(sets), 64):
+            own = sets[i : i + 64]
+            found = signatures(np.concatenate(own), np.ones(sum(map(len, own))), np.array([len(x) for x in own]), MARKS)
+            marks = pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1) * MARKS, pa.int32()), pa.array((found >> np.uint64(56)).astype(np.uint8).view(np.int8).ravel(), pa.int8()))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 64), marks], ["node", "marks"])
+
+
 def with_nodes(docs: DataFrame) -> DataFrame:
     """(doc_id, node, text): node is a 128-bit hash of the normalised text."""
     rows = docs.select("doc_id", normalised(F.col("text")).alias("text"))
@@ -111,6 +127,17 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _across(mixed: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b) of nodes of different classes that share a bucket and may be linked, each once."""
+    x, y = mixed.filter("label <> main").alias("x"), mixed.alias("y")
+    other = ((F.col("y.label") == F.col("y.main")) | (F.col("x.label") < F.col("y.label"))) & (F.abs(F.col("x.near") - F.col("y.near")) <= 1 - least + 1e-9)
+    agree = F.aggregate(F.zip_with("x.marks", "y.marks", lambda p, q: F.when(p == q, 1).otherwise(0)), F.lit(0), lambda n, one: n + one)
+    likely = agree >= int(MARKS * least - 4.5 * (MARKS * least * (1 - least)) ** 0.5)
+    shared_first = F.array_position(F.zip_with("x.bands", "y.bands", lambda p, q: p == q), True) == F.array_position("x.bands", F.col("x.key"))
+    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & other & shared_first & likely)
+    return pairs.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()
+
+
 def node_classes(docs: DataFrame, least: float = LEAST) -> tuple[DataFrame, DataFrame]:
     """Rows (doc_id, node) of docs, and (node, class_id, rows) of every node, class_id being the least doc_id of the class."""
     texts = with_nodes(docs)
@@ -118,8 +145,11 @@ def node_classes(docs: DataFrame, least: float = LEAST) -> tuple[DataFrame, Data
     rows = cut_lineage(map_batches(texts, _bands, f"doc_id {kind}, node binary, bands array<long>"))
     nodes = cut_lineage(rows.groupBy("node").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows"), F.any_value("bands").alias("bands")))
     held = nodes.select("node", F.explode("bands").alias("key"))
-    pivots = held.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    shared = cut_lineage(held.join(pivots, "key"))
+    sizes = held.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = cut_lineage(held.join(sizes, "key"))
+    central = shared.groupBy("node").agg(F.sum("n").alias("central"))
+    pivots = shared.join(central, "node").groupBy("key").agg(F.max(F.struct("central", "node"))["node"].alias("pivot"))
+    shared = cut_lineage(shared.select("key", "node").join(pivots, "key"))
     stars = shared.filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
 
     wanted = shared.select("node").distinct().join(nodes.select("node", "first"), "node").select(F.col("first").alias("doc_id"), F.col("node").alias("wanted"))
@@ -132,15 +162,12 @@ def node_classes(docs: DataFrame, least: float = LEAST) -> tuple[DataFrame, Data
     labels = components(links)
 
     apart = shared.join(labels, "node", "left").select("key", "node", "pivot", F.coalesce("label", "node").alias("label"))
-    parts = apart.select("key", "label").distinct()
-    mixed = parts.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    measured = apart.join(mixed, "key").join(first.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "sim"), ["node", "pivot"], "left")
-    measured = cut_lineage(measured.select("key", "label", "node", F.coalesce("sim", F.lit(1.0)).alias("near")))
-    tags = measured.select("key", "label").distinct()
-    crossing = tags.join(tags.withColumnRenamed("label", "other"), "key").filter("label < other")
-    one, two = measured.select("key", "label", F.col("node").alias("a"), F.col("near").alias("near_a")), measured.select("key", F.col("label").alias("other"), F.col("node").alias("b"), F.col("near").alias("near_b"))
-    across = crossing.join(one, ["key", "label"]).join(two, ["key", "other"]).filter(F.abs(F.col("near_a") - F.col("near_b")) <= 1 - least + 1e-9)
-    across = across.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().join(first.select("a", "b"), ["a", "b"], "left_anti")
+    parts = apart.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "label"))["label"].alias("main"), F.count("*").alias("labels"))
+    mixed = apart.join(parts.filter("labels > 1").drop("labels"), "key").join(first.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "sim"), ["node", "pivot"], "left")
+    mixed = cut_lineage(mixed.select("key", "node", "label", "main", F.coalesce("sim", F.lit(1.0)).alias("near")).join(nodes.select("node", "bands"), "node"))
+    marks = map_batches(sets.join(mixed.select("node").distinct(), "node").select("node", "shingles"), _marks, "node binary, marks array<byte>")
+    mixed = mixed.join(marks, "node")
+    across = _across(mixed, least).join(first.select("a", "b"), ["a", "b"], "left_anti")
     second = _verified(across, sets).filter(F.col("sim") >= least)
     joined = cut_lineage(second)
     if not joined.isEmpty():
