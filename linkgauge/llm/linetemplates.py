@@ -27,6 +27,10 @@ def masked(line: Column) -> Column:
     return F.trim(F.regexp_replace(hidden, r"\s+", " "))
 
 
+def line_id(line: Column) -> Column:
+    return F.unhex(F.md5(line))
+
+
 def _lines(docs: DataFrame) -> DataFrame:
     """(doc_id, row, line): the distinct masked lines of each row; row is a hash of its text."""
     lines = F.array_distinct(F.transform(F.split("text", "\n"), masked))
@@ -35,21 +39,26 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def recurring(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(line, template, docs, first) of every masked line whose template recurs: docs that hold the template, the least doc_id."""
+    """(id, template, docs, first) of every masked line whose template recurs: a hash of the line, its template, the
+    documents that hold the template, and the least doc_id of these. Lines' texts are exchanged once, tokens as hashes."""
     words = F.split("line", " ")
     counted = _lines(docs).groupBy("line").agg(F.count("*").alias("docs"), F.min("doc_id").alias("first"))
     counted = counted.withColumn("leaf", F.xxhash64(F.size(words), F.slice(words, 1, LEAD)))
     leaves = counted.groupBy("leaf").agg(F.sum("docs").alias("in_leaf"), F.count("*").alias("kinds")).filter(F.col("in_leaf") >= min_docs)
     counted = cut_lineage(counted.join(leaves, "leaf").select("leaf", "kinds", "docs", "first", "line"))
-    alone = counted.filter("kinds = 1").select("line", F.col("line").alias("template"), "docs", "first")
+    alone = counted.filter("kinds = 1").select(line_id(F.col("line")).alias("id"), F.col("line").alias("template"), "docs", "first")
 
-    tokens = counted.filter("kinds > 1").select("leaf", "line", "docs", F.posexplode(F.split("line", " ")).alias("at", "token"))
-    steady = tokens.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("n")).filter(F.col("n") >= min_docs).drop("n").withColumn("kept", F.col("token"))
-    shaped = tokens.join(steady, ["leaf", "at", "token"], "left").groupBy("line").agg(F.array_sort(F.collect_list(F.struct("at", F.coalesce("kept", F.lit(WILDCARD)).alias("token")))).alias("tokens"), F.count(F.when(F.col("kept") != WILDCARD, 1)).alias("constant"))
-    shaped = shaped.filter(F.col("constant") >= CONSTANT * F.size("tokens")).select("line", F.array_join("tokens.token", " ").alias("template"))
-    mixed = counted.filter("kinds > 1").join(shaped, "line").select("line", "template", "docs", "first")
-    totals = mixed.groupBy("template").agg(F.sum("docs").alias("docs"), F.min("first").alias("first")).filter(F.col("docs") >= min_docs)
-    return alone.union(mixed.select("line", "template").join(totals, "template").select("line", "template", "docs", "first"))
+    several = counted.filter("kinds > 1").withColumn("key", F.xxhash64("line"))
+    tokens = several.select("leaf", "key", "docs", F.posexplode(F.transform(words, lambda x: F.xxhash64(x))).alias("at", "token"))
+    steady = tokens.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("n")).filter(F.col("n") >= min_docs).select("leaf", "at", "token", F.lit(True).alias("kept"))
+    flags = tokens.drop("docs").join(steady, ["leaf", "at", "token"], "left").groupBy("leaf", "key").agg(F.array_sort(F.collect_list(F.struct("at", F.coalesce("kept", F.lit(False)).alias("kept"))))["kept"].alias("flags"))
+    shaped = several.join(flags, ["leaf", "key"])
+    tokens_of = F.zip_with(words, "flags", lambda word, kept: F.when(kept, word).otherwise(WILDCARD))
+    shaped = shaped.select("leaf", "line", "docs", "first", tokens_of.alias("tokens"))
+    shaped = shaped.filter(F.size(F.filter("tokens", lambda x: x != WILDCARD)) >= CONSTANT * F.size("tokens"))
+    shaped = shaped.select(line_id(F.col("line")).alias("id"), F.array_join("tokens", " ").alias("template"), "docs", "first")
+    totals = shaped.groupBy("template").agg(F.sum("docs").alias("docs"), F.min("first").alias("first")).filter(F.col("docs") >= min_docs)
+    return alone.union(shaped.select("id", "template").join(totals, "template").select("id", "template", "docs", "first"))
 
 
 def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -58,14 +67,15 @@ def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     A line stays in the document with the least id among those that hold its template (in repeated rows of that document
     too), and wherever it has fewer than MIN_TOKENS tokens. Null texts stay null with no lines; a text may become empty.
     Columns of docs named like the two are replaced."""
-    found = recurring(docs, min_docs).select("line", "first")
-    drops = _lines(docs).join(found, "line").filter(~F.col("doc_id").eqNullSafe(F.col("first"))).groupBy("doc_id", "row").agg(F.collect_list("line").alias("lines"))
+    found = recurring(docs, min_docs).select("id", "first")
+    held = _lines(docs).select("doc_id", "row", line_id(F.col("line")).alias("id"))
+    drops = held.join(found, "id").filter(~F.col("doc_id").eqNullSafe(F.col("first"))).groupBy("doc_id", "row").agg(F.collect_list("id").alias("lines"))
     drops = drops.select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), F.col("lines").alias("_drop"))
     names = [c for c in docs.columns if c not in ("_lines", "_dropped", "_id", "_row", "_drop")]
     rows = docs.select(*names, F.unhex(F.md5("text")).alias("_key"))
     joined = rows.join(drops, rows["doc_id"].eqNullSafe(drops["_id"]) & (rows["_key"] == drops["_row"]), "left")
     lines = F.split("text", "\n")
-    kept = F.when(F.col("_drop").isNull(), lines).otherwise(F.filter(lines, lambda x: ~F.array_contains("_drop", masked(x))))
+    kept = F.when(F.col("_drop").isNull(), lines).otherwise(F.filter(lines, lambda x: ~F.array_contains("_drop", line_id(masked(x)))))
     joined = joined.withColumn("_kept", kept)
     n, left = F.coalesce(F.size(lines), F.lit(0)), F.coalesce(F.size("_kept"), F.lit(0))
     new = F.when(F.col("_drop").isNull(), F.col("text")).otherwise(F.array_join("_kept", "\n"))
