@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, langid, linetemplates, neardup, quality, reputation, toxicity
+from . import bpe, chat, decontaminate, langid, linetemplates, neardup, quality, reputation, stableann, toxicity
 from .common import held_out, table
 
 
@@ -93,6 +93,10 @@ def op6_langid(spark, sf_dir):
     return langid.identify(docs, langid.fit(docs)).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op7_neighbours(spark, sf_dir):
+    return stableann.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0)
+
+
 def op8_decontaminate(spark, sf_dir):
     rows = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return rows.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
@@ -120,5 +124,5 @@ def op10_toxicity(spark, sf_dir):
     return _judged(toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"))), 0.3)
 
 
-QUERIES = {"op1_reputation": op1_reputation, "op2_neardup": op2_neardup, "op3_chat": op3_chat, "op4_lines": op4_lines, "op5_quality": op5_quality, "op6_langid": op6_langid, "op8_decontaminate": op8_decontaminate, "op9_bpe": op9_bpe, "op10_toxicity": op10_toxicity}
+QUERIES = {"op1_reputation": op1_reputation, "op2_neardup": op2_neardup, "op3_chat": op3_chat, "op4_lines": op4_lines, "op5_quality": op5_quality, "op6_langid": op6_langid, "op7_neighbours": op7_neighbours, "op8_decontaminate": op8_decontaminate, "op9_bpe": op9_bpe, "op10_toxicity": op10_toxicity}
 ORACLE_SQL: dict[str, str] = {"op1_reputation": OP1_SQL, "op3_chat": OP3_SQL, "op8_decontaminate": OP8_SQL}
