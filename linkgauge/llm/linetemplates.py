@@ -6,7 +6,8 @@ varies, which yields the line's template. A template that at least `min_docs` do
 constant, recurs: its lines are dropped from all documents but the first, so that nothing is lost altogether.
 
 All steps are DataFrame operations. Equal lines are counted before any exchange, leaves are handled token by token,
-and nothing is gathered that is longer than a line, or than the lines of one document.
+and nothing is gathered that is longer than a line, or than the lines of one document. Sides of joins that are counted and
+found small are sent to the tasks, so that texts stay where they are; beyond that size both sides are exchanged.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage
+from .common import cut_lineage, sent_if_small
 
 WILDCARD = "<*>"
 #: Documents that make a template recur, least tokens of a line, leading tokens in the tree, least constant share.
@@ -24,7 +25,7 @@ MIN_DOCS, MIN_TOKENS, LEAD, CONSTANT = 3, 4, 3, 0.75
 def masked(line: Column) -> Column:
     """The line's tokens with one space between, tokens with a digit as wildcards."""
     hidden = F.when(line.rlike("[0-9]"), F.regexp_replace(line, r"[^\s0-9]*+[0-9]\S*+", WILDCARD)).otherwise(line)
-    return F.trim(F.regexp_replace(hidden, r"\s+", " "))
+    return F.trim(F.when(hidden.rlike(r"\s\s|[^\S ]"), F.regexp_replace(hidden, r"\s+", " ")).otherwise(hidden))
 
 
 def line_id(line: Column) -> Column:
@@ -35,30 +36,46 @@ def _lines(docs: DataFrame) -> DataFrame:
     """(doc_id, row, line): the distinct masked lines of each row; row is a hash of its text."""
     lines = F.array_distinct(F.transform(F.split("text", "\n"), masked))
     rows = docs.filter(F.col("text").isNotNull()).select("doc_id", F.unhex(F.md5("text")).alias("row"), F.explode(lines).alias("line"))
-    return rows.filter(F.regexp_count("line", F.lit(" ")) >= MIN_TOKENS - 1)
+    return rows.filter(F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) >= MIN_TOKENS - 1)
+
+
+def _leaf(line: Column) -> Column:
+    words = F.split(line, " ")
+    return F.xxhash64(F.size(words), F.slice(words, 1, LEAD))
 
 
 def recurring(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(id, template, docs, first) of every masked line whose template recurs: a hash of the line, its template, the
-    documents that hold the template, and the least doc_id of these. Lines' texts are exchanged once, tokens as hashes."""
-    words = F.split("line", " ")
-    counted = _lines(docs).groupBy("line").agg(F.count("*").alias("docs"), F.min("doc_id").alias("first"))
-    counted = counted.withColumn("leaf", F.xxhash64(F.size(words), F.slice(words, 1, LEAD)))
+    """(id, template, docs, first) of every masked line whose template recurs: a hash of the line, its template (null if
+    that is the line itself), the documents that hold the template, and the least doc_id of these.
+
+    Lines are counted by their hashes; only lines of leaves with several kinds are needed as text, and their tokens are
+    exchanged as hashes."""
+    lines = _lines(docs).select("doc_id", "line", line_id(F.col("line")).alias("id"), _leaf(F.col("line")).alias("leaf"))
+    counted = lines.groupBy("leaf", "id").agg(F.count("*").alias("docs"), F.min("doc_id").alias("first"))
     leaves = counted.groupBy("leaf").agg(F.sum("docs").alias("in_leaf"), F.count("*").alias("kinds")).filter(F.col("in_leaf") >= min_docs)
-    counted = cut_lineage(counted.join(leaves, "leaf").select("leaf", "kinds", "docs", "first", "line"))
-    alone = counted.filter("kinds = 1").select(line_id(F.col("line")).alias("id"), F.col("line").alias("template"), "docs", "first")
+    counted = cut_lineage(counted.join(leaves.drop("in_leaf"), "leaf"))
+    alone = counted.filter("kinds = 1").select("id", F.lit(None).cast("string").alias("template"), "docs", "first")
 
-    several = counted.filter("kinds > 1").withColumn("key", F.xxhash64("line"))
+    open_leaves = sent_if_small(counted.filter("kinds > 1").select("leaf").distinct())
+    texts = lines.select("leaf", "id", "line").join(open_leaves, "leaf", "left_semi").dropDuplicates(["leaf", "id"])
+    several = cut_lineage(texts.join(counted, ["leaf", "id"]).select("leaf", F.xxhash64("line").alias("key"), "id", "docs", "first", "line"))
+    words = F.split("line", " ")
     tokens = several.select("leaf", "key", "docs", F.posexplode(F.transform(words, lambda x: F.xxhash64(x))).alias("at", "token"))
     steady = tokens.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("n")).filter(F.col("n") >= min_docs).select("leaf", "at", "token", F.lit(True).alias("kept"))
     flags = tokens.drop("docs").join(steady, ["leaf", "at", "token"], "left").groupBy("leaf", "key").agg(F.array_sort(F.collect_list(F.struct("at", F.coalesce("kept", F.lit(False)).alias("kept"))))["kept"].alias("flags"))
     shaped = several.join(flags, ["leaf", "key"])
     tokens_of = F.zip_with(words, "flags", lambda word, kept: F.when(kept, word).otherwise(WILDCARD))
-    shaped = shaped.select("leaf", "line", "docs", "first", tokens_of.alias("tokens"))
+    shaped = shaped.select("id", "docs", "first", tokens_of.alias("tokens"))
     shaped = shaped.filter(F.size(F.filter("tokens", lambda x: x != WILDCARD)) >= CONSTANT * F.size("tokens"))
-    shaped = shaped.select(line_id(F.col("line")).alias("id"), F.array_join("tokens", " ").alias("template"), "docs", "first")
-    totals = shaped.groupBy("template").agg(F.sum("docs").alias("docs"), F.min("first").alias("first")).filter(F.col("docs") >= min_docs)
-    return alone.union(shaped.select("id", "template").join(totals, "template").select("id", "template", "docs", "first"))
+    shaped = shaped.select("id", F.array_join("tokens", " ").alias("template"), F.unhex(F.md5(F.array_join("tokens", " "))).alias("t"), "docs", "first")
+    totals = shaped.groupBy("t").agg(F.sum("docs").alias("docs"), F.min("first").alias("first")).filter(F.col("docs") >= min_docs)
+    return alone.union(shaped.select("id", "template", "t").join(totals, "t").select("id", "template", "docs", "first"))
+
+
+def templates(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """(template, docs, first) of every recurring template, as text."""
+    lines = _lines(docs).select("line", line_id(F.col("line")).alias("id"))
+    return lines.join(recurring(docs, min_docs), "id").select(F.coalesce("template", "line").alias("template"), "docs", "first").distinct()
 
 
 def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -67,10 +84,10 @@ def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     A line stays in the document with the least id among those that hold its template (in repeated rows of that document
     too), and wherever it has fewer than MIN_TOKENS tokens. Null texts stay null with no lines; a text may become empty.
     Columns of docs named like the two are replaced."""
-    found = recurring(docs, min_docs).select("id", "first")
+    found = sent_if_small(recurring(docs, min_docs).select("id", "first"))
     held = _lines(docs).select("doc_id", "row", line_id(F.col("line")).alias("id"))
     drops = held.join(found, "id").filter(~F.col("doc_id").eqNullSafe(F.col("first"))).groupBy("doc_id", "row").agg(F.collect_list("id").alias("lines"))
-    drops = drops.select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), F.col("lines").alias("_drop"))
+    drops = sent_if_small(drops.select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), F.col("lines").alias("_drop")), F.size("_drop"))
     names = [c for c in docs.columns if c not in ("_lines", "_dropped", "_id", "_row", "_drop")]
     rows = docs.select(*names, F.unhex(F.md5("text")).alias("_key"))
     joined = rows.join(drops, rows["doc_id"].eqNullSafe(drops["_id"]) & (rows["_key"] == drops["_row"]), "left")

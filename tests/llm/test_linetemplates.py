@@ -1,7 +1,8 @@
 import re
 from collections import Counter, defaultdict
 
-from linkgauge.llm.linetemplates import CONSTANT, LEAD, MIN_TOKENS, drop_lines, drop_recurring, recurring
+from linkgauge.llm import common
+from linkgauge.llm.linetemplates import CONSTANT, LEAD, MIN_TOKENS, drop_lines, drop_recurring, templates
 
 
 def mask(line):
@@ -51,7 +52,14 @@ def test_against_brute_force(spark):
     assert kept.columns == df.columns and kept.dtypes == df.dtypes
     ids = {r.doc_id for r in kept.collect()}
     assert {30, 23, 24, 40, 41} <= ids and not ids & {31, 32, 33, 34, 25}
-    assert {r.template for r in recurring(df).collect()} >= {"Page <*> of the big report", "All rights are reserved here by <*> now"}
+    assert {r.template for r in templates(df).collect()} >= {"Page <*> of the big report", "All rights are reserved here by <*> now"}
+
+
+def test_same_result_without_broadcasts(spark, monkeypatch):
+    df = spark.createDataFrame(rows(), "doc_id long, text string").repartition(3)
+    sent = sorted(map(tuple, drop_recurring(df).collect()), key=repr)
+    monkeypatch.setattr(common, "SENT_ROWS", 0)
+    assert sorted(map(tuple, drop_recurring(df).collect()), key=repr) == sent
 
 
 def test_empty(spark):
