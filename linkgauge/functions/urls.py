@@ -21,6 +21,13 @@ CONTENT = {
     "is_media_or_api": r"\b(api|json|xml|v[1-9]/|/media/)\b",
     "path_contains_sensitive": r"/(login|admin|credentials|wp-admin|config|backup)\b",
 }
+# fixed values: the trained model's inputs in their order
+MODEL_INPUTS = (
+    "len_url len_path len_query len_domain is_very_short_url is_very_long_url is_suspicious_tld is_trustworthy_tld has_ip_address num_subdomains has_excessive_subdomains num_path_dirs is_root_path num_params"
+    " has_excessive_params num_digits_domain digit_ratio_domain domain_is_numeric_heavy num_hyphens_domain domain_hyphen_heavy has_suspicious_chars_path has_excessive_encoding path_keyword_stuffing contains_download"
+    " contains_phishing contains_financial contains_urgency is_media_or_api path_contains_sensitive domain_entropy path_entropy vowel_consonant_ratio is_ugc_path path_has_article_slug path_has_date path_is_descriptive"
+    " is_quality_article is_nsfw_content is_spam_content is_nsfw_domain is_quality_domain is_news_domain"
+).split()
 IP = r"^\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}$"
 
 

@@ -8,7 +8,7 @@ from pyspark.ml.regression import GBTRegressor, IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.urls import model_features
+from ..functions.urls import MODEL_INPUTS, model_features
 from .scoring import clip
 
 # fixed values: range of the targets, and the score of curated urls
@@ -17,7 +17,8 @@ LOW, HIGH, CURATED = -5.0, 2.0, 2.0
 
 def features(rows: DataFrame) -> DataFrame:
     """url and the 42 model inputs; a missing input column is an error."""
-    return rows.select("url", *[c.alias(name) for name, c in model_features().items()])
+    inputs = model_features()
+    return rows.select("url", *[inputs[name].alias(name) for name in MODEL_INPUTS])
 
 
 def targets(scored: DataFrame) -> DataFrame:
@@ -29,7 +30,7 @@ def targets(scored: DataFrame) -> DataFrame:
 def train(rows: DataFrame, labels: DataFrame, trees: int = 30, depth: int = 5, seed: int = 42) -> PipelineModel:
     """Fits trees with absolute loss and calibrates their predictions once; about a tenth of the urls, by hash, validates."""
     table = features(rows).dropDuplicates(["url"]).join(labels, "url").withColumn("held_back", F.pmod(F.xxhash64("url"), F.lit(10)) == 0)
-    assemble = VectorAssembler(inputCols=list(model_features()), outputCol="features", handleInvalid="keep")
+    assemble = VectorAssembler(inputCols=MODEL_INPUTS, outputCol="features", handleInvalid="keep")
     boosted = GBTRegressor(lossType="absolute", stepSize=0.1, maxIter=trees, maxDepth=depth, subsamplingRate=0.7, featureSubsetStrategy="0.7", seed=seed, validationIndicatorCol="held_back", validationTol=1e-6, predictionCol="raw")
     return Pipeline(stages=[assemble, boosted, IsotonicRegression(featuresCol="raw", predictionCol="calibrated")]).fit(table)
 

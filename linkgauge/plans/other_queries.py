@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..functions.urls import CONTENT, model_features
+from ..functions.urls import CONTENT, MODEL_INPUTS
 from ..operators import curated, ml, scoring
 from ..streaming import batches
 from .url_queries import SPLIT_L, feed, features_sql, rounded, scores
@@ -90,7 +90,7 @@ def _gbt_sql() -> str:
         "is_quality_article": one("domain_entropy < 3.3 and not domain_is_numeric_heavy and not domain_hyphen_heavy and (path_has_article_slug or path_has_date or path_is_descriptive)"),
         "is_nsfw_content": "0", "is_spam_content": "0", "is_nsfw_domain": "0", "is_quality_domain": "0", "is_news_domain": "0",
     } | {k: one(f"regexp_matches(path || '?' || query, '(?i){p}')") for k, p in CONTENT.items()}
-    return f"with {SPLIT_L}, {features_sql()} select url, " + ", ".join(f"{given.get(c, one(c))} as {c}" for c in model_features()) + " from f"
+    return f"with {SPLIT_L}, {features_sql()} select url, " + ", ".join(f"{given.get(c, one(c))} as {c}" for c in MODEL_INPUTS) + " from f"
 
 
 ORACLE_SQL = {"stream_batches": STREAM_SQL, "gbt_features": _gbt_sql(), "rss_curated": RSS_SQL, "wiki_curated": WIKI_SQL}
