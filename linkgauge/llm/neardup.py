@@ -191,7 +191,7 @@ def classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
 def keep_first(docs: DataFrame, least: float = LEAST) -> DataFrame:
     """docs, all columns, with one row of each class: that of the least doc_id (and then node). Rows without words stay."""
     _, nodes = node_classes(docs, least)
-    best = nodes.groupBy("class_id").agg(F.min(F.struct(F.coalesce(F.col("first") != F.col("class_id"), F.lit(False)), "node", "first", "rows")).alias("best"))
+    best = nodes.groupBy("class_id").agg(F.min(F.struct(F.coalesce(F.col("first") != F.col("class_id"), F.lit(True)), "node", "first", "rows")).alias("best"))
     best = best.select(F.col("best.node").alias("_node"), F.col("best.first").alias("_first"), F.col("best.rows").alias("_rows"))
     text = normalised(F.col("text"))
     keyed = docs.withColumn("_node", F.unhex(F.md5(text)))

@@ -71,6 +71,13 @@ def test_classes_match_brute_force(spark):
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == expected
 
 
+def test_a_null_id_gives_way(spark):
+    words = " ".join(f"w{i}" for i in range(100))
+    df = spark.createDataFrame([(None, words), (None, words + " x"), (7, words + " y"), (8, words + " z")], "doc_id long, text string")
+    assert [r.doc_id for r in keep_first(df).collect()] == [7]
+    assert keep_first(df.limit(2)).count() == 1
+
+
 def test_components_and_empty(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 101), (7, 7)]
     got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
