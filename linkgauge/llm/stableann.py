@@ -21,7 +21,7 @@ from .common import map_batches
 
 DIMENSIONS, LEAF, SURE = 8, 64, 0.95
 #: Vectors of an index block and queries of a query block, at the mean; leaves opened at first, twice as many each time.
-ROWS, QUERIES, STEP = 8192, 512, 8
+ROWS, QUERIES, STEP = 8192, 2048, 8
 
 
 def chi_square(x: np.ndarray, degrees: int = DIMENSIONS) -> np.ndarray:
