@@ -30,8 +30,8 @@ def norm(v):
 def test_against_sql(spark, duck, name):
     df = QUERIES[name](spark, SF)
     rows = df.collect()
-    assert rows
     if name not in ORACLE_SQL:
+        assert rows
         return
     cursor = duck.execute(ORACLE_SQL[name])
     columns = [c[0] for c in cursor.description]
