@@ -29,8 +29,9 @@ PATTERN = r" ?\p{L}+|'(?:s|t|re|ve|m|ll|d)| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N
 #: The same for texts below U+0250, where these are all letters, numerals and spaces; the standard module is faster.
 L, N, S = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾", r"\t-\r \x85\xa0"
 NARROW, WIDE = re.compile(rf" ?[{L}]+|'(?:s|t|re|ve|m|ll|d)| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"), re.compile("[^\x00-\u024f]")
-#: Pre-tokens longer than this many characters, and all beyond CACHE of them, are encoded anew each time.
-CACHE_CHARS, CACHE = 40, 400_000
+#: Pre-tokens longer than this many characters, and all beyond CACHE of them, are encoded anew each time; PAIRS of the
+#: pair table are remembered.
+CACHE_CHARS, CACHE, PAIRS = 40, 150_000, 100_000
 
 
 def byte_letters() -> list[str]:
@@ -127,7 +128,7 @@ class Encoder:
             else:
                 j += 1
         if until == NEVER:
-            if len(self.apart) > CACHE:
+            if len(self.apart) > PAIRS:
                 self.apart.clear()
             self.apart[a, b] = fits
         return fits

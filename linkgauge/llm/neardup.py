@@ -30,7 +30,7 @@ BANDS, ROWS = 20, 4
 #: Coordinates of the longer signature that pairs across classes must agree in before they are compared.
 MARKS = 512
 #: Shingles whose signatures are computed together, and word hashes that a task remembers.
-TOGETHER, REMEMBERED = 400_000, 300_000
+TOGETHER, REMEMBERED = 100_000, 150_000
 
 
 def normalised(text: Column) -> Column:
