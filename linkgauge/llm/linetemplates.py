@@ -25,23 +25,29 @@ MIN_DOCS, MIN_TOKENS, LEAD, CONSTANT = 3, 4, 3, 0.75
 def masked(line: Column) -> Column:
     """The line's tokens with one space between, tokens with a digit as wildcards."""
     hidden = F.when(line.rlike("[0-9]"), F.regexp_replace(line, r"[^\s0-9]*+[0-9]\S*+", WILDCARD)).otherwise(line)
-    return F.trim(F.when(hidden.rlike(r"\s\s|[^\S ]"), F.regexp_replace(hidden, r"\s+", " ")).otherwise(hidden))
+    odd = hidden.contains("  ")
+    for space in "\t\r\x0b\x0c":
+        odd = odd | hidden.contains(space)
+    return F.trim(F.when(odd, F.regexp_replace(hidden, r"\s+", " ")).otherwise(hidden))
 
 
 def line_id(line: Column) -> Column:
     return F.unhex(F.md5(line))
 
 
+def _spaces(line: str) -> Column:
+    return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit("")))
+
+
 def _lines(docs: DataFrame) -> DataFrame:
     """(doc_id, row, line): the distinct masked lines of each row; row is a hash of its text."""
     lines = F.array_distinct(F.transform(F.split("text", "\n"), masked))
     rows = docs.filter(F.col("text").isNotNull()).select("doc_id", F.unhex(F.md5("text")).alias("row"), F.explode(lines).alias("line"))
-    return rows.filter(F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) >= MIN_TOKENS - 1)
+    return rows.filter(_spaces("line") >= MIN_TOKENS - 1)
 
 
-def _leaf(line: Column) -> Column:
-    words = F.split(line, " ")
-    return F.xxhash64(F.size(words), F.slice(words, 1, LEAD))
+def _leaf(line: str) -> Column:
+    return F.xxhash64(_spaces(line), F.substring_index(line, " ", LEAD))
 
 
 def recurring(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -50,7 +56,7 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 
     Lines are counted by their hashes; only lines of leaves with several kinds are needed as text, and their tokens are
     exchanged as hashes."""
-    lines = _lines(docs).select("doc_id", "line", line_id(F.col("line")).alias("id"), _leaf(F.col("line")).alias("leaf"))
+    lines = _lines(docs).select("doc_id", "line", line_id(F.col("line")).alias("id"), _leaf("line").alias("leaf"))
     counted = lines.groupBy("leaf", "id").agg(F.count("*").alias("docs"), F.min("doc_id").alias("first"))
     leaves = counted.groupBy("leaf").agg(F.sum("docs").alias("in_leaf"), F.count("*").alias("kinds")).filter(F.col("in_leaf") >= min_docs)
     counted = cut_lineage(counted.join(leaves.drop("in_leaf"), "leaf"))
@@ -91,12 +97,12 @@ def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     names = [c for c in docs.columns if c not in ("_lines", "_dropped", "_id", "_row", "_drop")]
     rows = docs.select(*names, F.unhex(F.md5("text")).alias("_key"))
     joined = rows.join(drops, rows["doc_id"].eqNullSafe(drops["_id"]) & (rows["_key"] == drops["_row"]), "left")
-    lines = F.split("text", "\n")
-    kept = F.when(F.col("_drop").isNull(), lines).otherwise(F.filter(lines, lambda x: ~F.array_contains("_drop", line_id(masked(x)))))
-    joined = joined.withColumn("_kept", kept)
-    n, left = F.coalesce(F.size(lines), F.lit(0)), F.coalesce(F.size("_kept"), F.lit(0))
-    new = F.when(F.col("_drop").isNull(), F.col("text")).otherwise(F.array_join("_kept", "\n"))
-    return joined.select(*[new.alias(c) if c == "text" else c for c in names], n.cast("long").alias("_lines"), (n - left).cast("long").alias("_dropped"))
+    kept = F.filter(F.split("text", "\n"), lambda x: ~F.array_contains("_drop", line_id(masked(x))))
+    once = F.transform(F.array(kept), lambda k: F.struct(F.array_join(k, "\n").alias("text"), F.size(k).alias("n")))[0]
+    joined = joined.withColumn("_kept", F.when(F.col("_drop").isNotNull(), once))
+    n = F.coalesce(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1, F.lit(0))
+    new, dropped = F.coalesce("_kept.text", "text"), F.coalesce(n - F.col("_kept.n"), F.lit(0))
+    return joined.select(*[new.alias(c) if c == "text" else c for c in names], n.cast("long").alias("_lines"), dropped.cast("long").alias("_dropped"))
 
 
 def drop_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
