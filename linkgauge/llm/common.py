@@ -55,9 +55,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 SENT_ROWS = 300_000
 
 
-def sent_if_small(df: DataFrame, rows: Column | None = None) -> DataFrame:
-    """df written once, and marked for broadcast if it has at most SENT_ROWS rows (or the sum of `rows` is that small).
-    The result of the join is the same either way."""
+def sent_if_small(df: DataFrame) -> DataFrame:
+    """df written once, and marked for broadcast if it has at most SENT_ROWS rows. The result of a join is the same either way."""
     df = cut_lineage(df)
-    n = df.agg(F.sum(rows) if rows is not None else F.count("*")).first()[0] or 0
-    return F.broadcast(df) if n <= SENT_ROWS else df
+    return F.broadcast(df) if df.count() <= SENT_ROWS else df

@@ -50,20 +50,25 @@ def _leaf(line: str) -> Column:
     return F.xxhash64(_spaces(line), F.substring_index(line, " ", LEAD))
 
 
-def recurring(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, row, id, leaf) of every line, written once: hashes only, which the counts and the drops both read."""
+    return cut_lineage(_lines(docs).select("doc_id", "row", line_id(F.col("line")).alias("id"), _leaf("line").alias("leaf")))
+
+
+def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, keyed: DataFrame | None = None) -> DataFrame:
     """(id, template, docs, first) of every masked line whose template recurs: a hash of the line, its template (null if
     that is the line itself), the documents that hold the template, and the least doc_id of these.
 
     Lines are counted by their hashes; only lines of leaves with several kinds are needed as text, and their tokens are
     exchanged as hashes."""
-    lines = _lines(docs).select("doc_id", "line", line_id(F.col("line")).alias("id"), _leaf("line").alias("leaf"))
-    counted = lines.groupBy("leaf", "id").agg(F.count("*").alias("docs"), F.min("doc_id").alias("first"))
+    keyed = _keyed(docs) if keyed is None else keyed
+    counted = keyed.groupBy("leaf", "id").agg(F.count("*").alias("docs"), F.min("doc_id").alias("first"))
     leaves = counted.groupBy("leaf").agg(F.sum("docs").alias("in_leaf"), F.count("*").alias("kinds")).filter(F.col("in_leaf") >= min_docs)
     counted = cut_lineage(counted.join(leaves.drop("in_leaf"), "leaf"))
     alone = counted.filter("kinds = 1").select("id", F.lit(None).cast("string").alias("template"), "docs", "first")
 
     open_leaves = sent_if_small(counted.filter("kinds > 1").select("leaf").distinct())
-    texts = lines.select("leaf", "id", "line").join(open_leaves, "leaf", "left_semi").dropDuplicates(["leaf", "id"])
+    texts = _lines(docs).select(_leaf("line").alias("leaf"), line_id(F.col("line")).alias("id"), "line").join(open_leaves, "leaf", "left_semi").dropDuplicates(["leaf", "id"])
     several = cut_lineage(texts.join(counted, ["leaf", "id"]).select("leaf", F.xxhash64("line").alias("key"), "id", "docs", "first", "line"))
     words = F.split("line", " ")
     tokens = several.select("leaf", "key", "docs", F.posexplode(F.transform(words, lambda x: F.xxhash64(x))).alias("at", "token"))
@@ -90,10 +95,10 @@ def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     A line stays in the document with the least id among those that hold its template (in repeated rows of that document
     too), and wherever it has fewer than MIN_TOKENS tokens. Null texts stay null with no lines; a text may become empty.
     Columns of docs named like the two are replaced."""
-    found = sent_if_small(recurring(docs, min_docs).select("id", "first"))
-    held = _lines(docs).select("doc_id", "row", line_id(F.col("line")).alias("id"))
-    drops = held.join(found, "id").filter(~F.col("doc_id").eqNullSafe(F.col("first"))).groupBy("doc_id", "row").agg(F.collect_list("id").alias("lines"))
-    drops = sent_if_small(drops.select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), F.col("lines").alias("_drop")), F.size("_drop"))
+    keyed = _keyed(docs)
+    found = sent_if_small(recurring(docs, min_docs, keyed).select("id", "first"))
+    drops = keyed.select("doc_id", "row", "id").join(found, "id").filter(~F.col("doc_id").eqNullSafe(F.col("first"))).groupBy("doc_id", "row").agg(F.collect_list("id").alias("lines"))
+    drops = drops.select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), F.col("lines").alias("_drop"))  # grows with the corpus
     names = [c for c in docs.columns if c not in ("_lines", "_dropped", "_id", "_row", "_drop")]
     rows = docs.select(*names, F.unhex(F.md5("text")).alias("_key"))
     joined = rows.join(drops, rows["doc_id"].eqNullSafe(drops["_id"]) & (rows["_key"] == drops["_row"]), "left")
