@@ -2,14 +2,32 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import PipelineConfig
-from ..operators import domains, scoring
+from ..operators import curated, domains, enhance, links, ml, observations, pages, reports, scoring
 from ..sources import sinks
 
 FEED = "ts string, url string"
+METHODS = ("rules", "gbt")
+
+
+@dataclass(frozen=True)
+class Landed:
+    """What a batch reads beside the feed and the reputation; pages and requests have one row a url. Ages of captures are
+    counted up to `archived_at`, which is given, so that a replay gives the same."""
+
+    curated: DataFrame | None = None  # url, timestamp
+    pages: DataFrame | None = None  # url, status_code, html
+    requests: DataFrame | None = None  # url, status_code, response_time, redirect_count, error_type, etag
+    captures: DataFrame | None = None  # url, ts, status
+    archived_at: str | None = None
+    model: PipelineModel | None = None
 
 
 def read_feed(spark: SparkSession, path: str) -> DataFrame:
@@ -22,31 +40,93 @@ def watch_feed(spark: SparkSession, folder: str) -> DataFrame:
     return spark.readStream.schema(FEED).option("sep", "\t").option("quote", "").option("escape", "").option("maxFilesPerTrigger", 1).option("pathGlobFilter", "*.tsv").csv(folder)
 
 
-def run_batch(batch: DataFrame, batch_id: int, out: str, config: PipelineConfig = PipelineConfig()) -> DataFrame:
-    """Scores one batch of the feed and writes it under out: scored/batch=N, reputation/batch=N, store/batch=N. The
-    reputation comes from the newest snapshot before N, so a replay writes the same."""
+def _require(config: PipelineConfig, landed: Landed) -> None:
+    """Refuses a batch whose settings ask for what is not there."""
+    odd = [m for m in config.methods if m not in METHODS]
+    if odd or not config.methods:
+        raise ValueError(f"methods are some of {METHODS}, not {config.methods}")
+    if config.use_features and "rules" not in config.methods:
+        raise ValueError("use_features enriches the scores of the method rules")
+    needed = {"curated": config.use_curated, "model": "gbt" in config.methods} | dict.fromkeys(("pages", "requests", "captures", "archived_at"), config.use_features)
+    missing = [name for name, asked in needed.items() if asked and getattr(landed, name) is None]
+    if missing:
+        raise ValueError(f"the settings ask for landed {', '.join(missing)}")
+
+
+def _provisional(rows: DataFrame, method: str, stored: DataFrame | None, config: PipelineConfig, model: PipelineModel | None) -> DataFrame:
+    """Pass 1 of a method. The trained model's scores hold no part of a reputation."""
+    if method == "rules":
+        return scoring.score_rules(rows, stored, config.profile)
+    found = scoring.with_reputation(scoring.featured(rows, config.profile), None).withColumn("reputation_part", F.lit(0.0))
+    scores = ml.predict(found, model).withColumnRenamed("url", "_url")
+    return found.join(scores, F.col("url").eqNullSafe(F.col("_url"))).drop("_url")
+
+
+def enhanced_sample(rows: DataFrame, landed: Landed, reputation: DataFrame, config: PipelineConfig) -> DataFrame:
+    """One url a domain of the scored rows, with what was observed of it and its enhanced score."""
+    picked = enhance.sample(rows, config.sample_seed, config.max_sample).join(rows.select("url", "domain", "score", "confidence"), ["url", "domain"])
+    own = lambda table: table.join(picked.select("url"), "url", "left_semi")
+    page = own(landed.pages)
+    outlinks = links.outlink_scores(page, links.classify(links.extract(page), reputation))
+    history = observations.archive_metrics(own(landed.captures), F.lit(landed.archived_at).cast("timestamp"))
+    return enhance.enhance(picked, pages.page_features(page), outlinks, observations.outcome(own(landed.requests)), history)
+
+
+def _write_reports(result: DataFrame, path: str) -> None:
+    tables = {
+        "overall": reports.overall(result), "by_source": reports.by_source(result), "curated_benchmark": reports.curated_benchmark(result), "lift": reports.lift(result),
+        "best_urls": reports.extreme_urls(result), "worst_urls": reports.extreme_urls(result, best=False), "frequent_domains": reports.frequent_domains(result),
+    }
+    for name, table in tables.items():
+        sinks.write_report(table, f"{path}/{name}")
+
+
+def run_batch(batch: DataFrame, batch_id: int, out: str, config: PipelineConfig = PipelineConfig(), landed: Landed = Landed()) -> DataFrame:
+    """Scores one batch of the feed by each method and writes it under out: scored/batch=N, summary/batch=N (those of gbt
+    under out/gbt), comparison/batch=N if both methods ran and reports are asked for, reputation/batch=N, store/batch=N. The
+    reputation comes from the newest snapshot before N, so a replay writes the same; it and the store follow the first method,
+    so that no url counts twice. Gives that method's result."""
+    _require(config, landed)
     spark = batch.sparkSession
     rows = scoring.normalise_feed(batch)
-    rows = rows.groupBy("url").agg({"timestamp": "min"}).withColumnRenamed("min(timestamp)", "timestamp").join(rows.select("url", "data_source").distinct(), "url")
+    if config.use_curated:
+        rows = curated.union_feeds(rows, curated.clean_curated(landed.curated))
+    else:
+        rows = rows.groupBy("url", "data_source").agg(F.min("timestamp").alias("timestamp"))
     stored = sinks.latest_reputation(spark, f"{out}/reputation", batch_id) if config.read_reputation else None
-    first = scoring.frequencies(scoring.score_rules(rows, stored, config.profile)).persist()
-    stats = scoring.domain_stats(first)
-    final = scoring.rescore(first, stats, config.profile).drop("score").withColumnRenamed("rescored", "score")
-    result = scoring.conform(final, config.profile)
-    if config.write_parquet:
-        sinks.write_parquet(result, f"{out}/scored/batch={batch_id}")
-    if config.write_tsv:
-        sinks.write_tsv(result, f"{out}/tsv/batch={batch_id}")
-    if config.write_reputation:
+    results, kept = {}, []
+    for method in config.methods:
+        first = scoring.frequencies(_provisional(rows, method, stored, config, landed.model)).persist()
+        stats = scoring.domain_stats(first)
+        final = scoring.rescore(first, stats, config.profile).drop("score").withColumnRenamed("rescored", "score")
         new = stats.selectExpr("domain", "mean_score reputation_score", "total_urls total_urls_seen", "malicious malicious_urls_count", "benign benign_urls_count", "content_diversity_score")
         old = stored if stored is not None else new.limit(0)
-        sinks.write_reputation(domains.upsert(old, new), f"{out}/reputation", batch_id)
-    sinks.insert_absent(sinks.store_rows(result, "2024-01-01 00:00:00"), f"{out}/store", batch_id)
-    first.unpersist()
-    return result
+        kept.append(first)
+        if config.use_features and method == "rules":
+            kept.append(enhanced := enhanced_sample(final, landed, old, config).persist())
+            final = enhance.merge_enhanced(final, enhanced)
+        result = results[method] = scoring.conform(final, config.profile, -2.0 if method == "rules" else -3.0)
+        own = out if method == "rules" else f"{out}/{method}"
+        if config.write_parquet:
+            sinks.write_parquet(result, f"{own}/scored/batch={batch_id}")
+        if config.write_tsv:
+            sinks.write_tsv(result, f"{own}/tsv/batch={batch_id}")
+        if config.write_summary:
+            _write_reports(result, f"{own}/summary/batch={batch_id}")
+        if method == config.methods[0]:
+            if config.write_reputation:
+                sinks.write_reputation(domains.upsert(old, new), f"{out}/reputation", batch_id)
+            sinks.insert_absent(sinks.store_rows(result, "2024-01-01 00:00:00"), f"{out}/store", batch_id)
+    if config.write_summary and len(results) == len(METHODS):
+        pairs = reports.paired(results["rules"], results["gbt"])
+        sinks.write_report(reports.agreement(pairs), f"{out}/comparison/batch={batch_id}/agreement")
+        sinks.write_report(reports.differences(pairs), f"{out}/comparison/batch={batch_id}/differences")
+    for df in kept:
+        df.unpersist()
+    return results[config.methods[0]]
 
 
-def start(spark: SparkSession, folder: str, out: str, checkpoint: str, config: PipelineConfig = PipelineConfig()) -> StreamingQuery:
+def start(spark: SparkSession, folder: str, out: str, checkpoint: str, config: PipelineConfig = PipelineConfig(), landed: Landed = Landed()) -> StreamingQuery:
     """Runs over all files that are there and ends; started again, it takes up the new ones."""
     stream = watch_feed(spark, folder)
-    return stream.writeStream.foreachBatch(lambda df, n: run_batch(df, n, out, config) and None).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream.writeStream.foreachBatch(lambda df, n: run_batch(df, n, out, config, landed) and None).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -3,7 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from linkgauge.config import DEFAULT
+from linkgauge.config import DEFAULT, PipelineConfig
 from linkgauge.functions import urls
 from linkgauge.operators import curated, domains, enhance, links, ml, observations, scoring
 from linkgauge.sources import sinks
@@ -142,3 +142,35 @@ def test_model_round_trip(spark, tmp_path):
     r = got.agg(F.corr("p", "score").alias("c"), F.min("p").alias("low"), F.max("p").alias("high")).first()
     assert r.c > 0.9 and r.low >= -5 and r.high <= 2
     assert list(urls.model_features()) == urls.MODEL_INPUTS and len(urls.MODEL_INPUTS) == 42
+
+
+def test_batch_runs_every_part_that_its_settings_ask_for(spark, tmp_path):
+    given = [f"http://s{i % 9}.{['com', 'tk', 'gov'][i % 3]}/{['news', 'login'][i % 2]}/{i}" for i in range(400)]
+    rows = feed_of(spark, *given)
+    model = ml.train(scoring.featured(rows), ml.targets(scoring.score_rules(rows).withColumn("data_source", F.lit("input_data"))), trees=2, depth=2)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "0.tsv").write_text("".join(f"1700000000\t{u}\n" for u in given))
+    landed = batches.Landed(
+        curated=spark.createDataFrame([("http://good.org/a", "2020-01-01"), (given[0], "2020-01-01")], "url string, timestamp string"),
+        pages=spark.createDataFrame([(u, 200, "<title>A title that is long enough</title><a href='http://x.com'>x</a>") for u in given], "url string, status_code int, html string"),
+        requests=spark.createDataFrame([(u, 200, 1.0, 0, None, "e") for u in given], "url string, status_code int, response_time double, redirect_count int, error_type string, etag string"),
+        captures=spark.createDataFrame([(u, "20240101000000", "200") for u in given], "url string, ts string, status string"),
+        archived_at="2024-01-11 00:00:00", model=model,
+    )
+    out = str(tmp_path / "out")
+    config = PipelineConfig(methods=("rules", "gbt"), use_curated=True, use_features=True, write_summary=True)
+    batches.start(spark, str(tmp_path / "in"), out, str(tmp_path / "check"), config, landed).awaitTermination()
+    plain = {r.url: r for r in batches.run_batch(batches.read_feed(spark, str(tmp_path / "in")), 0, str(tmp_path / "plain"), PipelineConfig(use_curated=True), landed).collect()}
+    got = {r.url: r for r in spark.read.parquet(f"{out}/scored/batch=0").collect()}
+    assert len(got) == len(plain) == 401 and {u for u, r in got.items() if r.data_source == "good_data"} == {"http://good.org/a", given[0]}
+    changed = [u for u, r in got.items() if abs(r.score - plain[u].score) > 1e-9]
+    assert len(changed) == len({got[u].domain for u in changed}) == 10
+    assert all(got[u].confidence > plain[u].confidence for u in changed if u != "http://good.org/a" and plain[u].confidence < 1)
+    trained = {r.url: r.score for r in spark.read.parquet(f"{out}/gbt/scored/batch=0").collect()}
+    assert trained.keys() == got.keys() and any(abs(trained[u] - plain[u].score) > 1e-6 for u in trained)
+    assert "total: 401 " in spark.read.text(f"{out}/summary/batch=0/overall").first()[0] and spark.read.text(f"{out}/gbt/summary/batch=0/best_urls").count() == 10
+    assert spark.read.text(f"{out}/comparison/batch=0/agreement").count() >= 1
+    assert spark.read.parquet(f"{out}/reputation/batch=0").agg(F.sum("total_urls_seen")).first()[0] == 401
+    for bad in (PipelineConfig(methods=("gbt",)), PipelineConfig(use_features=True), PipelineConfig(use_curated=True), PipelineConfig(methods=("odd",))):
+        with pytest.raises(ValueError):
+            batches.run_batch(batches.read_feed(spark, str(tmp_path / "in")), 1, out, bad)
