@@ -23,13 +23,16 @@ def merge_partial(parts: DataFrame) -> DataFrame:
 def upsert(stored: DataFrame, batch: DataFrame) -> DataFrame:
     """New reputation table from the stored one and a batch of (domain, reputation_score, total_urls_seen,
     malicious_urls_count, benign_urls_count, content_diversity_score): means move by ALPHA, counts add, a null in the
-    batch leaves the stored value, a first sight is taken as it is."""
+    batch leaves the stored value, a first sight is taken as it is. If either has content_volatility_score or
+    predicted_revisit_interval_hours, these are merged too: the first moves, the second is replaced (REVISIT by default)."""
+    optional = [c for c in ("content_volatility_score", "predicted_revisit_interval_hours") if c in stored.columns or c in batch.columns]
+    stored, batch = (t.withColumns({c: F.lit(None).cast("double") for c in optional if c not in t.columns}) for t in (stored, batch))
     old, new = stored.alias("o"), batch.alias("n")
     o, n = (lambda c: F.col(f"o.{c}")), (lambda c: F.col(f"n.{c}"))
     moved = lambda c: F.coalesce(o(c) * (1 - ALPHA) + n(c) * ALPHA, n(c), o(c)).alias(c)
     added = lambda c: (F.coalesce(o(c), F.lit(0)) + F.coalesce(n(c), F.lit(0))).cast("long").alias(c)
     joined = old.join(new, F.col("o.domain") == F.col("n.domain"), "full_outer")
-    return joined.select(F.coalesce(o("domain"), n("domain")).alias("domain"), moved("reputation_score"), *[added(c) for c in ("total_urls_seen", "malicious_urls_count", "benign_urls_count")], moved("content_diversity_score"))
+    return joined.select(F.coalesce(o("domain"), n("domain")).alias("domain"), moved("reputation_score"), *[added(c) for c in ("total_urls_seen", "malicious_urls_count", "benign_urls_count")], moved("content_diversity_score"), *[moved(c) if c == "content_volatility_score" else F.coalesce(n(c), o(c), F.lit(REVISIT)).cast("int").alias(c) for c in optional])
 
 
 def history_ema(batches: DataFrame) -> DataFrame:

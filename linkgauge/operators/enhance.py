@@ -19,9 +19,12 @@ def sample(rows: DataFrame, seed: str = "42", limit: int = 6500, fraction: float
 
 def enhance(picked: DataFrame, content: DataFrame, outlinks: DataFrame, requests: DataFrame, archive: DataFrame) -> DataFrame:
     """picked (url, domain, score, confidence) with enhanced_score, score_delta and enhanced_confidence. Content and links
-    count where the request came back with 200; what was not observed counts as inaccessible or never archived."""
+    count where the request came back with 200; what was not observed counts as inaccessible or never archived. Requests
+    without a column last_modified have none."""
+    if "last_modified" not in requests.columns:
+        requests = requests.withColumn("last_modified", F.lit(None).cast("string"))
     joined = (
-        picked.join(requests.select("url", "accessible", "status_code", "response_time", "redirect_count", "etag"), "url", "left")
+        picked.join(requests.select("url", "accessible", "status_code", "response_time", "redirect_count", "etag", "last_modified"), "url", "left")
         .join(content.select("url", "has_content", "content_quality", "content_trust", "content_spam"), "url", "left")
         .join(outlinks.select("url", "total", "quality_ratio", "spam_ratio"), "url", "left")
         .join(archive.select("url", "archived", "archive_count", "days_since_last"), "url", "left")
@@ -50,7 +53,7 @@ def merge_enhanced(rows: DataFrame, enhanced: DataFrame) -> DataFrame:
 
 
 def volatility(enhanced: DataFrame, exact: bool = True) -> DataFrame:
-    """Of each domain: mean score change, urls, distinct etags a url, hours until the next visit."""
+    """Of each domain: mean score change, urls, distinct etags and times of change a url, hours until the next visit."""
     distinct = F.count_distinct if exact else F.approx_count_distinct
-    out = enhanced.groupBy("domain").agg(F.avg("score_delta").alias("mean_delta"), F.count("*").alias("urls"), (distinct("etag") / F.count("*")).alias("volatility"))
+    out = enhanced.groupBy("domain").agg(F.avg("score_delta").alias("mean_delta"), F.count("*").alias("urls"), ((distinct("etag") + distinct("last_modified")) / F.count("*")).alias("volatility"))
     return out.withColumn("revisit_hours", domains.revisit_hours(F.col("volatility")))

@@ -47,7 +47,7 @@ def insert_absent(rows: DataFrame, path: str, batch_id: int, key: tuple[str, ...
 
 def _parts(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
     try:
-        return spark.read.option("basePath", path).parquet(path).filter(F.col("batch") < batch_id)
+        return spark.read.option("basePath", path).option("mergeSchema", True).parquet(path).filter(F.col("batch") < batch_id)
     except Exception as e:  # nothing has been written yet
         if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
             return None

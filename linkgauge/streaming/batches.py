@@ -24,7 +24,7 @@ class Landed:
 
     curated: DataFrame | None = None  # url, timestamp
     pages: DataFrame | None = None  # url, status_code, html
-    requests: DataFrame | None = None  # url, status_code, response_time, redirect_count, error_type, etag
+    requests: DataFrame | None = None  # url, status_code, response_time, redirect_count, error_type, etag, last_modified
     captures: DataFrame | None = None  # url, ts, status
     archived_at: str | None = None
     model: PipelineModel | None = None
@@ -105,6 +105,8 @@ def run_batch(batch: DataFrame, batch_id: int, out: str, config: PipelineConfig
         if config.use_features and method == "rules":
             kept.append(enhanced := enhanced_sample(final, landed, old, config).persist())
             final = enhance.merge_enhanced(final, enhanced)
+            seen = enhance.volatility(enhanced).selectExpr("domain", "volatility content_volatility_score", "revisit_hours predicted_revisit_interval_hours")
+            new = new.join(seen, "domain", "left")
         result = results[method] = scoring.conform(final, config.profile, -2.0 if method == "rules" else -3.0)
         own = out if method == "rules" else f"{out}/{method}"
         if config.write_parquet:

@@ -153,7 +153,7 @@ def test_batch_runs_every_part_that_its_settings_ask_for(spark, tmp_path):
     landed = batches.Landed(
         curated=spark.createDataFrame([("http://good.org/a", "2020-01-01"), (given[0], "2020-01-01")], "url string, timestamp string"),
         pages=spark.createDataFrame([(u, 200, "<title>A title that is long enough</title><a href='http://x.com'>x</a>") for u in given], "url string, status_code int, html string"),
-        requests=spark.createDataFrame([(u, 200, 1.0, 0, None, "e") for u in given], "url string, status_code int, response_time double, redirect_count int, error_type string, etag string"),
+        requests=spark.createDataFrame([(u, 200, 1.0, 0, None, "e", u) for u in given], "url string, status_code int, response_time double, redirect_count int, error_type string, etag string, last_modified string"),
         captures=spark.createDataFrame([(u, "20240101000000", "200") for u in given], "url string, ts string, status string"),
         archived_at="2024-01-11 00:00:00", model=model,
     )
@@ -171,6 +171,27 @@ def test_batch_runs_every_part_that_its_settings_ask_for(spark, tmp_path):
     assert "total: 401 " in spark.read.text(f"{out}/summary/batch=0/overall").first()[0] and spark.read.text(f"{out}/gbt/summary/batch=0/best_urls").count() == 10
     assert spark.read.text(f"{out}/comparison/batch=0/agreement").count() >= 1
     assert spark.read.parquet(f"{out}/reputation/batch=0").agg(F.sum("total_urls_seen")).first()[0] == 401
+    assert {(r[0], r[1]) for r in spark.read.parquet(f"{out}/reputation/batch=0").filter("domain <> 'good.org'").select("content_volatility_score", "predicted_revisit_interval_hours").collect()} == {(2.0, 1)}
     for bad in (PipelineConfig(methods=("gbt",)), PipelineConfig(use_features=True), PipelineConfig(use_curated=True), PipelineConfig(methods=("odd",))):
         with pytest.raises(ValueError):
             batches.run_batch(batches.read_feed(spark, str(tmp_path / "in")), 1, out, bad)
+
+
+def test_volatility_counts_times_of_change_and_is_merged(spark):
+    picked = spark.createDataFrame([(f"http://a.com/{i}", "a.com", 0.0, 0.5) for i in range(4)], "url string, domain string, score double, confidence double")
+    asked = spark.createDataFrame([(f"http://a.com/{i}", True, 200, 1.0, 0, "e", f"t{i}") for i in range(4)], "url string, accessible boolean, status_code int, response_time double, redirect_count int, etag string, last_modified string")
+    content = spark.createDataFrame([], "url string, has_content boolean, content_quality double, content_trust double, content_spam double")
+    found = spark.createDataFrame([], "url string, total long, quality_ratio double, spam_ratio double")
+    history = spark.createDataFrame([], "url string, archived boolean, archive_count long, days_since_last long")
+    for exact in (True, False):
+        r = enhance.volatility(enhance.enhance(picked, content, found, asked, history), exact).first()
+        assert r.volatility == 1.25 and r.revisit_hours == 270
+    assert enhance.volatility(enhance.enhance(picked, content, found, asked.drop("last_modified"), history)).first().volatility == 0.25
+    kinds = "domain string, reputation_score double, total_urls_seen long, malicious_urls_count long, benign_urls_count long, content_diversity_score double"
+    more = f"{kinds}, content_volatility_score double, predicted_revisit_interval_hours int"
+    old = spark.createDataFrame([("a", 1.0, 1, 0, 1, 0.0, 1.0, 360), ("b", 1.0, 1, 0, 1, 0.0, 0.5, 540)], more)
+    new = spark.createDataFrame([("a", 1.0, 1, 0, 1, 0.0, 2.0, 1), ("b", 1.0, 1, 0, 1, 0.0, None, None), ("c", 1.0, 1, 0, 1, 0.0, None, None)], more)
+    got = {r.domain: (r.content_volatility_score, r.predicted_revisit_interval_hours) for r in domains.upsert(old, new).collect()}
+    assert got["a"] == (pytest.approx(1.1), 1) and got["b"] == (0.5, 540) and got["c"] == (None, 168)
+    plain = new.select(*[c.split(" ")[0] for c in kinds.split(", ")])
+    assert {r.domain: r.predicted_revisit_interval_hours for r in domains.upsert(old, plain).collect()} == {"a": 360, "b": 540, "c": 168}
