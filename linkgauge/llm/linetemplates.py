@@ -3,7 +3,8 @@
 A line goes down the tree by its token count and its LEAD leading tokens (tokens with a digit count as variable). In a
 leaf, a token stays where it recurs in its place in at least `min_docs` documents and becomes the wildcard where it
 varies, which yields the line's template. A template that at least `min_docs` documents hold, and of which enough is
-constant, recurs: its lines are dropped from all documents but the first, so that nothing is lost altogether.
+constant, recurs: its lines are dropped from all documents but the first, so that nothing is lost altogether. A line that
+has too many digits for any template is never taken as one; it recurs if at least `min_docs` documents hold it as it stands.
 
 All steps are DataFrame operations. Equal lines are counted before any exchange, leaves are handled token by token,
 and nothing is gathered that is longer than a line, or than the lines of one document. Sides of joins that are counted and
@@ -31,6 +32,12 @@ def masked(line: Column) -> Column:
     return F.trim(F.when(odd, F.regexp_replace(hidden, r"\s+", " ")).otherwise(hidden))
 
 
+def sparse(line: Column) -> Column:
+    """True if too little of a masked line is constant for a template."""
+    words = F.split(line, " ")
+    return line.contains(WILDCARD) & (F.size(F.filter(words, lambda x: x != WILDCARD)) < CONSTANT * F.size(words))
+
+
 def line_id(line: Column) -> Column:
     return F.unhex(F.md5(line))
 
@@ -46,13 +53,35 @@ def _lines(docs: DataFrame) -> DataFrame:
     return rows.filter(_spaces("line") >= MIN_TOKENS - 1)
 
 
+def _verbatim_id(line: Column) -> Column:
+    """Hash of an unmasked line; the line break before it keeps it apart from the hashes of masked lines."""
+    return line_id(F.concat(F.lit("\n"), F.trim(F.regexp_replace(line, r"\s+", " "))))
+
+
+def _is_verbatim(line: Column) -> Column:
+    hidden = masked(line)
+    return (line.rlike("[0-9]") | line.contains(WILDCARD)) & sparse(hidden) & (F.size(F.split(hidden, " ")) >= MIN_TOKENS)
+
+
+def _verbatim(docs: DataFrame) -> DataFrame:
+    """(doc_id, row, id) of the distinct lines of each row that can recur only as they stand."""
+    ids = F.array_distinct(F.transform(F.filter(F.split("text", "\n"), _is_verbatim), _verbatim_id))
+    return docs.filter(F.col("text").isNotNull()).select("doc_id", F.unhex(F.md5("text")).alias("row"), F.explode(ids).alias("id"))
+
+
+def repeated(verbatim: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """(id, docs, first) of the lines that recur as they stand: each document counts once."""
+    once = verbatim.select("id", "doc_id").distinct()
+    return once.groupBy("id").agg(F.count("*").alias("docs"), F.min("doc_id").alias("first")).filter(F.col("docs") >= min_docs)
+
+
 def _leaf(line: str) -> Column:
     return F.xxhash64(_spaces(line), F.substring_index(line, " ", LEAD))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """(doc_id, row, id, leaf) of every line, written once: hashes only, which the counts and the drops both read."""
-    return cut_lineage(_lines(docs).select("doc_id", "row", line_id(F.col("line")).alias("id"), _leaf("line").alias("leaf")))
+    """(doc_id, row, id, leaf, sparse) of every line, written once: hashes only, which the counts and the drops both read."""
+    return cut_lineage(_lines(docs).select("doc_id", "row", line_id(F.col("line")).alias("id"), _leaf("line").alias("leaf"), sparse(F.col("line")).alias("sparse")))
 
 
 def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, keyed: DataFrame | None = None) -> DataFrame:
@@ -62,10 +91,10 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, keyed: DataFrame | None
     Lines are counted by their hashes; only lines of leaves with several kinds are needed as text, and their tokens are
     exchanged as hashes."""
     keyed = _keyed(docs) if keyed is None else keyed
-    counted = keyed.groupBy("leaf", "id").agg(F.count("*").alias("docs"), F.min("doc_id").alias("first"))
+    counted = keyed.groupBy("leaf", "id").agg(F.count("*").alias("docs"), F.min("doc_id").alias("first"), F.max("sparse").alias("sparse"))
     leaves = counted.groupBy("leaf").agg(F.sum("docs").alias("in_leaf"), F.count("*").alias("kinds")).filter(F.col("in_leaf") >= min_docs)
     counted = cut_lineage(counted.join(leaves.drop("in_leaf"), "leaf"))
-    alone = counted.filter("kinds = 1").select("id", F.lit(None).cast("string").alias("template"), "docs", "first")
+    alone = counted.filter("kinds = 1 and not sparse").select("id", F.lit(None).cast("string").alias("template"), "docs", "first")
 
     open_leaves = sent_if_small(counted.filter("kinds > 1").select("leaf").distinct())
     texts = _lines(docs).select(_leaf("line").alias("leaf"), line_id(F.col("line")).alias("id"), "line").join(open_leaves, "leaf", "left_semi").dropDuplicates(["leaf", "id"])
@@ -84,7 +113,7 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, keyed: DataFrame | None
 
 
 def templates(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(template, docs, first) of every recurring template, as text."""
+    """(template, docs, first) of every recurring template, as text; lines that recur as they stand are not among them."""
     lines = _lines(docs).select("line", line_id(F.col("line")).alias("id"))
     return lines.join(recurring(docs, min_docs), "id").select(F.coalesce("template", "line").alias("template"), "docs", "first").distinct()
 
@@ -96,13 +125,14 @@ def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     too), and wherever it has fewer than MIN_TOKENS tokens. Null texts stay null with no lines; a text may become empty.
     Columns of docs named like the two are replaced."""
     keyed = _keyed(docs)
-    found = sent_if_small(recurring(docs, min_docs, keyed).select("id", "first"))
-    drops = keyed.select("doc_id", "row", "id").join(found, "id").filter(~F.col("doc_id").eqNullSafe(F.col("first"))).groupBy("doc_id", "row").agg(F.collect_list("id").alias("lines"))
+    verbatim = cut_lineage(_verbatim(docs))
+    found = sent_if_small(recurring(docs, min_docs, keyed).select("id", "first").union(repeated(verbatim, min_docs).select("id", "first")))
+    drops = keyed.filter(~F.col("sparse")).select("doc_id", "row", "id").union(verbatim).join(found, "id").filter(~F.col("doc_id").eqNullSafe(F.col("first"))).groupBy("doc_id", "row").agg(F.collect_list("id").alias("lines"))
     drops = drops.select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), F.col("lines").alias("_drop"))  # grows with the corpus
     names = [c for c in docs.columns if c not in ("_lines", "_dropped", "_id", "_row", "_drop")]
     rows = docs.select(*names, F.unhex(F.md5("text")).alias("_key"))
     joined = rows.join(drops, rows["doc_id"].eqNullSafe(drops["_id"]) & (rows["_key"] == drops["_row"]), "left")
-    kept = F.filter(F.split("text", "\n"), lambda x: ~F.array_contains("_drop", line_id(masked(x))))
+    kept = F.filter(F.split("text", "\n"), lambda x: ~F.when(_is_verbatim(x), F.array_contains("_drop", _verbatim_id(x))).otherwise(F.array_contains("_drop", line_id(masked(x)))))
     once = F.transform(F.array(kept), lambda k: F.struct(F.array_join(k, "\n").alias("text"), F.size(k).alias("n")))[0]
     joined = joined.withColumn("_kept", F.when(F.col("_drop").isNotNull(), once))
     n = F.coalesce(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1, F.lit(0))

@@ -66,3 +66,13 @@ def test_empty(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert drop_lines(none).count() == 0
     assert drop_recurring(spark.createDataFrame([(1, None)], "doc_id long, text string")).first()["_dropped"] == 0
+
+
+def test_lines_of_numbers_go_only_where_they_recur_as_they_stand(spark):
+    tables = [(i, f"{i}.2 3.{i} 5 {i + 6}") for i in range(5)]
+    same = [(10 + i, "Call  555 0100 or 555 0199 now") for i in range(4)] + [(20, "Call 555 0100 by 555 0177 today"), (21, "<*> <*> <*> <*>"), (None, "Call 555 0100 or 555 0199 now")]
+    same += [(24 + i, "<*> <*> <*> <*> x") for i in range(3)]
+    twice = [(30, "Dial 1 2 3 4 5"), (30, "Dial 1 2 3 4 5"), (31, "Dial 1 2 3 4 5\nDial  1 2 3 4 5")]
+    got = [(r.doc_id, r.text, r["_dropped"]) for r in drop_recurring(spark.createDataFrame(tables + same + twice, "doc_id long, text string").repartition(3)).collect()]
+    expected = [(i, "", 1) if i is None or i in (11, 12, 13, 25, 26) else (i, text, 0) for i, text in tables + same + twice]
+    assert sorted(got, key=repr) == sorted(expected, key=repr)
