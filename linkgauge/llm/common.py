@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of one Arrow batch. Texts are kilobytes each, so the default of 10,000 rows could be gigabytes.
-BATCH_ROWS = 1000
+#: Rows and bytes of one Arrow batch, whichever is reached first: texts may be megabytes each.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
+#: Bits of a sieve: what is sent to the tasks has this size, however many keys it was made from.
+SIEVE_BITS = 1 << 25
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,8 +26,9 @@ def held_out(doc_id: Column) -> Column:
 
 
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    """mapInArrow with batches small enough for long texts."""
+    """mapInArrow with batches small enough for long texts. Spark has no setting for a single plan, so the session's is set."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df.mapInArrow(fn, schema)
 
 
@@ -43,19 +47,77 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> list[str | None]:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 
 
+def text_bytes(batch: pa.RecordBatch, name: str = "text") -> list[bytes | None]:
+    """Texts as UTF-8."""
+    return batch.column(batch.schema.get_field_index(name)).cast(pa.binary()).to_pylist()
+
+
+def replaced(batch: pa.RecordBatch, schema: pa.Schema, **columns: pa.Array) -> pa.RecordBatch:
+    """The columns that schema names, those given here in place of the batch's own."""
+    return pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else batch.column(batch.schema.get_field_index(f.name)) for f in schema], schema=schema)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or the checkpoint folder set on the context."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return found
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """df, written once to the shared checkpoint folder. Only where the session names none is a temporary one set."""
+    """df, written once to the shared checkpoint folder; Spark removes it when nothing refers to it any more."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
-#: Rows up to which a side of a join is sent to all tasks; beyond it the join exchanges both sides.
-SENT_ROWS = 300_000
+def remove_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def shelf(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A function that writes a table to the shared folder and reads it back. All its tables are removed at the end, so
+    what is returned from the block must not read them: it is written by cut_lineage before."""
+    folder, n = f"{shared_folder(spark)}/shelf-{uuid.uuid4().hex}", 0
+
+    def put(df: DataFrame) -> DataFrame:
+        nonlocal n
+        n += 1
+        df.write.parquet(f"{folder}/{n}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{n}")
+
+    try:
+        yield put
+    finally:
+        remove_folder(spark, folder)
+
+
+def row_key(*columns: str) -> list[Column]:
+    """row_a and row_b: 128 bits that stand for a row's id and text."""
+    return [F.xxhash64(*columns).alias("row_a"), F.xxhash64(F.lit(7), *columns).alias("row_b")]
+
+
+ROW = ["row_a", "row_b"]
+
+
+def sieve(keys: DataFrame, key: str) -> DataFrame:
+    """(bucket, bits): a bit map of the hashes in column key, SIEVE_BITS long in all whatever the data. Rows whose bit is
+    not set hold none of the keys, so only the others need to meet them in a join; a full sieve lets all rows through."""
+    spot = keys.select((F.pmod(F.col(key), F.lit(SIEVE_BITS)) + 1).alias("spot")).distinct()
+    spot = spot.select(F.bitmap_bucket_number("spot").alias("bucket"), F.bitmap_bit_position("spot").alias("at")).repartition("bucket")
+    return cut_lineage(spot.groupBy("bucket").agg(F.bitmap_construct_agg("at").alias("bits")))
 
 
-def sent_if_small(df: DataFrame) -> DataFrame:
-    """df written once, and marked for broadcast if it has at most SENT_ROWS rows. The result of a join is the same either way."""
-    df = cut_lineage(df)
-    return F.broadcast(df) if df.count() <= SENT_ROWS else df
+def sifted(df: DataFrame, bits: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of df that may hold one of the sieve's keys, and the rows that do not."""
+    spot = F.pmod(F.col(key), F.lit(SIEVE_BITS)) + 1
+    named = bits.select(F.col("bucket").alias("_bucket"), F.col("bits").alias("_bits"))
+    joined = df.join(F.broadcast(named), F.bitmap_bucket_number(spot) == F.col("_bucket"), "left")
+    at = F.bitmap_bit_position(spot)
+    byte = F.conv(F.hex(F.substr("_bits", (F.shiftright(at.cast("int"), 3) + 1), F.lit(1))), 16, 10).cast("int")
+    held = F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))
+    return joined.filter(held).drop("_bucket", "_bits"), joined.filter(~held).drop("_bucket", "_bits")

@@ -6,116 +6,153 @@ varies, which yields the line's template. A template that at least `min_docs` do
 constant, recurs: its lines are dropped from all documents but the first, so that nothing is lost altogether. A line that
 has too many digits for any template is never taken as one; it recurs if at least `min_docs` documents hold it as it stands.
 
-All steps are DataFrame operations. Equal lines are counted before any exchange, leaves are handled token by token,
-and nothing is gathered that is longer than a line, or than the lines of one document. Sides of joins that are counted and
-found small are sent to the tasks, so that texts stay where they are; beyond that size both sides are exchanged.
+Texts are read three times and masked twice: once to hash every line, once for the tokens of one line of each kind in
+leaves that hold several kinds, and once to leave out the lines that go, which are known by their places. Everything
+between is counts and joins of hashes; equal lines are counted before any exchange, leaves are handled token by token, and
+nothing is gathered that is longer than a line, or than the lines of one document. Texts are exchanged only where a
+sieve of fixed size says that they may hold what is looked for.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, sent_if_small
+from .common import ROW, cut_lineage, map_batches, replaced, row_key, shelf, sieve, sifted, text_bytes
 
 WILDCARD = "<*>"
-#: Documents that make a template recur, least tokens of a line, leading tokens in the tree, least constant share.
+#: Documents that make a template recur, least tokens of a line, leading tokens in the tree, least constant share. Shorter
+#: lines (headings, single words, braces) have no place for a variable field besides the leading tokens: they stay by definition.
 MIN_DOCS, MIN_TOKENS, LEAD, CONSTANT = 3, 4, 3, 0.75
 
-
-def masked(line: Column) -> Column:
-    """The line's tokens with one space between, tokens with a digit as wildcards."""
-    hidden = F.when(line.rlike("[0-9]"), F.regexp_replace(line, r"[^\s0-9]*+[0-9]\S*+", WILDCARD)).otherwise(line)
-    odd = hidden.contains("  ")
-    for space in "\t\r\x0b\x0c":
-        odd = odd | hidden.contains(space)
-    return F.trim(F.when(odd, F.regexp_replace(hidden, r"\s+", " ")).otherwise(hidden))
-
-
-def sparse(line: Column) -> Column:
-    """True if too little of a masked line is constant for a template."""
-    words = F.split(line, " ")
-    return line.contains(WILDCARD) & (F.size(F.filter(words, lambda x: x != WILDCARD)) < CONSTANT * F.size(words))
-
-
-def line_id(line: Column) -> Column:
-    return F.unhex(F.md5(line))
-
-
-def _spaces(line: str) -> Column:
-    return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit("")))
-
-
-def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, row, line): the distinct masked lines of each row; row is a hash of its text."""
-    lines = F.array_distinct(F.transform(F.split("text", "\n"), masked))
-    rows = docs.filter(F.col("text").isNotNull()).select("doc_id", F.unhex(F.md5("text")).alias("row"), F.explode(lines).alias("line"))
-    return rows.filter(_spaces("line") >= MIN_TOKENS - 1)
-
-
-def _verbatim_id(line: Column) -> Column:
-    """Hash of an unmasked line; the line break before it keeps it apart from the hashes of masked lines."""
-    return line_id(F.concat(F.lit("\n"), F.trim(F.regexp_replace(line, r"\s+", " "))))
+_DIGIT, _WILD = re.compile(rb"[0-9]").search, WILDCARD.encode()
 
 
-def _is_verbatim(line: Column) -> Column:
-    hidden = masked(line)
-    return (line.rlike("[0-9]") | line.contains(WILDCARD)) & sparse(hidden) & (F.size(F.split(hidden, " ")) >= MIN_TOKENS)
+def masked(line: bytes) -> list[bytes]:
+    """The line's tokens (parted by ASCII white space), those with a digit as wildcards."""
+    if _DIGIT(line):
+        return [_WILD if _DIGIT(x) else x for x in line.split()]
+    return line.split()
 
 
-def _verbatim(docs: DataFrame) -> DataFrame:
-    """(doc_id, row, id) of the distinct lines of each row that can recur only as they stand."""
-    ids = F.array_distinct(F.transform(F.filter(F.split("text", "\n"), _is_verbatim), _verbatim_id))
-    return docs.filter(F.col("text").isNotNull()).select("doc_id", F.unhex(F.md5("text")).alias("row"), F.explode(ids).alias("id"))
-
-
-def repeated(verbatim: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(id, docs, first) of the lines that recur as they stand: each document counts once."""
-    once = verbatim.select("id", "doc_id").distinct()
-    return once.groupBy("id").agg(F.count("*").alias("docs"), F.min("doc_id").alias("first")).filter(F.col("docs") >= min_docs)
-
-
-def _leaf(line: str) -> Column:
-    return F.xxhash64(_spaces(line), F.substring_index(line, " ", LEAD))
+def sparse(words: list[bytes]) -> bool:
+    """True if too little of a masked line is constant for a template."""
+    n = words.count(_WILD)
+    return n > 0 and len(words) - n < CONSTANT * len(words)
+
+
+def _hash(words: list[bytes]) -> int:
+    """Of a masked line, as a signed number."""
+    value = xxhash.xxh3_64_intdigest(b" ".join(words))
+    return value - (1 << 64) if value >> 63 else value
+
+
+def _hash_lines(batches):
+    """Of each line: its row, place, leaf and hash, whether the row holds it for the first time, and, if it is sparse, a
+    hash of the line as it stands."""
+    names = ["doc_id", *ROW, "at", "leaf", "line", "once", "raw"]
+    for batch in batches:
+        owner, at, leaf, lines, once, raw = [], [], [], [], [], []
+        for row, text in enumerate(text_bytes(batch)):
+            seen = set()
+            for i, line in enumerate(text.split(b"\n")):
+                words = masked(line)
+                if len(words) < MIN_TOKENS:
+                    continue
+                own = _hash(words)
+                owner.append(row)
+                at.append(i)
+                leaf.append(xxhash.xxh3_64_intdigest(b" ".join(words[:LEAD]), len(words)))
+                lines.append(own)
+                once.append(own not in seen)
+                seen.add(own)
+                raw.append(xxhash.xxh3_128_digest(b" ".join(line.split())) if sparse(words) else None)
+        rows = pa.array(owner, pa.int64())
+        yield pa.RecordBatch.from_arrays([*[batch.column(i).take(rows) for i in range(3)], pa.array(at, pa.int32()), pa.array(np.array(leaf, np.uint64).view(np.int64)), pa.array(lines, pa.int64()), pa.array(once, pa.bool_()), pa.array(raw, pa.binary())], names)
+
+
+def hashed_lines(docs: DataFrame) -> DataFrame:
+    """(doc_id, row_a, row_b, at, leaf, line, once, raw) of every line of MIN_TOKENS or more tokens. Null texts have none."""
+    rows = docs.filter(F.col("text").isNotNull()).select("doc_id", *row_key("doc_id", "text"), "text")
+    return map_batches(rows, _hash_lines, f"doc_id {dict(rows.dtypes)['doc_id']}, row_a long, row_b long, at int, leaf long, line long, once boolean, raw binary")
+
+
+def _wanted_lines(docs: DataFrame, wanted: DataFrame, get, kind: pa.DataType) -> DataFrame:
+    """(leaf, line, got) for wanted (row_a, leaf, line): got is get(tokens of the masked line)."""
+    lines = wanted.groupBy("row_a").agg(F.collect_list(F.struct("leaf", "line")).alias("wanted"))  # at most a document's lines
+    rows = docs.filter(F.col("text").isNotNull()).select(*row_key("doc_id", "text")[:1], "text")
+    rows = sifted(rows, sieve(wanted, "row_a"), "row_a")[0].join(lines, "row_a").select("text", "wanted")
+
+    def run(batches):
+        for batch in batches:
+            leaf, line, got = [], [], []
+            for text, own in zip(text_bytes(batch), batch.column(1).to_pylist(), strict=True):
+                own = {p["line"]: p["leaf"] for p in own}
+                for words in map(masked, text.split(b"\n")):
+                    if len(words) >= MIN_TOKENS and (of := own.pop(_hash(words), None)) is not None:
+                        leaf.append(of)
+                        line.append(_hash(words))
+                        got.append(get(words))
+            yield pa.RecordBatch.from_arrays([pa.array(leaf, pa.int64()), pa.array(line, pa.int64()), pa.array(got, pa.list_(kind))], ["leaf", "line", "got"])
+
+    simple = {pa.int64(): "long", pa.string(): "string"}[kind]
+    return map_batches(rows, run, f"leaf long, line long, got array<{simple}>").groupBy("leaf", "line").agg(F.any_value("got").alias("got"))
+
+
+def _token_hashes(words: list[bytes]) -> np.ndarray:
+    """0 for the wildcard."""
+    return np.array([0 if x == _WILD else xxhash.xxh3_64_intdigest(x) for x in words], np.uint64).view(np.int64)
+
+
+def _recurring(docs: DataFrame, hashed: DataFrame, min_docs: int, put) -> DataFrame:
+    """(leaf, line, kept, docs, first, row_a) of every masked line whose template recurs: which of its tokens the template
+    keeps (null for all), the documents that hold the template, the least doc_id of these, and a row that holds the line."""
+    counted = put(hashed.groupBy("leaf", "line").agg(F.count_if("once").alias("docs"), F.min("doc_id").alias("first"), F.max(F.col("raw").isNotNull()).alias("sparse"), F.min("row_a").alias("row_a")))
+    leaves = counted.groupBy("leaf").agg(F.sum("docs").alias("in_leaf"), F.count("*").alias("kinds")).filter(F.col("in_leaf") >= min_docs)
+    counted = put(counted.join(leaves.drop("in_leaf"), "leaf"))
+    alone = counted.filter("kinds = 1 and not sparse").select("leaf", "line", F.lit(None).cast("array<boolean>").alias("kept"), "docs", "first", "row_a")
 
+    several = counted.filter("kinds > 1")
+    words = _wanted_lines(docs, several.select("row_a", "leaf", "line"), _token_hashes, pa.int64())
+    several = put(several.drop("kinds", "sparse").join(words, ["leaf", "line"]))
+    tokens = several.select("leaf", "line", "docs", F.posexplode("got").alias("at", "token"))
+    steady = tokens.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("n")).filter(F.col("n") >= min_docs).select("leaf", "at", "token", F.lit(True).alias("kept"))
+    flags = tokens.drop("docs").join(steady, ["leaf", "at", "token"], "left").groupBy("leaf", "line").agg(F.array_sort(F.collect_list(F.struct("at", (F.coalesce("kept", F.lit(False)) & (F.col("token") != 0)).alias("kept"))))["kept"].alias("kept"))
+    shaped = several.join(flags, ["leaf", "line"]).filter(F.size(F.filter("kept", lambda x: x)) >= CONSTANT * F.size("kept"))
+    shaped = put(shaped.withColumn("template", F.xxhash64(F.zip_with("got", "kept", lambda word, kept: F.when(kept, word).otherwise(0)))).drop("got"))
+    totals = shaped.groupBy("leaf", "template").agg(F.sum("docs").alias("docs"), F.min("first").alias("first")).filter(F.col("docs") >= min_docs)
+    return alone.unionByName(shaped.drop("docs", "first").join(totals, ["leaf", "template"]).drop("template"))
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """(doc_id, row, id, leaf, sparse) of every line, written once: hashes only, which the counts and the drops both read."""
-    return cut_lineage(_lines(docs).select("doc_id", "row", line_id(F.col("line")).alias("id"), _leaf("line").alias("leaf"), sparse(F.col("line")).alias("sparse")))
 
+def templates(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """(template, docs, first) of every recurring template, as text; lines that recur as they stand are not among them."""
+    with shelf(docs.sparkSession) as put:
+        found = put(_recurring(docs, put(hashed_lines(docs)), min_docs, put))
+        lines = _wanted_lines(docs, found.select("row_a", "leaf", "line"), lambda words: [x.decode() for x in words], pa.string())
+        words = F.when(F.col("kept").isNull(), F.col("got")).otherwise(F.zip_with("got", "kept", lambda word, kept: F.when(kept, word).otherwise(WILDCARD)))
+        return cut_lineage(found.join(lines, ["leaf", "line"]).select(F.array_join(words, " ").alias("template"), "docs", "first").distinct())
 
-def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, keyed: DataFrame | None = None) -> DataFrame:
-    """(id, template, docs, first) of every masked line whose template recurs: a hash of the line, its template (null if
-    that is the line itself), the documents that hold the template, and the least doc_id of these.
 
-    Lines are counted by their hashes; only lines of leaves with several kinds are needed as text, and their tokens are
-    exchanged as hashes."""
-    keyed = _keyed(docs) if keyed is None else keyed
-    counted = keyed.groupBy("leaf", "id").agg(F.count("*").alias("docs"), F.min("doc_id").alias("first"), F.max("sparse").alias("sparse"))
-    leaves = counted.groupBy("leaf").agg(F.sum("docs").alias("in_leaf"), F.count("*").alias("kinds")).filter(F.col("in_leaf") >= min_docs)
-    counted = cut_lineage(counted.join(leaves.drop("in_leaf"), "leaf"))
-    alone = counted.filter("kinds = 1 and not sparse").select("id", F.lit(None).cast("string").alias("template"), "docs", "first")
-
-    open_leaves = sent_if_small(counted.filter("kinds > 1").select("leaf").distinct())
-    texts = _lines(docs).select(_leaf("line").alias("leaf"), line_id(F.col("line")).alias("id"), "line").join(open_leaves, "leaf", "left_semi").dropDuplicates(["leaf", "id"])
-    several = cut_lineage(texts.join(counted, ["leaf", "id"]).select("leaf", F.xxhash64("line").alias("key"), "id", "docs", "first", "line"))
-    words = F.split("line", " ")
-    tokens = several.select("leaf", "key", "docs", F.posexplode(F.transform(words, lambda x: F.xxhash64(x))).alias("at", "token"))
-    steady = tokens.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("n")).filter(F.col("n") >= min_docs).select("leaf", "at", "token", F.lit(True).alias("kept"))
-    flags = tokens.drop("docs").join(steady, ["leaf", "at", "token"], "left").groupBy("leaf", "key").agg(F.array_sort(F.collect_list(F.struct("at", F.coalesce("kept", F.lit(False)).alias("kept"))))["kept"].alias("flags"))
-    shaped = several.join(flags, ["leaf", "key"])
-    tokens_of = F.zip_with(words, "flags", lambda word, kept: F.when(kept, word).otherwise(WILDCARD))
-    shaped = shaped.select("id", "docs", "first", tokens_of.alias("tokens"))
-    shaped = shaped.filter(F.size(F.filter("tokens", lambda x: x != WILDCARD)) >= CONSTANT * F.size("tokens"))
-    shaped = shaped.select("id", F.array_join("tokens", " ").alias("template"), F.unhex(F.md5(F.array_join("tokens", " "))).alias("t"), "docs", "first")
-    totals = shaped.groupBy("t").agg(F.sum("docs").alias("docs"), F.min("first").alias("first")).filter(F.col("docs") >= min_docs)
-    return alone.union(shaped.select("id", "template", "t").join(totals, "t").select("id", "template", "docs", "first"))
+def repeated(hashed: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """(raw, first) of the sparse lines that recur as they stand: each document counts once."""
+    once = hashed.filter("raw is not null").select("raw", "doc_id").distinct()
+    return once.groupBy("raw").agg(F.count("*").alias("docs"), F.min("doc_id").alias("first")).filter(F.col("docs") >= min_docs).drop("docs")
 
 
-def templates(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(template, docs, first) of every recurring template, as text; lines that recur as they stand are not among them."""
-    lines = _lines(docs).select("line", line_id(F.col("line")).alias("id"))
-    return lines.join(recurring(docs, min_docs), "id").select(F.coalesce("template", "line").alias("template"), "docs", "first").distinct()
+def dropped_places(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """(row_a, row_b, places): the places of the lines that go, of each row that loses any."""
+    with shelf(docs.sparkSession) as put:
+        hashed = put(hashed_lines(docs))
+        found = put(_recurring(docs, hashed, min_docs, put).select("leaf", "line", "first"))
+        own = sifted(hashed.filter("raw is null"), sieve(found, "line"), "line")[0].join(found, ["leaf", "line"])
+        raw = hashed.filter("raw is not null").join(repeated(hashed, min_docs), "raw")
+        gone = own.select("doc_id", "first", *ROW, "at").union(raw.select("doc_id", "first", *ROW, "at")).filter(~F.col("doc_id").eqNullSafe(F.col("first")))
+        return cut_lineage(gone.groupBy(*ROW).agg(F.collect_set("at").alias("places")))
 
 
 def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -123,25 +160,32 @@ def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 
     A line stays in the document with the least id among those that hold its template (in repeated rows of that document
     too), and wherever it has fewer than MIN_TOKENS tokens. Null texts stay null with no lines; a text may become empty.
-    Columns of docs named like the two are replaced."""
-    keyed = _keyed(docs)
-    verbatim = cut_lineage(_verbatim(docs))
-    found = sent_if_small(recurring(docs, min_docs, keyed).select("id", "first").union(repeated(verbatim, min_docs).select("id", "first")))
-    drops = keyed.filter(~F.col("sparse")).select("doc_id", "row", "id").union(verbatim).join(found, "id").filter(~F.col("doc_id").eqNullSafe(F.col("first"))).groupBy("doc_id", "row").agg(F.collect_list("id").alias("lines"))
-    drops = drops.select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), F.col("lines").alias("_drop"))  # grows with the corpus
-    names = [c for c in docs.columns if c not in ("_lines", "_dropped", "_id", "_row", "_drop")]
-    rows = docs.select(*names, F.unhex(F.md5("text")).alias("_key"))
-    joined = rows.join(drops, rows["doc_id"].eqNullSafe(drops["_id"]) & (rows["_key"] == drops["_row"]), "left")
-    kept = F.filter(F.split("text", "\n"), lambda x: ~F.when(_is_verbatim(x), F.array_contains("_drop", _verbatim_id(x))).otherwise(F.array_contains("_drop", line_id(masked(x)))))
-    once = F.transform(F.array(kept), lambda k: F.struct(F.array_join(k, "\n").alias("text"), F.size(k).alias("n")))[0]
-    joined = joined.withColumn("_kept", F.when(F.col("_drop").isNotNull(), once))
-    n = F.coalesce(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1, F.lit(0))
-    new, dropped = F.coalesce("_kept.text", "text"), F.coalesce(n - F.col("_kept.n"), F.lit(0))
-    return joined.select(*[new.alias(c) if c == "text" else c for c in names], n.cast("long").alias("_lines"), dropped.cast("long").alias("_dropped"))
+    Repeated rows are treated alike. Columns of docs named `_lines` or `_dropped` are replaced; other names may be anything."""
+    names = [c for c in docs.columns if c not in ("_lines", "_dropped")]
+    gone = dropped_places(docs, min_docs)
+    wide = docs.select(F.struct(*[c for c in names if c != "text"]).alias("doc"), "text", *row_key("doc_id", "text"))
+    hit, clean = sifted(wide, sieve(gone, "row_a"), "row_a")
+    n = F.coalesce(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("long")
+    hit = hit.join(gone, ROW, "left").select("doc", "text", n.alias("_lines"), F.coalesce(F.size("places"), F.lit(0)).cast("long").alias("_dropped"), "places")
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for text, places in zip(text_bytes(batch), batch.column(4).to_pylist(), strict=True):
+                if places:
+                    own = set(places)
+                    text = b"\n".join(x for i, x in enumerate(text.split(b"\n")) if i not in own)
+                out.append(text)
+            yield replaced(batch, pa.schema([batch.schema.field(i) for i in range(4)]), text=pa.array(out, pa.binary()).cast(pa.string()))
+
+    kept = map_batches(hit, run, hit.drop("places").schema)
+    kept = kept.union(clean.select("doc", "text", n.alias("_lines"), F.lit(0).cast("long").alias("_dropped")))
+    return kept.select(*[F.col("text") if c == "text" else F.col("doc").getField(c).alias(c) for c in names], "_lines", "_dropped")
 
 
 def drop_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """docs, with its columns, without recurring lines; rows of which no other word is left go. n_chars follows the text."""
+    """docs, with its columns, without recurring lines; rows of which no other word is left go. n_chars follows the text.
+    Rows that lose no line stay as they are, null and empty texts too."""
     cleaned = drop_recurring(docs, min_docs).filter((F.col("_dropped") == 0) | F.col("text").rlike(r"\S"))
     n_chars = F.when(F.col("_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(dict(docs.dtypes)["n_chars"]).alias("n_chars") if "n_chars" in docs.columns else None
     return cleaned.select(*[n_chars if c == "n_chars" else c for c in docs.columns])
