@@ -1,10 +1,11 @@
 """Approximate nearest neighbours by cosine: low-dimensional stable projections, searched in order through kd-trees.
 
 Vectors of unit length are projected on DIMENSIONS Gaussian directions (2-stable, so a squared projected distance is the
-true one times a chi-square variable). Rows are dealt into blocks; each block indexes its projections in a kd-tree.
-Queries, in blocks too, meet every index block: leaves are opened in order of their distance to the query in the
-projection, the exact products of their vectors are computed, and the search ends once a chi-square test says that
-a vector not yet seen is as near as the worst of the best found with a chance below 1 - SURE.
+true one times a chi-square variable; for longer vectors the directions are made orthogonal, which narrows it). Rows are
+dealt into blocks; each block is held once, by one task, which indexes its projections in a kd-tree and lets the queries
+stream past. Leaves are opened in order of their distance to the query in the projection, and their vectors are compared
+in order of their own projected distance, as far as no unopened leaf can come before. The search ends once a chi-square
+test says that a vector not yet compared is as near as the worst of the best found with a chance below 1 - SURE.
 """
 
 from __future__ import annotations
@@ -17,11 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import map_batches
+from .common import cut_lineage, map_batches
 
-DIMENSIONS, LEAF, SURE = 8, 64, 0.95
-#: Vectors of an index block and queries of a query block, at the mean; leaves opened at first, twice as many each time.
-ROWS, QUERIES, STEP = 8192, 2048, 8
+#: Even number of directions, most points of a leaf, chance that ends a search.
+DIMENSIONS, LEAF, SURE = 24, 64, 0.88
+#: Vectors of an index block at the mean; leaves opened at first, twice as many each time; vectors compared at first.
+ROWS, STEP, CHUNK = 8192, 8, 16
 
 
 def chi_square(x: np.ndarray, degrees: int = DIMENSIONS) -> np.ndarray:
@@ -33,6 +35,21 @@ def chi_square(x: np.ndarray, degrees: int = DIMENSIONS) -> np.ndarray:
     return 1 - np.exp(-half) * total
 
 
+def quantile(sure: float, degrees: int = DIMENSIONS) -> float:
+    """Where chi_square reaches sure."""
+    low, high = 0.0, 100.0 * degrees
+    while high - low > 1e-9:
+        middle = (low + high) / 2
+        low, high = (middle, high) if chi_square(np.array([middle]), degrees)[0] < sure else (low, middle)
+    return high
+
+
+def directions(size: int) -> np.ndarray:
+    """The same for all blocks."""
+    drawn = np.random.default_rng(size).normal(size=(size, DIMENSIONS))
+    return np.linalg.qr(drawn)[0] * math.sqrt(size) if size > DIMENSIONS else drawn
+
+
 class Tree:
     """A kd-tree with leaves of up to LEAF points: bounds of each leaf's box, and its points."""
 
@@ -56,26 +73,42 @@ class Tree:
         return (outside * outside).sum(1)
 
 
-def search(tree: Tree, projected: np.ndarray, vectors: np.ndarray, ids: np.ndarray, q_projected: np.ndarray, q: np.ndarray, q_id: int, k: int, sure: float = SURE) -> list[tuple[float, int]]:
-    """(cosine, id) of the k nearest found, ties to the smaller id."""
-    near = tree.distances(q_projected)
+def search(tree: Tree, projected: np.ndarray, vectors: np.ndarray, ids: np.ndarray, q_projected: np.ndarray, q: np.ndarray, q_id: int, k: int, sure: float = SURE) -> tuple[list[tuple[float, int]], int]:
+    """(cosine, id) of the k nearest found, ties to the smaller id, and the number of vectors compared.
+
+    Products are summed in one order wherever a vector lies, so equal vectors have equal cosines; vectors whose projected
+    distances are equal are compared together, so none of several equal ones is missed."""
+    near, limit = tree.distances(q_projected), quantile(sure)
     order = np.argsort(near)
     best: list[tuple[float, int]] = []
-    at, step = 0, STEP
-    while at < len(order):
-        if len(best) == k:
-            worst = max(2 - 2 * best[-1][0], 1e-12)
-            if chi_square(near[order[at : at + 1]] / worst)[0] >= sure:
-                break
+    waiting, far = np.zeros(0, np.int64), np.zeros(0)
+    at, step, compared = 0, STEP, 0
+    while True:
+        bound = near[order[at]] if at < len(order) else np.inf
+        ready = int(np.searchsorted(far, bound, "right"))
+        done = 0
+        while done < ready:
+            if len(best) == k and far[done] >= limit * max(2 - 2 * best[-1][0], 1e-12):
+                return best, compared
+            end = min(ready, done + max(CHUNK, compared // 8))
+            end = max(end, int(np.searchsorted(far[:ready], far[end - 1] * (1 + 1e-9) + 1e-12, "right")))
+            rows = waiting[done:end]
+            done, compared = end, compared + len(rows)
+            found = (vectors[rows] * q).sum(1)
+            if len(best) == k:
+                rows, found = rows[found >= best[-1][0]], found[found >= best[-1][0]]
+            if len(rows):
+                best = sorted([*best, *zip(found.tolist(), ids[rows].tolist(), strict=True)], key=lambda x: (-x[0], x[1]))[:k]
+        if at == len(order):
+            return best, compared
         rows = np.concatenate([tree.leaves[i] for i in order[at : at + step]])
         at, step = at + step, 2 * step
+        at = min(at, len(order))
         rows = rows[ids[rows] != q_id]
-        found = vectors[rows] @ q
-        if len(best) == k:
-            rows, found = rows[found >= best[-1][0]], found[found >= best[-1][0]]
-        if len(rows):
-            best = sorted([*best, *zip(found.tolist(), ids[rows].tolist(), strict=True)], key=lambda x: (-x[0], x[1]))[:k]
-    return best
+        waiting = np.concatenate([waiting[done:], rows])
+        far = np.concatenate([far[done:], ((projected[rows] - q_projected) ** 2).sum(1)])
+        order_of = np.argsort(far, kind="stable")
+        waiting, far = waiting[order_of], far[order_of]
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -85,52 +118,70 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.filter(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0))
 
 
-def _matrix(column: pa.ListArray) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+class Block:
+    """The index of one block, built once."""
+
+    def __init__(self, size: int, parts: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        self.directions = directions(size)
+        self.ids = np.concatenate([p[0] for p in parts])
+        self.vectors = np.concatenate([p[1] for p in parts])
+        self.projected = self.vectors @ self.directions
+        self.tree = Tree(self.projected)
+
+    def answer(self, ids: np.ndarray, x: np.ndarray, k: int) -> list[tuple[int, int, float, int]]:
+        """(query_id, vec_id, score, compared) rows; compared stands in a query's first row, others have 0."""
+        out = []
+        for q_id, q, projected in zip(ids.tolist(), x, x @ self.directions, strict=True):
+            best, compared = search(self.tree, self.projected, self.vectors, self.ids, projected, q, q_id, k)
+            out += [(q_id, vec_id, score, 0 if i else compared) for i, (score, vec_id) in enumerate(best)]
+        return out
+
+
+def _units(column: pa.ListArray) -> np.ndarray:
+    x = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+    x = x / np.abs(x).max(1, keepdims=True)
+    return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
 def nearest(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest found of each query (a row for which is_query(id) holds), score
-    being the cosine in double precision; fewer if there are fewer candidates.
+    """(query_id, rank, vec_id, score, compared): the k nearest found of each query (a row for which is_query(id) holds),
+    score being the cosine in double precision, and the number of vectors that the query was compared with; fewer rows
+    if there are fewer candidates.
 
     Vectors of another length than the query's are no candidates; unusable vectors take no part (see usable). Of rows
-    with the same id the greatest vector counts. The index block of a row and the query block follow from its id alone,
-    so no block grows with a hot value, and blocks multiply rather than grow with the data."""
-    rows = usable(vectors, id_col, vector_col).groupBy("vec_id").agg(F.max("v").alias("v")).withColumn("size", F.size("v")).persist()
-    counts = rows.groupBy("size").agg(F.count("*").alias("n"), F.count_if(is_query(F.col("vec_id"))).alias("q")).collect()
-    blocks = max([1, *(math.ceil(r.n / ROWS) for r in counts)])
-    queries = max([1, *(math.ceil(r.q / QUERIES) for r in counts)])
-    spread = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")
-    stored = rows.select("size", spread.alias("block"), F.explode(F.array([F.lit(i) for i in range(queries)])).alias("q_block"), F.lit(False).alias("asks"), "vec_id", "v")
-    asked = rows.filter(is_query(F.col("vec_id"))).select("size", F.explode(F.array([F.lit(i) for i in range(blocks)])).alias("block"), F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(queries)).cast("int").alias("q_block"), F.lit(True).alias("asks"), "vec_id", "v")
+    with the same id the greatest vector counts. Other columns are left out. The block of a row follows from its id alone,
+    so no block grows with a hot value, and blocks multiply rather than grow with the data; a block's rows are moved once,
+    and each query goes to every block."""
+    rows = cut_lineage(usable(vectors, id_col, vector_col).groupBy("vec_id").agg(F.max("v").alias("v")).withColumn("size", F.size("v")))
+    largest = rows.groupBy("size").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    blocks = max(1, math.ceil((largest or 0) / ROWS))
+    stored = rows.select("size", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"), F.lit(False).alias("asks"), "vec_id", "v")
+    asked = rows.filter(is_query(F.col("vec_id"))).select("size", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(True).alias("asks"), "vec_id", "v")
 
     def run(batches):
-        part = [b for b in batches if b.num_rows]
-        if not part:
-            return
-        block = pa.Table.from_batches(part)
-        out = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
-        groups: dict[tuple, list[int]] = {}
-        for i, key in enumerate(zip(block["size"].to_pylist(), block["block"].to_pylist(), block["q_block"].to_pylist(), strict=True)):
-            groups.setdefault(key, []).append(i)
-        for (size, _, _), at in groups.items():
-            own = block.take(pa.array(at)).combine_chunks()
-            asks, ids = own["asks"].to_numpy(), own["vec_id"].to_numpy()
-            x = _matrix(own["v"].combine_chunks())
-            x = x / np.abs(x).max(1, keepdims=True)
-            x /= np.sqrt((x * x).sum(1, keepdims=True))
-            directions = np.random.default_rng(size).normal(size=(size, DIMENSIONS))
-            p = x @ directions
-            index = ~asks
-            if not index.any() or not asks.any():
-                continue
-            tree = Tree(p[index])
-            found = [(q, score, i) for q, qp, qx in zip(ids[asks].tolist(), p[asks], x[asks], strict=True) for score, i in search(tree, p[index], x[index], ids[index], qp, qx, q, k)]
-            if found:
-                out = [np.concatenate([a, np.array(b)]) for a, b in zip(out, ([f[0] for f in found], [f[2] for f in found], [f[1] for f in found]), strict=True)]
-        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], ["query_id", "vec_id", "score"])
-
-    dealt = asked.union(stored).repartition(blocks * queries, "size", "block", "q_block")
-    found = map_batches(dealt, run, "query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        key, parts, index = None, [], None
+        for batch in batches:
+            sizes, blocks_, asks, ids = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            edges = np.flatnonzero((np.diff(sizes) != 0) | (np.diff(blocks_) != 0) | (asks[1:] != asks[:-1])) + 1
+            out = []
+            for a, b in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows], strict=True):
+                if a == b:
+                    continue
+                if (sizes[a], blocks_[a]) != key:
+                    key, parts, index = (sizes[a], blocks_[a]), [], None
+                x = _units(batch.column(4).slice(a, b - a))
+                if not asks[a]:
+                    parts.append((ids[a:b], x))
+                elif parts or index:
+                    if index is None:
+                        index, parts = Block(int(sizes[a]), parts), []
+                    out += index.answer(ids[a:b], x, k)
+            columns = [*zip(*out, strict=True)] or [(), (), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64(), pa.int64()), strict=True)], ["query_id", "vec_id", "score", "compared"])
+
+    # a block's rows come first, then the queries that stream past them
+    dealt = stored.union(asked).repartition(blocks, "size", "block").sortWithinPartitions("size", "block", "asks")
+    found = map_batches(dealt, run, "query_id long, vec_id long, score double, compared long")
+    query = Window.partitionBy("query_id")
+    ranked = found.withColumns({"rank": F.row_number().over(query.orderBy(F.desc("score"), "vec_id")), "compared": F.sum("compared").over(query)})
+    return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score", "compared")
