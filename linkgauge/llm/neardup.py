@@ -1,7 +1,10 @@
 """Near-duplicate classes over word shingles: DartMinHash signatures, banded candidates, exact verification.
 
+A text is a weighted set: a shingle weighs as often as it occurs. Similarity is the weighted Jaccard similarity, the sum of
+the lesser weights over the sum of the greater ones.
+
 1. Texts that are equal word for word collapse into one node, counted before any exchange.
-2. Each node gets a DartMinHash signature of its shingles; nodes that agree in all coordinates of a band share a bucket.
+2. Each node gets a DartMinHash signature of its weighted shingles; nodes that agree in all coordinates of a band share a bucket.
 3. In every bucket each node is compared with the bucket's pivot alone: no pairs within the group. The pivot is the node
    whose buckets hold the most nodes in all, which is the text that the others are variants of, if there is one. Links
    are exact Jaccard similarities of at least `least`, and connected nodes form a class.
@@ -11,18 +14,22 @@
    link is out of the question (4.5 standard deviations); the others are compared exactly. Pairs inside one class need
    no comparison, so no candidate link that would join two classes is lost.
 
-With BANDS bands of ROWS coordinates a pair at similarity 0.8 shares no bucket with a probability of 3 in 100,000.
+Texts are exchanged only to make the shingle sets of nodes that share a bucket, and to drop or keep rows that a sieve of
+fixed size cannot tell. With BANDS bands of ROWS coordinates a pair at similarity 0.8 shares no bucket with a probability of 3 in 100,000.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
+import regex
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, map_batches
+from .common import ROW, cut_lineage, map_batches, row_key, shelf, sieve, sifted, texts
 from .darts import band_keys, mix, signatures
 
 WORDS, LEAST = 5, 0.8
@@ -33,9 +40,14 @@ MARKS = 512
 TOGETHER, REMEMBERED = 100_000, 150_000
 
 
-def normalised(text: Column) -> Column:
-    """Lower-case words (letters, marks and digits) with one space between; null is empty."""
-    return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{M}\p{N}]+", " "))
+#: Below U+0300 there are no marks, and the standard module is faster.
+_NARROW, _WIDE, _MARKS = re.compile(r"[^\W_]+"), re.compile("[^\x00-\u02ff]"), regex.compile(r"[\p{L}\p{M}\p{N}]+")
+
+
+def words_of(text: str | None) -> list[str]:
+    """Lower-case words (runs of letters, marks and digits); null has none."""
+    low = (text or "").lower()
+    return (_MARKS if _WIDE.search(low) else _NARROW).findall(low)
 
 
 class _Words(dict):
@@ -46,43 +58,55 @@ class _Words(dict):
         return value
 
 
-def shingles(text: str, words: _Words, size: int = WORDS) -> np.ndarray:
-    """64-bit hashes of the distinct runs of `size` words (of the whole text if it has fewer), sorted."""
-    own = [*map(words.__getitem__, text.split())]
+def shingles(own: list[str], words: _Words, size: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the distinct runs of `size` words (of the whole text if it has fewer), sorted, and how often each occurs."""
     if not own:
-        return np.zeros(0, np.uint64)
-    own = np.array(own, np.uint64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    own = np.array([*map(words.__getitem__, own)], np.uint64)
     size = min(size, len(own))
     out = np.zeros(len(own) - size + 1, np.uint64)
     for i in range(size):
         out = mix(out * np.uint64(31) + own[i : len(own) - size + 1 + i])
-    return np.unique(out)
+    return np.unique(out, return_counts=True)
+
+
+def weighted(elements: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A plain set for a set weighted with whole numbers: an element for each unit of weight, so that plain similarities of
+    these sets are the weighted ones of the others."""
+    more = np.repeat(np.arange(len(counts)), counts - 1)
+    if not len(more):
+        return elements
+    nth = np.arange(len(more)) - np.repeat(np.cumsum(counts - 1) - (counts - 1), counts - 1)
+    return np.concatenate([elements, mix(elements[more] ^ mix(nth.astype(np.uint64) + np.uint64(1)))])
 
 
 def _bands(batches):
-    """(doc_id, node, bands) of each row; texts without words have no bands."""
+    """(doc_id, row_a, row_b, node, bands) of each row; texts without words have no bands."""
     words = _Words()
     for batch in batches:
-        sets = [shingles(t, words) for t in batch.column(2).to_pylist()]
+        own = [words_of(t) for t in texts(batch)]
+        nodes = [xxhash.xxh3_128_digest(" ".join(w)) for w in own]
+        sets = [shingles(w, words) for w in own]
+        sizes = [int(s[1].sum()) for s in sets]
         keys, i = [], 0
         while i < len(sets):
             j, n = i, 0
-            while j < len(sets) and (j == i or n + len(sets[j]) <= TOGETHER):
-                n, j = n + len(sets[j]), j + 1
-            elements = np.concatenate(sets[i:j])
-            keys.append(band_keys(signatures(elements, np.ones(len(elements)), np.array([len(s) for s in sets[i:j]]), BANDS * ROWS), BANDS))
+            while j < len(sets) and (j == i or n + sizes[j] <= TOGETHER):
+                n, j = n + sizes[j], j + 1
+            elements, weights = (np.concatenate([s[x] for s in sets[i:j]]) for x in (0, 1))
+            keys.append(band_keys(signatures(elements, weights.astype(np.float64), np.array([len(s[0]) for s in sets[i:j]]), BANDS * ROWS), BANDS))
             i = j
         keys = np.concatenate(keys) if keys else np.zeros((0, BANDS), np.int64)
-        held = np.array([len(s) > 0 for s in sets], bool)
+        held = np.array([len(s[0]) > 0 for s in sets], bool)
         offsets = np.concatenate([[0], np.cumsum(held * BANDS)])
         bands = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys[held].ravel(), pa.int64()))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), bands], ["doc_id", "node", "bands"])
+        yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(3)], pa.array(nodes, pa.binary()), bands], ["doc_id", *ROW, "node", "bands"])
 
 
 def _sets(batches):
     words = _Words()
     for batch in batches:
-        found = [shingles(t, words).view(np.int64) for t in batch.column(1).to_pylist()]
+        found = [weighted(*shingles(words_of(t), words)).view(np.int64) for t in texts(batch)]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["node", "shingles"])
 
 
@@ -97,12 +121,6 @@ def _marks(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 64), marks], ["node", "marks"])
 
 
-def with_nodes(docs: DataFrame) -> DataFrame:
-    """(doc_id, node, text): node is a 128-bit hash of the normalised text."""
-    rows = docs.select("doc_id", normalised(F.col("text")).alias("text"))
-    return rows.select("doc_id", F.unhex(F.md5("text")).alias("node"), "text")
-
-
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """pairs (a, b) with their exact Jaccard similarity."""
     left, right = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
@@ -138,44 +156,44 @@ def _across(mixed: DataFrame, least: float) -> DataFrame:
     return pairs.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()
 
 
-def node_classes(docs: DataFrame, least: float = LEAST) -> tuple[DataFrame, DataFrame]:
-    """Rows (doc_id, node) of docs, and (node, class_id, rows) of every node, class_id being the least doc_id of the class."""
-    texts = with_nodes(docs)
-    kind = dict(texts.dtypes)["doc_id"]
-    rows = cut_lineage(map_batches(texts, _bands, f"doc_id {kind}, node binary, bands array<long>"))
-    nodes = cut_lineage(rows.groupBy("node").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows"), F.any_value("bands").alias("bands")))
+def node_classes(docs: DataFrame, least: float, put) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, row_a, row_b, node, n_bands) of every row of docs, and (node, class_id, first, row_a, row_b) of every node:
+    class_id is the least doc_id of its class, first the least of the node's own rows, of which row_a and row_b tell one."""
+    texts_ = docs.select("doc_id", *row_key("doc_id", "text"), "text")
+    kind = dict(texts_.dtypes)["doc_id"]
+    rows = put(map_batches(texts_, _bands, f"doc_id {kind}, row_a long, row_b long, node binary, bands array<long>"))
+    known = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *ROW)  # a row with an id goes before one without
+    nodes = put(rows.groupBy("node").agg(F.min(known).alias("first"), F.any_value("bands").alias("bands")).select("node", F.col("first.doc_id").alias("first"), "first.row_a", "first.row_b", "bands"))
     held = nodes.select("node", F.explode("bands").alias("key"))
     sizes = held.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    shared = cut_lineage(held.join(sizes, "key"))
+    shared = put(held.join(sizes, "key"))
     central = shared.groupBy("node").agg(F.sum("n").alias("central"))
     pivots = shared.join(central, "node").groupBy("key").agg(F.max(F.struct("central", "node"))["node"].alias("pivot"))
-    shared = cut_lineage(shared.select("key", "node").join(pivots, "key"))
+    shared = put(shared.select("key", "node").join(pivots, "key"))
     stars = shared.filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
 
-    wanted = shared.select("node").distinct().join(nodes.select("node", "first"), "node").select(F.col("first").alias("doc_id"), F.col("node").alias("wanted"))
-    chosen = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["doc_id"]) & (texts["node"] == wanted["wanted"])).select("node", "text")
-    sets = map_batches(chosen, _sets, "node binary, shingles array<long>")
-    sets = cut_lineage(sets.dropDuplicates(["node"]))
+    wanted = put(shared.select("node").distinct().join(nodes.select("node", *ROW), "node"))
+    chosen = sifted(texts_, sieve(wanted, "row_a"), "row_a")[0].join(wanted, ROW).select("node", "text")
+    sets = put(map_batches(chosen, _sets, "node binary, shingles array<long>").dropDuplicates(["node"]))
 
-    first = cut_lineage(_verified(stars, sets))
+    first = put(_verified(stars, sets))
     links = first.filter(F.col("sim") >= least)
     labels = components(links)
 
     apart = shared.join(labels, "node", "left").select("key", "node", "pivot", F.coalesce("label", "node").alias("label"))
     parts = apart.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "label"))["label"].alias("main"), F.count("*").alias("labels"))
     mixed = apart.join(parts.filter("labels > 1").drop("labels"), "key").join(first.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "sim"), ["node", "pivot"], "left")
-    mixed = cut_lineage(mixed.select("key", "node", "label", "main", F.coalesce("sim", F.lit(1.0)).alias("near")).join(nodes.select("node", "bands"), "node"))
+    mixed = put(mixed.select("key", "node", "label", "main", F.coalesce("sim", F.lit(1.0)).alias("near")).join(nodes.select("node", "bands"), "node"))
     marks = map_batches(sets.join(mixed.select("node").distinct(), "node").select("node", "shingles"), _marks, "node binary, marks array<byte>")
     mixed = mixed.join(marks, "node")
     across = _across(mixed, least).join(first.select("a", "b"), ["a", "b"], "left_anti")
-    second = _verified(across, sets).filter(F.col("sim") >= least)
-    joined = cut_lineage(second)
+    joined = put(_verified(across, sets).filter(F.col("sim") >= least))
     if not joined.isEmpty():
         labels = components(links.select("a", "b").union(joined.select("a", "b")))
 
-    labelled = nodes.select("node", "first", "rows").join(labels, "node", "left").select("node", "first", "rows", F.coalesce("label", "node").alias("label"))
+    labelled = nodes.drop("bands").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     firsts = labelled.groupBy("label").agg(F.min("first").alias("class_id"))
-    return rows.select("doc_id", "node", F.size("bands").alias("n_bands")), labelled.join(firsts, "label").select("node", "class_id", "first", "rows")
+    return rows.select("doc_id", *ROW, "node", F.size("bands").alias("n_bands")), labelled.join(firsts, "label").select("node", "class_id", "first", *ROW)
 
 
 def classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
@@ -184,19 +202,32 @@ def classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
     class_id is the least doc_id of the rows that links of similarity `least` or more connect, directly or through
     others. Null texts and texts without words resemble nothing: each is its own class. A null doc_id takes part; its
     class has another id unless all are null."""
-    rows, nodes = node_classes(docs, least)
-    return rows.join(nodes.select("node", "class_id"), "node").select("doc_id", F.when(F.col("n_bands") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"))
+    with shelf(docs.sparkSession) as put:
+        rows, nodes = node_classes(docs, least, put)
+        found = rows.join(nodes.select("node", "class_id"), "node")
+        return cut_lineage(found.select("doc_id", F.when(F.col("n_bands") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id")))
+
+
+def _touched(docs: DataFrame, least: float) -> DataFrame:
+    """(row_a, row_b, gone): the rows that go, and those that are repeated and of which one stays."""
+    with shelf(docs.sparkSession) as put:
+        rows, nodes = node_classes(docs, least, put)
+        worded = rows.filter("n_bands > 0").groupBy("node", *ROW).agg(F.count("*").alias("n"))
+        order = F.struct(F.coalesce(F.col("first") != F.col("class_id"), F.lit(True)).alias("other"), "node", *ROW)
+        best = nodes.groupBy("class_id").agg(F.min(order).alias("best")).select("best.row_a", "best.row_b", F.lit(True).alias("best"))
+        told = worded.join(best, ROW, "left").select(*ROW, "n", F.col("best").isNull().alias("gone"))
+        return cut_lineage(told.filter("gone or n > 1").drop("n"))
 
 
 def keep_first(docs: DataFrame, least: float = LEAST) -> DataFrame:
-    """docs, all columns, with one row of each class: that of the least doc_id (and then node). Rows without words stay."""
-    _, nodes = node_classes(docs, least)
-    best = nodes.groupBy("class_id").agg(F.min(F.struct(F.coalesce(F.col("first") != F.col("class_id"), F.lit(True)), "node", "first", "rows")).alias("best"))
-    best = best.select(F.col("best.node").alias("_node"), F.col("best.first").alias("_first"), F.col("best.rows").alias("_rows"))
-    text = normalised(F.col("text"))
-    keyed = docs.withColumn("_node", F.unhex(F.md5(text)))
-    wordless = docs.filter(text == "")
-    kept = keyed.filter(text != "").join(best, (keyed["_node"] == best["_node"]) & keyed["doc_id"].eqNullSafe(best["_first"])).select(*[keyed[c] for c in docs.columns], keyed["_node"].alias("_key"), "_rows")
-    single = kept.filter("_rows = 1")
-    several = kept.filter("_rows > 1").dropDuplicates(["doc_id", "_key"])
-    return single.union(several).select(*docs.columns).union(wordless)
+    """docs, all columns, with one row of each class: that of the least doc_id (and then node). Rows without words stay.
+
+    Of rows that are repeated as a whole one stays; a null doc_id gives way to others. Columns of docs may have any names
+    besides row_a, row_b and gone, which are taken for what they are here only inside: the result has docs' own."""
+    touched = _touched(docs, least)
+    wide = docs.select(F.struct(*docs.columns).alias("doc"), *row_key("doc_id", "text"))
+    hit, clean = sifted(wide, sieve(touched, "row_a"), "row_a")
+    hit = hit.join(touched, ROW, "left").filter("gone is null or not gone")
+    single = hit.filter("gone is null").select("doc")
+    several = hit.filter("not gone").dropDuplicates(ROW).select("doc")
+    return clean.select("doc").union(single).union(several).select("doc.*")
