@@ -6,7 +6,6 @@ written as Parquet and read again between each other.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import public_tokenizers
@@ -14,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkgauge.llm import bpe, decontaminate, langid, linetemplates, neardup
-from linkgauge.llm.common import table
+from linkgauge.llm.common import remove_folder, shared_folder, table
 
 #: Mean probability below which a document's language counts as unknown.
 LEAST_LANGUAGE = 0.3
@@ -53,11 +52,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; what each stage keeps is written to the folder that the cluster shares."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp()
+    """All stages over documents; what a stage keeps is written to the folder that the cluster shares, and removed when the
+    next stage has been written. The last copy stays, as the result reads it."""
     docs = table(spark, sf_dir, "documents")
-    folder = f"{shared}/pipeline-{uuid.uuid4().hex}"
+    folder, before = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}", None
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            remove_folder(spark, before)
+        before = f"{folder}/{name}"
     return STAGES[-1][1](spark, docs, sf_dir)
