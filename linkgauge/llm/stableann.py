@@ -11,6 +11,7 @@ test says that a vector not yet compared is as near as the worst of the best fou
 from __future__ import annotations
 
 import math
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,7 @@ def chi_square(x: np.ndarray, degrees: int = DIMENSIONS) -> np.ndarray:
     return 1 - np.exp(-half) * total
 
 
+@cache
 def quantile(sure: float, degrees: int = DIMENSIONS) -> float:
     """Where chi_square reaches sure."""
     low, high = 0.0, 100.0 * degrees
