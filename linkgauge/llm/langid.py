@@ -7,22 +7,23 @@ numpy by backpropagation through time on a bounded sample of chunks; every byte
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import held_out, keep_rows, map_batches, texts
 
 UNDETERMINED = "und"
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 #: Bytes read together, units a direction, chunks computed at once.
 CHUNK, UNITS, BLOCK = 96, 8, 4096
-#: The training sample: about DOCS documents of each language, PIECES chunks from places all over each.
-DOCS, PIECES = 400, 6
+#: The training sample: about DOCS documents of each of the LANGUAGES most frequent languages, PIECES chunks from places all
+#: over each. Rarer languages are not learnt.
+DOCS, PIECES, LANGUAGES = 400, 6, 200
 STEPS, BATCH, RATE = 260, 192, 0.02
 PAD = 256
 
@@ -170,9 +171,11 @@ class Reader:
 
 
 def training_chunks(docs: DataFrame) -> tuple[list[bytes], list[str]]:
-    """Chunks of about DOCS documents of each language: rows that may be learnt from, with a letter, by hash of the id."""
+    """Chunks of about DOCS documents of each language: rows that may be learnt from, with a letter, by hash of the id.
+
+    Rows with a null id, text or language teach nothing; repeated rows are taken as often as they stand."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
     share = F.lit(0.0)
     for lang, n in counts.items():
         share = F.when(F.col("lang") == lang, min(1.0, DOCS / n)).otherwise(share)
@@ -195,11 +198,15 @@ def training_chunks(docs: DataFrame) -> tuple[list[bytes], list[str]]:
 
 
 def fit(docs: DataFrame) -> Network | None:
+    """The network of a table's training chunks; None for a table without any."""
     return train(*training_chunks(docs))
 
 
 def identify(docs: DataFrame, net: Network | None) -> DataFrame:
-    """(doc_id, lang_pred, score) of every row, in one pass. Null texts and texts without a letter: `und`, 0."""
+    """(doc_id, lang_pred, score) of every row, in one pass. Null and empty texts and texts without a letter: `und`, 0.
+
+    Repeated rows give repeated results, ties go to the language that is first by name; columns besides doc_id and text
+    are left out, so their names do not matter."""
     rows = docs.select("doc_id", "text")
     model = docs.sparkSession.sparkContext.broadcast(net)
 
@@ -213,7 +220,8 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, net: Network | None, least: float = 0.5) -> DataFrame:
-    """docs, all columns, without rows whose language is undetermined or has a mean probability below `least`."""
+    """docs, all columns, without rows whose language is undetermined or has a mean probability below `least`; null and
+    empty texts go with them. Repeated rows stay or go together; other columns may have any names."""
     model = docs.sparkSession.sparkContext.broadcast(net)
 
     def keep():
