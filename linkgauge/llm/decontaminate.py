@@ -4,23 +4,28 @@ Texts are normalised on UTF-8 bytes: A-Z become a-z, every other ASCII byte that
 space, runs of spaces become one. The automaton holds each window of WINDOW words (a whole item if it is shorter)
 between spaces, so one scan of a text finds all of them at word boundaries. Word numbers follow from the spaces before
 a match, and offsets in the original text from the places where its words begin and end.
+
+The windows are sent to every task. A benchmark of more than PART_CHARS characters is dealt into parts of that size, each
+with its own automaton; the parts scan the same rows one after the other and add their hits up, without any exchange.
 """
 
 from __future__ import annotations
 
 import re
 from collections import defaultdict
+from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .common import keep_rows, map_batches, texts
+from .common import keep_rows, map_batches, replaced, texts
 
 WINDOW = 10
-#: The benchmark is held in the driver and sent to every task; more text than this is refused.
-MAX_BENCHMARK_CHARS = 50_000_000
+#: Characters of benchmark texts that the driver holds and sends at once, and that make one automaton.
+PART_CHARS = 50_000_000
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -35,17 +40,20 @@ def windows_of(text: str | None, size: int = WINDOW) -> list[bytes]:
     return [b" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))] if words else []
 
 
-def read_items(benchmark: DataFrame) -> dict[bytes, list[str]]:
-    """Windows and the items that hold them. Null ids and texts hold none. Refuses benchmarks beyond MAX_BENCHMARK_CHARS."""
+def read_items(benchmark: DataFrame) -> Iterator[dict[bytes, list[str]]]:
+    """Windows and the items that hold them, in parts of PART_CHARS characters and an item more; one empty part for an
+    empty benchmark. Null ids and texts hold none; repeated items count once."""
     held: dict[bytes, set[str]] = defaultdict(set)
-    chars = 0
+    chars = parts = 0
     for item_id, text in benchmark.select(benchmark["item_id"].cast("string"), "text").dropna().toLocalIterator():
+        if chars > PART_CHARS:
+            yield {w: sorted(ids) for w, ids in held.items()}
+            held, chars, parts = defaultdict(set), 0, parts + 1
         chars += len(text)
-        if chars > MAX_BENCHMARK_CHARS:
-            raise ValueError(f"the benchmark has more than {MAX_BENCHMARK_CHARS} characters")
         for w in windows_of(text):
             held[w].add(item_id)
-    return {w: sorted(ids) for w, ids in held.items()}
+    if held or not parts:
+        yield {w: sorted(ids) for w, ids in held.items()}
 
 
 class Scanner:
@@ -80,37 +88,73 @@ class Scanner:
         return [(places[a][0], places[b - 1][1]) for a, b in edges.reshape(-1, 2)]
 
 
+def _scan(rows: DataFrame, windows: dict[bytes, list[str]]) -> DataFrame:
+    """rows with the hits of one part of the benchmark added to column found: the words that are hit so far, packed eight to
+    a byte (null without any), and the items found."""
+    sent = rows.sparkSession.sparkContext.broadcast(windows)
+    kind = pa.struct([("hit", pa.binary()), ("items", pa.list_(pa.string()))])
+
+    def run(batches):
+        scanner = Scanner(sent.value)
+        for batch in batches:
+            at = batch.schema.get_field_index("found")
+            out = []
+            for text, before in zip(texts(batch), batch.column(at).to_pylist(), strict=True):
+                _, hit, items = scanner.scan(text)
+                packed, old = before["hit"], before["items"] or []
+                if hit is not None:
+                    packed = np.packbits(hit if packed is None else hit | np.unpackbits(np.frombuffer(packed, np.uint8), count=len(hit)).astype(bool)).tobytes()
+                out.append({"hit": packed, "items": [*{*old, *items}]})
+            yield replaced(batch, batch.schema.set(at, pa.field("found", kind)), found=pa.array(out, kind))
+
+    return map_batches(rows, run, rows.schema)
+
+
+def _scanned(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    rows = docs.withColumn("found", F.struct(F.lit(None).cast("binary").alias("hit"), F.array().cast("array<string>").alias("items")))
+    for part in read_items(benchmark):
+        rows = _scan(rows, part)
+    return rows
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row for each row of docs: doc_id, n_words, n_hit, items (sorted ids as strings), spans (start, end offsets).
 
     Null and empty texts have no words and no hits; an empty benchmark hits nothing; repeated rows give repeated
-    results; columns besides doc_id and text are left out. One pass, no shuffle."""
-    windows = docs.sparkSession.sparkContext.broadcast(read_items(benchmark))
-    rows = docs.select("doc_id", "text")
+    results; columns besides doc_id and text are left out. No shuffle."""
+    rows = _scanned(docs.select("doc_id", "text"), benchmark)
+    span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
-        scanner = Scanner(windows.value)
+        scanner = Scanner({})
         for batch in batches:
             n_words, n_hit, items, spans = [], [], [], []
-            for text in texts(batch):
-                n, hit, ids = scanner.scan(text)
+            for text, found in zip(texts(batch), batch.column(2).to_pylist(), strict=True):
+                n = len(words_of(text))
+                hit = None if found["hit"] is None else np.unpackbits(np.frombuffer(found["hit"], np.uint8), count=n)
                 n_words.append(n)
                 n_hit.append(0 if hit is None else int(hit.sum()))
-                items.append(sorted(ids))
+                items.append(sorted(found["items"]))
                 spans.append([] if hit is None else [{"start": a, "end": b} for a, b in scanner.spans(text, hit)])
-            span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(items, pa.list_(pa.string())), pa.array(spans, pa.list_(span))], ["doc_id", "n_words", "n_hit", "items", "spans"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(items, pa.list_(pa.string())), pa.array(spans, span)], ["doc_id", "n_words", "n_hit", "items", "spans"])
 
     return map_batches(rows, run, f"doc_id {dict(rows.dtypes)['doc_id']}, n_words long, n_hit long, items array<string>, spans array<struct<start: long, end: long>>")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs without the rows in whose text a benchmark window occurs; all columns stay."""
-    windows = docs.sparkSession.sparkContext.broadcast(read_items(benchmark))
+    """docs without the rows in whose text a benchmark window occurs; all columns stay, whatever their names.
+
+    Null and empty texts stay, and so does everything where the benchmark is empty; repeated rows stay or go together."""
+    for part in read_items(benchmark):
+        docs = _without(docs, part)
+    return docs
+
+
+def _without(docs: DataFrame, windows: dict[bytes, list[str]]) -> DataFrame:
+    sent = docs.sparkSession.sparkContext.broadcast(windows)
 
     def keep():
-        scanner = Scanner(windows.value)
+        scanner = Scanner(sent.value)
         return lambda batch: [scanner.scan(t)[1] is None for t in texts(batch)]
 
     return keep_rows(docs, keep)
-
