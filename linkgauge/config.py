@@ -38,6 +38,7 @@ class PipelineConfig:
     methods: tuple[str, ...] = ("rules",)
     profile: ScoringProfile = DEFAULT
     use_curated: bool = False
+    use_lists: bool = False
     read_reputation: bool = True
     write_reputation: bool = True
     write_parquet: bool = True

@@ -22,12 +22,15 @@ CONTENT = {
     "path_contains_sensitive": r"/(login|admin|credentials|wp-admin|config|backup)\b",
 }
 # fixed values: the trained model's inputs in their order
-MODEL_INPUTS = (
-    "len_url len_path len_query len_domain is_very_short_url is_very_long_url is_suspicious_tld is_trustworthy_tld has_ip_address num_subdomains has_excessive_subdomains num_path_dirs is_root_path num_params"
-    " has_excessive_params num_digits_domain digit_ratio_domain domain_is_numeric_heavy num_hyphens_domain domain_hyphen_heavy has_suspicious_chars_path has_excessive_encoding path_keyword_stuffing contains_download"
-    " contains_phishing contains_financial contains_urgency is_media_or_api path_contains_sensitive domain_entropy path_entropy vowel_consonant_ratio is_ugc_path path_has_article_slug path_has_date path_is_descriptive"
-    " is_quality_article is_nsfw_content is_spam_content is_nsfw_domain is_quality_domain is_news_domain"
-).split()
+MODEL_INPUTS = [
+    "len_url", "len_path", "len_query", "len_domain", "is_very_short_url", "is_very_long_url", "is_suspicious_tld", "is_trustworthy_tld", "has_ip_address",
+    "num_subdomains", "has_excessive_subdomains", "num_path_dirs", "is_root_path", "num_params", "has_excessive_params", "num_digits_domain", "digit_ratio_domain",
+    "domain_is_numeric_heavy", "num_hyphens_domain", "domain_hyphen_heavy", "has_suspicious_chars_path", "has_excessive_encoding", "path_keyword_stuffing",
+    "contains_download", "contains_phishing", "contains_financial", "contains_urgency", "is_media_or_api", "path_contains_sensitive", "domain_entropy", "path_entropy",
+    "vowel_consonant_ratio", "is_ugc_path", "path_has_article_slug", "path_has_date", "path_is_descriptive", "is_quality_article", "is_nsfw_content", "is_spam_content",
+    "is_nsfw_domain", "is_quality_domain", "is_news_domain",
+]
+DIGITS = "0123456789"
 IP = r"^\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}$"
 
 
@@ -49,10 +52,13 @@ def tld(host: Column) -> Column:
 
 
 def entropy(text: Column) -> Column:
-    """Shannon entropy in bits of a character; 0 for up to one character."""
-    share = lambda c: (F.length(text) - F.length(F.replace(text, c, F.lit("")))) / F.length(text)
-    bits = F.aggregate(F.transform(F.array_distinct(F.split(text, "")), share), F.lit(0.0), lambda sum_, p: sum_ - p * F.log2(p))
-    return F.when(F.length(text) > 1, bits).otherwise(0.0)
+    """Shannon entropy in bits of a character; 0 for up to one character.
+
+    The characters are sorted, so equal ones stand together; only runs of two or more add to the sum of n log n."""
+    in_order = F.array_join(F.sort_array(F.split(text, "")), "")
+    runs = F.regexp_extract_all(in_order, F.lit(r"(?s)(.)\1+"), F.lit(0))
+    repeats = F.aggregate(runs, F.lit(0.0), lambda sum_, run: sum_ + F.length(run) * F.log2(F.length(run)))
+    return F.when(F.length(text) > 1, F.log2(F.length(text)) - repeats / F.length(text)).otherwise(0.0)
 
 
 def fingerprint(url: Column) -> Column:
@@ -63,50 +69,60 @@ def counted(text: Column, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern))
 
 
+def occurrences(text: Column, chars: str) -> Column:
+    """How many of the text's characters are among chars."""
+    rest = F.replace(text, F.lit(chars), F.lit("")) if len(chars) == 1 else F.translate(text, chars, "")
+    return F.length(text) - F.length(rest)
+
+
 def keyword_pattern(words: list[str]) -> str | None:
     """Alternation of escaped keywords, longest first; None without keywords."""
     quoted = ["\\Q" + w.replace("\\E", "\\E\\\\E\\Q") + "\\E" for w in sorted(words, key=lambda w: (-len(w), w))]
     return "|".join(quoted) or None
 
 
+def tld_flags(host: Column, profile) -> dict[str, Column]:
+    """The suffix flags under a profile."""
+    dots = "" if profile.tld_mode == "documented" else "."
+    return {"suspicious_tld": tld(host).isin(*[dots + x for x in SUSPICIOUS_TLDS]), "trustworthy_tld": tld(host).isin(*[dots + x for x in TRUSTWORTHY_TLDS])}
+
+
 def rule_features(rows: DataFrame, profile, nsfw: list[str] = (), spam: list[str] = ()) -> DataFrame:
     """Adds the rule model's features to (url, timestamp, domain, path, query). Flags are booleans. Membership in host lists
     is added by scoring, as a join."""
     url, host, path, query = (F.col(c) for c in ("url", "domain", "path", "query"))
     content = F.concat(path, F.lit("?"), query)
     size = F.coalesce(F.length(url), F.lit(0))
-    dots = "" if profile.tld_mode == "documented" else "."
     words = lambda keys: content.rlike(keyword_pattern(list(keys))) if keys else F.lit(False)
-    vowels, consonants = counted(host, "[aeiou]"), counted(host, "[bcdfghjklmnpqrstvwxyz]")
+    vowels, consonants = occurrences(host, "aeiou"), occurrences(host, "bcdfghjklmnpqrstvwxyz")
     found = {
         "very_short_url": size <= 15,
         "very_long_url": size > 1024,
         "no_scheme": ~F.coalesce(url.contains("://"), F.lit(False)),
-        "path_keyword_stuffing": (counted(path, "/") > 10) & (counted(path, "-") > 10),
-        "suspicious_tld": tld(host).isin(*[dots + x for x in SUSPICIOUS_TLDS]),
-        "trustworthy_tld": tld(host).isin(*[dots + x for x in TRUSTWORTHY_TLDS]),
+        "path_keyword_stuffing": (occurrences(path, "/") > 10) & (occurrences(path, "-") > 10),
+        **tld_flags(host, profile),
         "has_ip_address": host.rlike(IP),
-        "excessive_subdomains": counted(host, r"\.") > 4,
+        "excessive_subdomains": occurrences(host, ".") > 4,
         "is_url_shortener": host.rlike(SHORTENER),
         "suspicious_chars_path": counted(path, r"(?U)[^\w\s/.-]") > 3,
-        "excessive_encoding": F.coalesce(counted(url, "%"), F.lit(0)) > 5,
-        "excessive_params": counted(query, "&") > 9,
+        "excessive_encoding": F.coalesce(occurrences(url, "%"), F.lit(0)) > 5,
+        "excessive_params": occurrences(query, "&") > 9,
         "long_query": F.length(query) > 150,
         "short_domain": F.length(host) < 6,
         "very_long_domain": F.length(host) > 25,
-        "domain_is_numeric_heavy": counted(host, r"\d") / F.greatest(F.length(host), F.lit(1)) > 0.4,
-        "domain_hyphen_heavy": counted(host, "-") > 2,
+        "domain_is_numeric_heavy": occurrences(host, DIGITS) / F.greatest(F.length(host), F.lit(1)) > 0.4,
+        "domain_hyphen_heavy": occurrences(host, "-") > 2,
         "domain_entropy": entropy(host),
         "path_entropy": entropy(path),
         "vowel_consonant_ratio": vowels / F.greatest(consonants, F.lit(1)),
         "is_malformed_url": host == UNKNOWN,
         "has_invalid_timestamp": F.col("timestamp").isNull(),
-        "path_depth": counted(path, "/"),
+        "path_depth": occurrences(path, "/"),
         "is_root_page": path.isin("/", ""),
         "is_ugc_path": path.rlike("/(user|profile|c|channel|u)/"),
         "path_has_article_slug": path.rlike(r"/[a-z0-9-]+-\d{4,}/?"),
         "path_has_date": path.rlike(r"/20\d{2}/\d{1,2}/"),
-        "path_is_descriptive": (counted(path, "-") >= 2) & (F.length(path) > 15),
+        "path_is_descriptive": (occurrences(path, "-") >= 2) & (F.length(path) > 15),
         "is_nsfw_content": words(nsfw),
         "is_spam_content": words(spam),
     }
@@ -119,18 +135,18 @@ def model_features() -> dict[str, Column]:
     host, path, query, url = (F.col(c) for c in ("domain", "path", "query", "url"))
     one = lambda c: c.cast("int")
     content = F.concat(path, F.lit("?"), query)
-    params = counted(query, "&") + one(query != "")
+    params = occurrences(query, "&") + one(query != "")
     article = F.col("path_has_article_slug") | F.col("path_has_date") | F.col("path_is_descriptive")
     readable = (F.col("domain_entropy") < 3.3) & ~F.col("domain_is_numeric_heavy") & ~F.col("domain_hyphen_heavy")
     out = {
         "len_url": F.length(url), "len_path": F.length(path), "len_query": F.length(query), "len_domain": F.length(host),
         "is_very_short_url": one(F.col("very_short_url")), "is_very_long_url": one(F.col("very_long_url")),
         "is_suspicious_tld": one(F.col("suspicious_tld")), "is_trustworthy_tld": one(F.col("trustworthy_tld")), "has_ip_address": one(F.col("has_ip_address")),
-        "num_subdomains": counted(host, r"\."), "has_excessive_subdomains": one(F.col("excessive_subdomains")),
+        "num_subdomains": occurrences(host, "."), "has_excessive_subdomains": one(F.col("excessive_subdomains")),
         "num_path_dirs": F.col("path_depth"), "is_root_path": one(F.col("is_root_page")),
         "num_params": params, "has_excessive_params": one(params > 9),
-        "num_digits_domain": counted(host, r"\d"), "digit_ratio_domain": counted(host, r"\d") / F.greatest(F.length(host), F.lit(1)), "domain_is_numeric_heavy": one(F.col("domain_is_numeric_heavy")),
-        "num_hyphens_domain": counted(host, "-"), "domain_hyphen_heavy": one(F.col("domain_hyphen_heavy")),
+        "num_digits_domain": occurrences(host, DIGITS), "digit_ratio_domain": occurrences(host, DIGITS) / F.greatest(F.length(host), F.lit(1)), "domain_is_numeric_heavy": one(F.col("domain_is_numeric_heavy")),
+        "num_hyphens_domain": occurrences(host, "-"), "domain_hyphen_heavy": one(F.col("domain_hyphen_heavy")),
         "has_suspicious_chars_path": one(F.col("suspicious_chars_path")), "has_excessive_encoding": one(F.col("excessive_encoding")), "path_keyword_stuffing": one(F.col("path_keyword_stuffing")),
     }
     out |= {name: one(content.rlike(f"(?i){pattern}")) for name, pattern in CONTENT.items()}

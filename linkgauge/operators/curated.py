@@ -12,7 +12,6 @@ from ..functions import urls
 SKIPPED_HOSTS = ("web.archive.org", "archive.org", "www.wikipedia.org", "en.wikipedia.org", "www.wikidata.org", "commons.wikimedia.org")
 SKIPPED_TITLES = ("Category:", "User:", "Talk:")
 ITEM = "link string, title string, pubDate string, domain string, source struct<_VALUE: string, _url: string, _mcFeedId: string, _mcSourceId: string>"
-CURATED = "url string, source_uri string, timestamp string, user_text string, source_type string, metadata string"
 
 
 def rss_items(spark: SparkSession, path: str, file_date: str, lines: bool = False) -> DataFrame:

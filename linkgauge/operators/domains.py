@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..sources.shared import cut_lineage
+
 #: Weight of a new observation, hours until a revisit by default.
 ALPHA, REVISIT = 0.1, 168
 
@@ -43,14 +45,26 @@ def history_ema(batches: DataFrame) -> DataFrame:
     return numbered.groupBy("domain").agg(F.sum(weight * F.col("value")).alias("reputation_score"), F.count("*").alias("batches"))
 
 
+def numbered(rows: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
+    """rows numbered from 1 in a total order, without any task seeing more than its own range: rows are sorted by range and
+    written once, each range numbers its own, and the ranges' sizes (one number a range) say where each begins."""
+    placed = cut_lineage(rows.orderBy(*order).withColumn("_range", F.spark_partition_id()))
+    sizes = placed.groupBy("_range").agg(F.count("*").alias("_n"))
+    begins = sizes.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_begin"))  # a row a range
+    own = placed.withColumn("_own", F.row_number().over(Window.partitionBy("_range").orderBy(*order)))
+    return own.join(F.broadcast(begins), "_range").withColumn(name, (F.col("_begin") + F.col("_own")).cast("int")).drop("_range", "_begin", "_own")
+
+
 def ranked(table: DataFrame, limit: int | None = None, worst: bool = False, min_urls: int = 0) -> DataFrame:
     """Domains in order of reputation (then count, then name), numbered from 1. With a limit the sort keeps that many rows
-    a partition; without one the numbers come from one window over (domain, score) rows."""
+    a partition; without one the table is numbered range by range."""
     rows = table.filter((F.col("total_urls_seen") >= min_urls) & F.col("reputation_score").isNotNull())
     order = [F.asc("reputation_score"), F.desc("malicious_urls_count")] if worst else [F.desc("reputation_score"), F.desc("total_urls_seen")]
-    rows = rows.orderBy(*order, "domain").limit(limit) if limit is not None else rows
+    order.append(F.asc("domain"))
     named = rows.select("domain", "reputation_score", "total_urls_seen", "malicious_urls_count", category(F.col("reputation_score")).alias("category"))
-    return named.withColumn("rank", F.row_number().over(Window.orderBy(*order, "domain")))
+    if limit is None:
+        return numbered(named, order)
+    return named.orderBy(*order).limit(limit).withColumn("rank", F.row_number().over(Window.orderBy(*order)))
 
 
 def of_category(table: DataFrame, name: str, limit: int = 100) -> DataFrame:

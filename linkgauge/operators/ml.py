@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, IsotonicRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.urls import MODEL_INPUTS, model_features
@@ -29,7 +29,17 @@ def targets(scored: DataFrame) -> DataFrame:
 
 def train(rows: DataFrame, labels: DataFrame, trees: int = 30, depth: int = 5, seed: int = 42) -> PipelineModel:
     """Fits trees with absolute loss and calibrates their predictions once; about a tenth of the urls, by hash, validates."""
-    table = features(rows).dropDuplicates(["url"]).join(labels, "url").withColumn("held_back", F.pmod(F.xxhash64("url"), F.lit(10)) == 0)
+    return train_features(features(rows), labels, trees, depth, seed)
+
+
+def held_back() -> Column:
+    """The tenth of the urls that trees are validated on, not fitted to."""
+    return F.pmod(F.xxhash64("url"), F.lit(10)) == 0
+
+
+def train_features(table: DataFrame, labels: DataFrame, trees: int = 30, depth: int = 5, seed: int = 42) -> PipelineModel:
+    """train over url and model inputs that have been computed before."""
+    table = table.dropDuplicates(["url"]).join(labels, "url").withColumn("held_back", held_back())
     assemble = VectorAssembler(inputCols=MODEL_INPUTS, outputCol="features", handleInvalid="keep")
     boosted = GBTRegressor(lossType="absolute", stepSize=0.1, maxIter=trees, maxDepth=depth, subsamplingRate=0.7, featureSubsetStrategy="0.7", seed=seed, validationIndicatorCol="held_back", validationTol=1e-6, predictionCol="raw")
     return Pipeline(stages=[assemble, boosted, IsotonicRegression(featuresCol="raw", predictionCol="calibrated")]).fit(table)
@@ -37,12 +47,22 @@ def train(rows: DataFrame, labels: DataFrame, trees: int = 30, depth: int = 5, s
 
 def predict(rows: DataFrame, model: PipelineModel) -> DataFrame:
     """(url, score, is_spam, risk_score, trust_score, composite_score, confidence)."""
-    out = model.transform(features(rows)).withColumn("score", clip(F.col("calibrated"), LOW, HIGH))
+    return predict_features(features(rows), model)
+
+
+def predict_features(table: DataFrame, model: PipelineModel) -> DataFrame:
+    out = model.transform(table).withColumn("score", clip(F.col("calibrated"), LOW, HIGH))
     risk, trust = F.greatest(F.lit(0.0), -F.col("score")) / 5, F.greatest(F.lit(0.0), F.col("score")) / 2
     one = lambda c: clip(c, 0.0, 1.0)
     return out.select("url", "score", (F.col("score") < -1.5).alias("is_spam"), one(risk).alias("risk_score"), one(trust).alias("trust_score"), (one(trust) - one(risk)).alias("composite_score"), (1 / (1 + F.exp(-F.col("score")))).alias("confidence"))
 
 
+def evaluate(predicted: DataFrame, labels: DataFrame) -> DataFrame:
+    """One row over the held-back urls: their number, the correlation of predictions and labels, the mean absolute error."""
+    both = predicted.filter(held_back()).join(labels, "url")
+    return both.agg(F.count("*").alias("urls"), F.corr("score", "label").alias("correlation"), F.avg(F.abs(F.col("score") - F.col("label"))).alias("mean_error"))
+
+
 def save(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

@@ -5,18 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.html import INSIDE, attribute, bound, unescape, with_value
+
 # fixed values: phrases and patterns of the content rules
 SPAM_PHRASES = ("click here", "free money", "make money fast", "guaranteed income", "work from home", "lose weight fast", "miracle cure", "limited time", "act now", "congratulations you won", "claim your prize", "no obligation")
 HIDDEN = r"(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->"
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
-DESCRIPTION = r"""(?is)<meta[^>]*name="description"[^>]*content="([^"]*)\""""
+META = rf"(?is)<meta\b{INSIDE}>"
 PARAGRAPH = r"(?is)<p(?:\s[^>]*)?>(.*?)</p>"
 TAG = r"<[^>]*>"
 CONTACT = r"(?i)>[^<]*(?:contact|about|privacy|terms)[^<]*<"
 RIGHTS = r"(?i)>[^<]*(?:copyright|©|\(c\))[^<]*<"
-HIDDEN_STYLE = r'(?i)style="[^"]*(?:display:\s*none|visibility:\s*hidden)'
+HIDDEN_STYLE = r"""(?i)style\s*=\s*(?:"[^"]*(?:display:\s*none|visibility:\s*hidden)|'[^']*(?:display:\s*none|visibility:\s*hidden))"""
 POPUP = r"(?is)<script[^>]*>[^<]*(?:alert|popup|window\.open)"
-PASSWORD = r"""(?i)<input[^>]*type="password\""""
+PASSWORD = with_value("input", "type", "password")
+NAMED_IMAGE = r"""(?i)<img\b[^>]*[\s"']alt\s*=\s*(?:"[^"]+"|'[^']+'|[^\s"'>]+)"""
+LINK = r"(?i)<a\s[^>]*href\s*="
 
 
 def _n(text: Column, pattern: str) -> Column:
@@ -37,15 +41,29 @@ def words(text: Column) -> Column:
     return F.when(plain == "", 0).otherwise(F.length(plain) - F.length(F.replace(plain, F.lit(" "), F.lit(""))) + 1)
 
 
+def title_of(body: Column) -> Column:
+    return F.trim(unescape(F.regexp_extract(body, TITLE, 1)))
+
+
+def description(html: Column) -> Column:
+    """Content of the first meta tag named description; blank without one."""
+    tags = F.filter(F.regexp_extract_all(html, F.lit(META), F.lit(0)), lambda tag: F.lower(attribute(tag, "name")) == "description")
+    return F.coalesce(F.trim(attribute(F.get(tags, F.lit(0)), "content")), F.lit(""))
+
+
+def _sized(text: Column, low: int, high: int) -> Column:
+    return bound(F.length(text), lambda n: F.when(n.between(low, high), 0.2).when(n > high, 0.1).otherwise(0.0))
+
+
 def quality(html: Column) -> Column:
     body = visible(html)
-    title, about = F.length(F.trim(F.regexp_extract(body, TITLE, 1))), F.length(F.trim(F.regexp_extract(html, DESCRIPTION, 1)))
+
     headings, text = _n(body, r"(?i)<h[1-3][\s>]"), words(F.array_join(F.regexp_extract_all(body, F.lit(PARAGRAPH), F.lit(1)), " "))
-    images, named = _n(body, r"(?i)<img[\s>]"), _n(body, r'(?i)<img[^>]*\salt="[^"]+"')
+    images, named = _n(body, r"(?i)<img[\s>]"), _n(body, NAMED_IMAGE)
     total = (
-        F.when(title.between(10, 60), 0.2).when(title > 60, 0.1).otherwise(0.0) + F.when(about.between(50, 160), 0.2).when(about > 160, 0.1).otherwise(0.0)
+        _sized(title_of(body), 10, 60) + _sized(description(html), 50, 160)
         + _if(headings >= 1, 0.1) + _if(headings >= 3, 0.1) + F.when(text >= 300, 0.2).when(text >= 100, 0.1).otherwise(0.0)
-        + F.when(images > 0, named / images * 0.1).otherwise(0.0) + _if(_n(body, r"(?i)<a\s[^>]*href=") >= 5, 0.1)
+        + F.when(images > 0, named / images * 0.1).otherwise(0.0) + _if(_n(body, LINK) >= 5, 0.1)
     )
     return F.least(total, F.lit(1.0))
 
@@ -54,8 +72,8 @@ def trust(html: Column, url: Column) -> Column:
     body = visible(html)
     meta = lambda p: html.rlike(p)
     total = (
-        _if(meta(r'(?i)<meta[^>]*name="robots"'), 0.1) + _if(meta(r'(?i)<link[^>]*rel="canonical"'), 0.1) + _if(meta(r'(?i)<script[^>]*type="application/ld\+json"'), 0.2)
-        + _if(meta(r'(?i)<meta[^>]*property="[^"]*og:'), 0.1) + _if(meta(r'(?i)<meta[^>]*name="twitter:card"'), 0.1) + _if(F.lower(url).contains("https://"), 0.2)
+        _if(meta(with_value("meta", "name", "robots")), 0.1) + _if(meta(with_value("link", "rel", "canonical")), 0.1) + _if(meta(with_value("script", "type", r"application/ld\+json")), 0.2)
+        + _if(meta(r"""(?is)<meta\b[^>]*[\s"']property\s*=\s*(?:"[^"]*og:|'[^']*og:|[^\s"'>]*og:)"""), 0.1) + _if(meta(with_value("meta", "name", "twitter:card")), 0.1) + _if(F.lower(url).contains("https://"), 0.2)
         + _if(_n(body, CONTACT) >= 2, 0.1) + _if(body.rlike(RIGHTS), 0.1)
     )
     return F.least(total, F.lit(1.0))
@@ -67,7 +85,7 @@ def spam(html: Column) -> Column:
     forms = F.size(F.filter(F.regexp_extract_all(html, F.lit(r"(?is)<form.*?</form>"), F.lit(0)), lambda f: F.regexp_count(f, F.lit(PASSWORD)) > 1))
     total = (
         F.least(phrases * 0.1, F.lit(0.5)) + F.least(_n(html, "[A-Z]{5,}") * 0.02, F.lit(0.3)) + F.when(marks > 10, F.least(marks * 0.01, F.lit(0.2))).otherwise(0.0)
-        + _if(html.rlike(POPUP), 0.2) + _if(html.rlike(r'(?i)<meta[^>]*http-equiv="refresh"'), 0.3) + _if(_n(html, HIDDEN_STYLE) > 5, 0.2) + forms * 0.2
+        + _if(html.rlike(POPUP), 0.2) + _if(html.rlike(with_value("meta", "http-equiv", "refresh")), 0.3) + _if(_n(html, HIDDEN_STYLE) > 5, 0.2) + forms * 0.2
     )
     return F.least(total, F.lit(1.0))
 
@@ -81,6 +99,6 @@ def page_features(pages: DataFrame) -> DataFrame:
     body = visible(html)
     return pages.select(
         "url", whole.alias("has_content"), at(quality(html), 0.0).alias("content_quality"), at(trust(html, F.col("url")), 0.0).alias("content_trust"),
-        F.when(whole, spam(html)).when(there, 0.5).otherwise(1.0).alias("content_spam"), at(words(body), 0).alias("word_count"), at(F.trim(F.regexp_extract(body, TITLE, 1)), "").alias("title"),
+        F.when(whole, spam(html)).when(there, 0.5).otherwise(1.0).alias("content_spam"), at(words(body), 0).alias("word_count"), at(title_of(body), "").alias("title"),
         at(body.rlike(r"(?i)<img[\s>]"), False).alias("has_images"), at(body.rlike(r"(?i)<form[\s>]"), False).alias("has_forms"), at(F.length(html), 0).alias("content_length"),
     )

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: Accuracy of approximate percentiles: ranks are right to one part in this many.
 ACCURACY = 10_000
@@ -13,15 +16,17 @@ def _spam():
     return F.count_if(F.col("is_spam"))
 
 
-def overall(rows: DataFrame) -> DataFrame:
+def overall(rows: DataFrame, *by: str) -> DataFrame:
+    """Counts, averages and percentiles of all rows, or of each value of the columns `by` (such as model_name)."""
     p = F.percentile_approx("score", F.array(F.lit(0.5), F.lit(0.75), F.lit(0.95)), ACCURACY)
-    out = rows.agg(
+    out = rows.groupBy(*by).agg(
         F.count("*").alias("total"), _spam().alias("spam"), F.avg("score").alias("avg_score"),
         F.avg("confidence").alias("avg_confidence"), F.stddev("score").alias("score_stddev"), p.alias("_p"),
     )
     # on its own: beside a distinct count, every url would get percentile buffers
-    out = out.crossJoin(F.broadcast(rows.agg(F.count_distinct("url").alias("distinct_urls"))))
-    return out.select("total", "distinct_urls", "spam", (F.col("total") - F.col("spam")).alias("not_spam"), "avg_score", "avg_confidence", "score_stddev", *[F.col("_p")[i].alias(c) for i, c in enumerate(("p50", "p75", "p95"))])
+    urls = rows.select(*by, "url").distinct().groupBy(*by).agg(F.count("url").alias("distinct_urls"))
+    out = out.join(urls, list(by)) if by else out.crossJoin(F.broadcast(urls))
+    return out.select(*by, "total", "distinct_urls", "spam", (F.col("total") - F.col("spam")).alias("not_spam"), "avg_score", "avg_confidence", "score_stddev", *[F.col("_p")[i].alias(c) for i, c in enumerate(("p50", "p75", "p95"))])
 
 
 def by_source(rows: DataFrame) -> DataFrame:
@@ -56,8 +61,9 @@ def lift(rows: DataFrame) -> DataFrame:
     return means.crossJoin(F.broadcast(top)).crossJoin(F.broadcast(low)).select("curated_avg", "input_avg", gain.alias("lift"), percent.alias("lift_percent"), "in_top", "in_bottom", grade.alias("grade"))
 
 
-def frequent_domains(rows: DataFrame, n: int = 10) -> DataFrame:
-    """The n domains with most urls and their share of all."""
+def frequent_domains(rows: DataFrame, n: int = 10, curated: bool = False) -> DataFrame:
+    """The n domains with most urls and their share of all; of the curated feed alone if asked."""
+    rows = rows.filter(F.col("data_source") == "good_data") if curated else rows
     total = rows.agg(F.count("*").alias("_total"))
     top = rows.groupBy("domain").agg(F.count("*").alias("urls")).orderBy(F.desc("urls"), "domain").limit(n)
     return top.crossJoin(F.broadcast(total)).select("domain", "urls", (F.col("urls") / F.col("_total")).alias("share"))
@@ -78,3 +84,29 @@ def agreement(pairs: DataFrame) -> DataFrame:
 def differences(pairs: DataFrame, n: int = 10) -> DataFrame:
     gap = F.abs(F.col("score_a") - F.col("score_b"))
     return pairs.select("url", "score_a", "score_b", F.round(gap, 9).alias("gap")).orderBy(F.desc("gap"), "url").limit(n)
+
+
+def section(table: DataFrame, name: str, order: list[Column] | None = None) -> DataFrame:
+    """A report table of few rows as (section, rank, metric, value, text): a row for each of its values. Rows are ranked in
+    the given order; a table without one has its only row at 1. Numbers and flags stand in value, the others in text."""
+    ranked = table.withColumn("_rank", F.row_number().over(Window.orderBy(*order)) if order else F.lit(1))
+    number = lambda c, kind: F.lit(None).cast("double") if kind == "string" else F.col(c).cast("double")
+    text = lambda c, kind: F.col(c) if kind == "string" else F.lit(None).cast("string")
+    cells = F.array(*[F.struct(F.lit(c).alias("metric"), number(c, kind).alias("value"), text(c, kind).alias("text")) for c, kind in table.dtypes])
+    return ranked.select(F.lit(name).alias("section"), F.col("_rank").alias("rank"), F.explode(cells).alias("cell")).select("section", "rank", "cell.*")
+
+
+def sections(rows: DataFrame) -> dict[str, DataFrame]:
+    """All report tables of scored rows, each in its order."""
+    most = [F.desc("urls"), F.asc("domain")]
+    return {
+        "overall": section(overall(rows), "overall"), "by_source": section(by_source(rows), "by_source", [F.asc("data_source")]),
+        "curated_benchmark": section(curated_benchmark(rows), "curated_benchmark"), "lift": section(lift(rows), "lift"),
+        "best_urls": section(extreme_urls(rows), "best_urls", [F.desc("score"), F.asc("url")]), "worst_urls": section(extreme_urls(rows, best=False), "worst_urls", [F.asc("score"), F.asc("url")]),
+        "frequent_domains": section(frequent_domains(rows), "frequent_domains", most), "frequent_curated_domains": section(frequent_domains(rows, curated=True), "frequent_curated_domains", most),
+    }
+
+
+def summary(rows: DataFrame) -> DataFrame:
+    """The whole report of scored rows as one table (section, rank, metric, value, text)."""
+    return reduce(DataFrame.unionByName, sections(rows).values())

@@ -11,6 +11,8 @@ from ..config import DEFAULT, ScoringProfile
 from ..functions import urls
 
 LISTS = ("nsfw_domain", "quality_domain", "news_domain")
+#: What the second pass needs of the first.
+SECOND_PASS = ("domain", "score", "reputation_part", "domain_reputation_score", "contains_phishing", "is_nsfw_domain", "domain_entropy")
 
 
 def normalise_feed(feed: DataFrame, source: str = "input_data") -> DataFrame:
@@ -44,10 +46,10 @@ def featured(rows: DataFrame, profile: ScoringProfile = DEFAULT, lists: dict[str
 def anomalies(rows: DataFrame) -> DataFrame:
     """Adds length_anomaly and param_anomaly: more than two population deviations from the batch mean (deviation 0 counts
     as 1). The statistics are one row, joined to all."""
-    size, params = F.coalesce(F.length("url"), F.lit(0)), urls.counted(F.col("query"), "&")
+    size, params = F.coalesce(F.length("url"), F.lit(0)), urls.occurrences(F.col("query"), "&")
     one = lambda c: F.when(F.stddev_pop(c) > 0, F.stddev_pop(c)).otherwise(1.0)
     stats = rows.agg(F.avg(size).alias("len_mean"), one(size).alias("len_std"), F.avg(params).alias("param_mean"), one(params).alias("param_std"))
-    joined = rows.crossJoin(F.broadcast(stats))
+    joined = rows.join(F.broadcast(stats), how="left", on=F.lit(True))  # left, so that what needs no anomalies reads no statistics
     far = lambda c, of: F.abs(c - F.col(f"{of}_mean")) > 2 * F.col(f"{of}_std")
     return joined.withColumns({"length_anomaly": far(size, "len"), "param_anomaly": far(params, "param")}).drop(*stats.columns)
 
@@ -101,18 +103,27 @@ def frequencies(rows: DataFrame) -> DataFrame:
     return rows.join(counts, "domain").crossJoin(F.broadcast(total)).withColumn("domain_frequency_pct", F.col("domain_frequency") / F.col("_total")).drop("_total")
 
 
-def score_rules(rows: DataFrame, reputation: DataFrame | None = None, profile: ScoringProfile = DEFAULT, lists: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Pass 1 over (url, timestamp, ...): every part of the rule score is kept."""
-    return scored(with_reputation(anomalies(featured(rows, profile, lists)), reputation), profile)
+def score_rules(rows: DataFrame, reputation: DataFrame | None = None, profile: ScoringProfile = DEFAULT, lists: dict[str, DataFrame] | None = None, nsfw: list[str] = (), spam: list[str] = ()) -> DataFrame:
+    """Pass 1 over (url, timestamp, ...): every part of the rule score is kept. lists holds host lists by the names in LISTS,
+    nsfw and spam are keywords looked for in paths and queries."""
+    return scored(with_reputation(anomalies(featured(rows, profile, lists, nsfw, spam)), reputation), profile)
 
 
 def domain_stats(rows: DataFrame, exact: bool = True) -> DataFrame:
-    """Batch statistics of each domain with its content-diversity score; exact or approximate distinct segments."""
-    distinct = F.count_distinct if exact else F.approx_count_distinct
-    stats = rows.filter(F.col("domain").isNotNull() & (F.col("domain") != "")).groupBy("domain").agg(
-        F.avg("score").alias("mean_score"), F.count("*").alias("total_urls"), F.sum(F.col("is_spam").cast("int")).alias("malicious"),
-        F.stddev("score").alias("score_stddev"), distinct("segment1").alias("segments1"), distinct("segment2").alias("segments2"),
-    )
+    """Batch statistics of each domain with its content-diversity score; exact or approximate distinct segments.
+
+    Rows are summed up by domain and segments first, so that only these sums meet the exact distinct counts."""
+    known = rows.filter(F.col("domain").isNotNull() & (F.col("domain") != ""))
+    if exact:
+        parts = known.groupBy("domain", "segment1", "segment2").agg(F.count("*").alias("n"), F.count("score").alias("scored"), F.sum(F.col("is_spam").cast("int")).alias("bad"), F.sum("score").alias("s"), F.sum(F.col("score") * F.col("score")).alias("s2"))
+        sums = parts.groupBy("domain").agg(*[F.sum(c).alias(c) for c in ("n", "scored", "bad", "s", "s2")], F.count_distinct("segment1").alias("segments1"), F.count_distinct("segment2").alias("segments2"))
+        spread = F.greatest(F.lit(0.0), F.col("s2") - F.col("s") * F.col("s") / F.col("scored")) / (F.col("scored") - 1)
+        stats = sums.select("domain", (F.col("s") / F.nullif("scored", F.lit(0))).alias("mean_score"), F.col("n").alias("total_urls"), F.col("bad").alias("malicious"), F.when(F.col("scored") > 1, F.sqrt(spread)).alias("score_stddev"), "segments1", "segments2")
+    else:
+        stats = known.groupBy("domain").agg(
+            F.avg("score").alias("mean_score"), F.count("*").alias("total_urls"), F.sum(F.col("is_spam").cast("int")).alias("malicious"),
+            F.stddev("score").alias("score_stddev"), F.approx_count_distinct("segment1").alias("segments1"), F.approx_count_distinct("segment2").alias("segments2"),
+        )
     flag = lambda c, w: F.when(c, w).otherwise(0.0)
     diversity = flag(F.coalesce("score_stddev", F.lit(0.0)) > 0.8, 0.4) + flag(F.col("segments2") > 1000, 0.5) + flag(F.col("segments1") > 100, 0.1)
     return stats.withColumns({"benign": F.col("total_urls") - F.col("malicious"), "content_diversity_score": diversity})

@@ -2,26 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..functions.urls import CONTENT, MODEL_INPUTS
 from ..operators import curated, ml, scoring
+from ..sources import readers
+from ..sources.shared import cut_lineage, shared_folder
 from ..streaming import batches
-from .url_queries import SPLIT_L, feed, features_sql, rounded, scores
-
-
-def _folder(spark, name: str) -> str:
-    """A new folder where all executors can write."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp()
-    return f"{shared}/{name}-{uuid.uuid4().hex}"
+from .inputs import URLS, sql
+from .url_queries import SPLIT_L, feed, features_sql, r6, rounded, scored_sql, scores, split_sql
 
 
 def rss_curated(spark, sf_dir):
     """pages as an RSS day-file, landed and read back."""
-    path = _folder(spark, "rss")
+    path = shared_folder(spark, "rss")
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     item = F.concat(F.lit("<item><link>"), F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit("</link><title>t"), F.col("page_id").cast("string"), F.lit("</title><pubDate>Mon, 01 Sep 2025 10:00:00 +0000</pubDate></item>"))
     pages.select(item).write.option("compression", "gzip").text(path)
@@ -33,7 +27,7 @@ RSS_SQL = "select url, 'mediacloud' source_uri, 1756720800 epoch, 't' || page_id
 
 def wiki_curated(spark, sf_dir):
     """Pages as changed articles with the pages' urls as their links, landed and read back."""
-    path = _folder(spark, "wiki")
+    path = shared_folder(spark, "wiki")
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     title = F.concat(F.lit("Page "), F.pmod("page_id", F.lit(997)).cast("string"))
     change = F.struct(F.array(F.struct(title.alias("title"), F.lit("u").alias("user"), F.lit("2025-09-01T00:00:00Z").alias("timestamp"))).alias("recentchanges"))
@@ -57,25 +51,53 @@ def gbt_features(spark, sf_dir):
 
 
 def gbt_train_predict(spark, sf_dir):
-    """Trains on rule scores of all urls and predicts them."""
-    rows = scoring.featured(feed(spark, sf_dir)).persist()
-    model = ml.train(rows, ml.targets(scores(spark, sf_dir)), trees=10)
-    return rounded(ml.predict(rows, model))
+    """Trains on rule scores of all urls and predicts them, with the operator's own settings."""
+    rows = cut_lineage(ml.features(scoring.featured(feed(spark, sf_dir))))
+    return rounded(ml.predict_features(rows, ml.train_features(rows, ml.targets(scores(spark, sf_dir)))))
 
 
-def stream_batches(spark, sf_dir):
-    """The url feed as three landed files, scored as the stream scores them, one after the other; the reputation after the last."""
-    path = _folder(spark, "stream")
-    rows = feed(spark, sf_dir).select(F.unix_timestamp("timestamp").cast("string").alias("ts"), "url", F.when(F.col("flag") == "A", 0).when(F.col("flag") == "N", 1).otherwise(2).alias("part"))
-    for part in range(3):
-        rows.filter(F.col("part") == part).select("ts", "url").coalesce(1).write.option("sep", "\t").option("quote", "").option("escape", "").csv(f"{path}/landed-{part}")
-    for part in range(3):
-        batches.run_batch(batches.read_feed(spark, f"{path}/landed-{part}"), part, f"{path}/out")
-    return rounded(spark.read.parquet(f"{path}/out/reputation/batch=2").select("domain", "total_urls_seen", (F.col("malicious_urls_count") + F.col("benign_urls_count")).alias("judged")))
+def curated_files(spark, sf_dir):
+    """Pages as curated rows of tab-separated files with a header, landed and read back; every third lacks its url."""
+    path = shared_folder(spark, "curated")
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    url = F.when(F.col("page_id") % 3 > 0, F.col("url")).otherwise(F.when(F.col("page_id") % 2 == 0, " ").otherwise(""))
+    pages.select(url.alias("url"), F.lit("s").alias("source_uri"), F.lit("2024-01-01 00:00:00").alias("timestamp"), F.lit("").alias("user_text"), F.lit("rss").alias("source_type"), F.lit('{"a": 1}').alias("metadata")).write.option("sep", "\t").option("header", True).option("escape", '"').csv(path)
+    rows = curated.clean_curated(readers.read_curated(spark, path))
+    return rows.select("url", F.unix_timestamp("timestamp").alias("epoch"), "data_source")
+
 
+CURATED_SQL = "select distinct url, 1704067200 epoch, 'good_data' data_source from pages where page_id % 3 > 0 and trim(url) <> ''"
+PARTS = ("A", "N", "R")
 
-QUERIES = {"rss_curated": rss_curated, "wiki_curated": wiki_curated, "gbt_features": gbt_features, "gbt_train_predict": gbt_train_predict, "stream_batches": stream_batches}
-STREAM_SQL = f"with {SPLIT_L} select domain, count(distinct url) total_urls_seen, count(distinct url) judged from s group by domain"
+
+def stream_batches(spark, sf_dir):
+    """The url feed landed in three parts of several files each, taken up by the stream part by part; the reputation after the last."""
+    path, files = shared_folder(spark, "stream"), 4
+    rows = feed(spark, sf_dir).select(F.unix_timestamp("timestamp").cast("string").alias("ts"), "url", "flag")
+    for flag in PARTS:  # files are taken up in the order of their times
+        rows.filter(F.col("flag") == flag).select("ts", "url").repartition(files).write.mode("append").option("sep", "\t").option("quote", "").option("escape", "").csv(f"{path}/landed")
+    batches.start(spark, f"{path}/landed", f"{path}/out", f"{path}/checkpoint", files=files, names="part-*").awaitTermination()
+    last = spark.read.parquet(f"{path}/out/reputation/batch={len(PARTS) - 1}")
+    return rounded(last.select("domain", "reputation_score", "total_urls_seen", "malicious_urls_count", "benign_urls_count", "content_diversity_score"))
+
+
+QUERIES = {"curated_files": curated_files, "rss_curated": rss_curated, "wiki_curated": wiki_curated, "gbt_features": gbt_features, "gbt_train_predict": gbt_train_predict, "stream_batches": stream_batches}
+
+
+def _stream_sql() -> str:
+    """Each batch is scored with the reputation that the one before left."""
+    out = []
+    for i, flag in enumerate(PARTS):
+        stored = f"select domain, reputation_score, content_diversity_score from r{i - 1}" if i else None
+        out.append(f"""n{i} as (with src as (select distinct url, ts as timestamp from ({sql(URLS)}) where flag = '{flag}'), {split_sql('src')}, {scored_sql(stored)},
+  x as (select *, string_split(path, '/')[2] segment1, string_split(path, '/')[3] segment2 from scored)
+  select domain, avg(score) m, count(*) n, count(*) filter (is_spam) bad, case when coalesce(stddev(score), 0) > 0.8 then 0.4 else 0 end + case when count(distinct segment2) > 1000 then 0.5 else 0 end
+    + case when count(distinct segment1) > 100 then 0.1 else 0 end div from x group by domain)""")
+        old = f"r{i - 1}" if i else f"(select null as domain, null reputation_score, 0 total_urls_seen, 0 malicious_urls_count, 0 benign_urls_count, null content_diversity_score from n{i} limit 0)"
+        out.append(f"""r{i} as (select coalesce(o.domain, n.domain) as domain, coalesce(o.reputation_score * 0.9 + n.m * 0.1, n.m, o.reputation_score) reputation_score, coalesce(o.total_urls_seen, 0) + coalesce(n.n, 0) total_urls_seen,
+  coalesce(o.malicious_urls_count, 0) + coalesce(n.bad, 0) malicious_urls_count, coalesce(o.benign_urls_count, 0) + coalesce(n.n - n.bad, 0) benign_urls_count,
+  coalesce(o.content_diversity_score * 0.9 + n.div * 0.1, n.div, o.content_diversity_score) content_diversity_score from {old} o full join n{i} n on o.domain = n.domain)""")
+    return f"with {', '.join(out)} select domain, total_urls_seen, malicious_urls_count, benign_urls_count, {r6('reputation_score', 'content_diversity_score')} from r{len(PARTS) - 1}"
 
 
 def _gbt_sql() -> str:
@@ -93,4 +115,4 @@ def _gbt_sql() -> str:
     return f"with {SPLIT_L}, {features_sql()} select url, " + ", ".join(f"{given.get(c, one(c))} as {c}" for c in MODEL_INPUTS) + " from f"
 
 
-ORACLE_SQL = {"stream_batches": STREAM_SQL, "gbt_features": _gbt_sql(), "rss_curated": RSS_SQL, "wiki_curated": WIKI_SQL}
+ORACLE_SQL = {"curated_files": CURATED_SQL, "stream_batches": _stream_sql(), "gbt_features": _gbt_sql(), "rss_curated": RSS_SQL, "wiki_curated": WIKI_SQL}

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..config import AS_PUBLISHED
+from ..functions import urls
 from ..operators import curated, enhance, links, observations, pages, reports, scoring
 from ..sources import sinks
+from ..sources.shared import cut_lineage, shared_folder
 from . import url_queries as U
 from .inputs import CAPTURES, OBSERVED, sql, view
 from .url_queries import R, SCORED, feed, r6, reputation, rounded, scores, split_sql
@@ -18,6 +21,9 @@ EDGE_PAGES = """select * from (values
  ('http://a.org/3', 404, repeat('x', 200)), ('http://a.org/4', 200, 'tiny'), ('http://a.org/5', 200, cast(null as {S})),
  ('https://a.org/6', 200, concat('<meta name="robots" content="all"><link rel="canonical" href="/"><script type="application/ld+json">{}</script><meta property="og:title" content="t"><meta name="twitter:card" content="s"><a href="/c">Contact</a><a href="/p">Privacy</a><p>Copyright us</p>', repeat('<i style="display: none">h</i>', 6))),
  ('https://a.org/dir/7', 200, concat('<a href="//b.gov/x" title="t" rel="nofollow">read this page</a><a href="../up">up there now</a><a href="?q=1">query</a><a href="#f">frag</a><a href="https://bit.ly/x">fine words</a><a href="https://shop1.example.gov/y">shop one</a><a href="http://nytimes.com/n">paper</a><a href="http://c.tk/">see</a><a href="mailto:a@b">m</a><a href="http://d.com/">free money</a>', repeat(' ', 60)))
+, ('https://a.org/dir/8', 200, concat('<meta content=''', repeat('e', 70), ''' name=''description''><META NAME=robots CONTENT=all><link href=/c rel=canonical><title>Tom &amp; Jerry &#39;n co</title><img src=a alt=b><img alt='''' src=c>',
+  '<a href=''x.html?a=1&amp;b=2'' title=''t &lt; u''>single quoted</a><a class=z href=/bare>bare link here</a><a href="">blank one</a><a rel="me" href=''https://m.org/a>b''>odd &quot;mark&quot;</a><a name=top>no link</a><a href = "/spaced">spaced out</a>',
+  '<form><input type=''password''><input name=p type=password></form>', repeat('<i style=''visibility: hidden''>h</i>', 6), repeat('x', 100)))
 ) e(url, status_code, html)"""
 
 
@@ -50,6 +56,25 @@ def score_lift(spark, sf_dir):
     return rounded(reports.lift(scores(spark, sf_dir).withColumn("score", F.round("score", 9))))
 
 
+def summary_report(spark, sf_dir):
+    """All report sections as one table."""
+    rows = cut_lineage(scores(spark, sf_dir).select("url", "domain", F.round("score", 9).alias("score"), "confidence", "is_spam", "data_source"))
+    return rounded(reports.summary(rows))
+
+
+def summary_by_model(spark, sf_dir):
+    """The scores of two profiles, written as one tree with a folder a model, read back and summed up by model."""
+    path = shared_folder(spark, "models")
+    own = scores(spark, sf_dir).select("url", "score", "confidence", "is_spam", F.lit("documented").alias("model_name"))
+    other = scoring.score_rules(feed(spark, sf_dir), reputation(spark, sf_dir), AS_PUBLISHED).select("url", "score", "confidence", "is_spam", F.lit("as_published").alias("model_name"))
+    sinks.write_parquet(own.union(other), path, by_model=True)
+    return rounded(reports.overall(spark.read.parquet(path), "model_name"))
+
+
+def top_curated_domains(spark, sf_dir):
+    return rounded(reports.frequent_domains(scores(spark, sf_dir), curated=True))
+
+
 def top_frequent_domains(spark, sf_dir):
     return rounded(reports.frequent_domains(scores(spark, sf_dir)))
 
@@ -63,9 +88,11 @@ def worst_urls(spark, sf_dir):
 
 
 def _pairs(spark, sf_dir) -> DataFrame:
-    from ..config import AS_PUBLISHED
-
-    return reports.paired(scores(spark, sf_dir), scoring.score_rules(feed(spark, sf_dir), reputation(spark, sf_dir), AS_PUBLISHED))
+    """The verdicts of both profiles, of features that are derived once."""
+    rows = scoring.with_reputation(scoring.anomalies(scoring.featured(feed(spark, sf_dir))), reputation(spark, sf_dir))
+    both = scoring.scored(rows).withColumnsRenamed({"score": "score_a", "is_spam": "spam_a"})
+    both = scoring.scored(both.withColumns(urls.tld_flags(F.col("domain"), AS_PUBLISHED)), AS_PUBLISHED)
+    return both.groupBy("url").agg(F.max("score_a").alias("score_a"), F.max("score").alias("score_b"), F.max("spam_a").alias("spam_a"), F.max("is_spam").alias("spam_b"))
 
 
 def model_agreement(spark, sf_dir):
@@ -141,7 +168,7 @@ def archive_trust(spark, sf_dir):
 
 
 def sample_per_domain(spark, sf_dir):
-    return enhance.sample(scores(spark, sf_dir), limit=150)
+    return enhance.sample(scores(spark, sf_dir))
 
 
 def _enhanced(spark, sf_dir) -> DataFrame:
@@ -160,7 +187,16 @@ def enhanced_scores(spark, sf_dir):
     return rounded(_enhanced(spark, sf_dir).select("url", "score", "enhanced_score", "score_delta", "enhanced_confidence"))
 
 
+def enhanced_batch(spark, sf_dir):
+    """Scored urls, of which one a domain has its enhanced score and confidence in place of the plain ones."""
+    found = _enhanced(spark, sf_dir)
+    rows = found.select("url", "domain", "score", "confidence", urls.fingerprint(F.col("url")).alias("url_hash"))
+    better = found.join(enhance.sample(rows).select("url"), "url", "left_semi")
+    return rounded(enhance.merge_enhanced(rows, better).select("url", "domain", "score", "confidence"))
+
+
 def domain_volatility(spark, sf_dir):
+    """Etags and times of change count."""
     return rounded(enhance.volatility(_enhanced(spark, sf_dir)))
 
 
@@ -174,12 +210,47 @@ def insert_if_absent(spark, sf_dir):
     return sinks.absent(rows, rows.filter("source = 'good_data'")).select("url", "source")
 
 
-NAMES = ["summary_overall", "summary_by_source", "curated_benchmark", "score_lift", "top_frequent_domains", "best_urls", "worst_urls", "model_agreement", "model_score_diff", "union_dedupe_feeds", "content_quality", "trust_signals", "spam_indicators", "page_facts", "link_extract", "link_classes", "outlink_scores", "security_score", "request_outcome", "host_heuristic", "archive_metrics", "archive_trust", "sample_per_domain", "enhanced_scores", "domain_volatility", "store_rows", "insert_if_absent"]
+NAMES = ["summary_overall", "summary_by_source", "curated_benchmark", "score_lift", "summary_report", "summary_by_model", "top_curated_domains", "top_frequent_domains", "best_urls", "worst_urls", "model_agreement", "model_score_diff", "union_dedupe_feeds", "content_quality", "trust_signals", "spam_indicators", "page_facts", "link_extract", "link_classes", "outlink_scores", "security_score", "request_outcome", "host_heuristic", "archive_metrics", "archive_trust", "sample_per_domain", "enhanced_scores", "enhanced_batch", "domain_volatility", "store_rows", "insert_if_absent"]
 QUERIES = {name: globals()[name] for name in NAMES}
 
 # ---- the same in SQL ----
 
-HIDDEN, PARAGRAPH, TAG = pages.HIDDEN, pages.PARAGRAPH, pages.TAG
+#: Patterns of the comparison, written apart from the library's, for an engine with another kind of expressions.
+QUOTE = """["'']"""
+VALUE = r"""("[^"]*"|''[^'']*''|[^\s"''>]+)"""
+INSIDE = """(?:[^>"'']|"[^"]*"|''[^'']*'')*"""
+PARAGRAPH, TAG = r"(?is)<p(?:\s[^>]*)?>(.*?)</p>", "<[^>]*>"
+TITLE = r"(?is)<title\b[^>]*>(.*?)</title>"
+
+
+def hidden_sql(text: str) -> str:
+    for pattern in ("(?is)<!--.*?-->", "(?is)<script.*?</script>", "(?is)<style.*?</style>"):
+        text = f"regexp_replace({text}, '{pattern}', ' ', 'g')"
+    return text
+
+
+def decoded(text: str) -> str:
+    """Entities decoded: those that the pages hold."""
+    for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "''"), ("&nbsp;", " "), ("&copy;", "©"), ("&#39;", "''"), ("&amp;", "&")):
+        text = f"replace({text}, '{name}', '{char}')"
+    return text
+
+
+def attr_sql(tag: str, name: str) -> str:
+    raw = rf"""regexp_extract({tag}, '(?is)[\s"'']{name}\s*=\s*{VALUE}', 1)"""
+    return decoded(f"(case when regexp_matches({raw}, '^{QUOTE}') then substr({raw}, 2, length({raw}) - 2) else {raw} end)")
+
+
+def tag_sql(tag: str, name: str, value: str) -> str:
+    """Pattern of a tag with an attribute of a value."""
+    return rf"""(?is)<{tag}\b[^>]*[\s"'']{name}\s*=\s*["'']?{value}["''\s/>]"""
+
+
+ALT = r"""(?i)<img[^>]*\salt\s*=\s*("[^"]+"|''[^'']+''|[^\s"''>]+)"""
+HIDDEN_STYLE = r"""(?i)style\s*=\s*["''][^"'']*(?:display:\s*none|visibility:\s*hidden)"""
+GRAPH = r"""(?i)<meta[^>]*property\s*=\s*["'']?[^"''>]*og:"""
+ABOUT = attr_sql(f"list_filter(regexp_extract_all(html, '(?is)<meta{INSIDE}>'), lambda m: regexp_matches(m, '{tag_sql('meta', 'name', 'description')}'))[1]", "content")
+NAME = decoded(f"regexp_extract(body, '{TITLE}', 1)")
 
 
 def count(text: str, pattern: str) -> str:
@@ -199,32 +270,33 @@ def facts_sql(source: str) -> str:
     """CTE pf: page features of source (url, status_code, html)."""
     when = lambda c, w: f"case when {c} then {w} else 0 end"
     has = lambda p, w: when(f"regexp_matches(html, '{p}')", w)
-    return f"""p0 as (select url, status_code, coalesce(html, '') html, html is not null and status_code = 200 there, regexp_replace(coalesce(html, ''), '{HIDDEN}', ' ', 'g') body from {source}),
-p1 as (select *, there and length(html) >= 100 whole, length(trim(regexp_extract(body, '{pages.TITLE}', 1))) tl, length(trim(regexp_extract(html, '{pages.DESCRIPTION}', 1))) dl, {count('body', '(?i)<h[1-3][\\s>]')} hn,
-  {words_sql(f"array_to_string(regexp_extract_all(body, '{PARAGRAPH}', 1), ' ')")} wn, {count('body', '(?i)<img[\\s>]')} imgs, {count('body', '(?i)<img[^>]*\\salt="[^"]+"')} alts, {count('body', '(?i)<a\\s[^>]*href=')} ln, {count('html', '!')} marks from p0),
+    return f"""p0 as (select url, status_code, coalesce(html, '') html, html is not null and status_code = 200 there, {hidden_sql("coalesce(html, '')")} body from {source}),
+p1 as (select *, there and length(html) >= 100 whole, length(trim({NAME})) tl, coalesce(length(trim({ABOUT})), 0) dl, {count('body', '(?i)<h[1-3][\\s>]')} hn,
+  {words_sql(f"array_to_string(regexp_extract_all(body, '{PARAGRAPH}', 1), ' ')")} wn, {count('body', '(?i)<img[\\s>]')} imgs, {count('body', ALT)} alts, {count('body', '(?i)<a\\s[^>]*href\\s*=')} ln, {count('html', '!')} marks from p0),
 pf as (select url, whole has_content, case when whole then least(1.0, case when tl between 10 and 60 then 0.2 when tl > 60 then 0.1 else 0 end + case when dl between 50 and 160 then 0.2 when dl > 160 then 0.1 else 0 end
     + {when('hn >= 1', 0.1)} + {when('hn >= 3', 0.1)} + case when wn >= 300 then 0.2 when wn >= 100 then 0.1 else 0 end + case when imgs > 0 then alts / imgs * 0.1 else 0 end + {when('ln >= 5', 0.1)}) else 0 end content_quality,
-  case when whole then least(1.0, {has('(?i)<meta[^>]*name="robots"', 0.1)} + {has('(?i)<link[^>]*rel="canonical"', 0.1)} + {has('(?i)<script[^>]*type="application/ld\\+json"', 0.2)} + {has('(?i)<meta[^>]*property="[^"]*og:', 0.1)} + {has('(?i)<meta[^>]*name="twitter:card"', 0.1)}
-    + {when("contains(lower(url), 'https://')", 0.2)} + {when(f"{count('body', pages.CONTACT)} >= 2", 0.1)} + {when(f"regexp_matches(body, '{pages.RIGHTS}')", 0.1)}) else 0 end content_trust,
-  case when whole then least(1.0, least(({PHRASES}) * 0.1, 0.5) + least({count('html', '[A-Z]{5,}')} * 0.02, 0.3) + case when marks > 10 then least(marks * 0.01, 0.2) else 0 end + {has(pages.POPUP, 0.2)} + {has('(?i)<meta[^>]*http-equiv="refresh"', 0.3)}
-    + {when(f"{count('html', pages.HIDDEN_STYLE)} > 5", 0.2)} + len(list_filter(regexp_extract_all(html, '(?is)<form.*?</form>'), lambda f: {count('f', pages.PASSWORD)} > 1)) * 0.2) when there then 0.5 else 1.0 end content_spam,
-  case when whole then {words_sql('body')} else 0 end word_count, case when whole then trim(regexp_extract(body, '{pages.TITLE}', 1)) else '' end title, whole and regexp_matches(body, '(?i)<img[\\s>]') has_images,
+  case when whole then least(1.0, {has(tag_sql('meta', 'name', 'robots'), 0.1)} + {has(tag_sql('link', 'rel', 'canonical'), 0.1)} + {has(tag_sql('script', 'type', 'application/ld[+]json'), 0.2)} + {has(GRAPH, 0.1)} + {has(tag_sql('meta', 'name', 'twitter:card'), 0.1)}
+    + {when("contains(lower(url), 'https://')", 0.2)} + {when(f"{count('body', '(?i)>[^<]*(?:contact|about|privacy|terms)[^<]*<')} >= 2", 0.1)} + {when(f"regexp_matches(body, '(?i)>[^<]*(?:copyright|©|[(]c[)])[^<]*<')", 0.1)}) else 0 end content_trust,
+  case when whole then least(1.0, least(({PHRASES}) * 0.1, 0.5) + least({count('html', '[A-Z]{5,}')} * 0.02, 0.3) + case when marks > 10 then least(marks * 0.01, 0.2) else 0 end + {has('(?is)<script[^>]*>[^<]*(?:alert|popup|window[.]open)', 0.2)} + {has(tag_sql('meta', 'http-equiv', 'refresh'), 0.3)}
+    + {when(f"{count('html', HIDDEN_STYLE)} > 5", 0.2)} + len(list_filter(regexp_extract_all(html, '(?is)<form.*?</form>'), lambda f: {count('f', tag_sql('input', 'type', 'password'))} > 1)) * 0.2) when there then 0.5 else 1.0 end content_spam,
+  case when whole then {words_sql('body')} else 0 end word_count, case when whole then trim({NAME}) else '' end title, whole and regexp_matches(body, '(?i)<img[\\s>]') has_images,
   whole and regexp_matches(body, '(?i)<form[\\s>]') has_forms, case when whole then length(html) else 0 end content_length from p1)"""
 
 
 def links_sql(source: str) -> str:
     """CTEs up to cl: classified links of source (url, html)."""
-    attr = lambda name: f"""regexp_extract(head, '(?is)\\s{name}="([^"]*)"', 1)"""
+
     local = "case when starts_with(href, '/') then href else case when folder = '' then '/' else folder end || href end"
     dots = f"""case when contains({local}, '/./') or contains({local}, '/../') then regexp_replace(regexp_replace({local}, '/\\./', '/', 'g'), '[^/]+/\\.\\./', '', 'g') else {local} end"""
     among = lambda names: "(" + " or ".join(f"link_host = '{x}' or ends_with(link_host, '.{x}')" for x in names) + ")"
     says = lambda c: "(" + " or ".join(f"contains(lower({c}), '{p}')" for p in links.PHRASES) + ")"
     pattern = r"^(?:[a-z]+:)?//([^/?#:]+)([^?#]*)(?:\?([^#]*))?.*$"
-    return f"""a0 as (select url page_url, unnest(regexp_extract_all(regexp_replace(coalesce(html, ''), '{HIDDEN}', ' ', 'g'), '{links.ANCHOR}')) a from {source}),
-a1 as (select page_url, regexp_extract(a, '(?s)^<[^>]*>') head, trim(regexp_replace(a, '<[^>]*>', '', 'g')) text from a0),
-a2 as (select *, trim({attr('href')}) href, {attr('title')} title, {attr('rel')} rel, regexp_extract(page_url, '^[a-z]+://[^/?#]+') origin, regexp_extract(page_url, '^[^?#]*') base, regexp_extract(regexp_extract(page_url, '^[^?#]*'), '^[a-z]+://[^/?#]+(.*/)', 1) folder from a1),
+    return f"""a0 as (select url page_url, unnest(regexp_extract_all({hidden_sql("coalesce(html, '')")}, '(?is)<a\\s{INSIDE}>.*?</a>')) a from {source}),
+a01 as (select *, regexp_extract(a, '(?is)^<a\\s{INSIDE}>') head from a0),
+a1 as (select page_url, head, trim({decoded("regexp_replace(substr(a, length(head) + 1), '<[^>]*>', '', 'g')")}) text from a01),
+a2 as (select *, trim({attr_sql('head', 'href')}) href, {attr_sql('head', 'title')} title, {attr_sql('head', 'rel')} rel, regexp_extract(page_url, '^[a-z]+://[^/?#]+') origin, regexp_extract(page_url, '^[^?#]*') base, regexp_extract(regexp_extract(page_url, '^[^?#]*'), '^[a-z]+://[^/?#]+(.*/)', 1) folder from a1),
 ex as (select page_url, case when regexp_matches(href, '^[a-zA-Z][a-zA-Z0-9+.-]*:') then href when starts_with(href, '//') then string_split(page_url, '//')[1] || href when href = '' then page_url
-  when starts_with(href, '#') then regexp_extract(page_url, '^[^#]*') || href when starts_with(href, '?') then base || href else origin || {dots} end link_url, text, title, rel from a2),
+  when starts_with(href, '#') then regexp_extract(page_url, '^[^#]*') || href when starts_with(href, '?') then base || href else origin || {dots} end link_url, text, title, rel from a2 where href <> ''),
 l0 as (select * from ex where regexp_matches(lower(link_url), '^https?://')),
 l1 as (select *, coalesce(nullif(regexp_extract(lower(link_url), '{pattern}', 1), ''), 'unknown.invalid') link_host, coalesce(nullif(regexp_extract(lower(page_url), '{pattern}', 1), ''), 'unknown.invalid') source_host from l0),
 cl as (select l1.*, case when rep >= 0.3 then 'quality' when rep < -0.5 then 'spam' when rep < -0.1 then 'suspicious' when {among(links.SHORTENERS)} or {says('text')} or {says('title')} then 'spam' when {among(links.NEWS)} then 'news'
@@ -251,21 +323,28 @@ m as (select url, archive_count, successful, failed, {days('f')} days_since_firs
 
 
 OUT = f"oc as (select *, error_type is null accessible, case when error_type is null then null when error_type in ('ssl', 'connection', 'timeout') then error_type else 'unknown' end error_class from ({sql(OBSERVED)}))"
-OUT2 = "oo as (select url, accessible, case when accessible then status_code else 0 end status_code, case when error_class = 'timeout' then 10.0 when not accessible then 0.0 else response_time end response_time, case when accessible then redirect_count else 0 end redirect_count, error_class, etag from oc)"
+OUT2 = "oo as (select url, accessible, case when accessible then status_code else 0 end status_code, case when error_class = 'timeout' then 10.0 when not accessible then 0.0 else response_time end response_time, case when accessible then redirect_count else 0 end redirect_count, error_class, etag, last_modified from oc)"
 C = sql(CAPTURES)
 ENHANCED = f"""with {OUT}, {OUT2}, src as (select url, timestamp '{NOW}' as timestamp from oc), {split_sql('src')}, {U.scored_sql(R)},
 page as (select oc.url url, 200 status_code, html from oc join pages on page_id = cast(string_split(oc.url, '/')[-1] as bigint)), {facts_sql('page')}, {links_sql('page')}, {outlinks_sql('page')},
 {archive_sql(f"select string_split(url, '/item-')[1] || '/o/' || string_split(url, '-')[-1] url, ts, status from ({C})")},
-en as (select scored.url, scored.domain, oo.etag, score, score
+en as (select scored.url, scored.domain, oo.etag, oo.last_modified, score, confidence, score
   + case when accessible and status_code = 200 and has_content then content_quality * 0.3 + content_trust * 0.2 - content_spam * 0.4 else 0 end + case when accessible and status_code = 200 and total > 0 then quality_ratio * 0.15 - spam_ratio * 0.25 else 0 end
   + case when not accessible then -0.5 else case when status_code = 200 then 0.1 when status_code >= 400 then -0.3 else 0 end - case when redirect_count > 3 then 0.1 else 0 end - case when response_time > 5 then 0.05 else 0 end end
   + case when archived then case when days_since_last between 0 and 29 then 0.1 when days_since_last > 365 then -0.1 else 0 end + least(archive_count / 100, 0.2) else -0.2 end enhanced_score,
   least(confidence + 0.1 * (cast(accessible and status_code = 200 and coalesce(has_content, false) as int) + cast(accessible and status_code = 200 and coalesce(total, 0) > 0 as int) + cast(accessible as int) + cast(coalesce(archived, false) as int)), 1.0) enhanced_confidence
   from scored join oo using (url) left join pf using (url) left join ol using (url) left join m using (url))"""
 PUBLISHED = f"with {U.SPLIT_L}, {U.PUBLISHED}, {{rest}}"
-PAIRS = f"""pub as materialized (with {U.SPLIT_L}, {U.PUBLISHED} select url, score score_b, is_spam spam_b from scored), own as materialized (with {SCORED} select url, score score_a, is_spam spam_a from scores), pairs as (select * from own join pub using (url))"""
+PAIRS = f"""pub as materialized (with {U.SPLIT_L}, {U.PUBLISHED} select url, score score_b, is_spam spam_b, confidence confidence_b from scored), own as materialized (with {SCORED} select url, score score_a, is_spam spam_a, confidence confidence_a from scores), pairs as (select * from own join pub using (url))"""
 TOP = "select url, round(round(score, 9), 6) score, round(confidence, 6) confidence, domain, data_source from scores order by round(score, 9) {}, url limit 10"
 
+
+def section_sql(name: str, table: str, numbers: list[str], texts: list[str], order: str = "1") -> str:
+    """A report table as rows of (section, rank, metric, value, text)."""
+    cells = [f"""{{'metric': '{c}', 'value': cast("{c}" as double), 'text': null}}""" for c in numbers] + [f"""{{'metric': '{c}', 'value': null, 'text': "{c}"}}""" for c in texts]
+    return f"select '{name}' section, cast(rank_ as int) rank, cell.metric metric, cell.value as value, cell.text as text from (select rank_, unnest([{', '.join(cells)}]) cell from (select *, row_number() over (order by {order}) rank_ from ({table})))"
+
+
 ORACLE_SQL = {
     "summary_overall": f"""with {SCORED} select count(*) total, count(distinct url) distinct_urls, count(*) filter (is_spam) spam, count(*) filter (not is_spam) not_spam, round(avg(score), 6) avg_score, round(avg(confidence), 6) avg_confidence,
 round(stddev(score), 6) score_stddev, round(quantile_disc(score, 0.5), 6) p50, round(quantile_disc(score, 0.75), 6) p75, round(quantile_disc(score, 0.95), 6) p95 from scores""",
@@ -276,6 +355,10 @@ round(count(*) filter (data_source = 'good_data' and is_spam) / curated, 6) spam
 t as (select count(*) filter (data_source = 'good_data') n from (select * from s9 order by score desc, url limit 10)), b as (select count(*) filter (data_source = 'good_data') n from (select * from s9 order by score, url limit 10))
 select round(c, 6) curated_avg, round(i, 6) input_avg, round(c - i, 6) lift, round(case when i > 0 then (c - i) / i * 100 end, 6) lift_percent, t.n in_top, b.n in_bottom, case when c - i > 0.5 then 'EXCELLENT' when c - i > 0.2 then 'GOOD' when c - i > 0 then 'FAIR' else 'POOR' end grade from x, t, b""",
     "top_frequent_domains": f"with {SCORED} select domain, count(*) urls, round(count(*) / (select count(*) from scores), 6) share from scores group by domain order by urls desc, domain limit 10",
+    "top_curated_domains": f"with {SCORED}, good as (select * from scores where data_source = 'good_data') select domain, count(*) urls, round(count(*) / (select count(*) from good), 6) share from good group by domain order by urls desc, domain limit 10",
+    "summary_by_model": f"""with {PAIRS}, both_ as (select url, score_a score, spam_a is_spam, confidence_a confidence, 'documented' model_name from own union all select url, score_b, spam_b, confidence_b, 'as_published' from pub)
+select model_name, count(*) total, count(distinct url) distinct_urls, count(*) filter (is_spam) spam, count(*) filter (not is_spam) not_spam, round(avg(score), 6) avg_score, round(avg(confidence), 6) avg_confidence,
+round(stddev(score), 6) score_stddev, round(quantile_disc(score, 0.5), 6) p50, round(quantile_disc(score, 0.75), 6) p75, round(quantile_disc(score, 0.95), 6) p95 from both_ group by model_name""",
     "best_urls": f"with {SCORED} {TOP.format('desc')}",
     "worst_urls": f"with {SCORED} {TOP.format('asc')}",
     "model_agreement": f"with {PAIRS}, st as (select corr(score_a, score_b) c, avg(cast(spam_a = spam_b as double)) g from pairs) select spam_a, spam_b, count(*) urls, round(any_value(c), 6) correlation, round(any_value(g), 6) agreement from pairs, st group by spam_a, spam_b",
@@ -297,10 +380,23 @@ when len(string_split(domain, '.')) > 2 and not regexp_matches(domain, '^(www|bl
     "archive_trust": f"""with {archive_sql(C)} select url, round(case when archived then least(1.0, case when archive_count >= 50 then 0.3 when archive_count >= 20 then 0.2 when archive_count >= 5 then 0.1 else 0 end
 + case when days_since_last <= 30 then 0.2 when days_since_last <= 90 then 0.15 when days_since_last <= 365 then 0.1 when days_since_last <= 1095 then 0.05 else 0 end
 + case when days_since_first >= 1095 then 0.2 when days_since_first >= 365 then 0.15 when days_since_first >= 180 then 0.1 else 0 end + successful / archive_count * 0.2 + case when per_day > 0.1 then 0.1 when per_day > 0.01 then 0.05 else 0 end) else 0 end, 6) archive_trust from m""",
-    "sample_per_domain": f"with {SCORED}, x as (select domain, url, md5(url || '42') h, row_number() over (partition by domain order by md5(url || '42'), url) n from scores) select domain, url from x where n = 1 order by h limit 150",
+    "sample_per_domain": f"with {SCORED}, x as (select domain, url, md5(url || '42') h, row_number() over (partition by domain order by md5(url || '42'), url) n from scores) select domain, url from x where n = 1 order by h limit 6500",
     "enhanced_scores": f"{ENHANCED} select url, {r6('score', 'enhanced_score')}, round(enhanced_score - score, 6) score_delta, {r6('enhanced_confidence')} from en",
-    "domain_volatility": f"""{ENHANCED}, v as (select domain, avg(enhanced_score - score) mean_delta, count(*) urls, count(distinct etag) / count(*) volatility from en group by domain)
+    "enhanced_batch": f"""{ENHANCED}, best as (select domain, min_by(url, md5(url || '42')) url, min(md5(url || '42')) h from en group by domain order by h limit 6500)
+select en.url, en.domain, round(case when best.url is not null then enhanced_score else score end, 6) score, round(case when best.url is not null then enhanced_confidence else confidence end, 6) confidence from en left join best on en.url = best.url""",
+    "domain_volatility": f"""{ENHANCED}, v as (select domain, avg(enhanced_score - score) mean_delta, count(*) urls, (count(distinct etag) + count(distinct last_modified)) / count(*) volatility from en group by domain)
 select domain, {r6('mean_delta')}, urls, {r6('volatility')}, cast(floor(greatest(1, 720 * (1 - least(volatility, 2) / 2))) as int) revisit_hours from v""",
     "store_rows": f"with {SCORED} select url, data_source source, 'processed' status, {r6('score')}, domain meta_domain, cast(is_spam as varchar) meta_spam from scores",
     "insert_if_absent": f"with {SCORED} select distinct url, data_source source from scores where data_source <> 'good_data'",
 }
+SHOWN = ["score", "confidence"]
+ORACLE_SQL["summary_report"] = " union all ".join([
+    section_sql("overall", ORACLE_SQL["summary_overall"], ["total", "distinct_urls", "spam", "not_spam", "avg_score", "avg_confidence", "score_stddev", "p50", "p75", "p95"], []),
+    section_sql("by_source", ORACLE_SQL["summary_by_source"], ["urls", "avg_score", "spam"], ["data_source"], "data_source"),
+    section_sql("curated_benchmark", ORACLE_SQL["curated_benchmark"], ["curated", "share", "p75", "p95", "spam_rate", "clean_rate"], []),
+    section_sql("lift", ORACLE_SQL["score_lift"], ["curated_avg", "input_avg", "lift", "lift_percent", "in_top", "in_bottom"], ["grade"]),
+    section_sql("best_urls", ORACLE_SQL["best_urls"], SHOWN, ["url", "domain", "data_source"], "score desc, url"),
+    section_sql("worst_urls", ORACLE_SQL["worst_urls"], SHOWN, ["url", "domain", "data_source"], "score, url"),
+    section_sql("frequent_domains", ORACLE_SQL["top_frequent_domains"], ["urls", "share"], ["domain"], "urls desc, domain"),
+    section_sql("frequent_curated_domains", ORACLE_SQL["top_curated_domains"], ["urls", "share"], ["domain"], "urls desc, domain"),
+])

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..config import AS_PUBLISHED
 from ..functions import urls
 from ..operators import domains, scoring
-from .inputs import EDGES, REPUTATION, URLS, sql, view
+from ..sources.shared import cut_lineage
+from .inputs import EDGES, FEED, HOSTS, KEYWORDS, REPUTATION, URLS, sql, view
 
 NUMBERS = 6
 PUBLIC = ["url", "domain", "score", "confidence", "is_spam", "risk_score", "trust_score", "composite_score", "url_hash", "domain_reputation_score"]
@@ -30,8 +31,12 @@ def scores(spark, sf_dir) -> DataFrame:
     return scoring.score_rules(feed(spark, sf_dir), reputation(spark, sf_dir)).withColumn("data_source", F.when(F.col("flag") == "A", "good_data").otherwise("input_data"))
 
 
+def host_lists(spark, sf_dir) -> dict[str, DataFrame]:
+    return {name: view(spark, sf_dir, text) for name, text in HOSTS.items()}
+
+
 def feed_normalise(spark, sf_dir):
-    rows = scoring.normalise_feed(view(spark, sf_dir, EDGES))
+    rows = scoring.normalise_feed(view(spark, sf_dir, FEED))
     return rows.select("url", F.unix_timestamp("timestamp").alias("epoch"), "data_source")
 
 
@@ -44,11 +49,12 @@ def url_split(spark, sf_dir):
     return scoring.split_urls(pages_and_edges(spark, sf_dir)).select("url", "domain", "path", "query", "segment1", "segment2")
 
 
-FLAGS = ["very_short_url", "very_long_url", "no_scheme", "suspicious_tld", "trustworthy_tld", "has_ip_address", "is_url_shortener", "suspicious_chars_path", "excessive_params", "domain_is_numeric_heavy", "domain_hyphen_heavy", "domain_entropy", "path_entropy", "vowel_consonant_ratio", "is_malformed_url", "path_depth", "is_root_page", "is_ugc_path", "path_has_article_slug", "path_has_date", "path_is_descriptive", "contains_download", "contains_phishing", "contains_financial", "contains_urgency", "is_media_or_api", "path_contains_sensitive"]
+FLAGS = ["very_short_url", "very_long_url", "no_scheme", "suspicious_tld", "trustworthy_tld", "has_ip_address", "is_url_shortener", "suspicious_chars_path", "excessive_params", "domain_is_numeric_heavy", "domain_hyphen_heavy", "domain_entropy", "path_entropy", "vowel_consonant_ratio", "is_malformed_url", "path_depth", "is_root_page", "is_ugc_path", "path_has_article_slug", "path_has_date", "path_is_descriptive", "contains_download", "contains_phishing", "contains_financial", "contains_urgency", "is_media_or_api", "path_contains_sensitive", "path_keyword_stuffing", "excessive_subdomains", "excessive_encoding", "long_query", "short_domain", "very_long_domain", "has_invalid_timestamp", "is_nsfw_content", "is_spam_content", "is_nsfw_domain", "is_quality_domain", "is_news_domain"]
 
 
 def url_features_rules(spark, sf_dir):
-    return rounded(scoring.featured(feed(spark, sf_dir)).select("url", *FLAGS))
+    rows = scoring.featured(feed(spark, sf_dir), lists=host_lists(spark, sf_dir), nsfw=KEYWORDS["nsfw"], spam=KEYWORDS["spam"])
+    return rounded(rows.select("url", *FLAGS))
 
 
 def host_entropy(spark, sf_dir):
@@ -64,8 +70,14 @@ def score_rules(spark, sf_dir):
     return rounded(scores(spark, sf_dir).select(*PUBLIC))
 
 
+def score_with_lists(spark, sf_dir):
+    """Scores with host lists and keywords."""
+    rows = scoring.score_rules(feed(spark, sf_dir), reputation(spark, sf_dir), lists=host_lists(spark, sf_dir), nsfw=KEYWORDS["nsfw"], spam=KEYWORDS["spam"])
+    return rounded(rows.select(*PUBLIC))
+
+
 def bad_row_fallback(spark, sf_dir):
-    rows = scoring.frequencies(scoring.score_rules(scoring.normalise_feed(view(spark, sf_dir, EDGES))))
+    rows = scoring.frequencies(scoring.score_rules(scoring.normalise_feed(view(spark, sf_dir, FEED))))
     out = scoring.conform(rows)
     return rounded(out.select("url", "domain", "score", "confidence", "is_spam", "domain_frequency", "data_source"))
 
@@ -84,7 +96,7 @@ def domain_frequency(spark, sf_dir):
 
 
 def rescore_batch(spark, sf_dir):
-    rows = scores(spark, sf_dir)
+    rows = cut_lineage(scores(spark, sf_dir).select(*scoring.SECOND_PASS, "url", "is_spam", "segment1", "segment2"))
     out = scoring.rescore(rows, scoring.domain_stats(rows))
     return rounded(out.select("url", "score", "batch_reputation", "rescored", "is_spam_final"))
 
@@ -139,15 +151,17 @@ def reputation_summary(spark, sf_dir):
 def profile_as_published(spark, sf_dir):
     """Scores under the published modes: suffix sets never match, the second pass ignores diversity."""
     rows = scoring.score_rules(feed(spark, sf_dir), reputation(spark, sf_dir), AS_PUBLISHED)
+    rows = cut_lineage(rows.select(*scoring.SECOND_PASS, "url", "is_spam", "segment1", "segment2"))
     return rounded(scoring.rescore(rows, scoring.domain_stats(rows), AS_PUBLISHED).select("url", "score", "is_spam", "rescored"))
 
 
-NAMES = ["feed_normalise", "url_split", "url_features_rules", "host_entropy", "url_anomalies", "score_rules", "bad_row_fallback", "domain_stats_exact", "domain_stats_approx", "domain_frequency", "rescore_batch", "merge_partial_stats", "reputation_upsert", "reputation_history_ema", "top_domains", "worst_domains", "domains_by_category", "all_domains_ranked", "domain_lookup", "reputation_summary", "profile_as_published"]
+NAMES = ["feed_normalise", "url_split", "url_features_rules", "host_entropy", "url_anomalies", "score_rules", "score_with_lists", "bad_row_fallback", "domain_stats_exact", "domain_stats_approx", "domain_frequency", "rescore_batch", "merge_partial_stats", "reputation_upsert", "reputation_history_ema", "top_domains", "worst_domains", "domains_by_category", "all_domains_ranked", "domain_lookup", "reputation_summary", "profile_as_published"]
 QUERIES = {name: globals()[name] for name in NAMES}
 
 # ---- the same in SQL ----
 
 E_CLEAN = f"e as (select id, ts, trim(regexp_replace(url, '\"\"\\s*target=.*$', ''), '\"') url from ({sql(EDGES)}))"
+F_CLEAN = f"e as (select ts, trim(regexp_replace(url, '\"\"\\s*target=.*$', ''), '\"') url from ({sql(FEED)}))"
 EPOCH = "coalesce(try_cast(ts as bigint), cast(epoch(try_cast(ts as timestamptz)) as bigint))"
 
 
@@ -163,7 +177,14 @@ def n(text: str, char: str) -> str:
     return f"(length({text}) - length(replace({text}, '{char}', '')))"
 
 
-def features_sql(dot: str = "") -> str:
+def lists_sql(lists: bool) -> str:
+    """Membership in the host lists and keywords of inputs, or in none."""
+    among = {f"is_{k}": f"domain in ({sql(text)})" for k, text in HOSTS.items()}
+    among |= {f"is_{k}_content": " or ".join(f"contains(path || '?' || query, '{w}')" for w in words) for k, words in KEYWORDS.items()}
+    return ", ".join(f"{c if lists else 'false'} as {k}" for k, c in among.items())
+
+
+def features_sql(dot: str = "", lists: bool = False) -> str:
     """CTE f: rule features over s with a null-able column timestamp."""
     suffix = "case when contains(domain, '.') then string_split(domain, '.')[-1] else '' end"
     pq = "(path || '?' || query)"
@@ -178,22 +199,23 @@ def features_sql(dot: str = "") -> str:
   {n('domain', '-')} > 2 domain_hyphen_heavy, {entropy('domain')} domain_entropy, {entropy('path')} path_entropy,
   {count('domain', '[aeiou]')} / greatest({count('domain', '[bcdfghjklmnpqrstvwxyz]')}, 1) vowel_consonant_ratio, domain = 'unknown.invalid' is_malformed_url, timestamp is null has_invalid_timestamp,
   {n('path', '/')} path_depth, path in ('/', '') is_root_page, regexp_matches(path, '/(user|profile|c|channel|u)/') is_ugc_path, regexp_matches(path, '/[a-z0-9-]+-[0-9]{{4,}}/?') path_has_article_slug,
-  regexp_matches(path, '/20[0-9]{{2}}/[0-9]{{1,2}}/') path_has_date, {n('path', '-')} >= 2 and length(path) > 15 path_is_descriptive, {content} from s)"""
+  regexp_matches(path, '/20[0-9]{{2}}/[0-9]{{1,2}}/') path_has_date, {n('path', '-')} >= 2 and length(path) > 15 path_is_descriptive, {content},
+  {n('domain', '.')} > 4 excessive_subdomains, length(query) > 150 long_query, length(domain) < 6 short_domain, length(domain) > 25 very_long_domain, {lists_sql(lists)} from s)"""
 
 
-def scored_sql(reputation_sql: str | None, dot: str = "", spam: str = "round(score, 9) < -1.8 or contains_phishing or domain_entropy > 4.2") -> str:
+def scored_sql(reputation_sql: str | None, dot: str = "", spam: str = "round(score, 9) < -1.8 or contains_phishing or is_nsfw_domain or domain_entropy > 4.2", lists: bool = False) -> str:
     """CTEs up to `scored` over s."""
     from ..config import DEFAULT
 
-    risk = " + ".join(f"case when {k} then {w} else 0 end" for k, w in DEFAULT.risk.items() if k not in ("is_nsfw_content", "is_spam_content", "is_nsfw_domain"))
+    risk = " + ".join(f"case when {k} then {w} else 0 end" for k, w in DEFAULT.risk.items())
     rep = f"left join ({reputation_sql}) rr using (domain)" if reputation_sql else "cross join (select null reputation_score, null content_diversity_score) rr"
-    return f"""{features_sql(dot)},
+    return f"""{features_sql(dot, lists)},
 stats as (select avg(coalesce(length(url), 0)) lm, stddev_pop(coalesce(length(url), 0)) ls, avg({n('query', '&')}) pm, stddev_pop({n('query', '&')}) ps from s),
 j as (select f.*, abs(coalesce(length(url), 0) - lm) > 2 * (case when ls > 0 then ls else 1 end) length_anomaly, abs({n('query', '&')} - pm) > 2 * (case when ps > 0 then ps else 1 end) param_anomaly,
   coalesce(rr.reputation_score, 0) domain_reputation_score, coalesce(rr.content_diversity_score, 0) domain_diversity from f {rep} cross join stats),
 k as (select *, {risk} risk_score, domain_entropy < 3.3 and not domain_is_numeric_heavy and not domain_hyphen_heavy readable,
   case when readable and (path_has_article_slug or path_has_date or path_is_descriptive) then 0.6 + 0.1 * (least(greatest(path_depth, 2), 6) - 2) else 0 end - case when path_depth > 10 then 1 else 0 end path_score,
-  case when trustworthy_tld then 1.2 else 0 end + path_score + case when readable then 0.25 else 0 end trust_score,
+  case when trustworthy_tld then 1.2 else 0 end + case when is_quality_domain then 0.8 else 0 end + case when is_news_domain then 1.2 else 0 end + path_score + case when readable then 0.25 else 0 end trust_score,
   domain_reputation_score * 0.2 * (1 - least(greatest(domain_diversity, 0), 1)) reputation_part from j),
 scored as (select *, trust_score - risk_score - case when very_long_url then 0.5 else 0 end - greatest(0, (domain_entropy - 3.5) * 0.6) - greatest(0, (path_entropy - 4.2) * 0.5)
   + least(greatest(vowel_consonant_ratio * 0.25, -0.25), 0.25) + reputation_part - case when length_anomaly then 0.2 else 0 end - case when param_anomaly then 0.2 else 0 end score,
@@ -220,13 +242,14 @@ FEATURE_COLUMNS = ", ".join(f"round({c}, 6) {c}" if c.endswith(("entropy", "rati
 PUBLISHED = scored_sql(R, dot=".")
 
 ORACLE_SQL = {
-    "feed_normalise": f"with {E_CLEAN} select url, {EPOCH} epoch, 'input_data' data_source from e",
+    "feed_normalise": f"with {F_CLEAN} select url, {EPOCH} epoch, 'input_data' data_source from e",
     "url_split": f"with {E_CLEAN}, src as (select url from pages union all select url from e), {split_sql('src')} select url, domain, path, query, string_split(path, '/')[2] segment1, string_split(path, '/')[3] segment2 from s",
-    "url_features_rules": f"with {SPLIT_L}, {features_sql()} select url, {FEATURE_COLUMNS} from f",
+    "url_features_rules": f"with {SPLIT_L}, {features_sql(lists=True)} select url, {FEATURE_COLUMNS} from f",
     "host_entropy": f"with src as (select url from pages), {split_sql('src')} select distinct domain, round(case when length(domain) > 1 then list_entropy(string_split(domain, '')) else 0 end, 6) entropy from s",
     "url_anomalies": f"with {SPLIT_L}, {scored_sql(None)} select url, length_anomaly, param_anomaly from j",
     "score_rules": f"with {SCORED} select url, domain, {r6('score', 'confidence')}, is_spam, {r6('risk_score', 'trust_score', 'composite_score')}, url_hash, {r6('domain_reputation_score')} from scores",
-    "bad_row_fallback": f"""with {E_CLEAN}, src as (select url, {EPOCH} as timestamp from e), {split_sql('src')}, {scored_sql(None)},
+    "score_with_lists": f"with {SPLIT_L}, {scored_sql(R, lists=True)} select url, domain, {r6('score', 'confidence')}, is_spam, {r6('risk_score', 'trust_score', 'composite_score')}, url_hash, {r6('domain_reputation_score')} from scored",
+    "bad_row_fallback": f"""with {F_CLEAN}, src as (select url, {EPOCH} as timestamp from e), {split_sql('src')}, {scored_sql(None)},
 x as (select *, url is null or trim(url) = '' bad, count(*) over (partition by domain) fr from scored)
 select substr(coalesce(url, 'invalid_url'), 1, 1000) url, case when bad then 'unknown.invalid' else domain end as domain, round(case when bad then -2 else score end, 6) score, round(case when bad then 0.1 else confidence end, 6) confidence, bad or is_spam is_spam, case when bad then 1 else fr end domain_frequency, 'input_data' data_source from x""",
     "domain_stats_exact": f"with {STATS} select domain, {r6('mean_score', 'score_stddev', 'content_diversity_score')}, total_urls, malicious, segments1, segments2, benign from dstats",

@@ -22,6 +22,11 @@ def write_jdbc(df: DataFrame, url: str, table: str, writers: int = 32, **options
     df.repartition(writers, "url").write.format("jdbc").option("url", url).option("dbtable", table).option("batchsize", 20_000).option("stringtype", "unspecified").options(**options).mode("append").save()
 
 
+def write_reputation_table(df: DataFrame, url: str, table: str, **options: str) -> None:
+    """The whole reputation table in place of the database's: truncated rather than dropped, so that its columns keep their types."""
+    df.write.format("jdbc").option("url", url).option("dbtable", table).option("truncate", True).option("batchsize", 20_000).options(**options).mode("overwrite").save()
+
+
 def store_rows(scored: DataFrame, processed_at: str) -> DataFrame:
     """Rows of the url store: source, state and a JSON text of the remaining parts (nulls are left out)."""
     meta = F.to_json(F.struct(*[c for c in ("domain", "confidence", "is_spam", "risk_score", "trust_score", "composite_score") if c in scored.columns]))
@@ -71,3 +76,8 @@ def write_report(df: DataFrame, path: str) -> None:
     """A report table as text, a line a row."""
     line = F.concat_ws("  ", *[F.concat(F.lit(f"{c}: "), F.coalesce(F.col(c).cast("string"), F.lit("-"))) for c in df.columns])
     df.select(line.alias("value")).coalesce(1).write.mode("overwrite").text(path)
+
+
+def write_counts(spark: SparkSession, counts: dict[str, int], path: str, batch_id: int) -> None:
+    """What was counted of a batch, as one row."""
+    spark.createDataFrame([tuple(int(v) for v in counts.values())], ", ".join(f"{k} long" for k in counts)).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")

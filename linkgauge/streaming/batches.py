@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from datetime import UTC, datetime
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import PipelineConfig
 from ..operators import curated, domains, enhance, links, ml, observations, pages, reports, scoring
 from ..sources import sinks
+from ..sources.shared import cut_lineage
 
 FEED = "ts string, url string"
 METHODS = ("rules", "gbt")
@@ -28,6 +30,8 @@ class Landed:
     captures: DataFrame | None = None  # url, ts, status
     archived_at: str | None = None
     model: PipelineModel | None = None
+    lists: dict[str, DataFrame] | None = None  # hosts by the names of scoring.LISTS
+    keywords: dict[str, tuple[str, ...]] = field(default_factory=dict)  # nsfw and spam
 
 
 def read_feed(spark: SparkSession, path: str) -> DataFrame:
@@ -35,9 +39,9 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FEED).option("sep", "\t").option("quote", "").option("escape", "").csv(path)
 
 
-def watch_feed(spark: SparkSession, folder: str) -> DataFrame:
-    """The .tsv files of a folder as a stream, one file a trigger."""
-    return spark.readStream.schema(FEED).option("sep", "\t").option("quote", "").option("escape", "").option("maxFilesPerTrigger", 1).option("pathGlobFilter", "*.tsv").csv(folder)
+def watch_feed(spark: SparkSession, folder: str, files: int = 1, names: str = "*.tsv") -> DataFrame:
+    """The files of a folder as a stream, oldest first, so many a trigger."""
+    return spark.readStream.schema(FEED).option("sep", "\t").option("quote", "").option("escape", "").option("maxFilesPerTrigger", files).option("pathGlobFilter", names).csv(folder)
 
 
 def _require(config: PipelineConfig, landed: Landed) -> None:
@@ -47,18 +51,20 @@ def _require(config: PipelineConfig, landed: Landed) -> None:
         raise ValueError(f"methods are some of {METHODS}, not {config.methods}")
     if config.use_features and "rules" not in config.methods:
         raise ValueError("use_features enriches the scores of the method rules")
-    needed = {"curated": config.use_curated, "model": "gbt" in config.methods} | dict.fromkeys(("pages", "requests", "captures", "archived_at"), config.use_features)
+    needed = {"curated": config.use_curated, "lists": config.use_lists, "model": "gbt" in config.methods} | dict.fromkeys(("pages", "requests", "captures", "archived_at"), config.use_features)
     missing = [name for name, asked in needed.items() if asked and getattr(landed, name) is None]
     if missing:
         raise ValueError(f"the settings ask for landed {', '.join(missing)}")
 
 
-def _provisional(rows: DataFrame, method: str, stored: DataFrame | None, config: PipelineConfig, model: PipelineModel | None) -> DataFrame:
+def _provisional(rows: DataFrame, method: str, stored: DataFrame | None, config: PipelineConfig, landed: Landed) -> DataFrame:
     """Pass 1 of a method. The trained model's scores hold no part of a reputation."""
+    lists = landed.lists if config.use_lists else None
+    words = [landed.keywords.get(k, ()) if config.use_lists else () for k in ("nsfw", "spam")]
     if method == "rules":
-        return scoring.score_rules(rows, stored, config.profile)
-    found = scoring.with_reputation(scoring.featured(rows, config.profile), None).withColumn("reputation_part", F.lit(0.0))
-    scores = ml.predict(found, model).withColumnRenamed("url", "_url")
+        return scoring.score_rules(rows, stored, config.profile, lists, *words)
+    found = scoring.with_reputation(scoring.featured(rows, config.profile, lists, *words), None).withColumn("reputation_part", F.lit(0.0))
+    scores = ml.predict(found, landed.model).withColumnRenamed("url", "_url")
     return found.join(scores, F.col("url").eqNullSafe(F.col("_url"))).drop("_url")
 
 
@@ -73,19 +79,23 @@ def enhanced_sample(rows: DataFrame, landed: Landed, reputation: DataFrame, conf
 
 
 def _write_reports(result: DataFrame, path: str) -> None:
+    """The report as one table, and each of its sections as text."""
     tables = {
         "overall": reports.overall(result), "by_source": reports.by_source(result), "curated_benchmark": reports.curated_benchmark(result), "lift": reports.lift(result),
-        "best_urls": reports.extreme_urls(result), "worst_urls": reports.extreme_urls(result, best=False), "frequent_domains": reports.frequent_domains(result),
+        "best_urls": reports.extreme_urls(result), "worst_urls": reports.extreme_urls(result, best=False), "frequent_domains": reports.frequent_domains(result), "frequent_curated_domains": reports.frequent_domains(result, curated=True),
     }
     for name, table in tables.items():
         sinks.write_report(table, f"{path}/{name}")
+    sinks.write_parquet(reports.summary(result), f"{path}/table")
 
 
-def run_batch(batch: DataFrame, batch_id: int, out: str, config: PipelineConfig = PipelineConfig(), landed: Landed = Landed()) -> DataFrame:
+def run_batch(batch: DataFrame, batch_id: int, out: str, config: PipelineConfig = PipelineConfig(), landed: Landed = Landed(), processed_at: str | None = None) -> DataFrame:
     """Scores one batch of the feed by each method and writes it under out: scored/batch=N, summary/batch=N (those of gbt
     under out/gbt), comparison/batch=N if both methods ran and reports are asked for, reputation/batch=N, store/batch=N. The
     reputation comes from the newest snapshot before N, so a replay writes the same; it and the store follow the first method,
-    so that no url counts twice. Gives that method's result."""
+    so that no url counts twice. Rows and spam are counted while the result is written, without a job of their own, and put
+    down in counts/batch=N. Store rows carry processed_at, the present time unless it is given. Urls that are null are one row,
+    `invalid_url`, of the result. Gives that method's result."""
     _require(config, landed)
     spark = batch.sparkSession
     rows = scoring.normalise_feed(batch)
@@ -94,23 +104,30 @@ def run_batch(batch: DataFrame, batch_id: int, out: str, config: PipelineConfig
     else:
         rows = rows.groupBy("url", "data_source").agg(F.min("timestamp").alias("timestamp"))
     stored = sinks.latest_reputation(spark, f"{out}/reputation", batch_id) if config.read_reputation else None
-    results, kept = {}, []
+    results = {}
+    keep = lambda df: cut_lineage(df, f"{out}/checkpoints")
     for method in config.methods:
-        first = scoring.frequencies(_provisional(rows, method, stored, config, landed.model)).persist()
+        first = keep(scoring.frequencies(_provisional(rows, method, stored, config, landed)))
         stats = scoring.domain_stats(first)
         final = scoring.rescore(first, stats, config.profile).drop("score").withColumnRenamed("rescored", "score")
         new = stats.selectExpr("domain", "mean_score reputation_score", "total_urls total_urls_seen", "malicious malicious_urls_count", "benign benign_urls_count", "content_diversity_score")
         old = stored if stored is not None else new.limit(0)
-        kept.append(first)
         if config.use_features and method == "rules":
-            kept.append(enhanced := enhanced_sample(final, landed, old, config).persist())
+            enhanced = keep(enhanced_sample(final, landed, old, config))
             final = enhance.merge_enhanced(final, enhanced)
-            seen = enhance.volatility(enhanced).selectExpr("domain", "volatility content_volatility_score", "revisit_hours predicted_revisit_interval_hours")
-            new = new.join(seen, "domain", "left")
+            changing = enhance.volatility(enhanced).selectExpr("domain", "volatility content_volatility_score", "revisit_hours predicted_revisit_interval_hours")
+            new = new.join(changing, "domain", "left")
         result = results[method] = scoring.conform(final, config.profile, -2.0 if method == "rules" else -3.0)
         own = out if method == "rules" else f"{out}/{method}"
+        counts = [F.count("*").alias("urls"), F.count_if("is_spam").alias("spam"), F.count_if(F.col("url") == "invalid_url").alias("without_url")]
         if config.write_parquet:
-            sinks.write_parquet(result, f"{own}/scored/batch={batch_id}")
+            seen = Observation(f"{method}-{batch_id}")
+            sinks.write_parquet(result.observe(seen, *counts), f"{own}/scored/batch={batch_id}")
+            found = seen.get
+            result = results[method] = spark.read.parquet(f"{own}/scored/batch={batch_id}")  # what follows reads what is written
+        else:
+            found = result.agg(*counts).first().asDict()
+        sinks.write_counts(spark, found, f"{own}/counts", batch_id)
         if config.write_tsv:
             sinks.write_tsv(result, f"{own}/tsv/batch={batch_id}")
         if config.write_summary:
@@ -118,17 +135,16 @@ def run_batch(batch: DataFrame, batch_id: int, out: str, config: PipelineConfig
         if method == config.methods[0]:
             if config.write_reputation:
                 sinks.write_reputation(domains.upsert(old, new), f"{out}/reputation", batch_id)
-            sinks.insert_absent(sinks.store_rows(result, "2024-01-01 00:00:00"), f"{out}/store", batch_id)
+            sinks.insert_absent(sinks.store_rows(result, processed_at or datetime.now(UTC).strftime("%Y-%m-%d %H:%M:%S")), f"{out}/store", batch_id)
+
     if config.write_summary and len(results) == len(METHODS):
         pairs = reports.paired(results["rules"], results["gbt"])
         sinks.write_report(reports.agreement(pairs), f"{out}/comparison/batch={batch_id}/agreement")
         sinks.write_report(reports.differences(pairs), f"{out}/comparison/batch={batch_id}/differences")
-    for df in kept:
-        df.unpersist()
     return results[config.methods[0]]
 
 
-def start(spark: SparkSession, folder: str, out: str, checkpoint: str, config: PipelineConfig = PipelineConfig(), landed: Landed = Landed()) -> StreamingQuery:
-    """Runs over all files that are there and ends; started again, it takes up the new ones."""
-    stream = watch_feed(spark, folder)
+def start(spark: SparkSession, folder: str, out: str, checkpoint: str, config: PipelineConfig = PipelineConfig(), landed: Landed = Landed(), files: int = 1, names: str = "*.tsv") -> StreamingQuery:
+    """Runs over all files that are there, so many a batch, and ends; started again, it takes up the new ones."""
+    stream = watch_feed(spark, folder, files, names)
     return stream.writeStream.foreachBatch(lambda df, n: run_batch(df, n, out, config, landed) and None).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -1,12 +1,13 @@
+import math
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from linkgauge.config import DEFAULT, PipelineConfig
-from linkgauge.functions import urls
-from linkgauge.operators import curated, domains, enhance, links, ml, observations, scoring
-from linkgauge.sources import sinks
+from linkgauge.functions import html, urls
+from linkgauge.operators import curated, domains, enhance, links, ml, observations, reports, scoring
+from linkgauge.sources import readers, sinks
 from linkgauge.streaming import batches
 
 
@@ -195,3 +196,99 @@ def test_volatility_counts_times_of_change_and_is_merged(spark):
     assert got["a"] == (pytest.approx(1.1), 1) and got["b"] == (0.5, 540) and got["c"] == (None, 168)
     plain = new.select(*[c.split(" ")[0] for c in kinds.split(", ")])
     assert {r.domain: r.predicted_revisit_interval_hours for r in domains.upsert(old, plain).collect()} == {"a": 360, "b": 540, "c": 168}
+
+
+def test_lists_and_readers(spark, tmp_path):
+    (tmp_path / "words").write_text(" Casino \n\nPILLS\ncasino\na.*b\n")
+    (tmp_path / "none").write_text(" \n\n")
+    assert readers.read_keywords(spark, f"{tmp_path}/words") == ("a.*b", "casino", "pills")
+    assert sorted(r.host for r in readers.read_hosts(spark, f"{tmp_path}/words").collect()) == ["a.*b", "casino", "pills"]
+    for missing in ("none", "nowhere"):
+        assert readers.read_list(spark, f"{tmp_path}/{missing}", strict=False).count() == 0
+        with pytest.raises(Exception):  # noqa: B017
+            readers.read_list(spark, f"{tmp_path}/{missing}")
+    (tmp_path / "curated.tsv").write_text('url\tsource_uri\ttimestamp\tuser_text\tsource_type\tmetadata\nhttp://a/\ts\t2024-01-01\t"two\twords"\trss\t"{""a"": 1}"\n\ts\t\t\t\t\n')
+    rows = readers.read_curated(spark, f"{tmp_path}/curated.tsv").collect()
+    assert [(r.url, r.user_text, r.metadata) for r in rows] == [("http://a/", "two\twords", '{"a": 1}')]
+
+
+def test_database_round_trip(spark, tmp_path):
+    url, driver = f"jdbc:derby:{tmp_path}/db;create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    table = spark.createDataFrame([(d, float(i), i) for i, d in enumerate(("a.com", "m.org", "z.net", "1.com"))], "domain string, reputation_score double, total_urls_seen long")
+    sinks.write_reputation_table(table, url, "reputation", createTableColumnTypes="domain VARCHAR(255)", **driver)
+    assert sorted(map(tuple, readers.read_reputation(spark, url, "reputation", **driver).collect())) == sorted(map(tuple, table.collect()))
+    some = readers.read_reputation(spark, url, "reputation", ["domain", "reputation_score"], readers=5, **driver)
+    assert some.rdd.getNumPartitions() == 5 and sorted(r.domain for r in some.collect()) == ["1.com", "a.com", "m.org", "z.net"]
+    assert "total_urls_seen" not in readers.read_reputation(spark, url, "reputation", ["domain"], **driver)._jdf.queryExecution().executedPlan().toString()
+    rows = spark.createDataFrame([("http://a/", 0.5)], "url string, score double")
+    for _ in range(2):
+        sinks.write_jdbc(rows, url, "urls", writers=2, **driver)
+    assert spark.read.format("jdbc").option("url", url).option("dbtable", "urls").options(**driver).load().count() == 2
+
+
+def test_a_batch_keeps_null_urls_counts_and_uses_lists(spark, tmp_path):
+    given = spark.createDataFrame([("1700000000", None), ("1700000000", "http://good.com/news/a"), ("1700000000", ""), ("x", "http://bad.com/casino")], "ts string, url string")
+    lists = {"nsfw_domain": spark.createDataFrame([("bad.com",)], "host string"), "news_domain": spark.createDataFrame([("good.com",)], "host string")}
+    landed = batches.Landed(lists=lists, keywords={"spam": ("casino",)})
+    plain = {r.url: r for r in batches.run_batch(given, 0, str(tmp_path / "plain"), processed_at="2024-05-06 07:08:09").collect()}
+    listed = {r.url: r for r in batches.run_batch(given, 0, str(tmp_path / "lists"), PipelineConfig(use_lists=True), landed).collect()}
+    assert set(plain) == {"invalid_url", "", "http://good.com/news/a", "http://bad.com/casino"}
+    assert (plain["invalid_url"].score, plain["invalid_url"].is_spam, plain["invalid_url"].domain) == (-2.0, True, "unknown.invalid")
+    assert listed["http://good.com/news/a"].score > plain["http://good.com/news/a"].score + 1
+    assert listed["http://bad.com/casino"].is_spam and listed["http://bad.com/casino"].score < plain["http://bad.com/casino"].score - 3.6
+    counts = spark.read.parquet(f"{tmp_path}/plain/counts").first()
+    assert (counts.urls, counts.without_url) == (4, 1) and 0 <= counts.spam <= 4
+    assert {str(r.processed_at) for r in spark.read.parquet(f"{tmp_path}/plain/store").collect()} == {"2024-05-06 07:08:09"}
+    assert spark.read.parquet(f"{tmp_path}/lists/store").first().processed_at.year >= 2024
+    with pytest.raises(ValueError):
+        batches.run_batch(given, 1, str(tmp_path / "lists"), PipelineConfig(use_lists=True))
+
+
+def test_ranking_by_ranges(spark):
+    rows = spark.createDataFrame([(f"d{i % 997:04d}x{i}", (i * 37 % 100) / 100, i % 7, i % 3) for i in range(3000)], "domain string, reputation_score double, total_urls_seen long, malicious_urls_count long")
+    got = domains.ranked(rows.repartition(9)).orderBy("rank").collect()
+    true = sorted(rows.collect(), key=lambda r: (-r.reputation_score, -r.total_urls_seen, r.domain))
+    assert [r["rank"] for r in got] == [*range(1, 3001)] and [r.domain for r in got] == [r.domain for r in true]
+    assert domains.ranked(rows.limit(0)).count() == 0
+
+
+def test_domain_stats_ways_agree(spark):
+    rows = spark.createDataFrame([(f"d{i % 3}", float(i % 5) if i % 11 else None, i % 2 == 0, f"a{i % 4}", f"b{i}" if i % 3 else None) for i in range(200)] + [("one", 1.0, True, None, None), ("same", 0.1, False, "x", "y"), ("same", 0.1, False, "x", "z")], "domain string, score double, is_spam boolean, segment1 string, segment2 string")
+    exact, near = ({r.domain: r for r in scoring.domain_stats(rows, e).collect()} for e in (True, False))
+    for d, r in exact.items():
+        assert (r.total_urls, r.malicious, r.benign) == (near[d].total_urls, near[d].malicious, near[d].benign)
+        assert r.mean_score == pytest.approx(near[d].mean_score) and (r.score_stddev is None) == (near[d].score_stddev is None)
+        assert r.score_stddev is None or r.score_stddev == pytest.approx(near[d].score_stddev, abs=1e-7)
+    assert exact["d0"].segments1 == 4 and exact["one"].segments1 == 0 and exact["same"].segments2 == 2
+
+
+def test_entropy(spark):
+    cases = ["", "a", "aa", "ab", "aab\n\n", "😀😀x", "hello world"]
+    got = {r.t: r.e for r in spark.createDataFrame([(t,) for t in cases], "t string").select("t", urls.entropy(F.col("t")).alias("e")).collect()}
+    for t in cases:
+        shares = [t.count(c) / len(t) for c in set(t)]
+        assert got[t] == pytest.approx(-sum(p * math.log2(p) for p in shares) if len(t) > 1 else 0.0)
+
+
+def test_attributes_and_entities(spark):
+    tags = {"<a href='x'>": "x", '<a class="href=y" href="a&amp;b&#33;">': "a&b!", "<a data-href=q href=bare>": "bare", "<a name=top>": "", '<a href="&lt;&#8364;&amp;amp;">': "<€&amp;", "<a\nHREF = '1>2'>": "1>2", '<a href="">': ""}
+    got = {r.t: r.v for r in spark.createDataFrame([(t,) for t in tags], "t string").select("t", html.attribute(F.col("t"), "href").alias("v")).collect()}
+    assert got == tags
+
+
+def test_held_back_measure(spark):
+    rows = feed_of(spark, *[f"http://s{i % 9}.{['com', 'tk', 'gov'][i % 3]}/{['news', 'login'][i % 2]}/{i}" for i in range(600)])
+    labels = ml.targets(scoring.score_rules(rows).withColumn("data_source", F.lit("input_data")))
+    table = ml.features(scoring.featured(rows))
+    r = ml.evaluate(ml.predict_features(table, ml.train_features(table, labels, trees=10, depth=4)), labels).first()
+    assert 20 < r.urls < 120 and r.correlation > 0.9 and r.mean_error < 0.5
+
+
+def test_report_sections(spark):
+    rows = spark.createDataFrame([(f"u{i}", f"d{i % 3}", i / 10, 0.5, i % 2 == 0, "good_data" if i % 4 == 0 else "input_data") for i in range(30)], "url string, domain string, score double, confidence double, is_spam boolean, data_source string")
+    got = reports.summary(rows).collect()
+    of = lambda s, r, m: next(x for x in got if (x.section, x["rank"], x.metric) == (s, r, m))
+    assert of("overall", 1, "total").value == 30 and of("best_urls", 1, "url").text == "u29" and of("worst_urls", 2, "url").text == "u1"
+    assert of("frequent_curated_domains", 1, "domain").text in {"d0", "d1", "d2"} and of("frequent_curated_domains", 3, "urls").value >= 2
+    two = rows.withColumn("model_name", F.lit("a")).union(rows.limit(5).withColumn("model_name", F.lit("b")))
+    assert {r.model_name: r.distinct_urls for r in reports.overall(two, "model_name").collect()} == {"a": 30, "b": 5}
