@@ -1,7 +1,7 @@
 """Quality classifier: similarity-weighted votes of the nearest labelled documents in a latent-semantic space.
 
-A document's terms are the shapes of its tokens (runs of letters, digits and marks squeezed), pairs of neighbouring
-shapes, and marks for tokens that repeat what came shortly before. Log-scaled counts times inverse document frequency,
+A document's terms are its words (hashed), the shapes of its tokens (runs of letters, digits and marks squeezed), pairs of
+neighbouring shapes, and marks for tokens that repeat what came shortly before. Log-scaled counts times inverse document frequency,
 projected on the leading singular vectors of the labelled sample, give its latent-semantic vector. The labelled
 vectors are sent to all tasks (their number is bounded), which compute exact cosine products with every document in
 blocks; the NEIGHBOURS most similar vote, weighted by similarity.
@@ -20,14 +20,15 @@ from pyspark.sql import functions as F
 
 from .common import held_out, map_batches, texts
 
-TERMS, FACTORS, NEIGHBOURS = 1024, 32, 15
+TERMS, FACTORS, NEIGHBOURS = 1536, 32, 15
 #: About this many labelled documents of each label are learnt from; their texts' terms come to the driver, no texts.
 SAMPLE = 1200
 #: Documents multiplied with the labelled vectors at once, and token shapes that a task remembers.
 BLOCK, REMEMBERED = 512, 200_000
 #: Terms for shapes and for pairs of shapes; the others are for repeats at these distances, and for the share of
-#: distinct tokens in twentieths.
+#: distinct tokens in twentieths. Words have the places from WORDS_AT on, and this part of the weight of the others.
 SHAPES, PAIRS, BACK = 560, 420, (1, 2)
+WORDS_AT, WORDS, WORD_WEIGHT = 1023, 512, 0.3
 
 
 def shape(token: str) -> str:
@@ -38,10 +39,11 @@ def shape(token: str) -> str:
 
 
 class _Shapes(dict):
-    """Token -> number of its shape; numbers are hashes, so they mean the same in every task."""
+    """Token -> number of its shape, and above these 31 bits the place of its word; numbers are hashes, so they mean the same
+    in every task."""
 
     def __missing__(self, token: str) -> int:
-        value = xxhash.xxh32_intdigest(shape(token)) & 0x7FFFFFFF
+        value = xxhash.xxh32_intdigest(shape(token)) & 0x7FFFFFFF | xxhash.xxh32_intdigest(token.lower()) % WORDS << 31
         if len(self) < REMEMBERED and len(token) < 40:
             self[token] = value
         return value
@@ -54,12 +56,13 @@ def term_counts(text: str, shapes: _Shapes) -> tuple[np.ndarray, np.ndarray]:
     if not n:
         return np.array([TERMS - 1]), np.ones(1)
     s = np.fromiter(map(shapes.__getitem__, tokens), np.int64, n)
+    words, s = s >> 31, s & 0x7FFFFFFF
     ids = np.fromiter(map(hash, tokens), np.int64, n)
     parts = [s % SHAPES, SHAPES + (s[1:] * 31 + s[:-1]) % PAIRS]
     parts += [np.full(int((ids[back:] == ids[:-back]).sum()), SHAPES + PAIRS + i) for i, back in enumerate(BACK)]
     parts.append(np.full(n, SHAPES + PAIRS + len(BACK) + int(20 * len(np.unique(ids)) / n)))
-    terms, counts = np.unique(np.concatenate([*parts, [TERMS - 1]]), return_counts=True)
-    return terms, counts / n
+    terms, counts = np.unique(np.concatenate([*parts, WORDS_AT + words, [TERMS - 1]]), return_counts=True)
+    return terms, np.where((terms >= WORDS_AT) & (terms < TERMS - 1), WORD_WEIGHT, 1.0) * counts / n
 
 
 @dataclass
@@ -96,14 +99,17 @@ def fit_space(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) ->
 
 
 def vote(space: Space, rows: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """Share of label 1 among the nearest, weighted by similarity; ties go to the earlier labelled vectors."""
+    """Share of label 1 among the nearest, weighted by similarity. Similarities count to six decimals; ties go to the
+    earlier labelled vectors."""
     out = np.zeros(len(rows))
     k = min(NEIGHBOURS, len(space.labels))
     for a in range(0, len(rows), BLOCK):
-        near = _units((_dense(rows[a : a + BLOCK]) * space.weights) @ space.factors) @ space.vectors.T
-        best = np.argpartition(-near, k - 1, axis=1)[:, :k]
-        sim = np.clip(np.take_along_axis(near, best, 1), 1e-6, 1) ** 8
-        out[a : a + BLOCK] = (sim * space.labels[best]).sum(1) / sim.sum(1)
+        near = np.round(_units((_dense(rows[a : a + BLOCK]) * space.weights) @ space.factors) @ space.vectors.T, 6)
+        least = np.partition(near, -k, axis=1)[:, -k, None]
+        above, level = near > least, near == least
+        best = above | level & (np.cumsum(level, 1) <= k - above.sum(1, keepdims=True))
+        sim = np.where(best, np.clip(near, 1e-6, 1) ** 8, 0)
+        out[a : a + BLOCK] = sim @ space.labels / sim.sum(1)
     return np.clip(out, 0, 1)
 
 
@@ -128,12 +134,14 @@ def labelled_terms(docs: DataFrame, labels: DataFrame, label: str) -> tuple[list
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Space | None:
+    """The space of the labelled sample; None without a label. Null ids and labels teach nothing, null texts count as
+    empty, and of several labels of an id the greatest counts; repeated rows count once, other columns do not matter."""
     return fit_space(*labelled_terms(docs, labels, label))
 
 
 def score(docs: DataFrame, space: Space | None) -> DataFrame:
     """(doc_id, score) of every row, in one pass: the whole text decides. Null and empty texts share the vector of a text
-    without tokens. Without any label every score is one half. Other columns are left out."""
+    without tokens. Without any label every score is one half. Repeated rows have equal scores; other columns are left out."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     model = docs.sparkSession.sparkContext.broadcast(space)
 

@@ -1,6 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from linkgauge.llm import quality
 from linkgauge.llm.common import held_out, table
 from linkgauge.llm.quality import NEIGHBOURS, TERMS, Space, _dense, _Shapes, _units, fit, score, shape, term_counts, vote
 
@@ -39,3 +40,17 @@ def test_odd_rows(spark):
     assert score(df.limit(0), space).count() == 0
     assert {r.score for r in score(df, fit(docs, labels.limit(0))).collect()} == {0.5}
     assert term_counts("", _Shapes())[0].tolist() == [TERMS - 1]
+
+
+def test_ties_go_to_the_earlier_vectors():
+    rows = [term_counts(t, _Shapes()) for t in ("one two three", "ONE! TWO! THREE!")]
+    labels = np.array([1] * NEIGHBOURS + [0] * 40 + [1] * 5, np.float32)
+    x = _dense([rows[0]] * len(labels))
+    factors = np.random.default_rng(1).normal(size=(TERMS, 8)).astype(np.float32)
+    space = Space(np.ones(TERMS, np.float32), factors, _units(x @ factors), labels)
+    assert np.allclose(vote(space, [rows[0]] * 700 + [rows[1]]), 1.0)
+
+
+def test_words_count():
+    (a, x), (b, y) = term_counts("good words here", _Shapes()), term_counts("bad terms there", _Shapes())
+    assert set(a.tolist()) != set(b.tolist()) and {t for t in a.tolist() if t < quality.WORDS_AT} == {t for t in b.tolist() if t < quality.WORDS_AT}
