@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import map_batches
 
@@ -51,6 +52,7 @@ class Flatten:
     out: list[str] = field(default_factory=list)
     said: list[str] = field(default_factory=list)
     attachments: list[dict] = field(default_factory=list)
+    first: int = 0
 
     def visit(self, part: dict) -> None:
         getattr(self, f"visit_{part['kind']}", self.visit_text)(part)
@@ -73,7 +75,7 @@ class Flatten:
         self.said.clear()
 
     def _attach(self, part: dict, tokens: int) -> None:
-        placeholder = f"<|{part['kind']}_{len(self.attachments)}|>"
+        placeholder = f"<|{part['kind']}_{self.first + len(self.attachments)}|>"
         self.end_text()
         self.attachments.append({"placeholder": placeholder, "kind": part["kind"], "ref": part["ref"], "tokens": tokens})
         self.out.append(placeholder)
@@ -82,16 +84,17 @@ class Flatten:
 def format_turns(turns: DataFrame) -> DataFrame:
     """turns (conv_id, turn, role, parts) -> (conv_id, turn, segment, loss_start, loss_end, attachments).
 
-    loss_start and loss_end bound the characters of the segment under the loss mask: an assistant's text, else nothing.
-    Null roles, parts and texts are empty. Placeholders are numbered within a turn. Repeated rows stay; other columns
-    go. No shuffle."""
-    rows = turns.select("conv_id", "turn", "role", F.col("parts").cast(PARTS).alias("parts"))
+    loss_start and loss_end bound the characters of the segment under the loss mask: an assistant's content with the
+    placeholders in it, else nothing. Null roles, parts and texts are empty. Placeholders are numbered from the turn's
+    column `before` on (see numbered), without it from 0 in each turn. Repeated rows stay; other columns go. No shuffle."""
+    before = F.coalesce(F.col("before"), F.lit(0)) if "before" in turns.columns else F.lit(0)
+    rows = turns.select("conv_id", "turn", "role", F.col("parts").cast(PARTS).alias("parts"), before.cast("long").alias("before"))
 
     def run(batches):
         for batch in batches:
             segments, starts, ends, attached = [], [], [], []
-            for role, parts in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                visitor = Flatten()
+            for role, parts, first in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
+                visitor = Flatten(first=first)
                 for part in parts or ():
                     if part is not None:
                         visitor.visit(part)
@@ -108,6 +111,18 @@ def format_turns(turns: DataFrame) -> DataFrame:
     return map_batches(rows, run, f"conv_id {kinds['conv_id']}, turn {kinds['turn']}, segment string, loss_start long, loss_end long, attachments {ATTACHMENTS}")
 
 
+def numbered(turns: DataFrame) -> DataFrame:
+    """turns with a column `before`: the attachments in earlier turns of the conversation, so that placeholders are numbered
+    through it. Only turns with attachments are exchanged and ordered; equal turns of a conversation share their number."""
+    attached = F.size(F.filter("parts", lambda p: F.coalesce(p["kind"].isin("image", "audio", "document"), F.lit(False))))
+    counts = turns.select("conv_id", "turn", attached.alias("n")).filter("n > 0").groupBy("conv_id", "turn").agg(F.max("n").alias("n"))
+    # a conversation's attachments up to a turn: (turn, n) of the turns that have any, which is at most its turns
+    ordered = counts.withColumn("upto", F.sum("n").over(Window.partitionBy("conv_id").orderBy("turn")))
+    known = ordered.select(F.col("conv_id").alias("_conv"), F.col("turn").alias("_turn"), (F.col("upto") - F.col("n")).alias("before"))
+    joined = turns.drop("before").join(known, F.col("conv_id").eqNullSafe(F.col("_conv")) & F.col("turn").eqNullSafe(F.col("_turn")), "left")
+    return joined.drop("_conv", "_turn")
+
+
 def text_turns(conversations: DataFrame) -> DataFrame:
     """Plain conversations (conv_id, turn, role, text) as turns of one text part each."""
     part = F.struct(F.lit("text").alias("kind"), F.col("text").alias("text"), *[F.lit(None).alias(x) for x in ("ref", "width", "height", "seconds", "pages")])

@@ -36,3 +36,12 @@ def test_read_back_matches_the_rows(spark):
         digest = hashlib.sha256("".join(f"{role}\n{t}\n" for role, t in turns).encode()).hexdigest()
         assert (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) == (len(turns), digest, len(said), hashlib.sha256(said.encode()).hexdigest())
     assert chat.read_back(chat.format_turns(chat.text_turns(df.limit(0)))).count() == 0
+
+
+def test_placeholders_are_numbered_through_a_conversation(spark):
+    image, text = ("image", None, "a", 1, 1, None, None), ("text", "x", None, None, None, None, None)
+    rows = [(1, 0, "user", [image, image]), (1, 1, "assistant", [text]), (1, 2, "user", [image, text]), (1, 3, "user", None), (2, 0, "user", [text, image]), (None, 0, "user", [image]), (None, 1, "user", [image])]
+    df = spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts {chat.PARTS}").repartition(3)
+    got = {(r.conv_id, r.turn): [a.placeholder for a in r.attachments] for r in chat.format_turns(chat.numbered(df)).collect()}
+    assert got == {(1, 0): ["<|image_0|>", "<|image_1|>"], (1, 1): [], (1, 2): ["<|image_2|>"], (1, 3): [], (2, 0): ["<|image_0|>"], (None, 0): ["<|image_0|>"], (None, 1): ["<|image_1|>"]}
+    assert chat.format_turns(chat.numbered(df.limit(0))).count() == 0
