@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import cut_lineage
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Second-level labels under which two-letter suffixes register names.
 SECOND_LEVEL = ("ac", "co", "com", "edu", "gov", "net", "org")
@@ -87,8 +89,8 @@ def host_posteriors(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
     known = outcomes.select("page_id", F.col("good").cast("boolean").cast("int").alias("good")).dropna()
     counts = seen.join(known, "page_id", "left").groupBy("host").agg(F.count("good").cast("double").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).cast("double").alias("k"))
     domain, suffix = registered_domain(F.col("host"))
-    hosts = counts.select("host", domain.alias("domain"), suffix.alias("suffix"), "n", "k").persist()
-    domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k")).persist()
+    hosts = cut_lineage(counts.select("host", domain.alias("domain"), suffix.alias("suffix"), "n", "k"))
+    domains = cut_lineage(hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k")))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     n, k = suffixes.agg(F.sum("n"), F.sum("k")).first()
     suffixes = suffixes.withColumn("m", F.lit((k / n) if n else 0.5))

@@ -1,5 +1,6 @@
 import random
 
+from linkgauge.llm import decontaminate
 from linkgauge.llm.decontaminate import WORD, Scanner, contamination, drop_contaminated, windows_of
 
 ITEM = "One two three four five six seven eight nine ten eleven"
@@ -49,3 +50,17 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert contamination(docs, none).first().n_hit == 0
     assert contamination(docs.limit(0), docs.withColumnRenamed("doc_id", "item_id")).count() == 0
+
+
+def test_parts_give_what_one_automaton_gives(spark, monkeypatch):
+    random.seed(8)
+    items = [(i, " ".join(random.choices("abcdefgh", k=random.choice([2, 9, 10, 14])))) for i in range(30)]
+    texts = [" ".join(random.choices("abcdefgh", k=80)) for _ in range(30)] + [None, "", "x y " * 40_000 + items[3][1]]
+    docs = spark.createDataFrame([(i, t, "f") for i, t in enumerate(texts)] + [(0, texts[0], "f"), (None, texts[1], "f")], "doc_id long, text string, found string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    kept = sorted(map(repr, drop_contaminated(docs, bench).collect()))
+    whole = sorted(map(repr, contamination(docs, bench).collect()))
+    monkeypatch.setattr(decontaminate, "PART_CHARS", 50)
+    assert len([*decontaminate.read_items(bench)]) > 5
+    assert sorted(map(repr, contamination(docs, bench).collect())) == whole and len(whole) == len(texts) + 2
+    assert sorted(map(repr, drop_contaminated(docs, bench).collect())) == kept

@@ -1,10 +1,12 @@
 import random
 import re
+from collections import Counter
 
 import numpy as np
 
+from linkgauge.llm.common import table
 from linkgauge.llm.darts import band_keys, signatures
-from linkgauge.llm.neardup import classes, components, keep_first
+from linkgauge.llm.neardup import _Words, classes, components, keep_first, shingles, weighted, words_of
 
 
 def hashes(rng, n):
@@ -84,3 +86,31 @@ def test_components_and_empty(spark):
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 102: 100}
     none = spark.createDataFrame([], "doc_id long, text string")
     assert classes(none).count() == 0 and keep_first(none).count() == 0
+
+
+def test_weights_are_counts():
+    words = _Words()
+    elements, counts = shingles(["a"] * 9 + list("bcdef"), words)
+    assert sorted(counts.tolist()) == [1, 1, 1, 1, 1, 5] and len(set(weighted(elements, counts).tolist())) == 10
+    a, b = ["x"] * 12 + list("pqrstuvw"), ["x"] * 20 + list("pqrstuvw")
+    (ea, ca), (eb, cb) = shingles(a, words), shingles(b, words)
+    x, y = dict(zip(ea.tolist(), ca.tolist(), strict=True)), dict(zip(eb.tolist(), cb.tolist(), strict=True))
+    true = sum(min(x.get(k, 0), y.get(k, 0)) for k in x | y) / sum(max(x.get(k, 0), y.get(k, 0)) for k in x | y)
+    p, q = set(weighted(ea, ca).tolist()), set(weighted(eb, cb).tolist())
+    assert len(p & q) / len(p | q) == true
+    s = signatures(np.concatenate([ea, eb]), np.concatenate([ca, cb]).astype(float), np.array([len(ea), len(eb)]), 2048)
+    assert abs((s[0] == s[1]).mean() - true) < 0.05
+
+
+def test_all_links_among_documents_are_found(spark):
+    rows = [(r.doc_id, r.text) for r in table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text").collect()]
+    words, holders, sets = _Words(), {}, []
+    for i, (_, t) in enumerate(rows):
+        sets.append(set(weighted(*shingles(words_of(t), words)).tolist()))
+        for e in sets[-1]:
+            holders.setdefault(e, []).append(i)
+    shared = Counter((a, b) for own in holders.values() for k, a in enumerate(own) for b in own[k + 1 :])
+    links = [(a, b) for (a, b), n in shared.items() if n >= 0.8 * (len(sets[a]) + len(sets[b]) - n)]
+    got = {r.doc_id: r.class_id for r in classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert len(links) > 20 and all(got[rows[a][0]] == got[rows[b][0]] for a, b in links)
+    assert len(set(got.values())) >= len(rows) - len(links)
