@@ -2,6 +2,11 @@
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents. Stages are
 written as Parquet and read again between each other.
+
+In every stage a null doc_id is a value like others, repeated rows are decided alike (near_duplicates keeps one of them), an
+empty table gives an empty table, texts may have any length, and columns besides doc_id and text (and n_chars, which follows
+the text) are carried through under whatever names. Null and empty texts end at the first stage, as they have no letter; the
+later stages would keep them.
 """
 
 from __future__ import annotations
