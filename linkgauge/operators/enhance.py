@@ -29,6 +29,7 @@ def enhance(picked: DataFrame, content: DataFrame, outlinks: DataFrame, requests
         .join(outlinks.select("url", "total", "quality_ratio", "spam_ratio"), "url", "left")
         .join(archive.select("url", "archived", "archive_count", "days_since_last"), "url", "left")
     )
+    # fixed values: the weights and bounds below
     true = lambda c: F.coalesce(c, F.lit(False))
     w = lambda c, x: F.when(true(c), x).otherwise(0.0)
     reached, archived = true(F.col("accessible")), true(F.col("archived"))

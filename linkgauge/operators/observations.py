@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import urls
 
+# fixed values: kinds of errors, and the weights, bounds and suffixes of the three scores below
 ERRORS = ("ssl", "connection", "timeout")
 
 
