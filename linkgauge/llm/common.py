@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -58,10 +60,16 @@ def replaced(batch: pa.RecordBatch, schema: pa.Schema, **columns: pa.Array) -> p
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or the checkpoint folder set on the context."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The folder that driver and executors share: spark.checkpoint.dir, or the checkpoint folder set on the context. Only
+    where both are unset and one process is driver and executor alike (a local master, as in tests) a folder of its own is
+    made; on a cluster that is an error."""
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not found:
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp())
+        found = context.getCheckpointDir()
     return found
 
 
