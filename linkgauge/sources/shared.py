@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder under spark.checkpoint.dir (or the checkpoint folder set on the context), where all executors can write."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """A new folder under spark.checkpoint.dir (or the checkpoint folder set on the context), where all executors can write.
+    Only where both are unset and one process is driver and executor alike (a local master, as in tests) it is made among
+    the machine's temporary ones; on a cluster that is an error."""
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not shared:
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        shared = tempfile.mkdtemp()
     return f"{shared}/{name}-{uuid.uuid4().hex}"
 
 
