@@ -31,7 +31,7 @@ L, N, S = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾", r"\t-\r \x85\xa0"
 NARROW, WIDE = re.compile(rf" ?[{L}]+|'(?:s|t|re|ve|m|ll|d)| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"), re.compile("[^\x00-\u024f]")
 #: Pre-tokens longer than this many characters, and all beyond CACHE of them, are encoded anew each time; PAIRS of the
 #: pair table are remembered.
-CACHE_CHARS, CACHE, PAIRS = 40, 150_000, 100_000
+CACHE_CHARS, CACHE, PAIRS = 40, 80_000, 50_000
 
 
 def byte_letters() -> list[str]:

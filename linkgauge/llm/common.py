@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows and bytes of one Arrow batch, whichever is reached first: texts may be megabytes each.
-BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 500, 4 << 20
 #: Bits of a sieve: what is sent to the tasks has this size, however many keys it was made from.
 SIEVE_BITS = 1 << 25
 

@@ -37,7 +37,7 @@ BANDS, ROWS = 20, 4
 #: Coordinates of the longer signature that pairs across classes must agree in before they are compared.
 MARKS = 512
 #: Shingles whose signatures are computed together, and word hashes that a task remembers.
-TOGETHER, REMEMBERED = 100_000, 150_000
+TOGETHER, REMEMBERED = 50_000, 100_000
 
 
 #: Below U+0300 there are no marks, and the standard module is faster.
@@ -84,9 +84,11 @@ def _bands(batches):
     """(doc_id, row_a, row_b, node, bands) of each row; texts without words have no bands."""
     words = _Words()
     for batch in batches:
-        own = [words_of(t) for t in texts(batch)]
-        nodes = [xxhash.xxh3_128_digest(" ".join(w)) for w in own]
-        sets = [shingles(w, words) for w in own]
+        nodes, sets = [], []
+        for text in texts(batch):  # one text's words at a time
+            own = words_of(text)
+            nodes.append(xxhash.xxh3_128_digest(" ".join(own)))
+            sets.append(shingles(own, words))
         sizes = [int(s[1].sum()) for s in sets]
         keys, i = [], 0
         while i < len(sets):
