@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
+
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, langid, linetemplates, neardup, quality, reputation, stableann, toxicity
+from . import bpe, chat, decontaminate, langid, linetemplates, neardup, quality, reputation, runs, stableann, toxicity
 from .common import held_out, table
 
 
@@ -124,5 +126,23 @@ def op10_toxicity(spark, sf_dir):
     return _judged(toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"))), 0.3)
 
 
-QUERIES = {"op1_reputation": op1_reputation, "op2_neardup": op2_neardup, "op3_chat": op3_chat, "op4_lines": op4_lines, "op5_quality": op5_quality, "op6_langid": op6_langid, "op7_neighbours": op7_neighbours, "op8_decontaminate": op8_decontaminate, "op9_bpe": op9_bpe, "op10_toxicity": op10_toxicity}
+def _repeating(doc_id, words):
+    """The contract's texts: where the id's checksum ends in 0, words from a place on repeat with a period. A null id has none."""
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h % 10 or not words:
+        return words
+    a = h // 10 % len(words)
+    p = 1 + (len(words) - a) // (3 + h // 10 % 8)
+    return words[:a] + (words[a : a + p] * ((len(words) - a) // p + 1))[: len(words) - a]
+
+
+def op11_runs(spark, sf_dir):
+    rows = runs.periodic(table(spark, sf_dir, "documents"), prepare=_repeating)
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    listed = F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise("")
+    milli = F.expr("cast(1000 * length as bigint) div period")
+    return rows.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "start", "length", "period", milli.alias("exponent_milli"), F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+QUERIES = {"op1_reputation": op1_reputation, "op2_neardup": op2_neardup, "op3_chat": op3_chat, "op4_lines": op4_lines, "op5_quality": op5_quality, "op6_langid": op6_langid, "op7_neighbours": op7_neighbours, "op8_decontaminate": op8_decontaminate, "op9_bpe": op9_bpe, "op10_toxicity": op10_toxicity, "op11_runs": op11_runs}
 ORACLE_SQL: dict[str, str] = {"op1_reputation": OP1_SQL, "op3_chat": OP3_SQL, "op8_decontaminate": OP8_SQL}
