@@ -7,15 +7,18 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows and bytes of one Arrow batch, whichever is reached first: texts may be megabytes each.
 BATCH_ROWS, BATCH_BYTES = 500, 4 << 20
-#: Bits of a sieve: what is sent to the tasks has this size, however many keys it was made from.
-SIEVE_BITS = 1 << 25
+#: Bits of a sieve at least and at most (4 and 64 MB), and bits for each of its keys between these bounds.
+SIEVE_BITS, MOST_BITS, BITS_A_KEY = 1 << 25, 1 << 29, 16
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,8 +77,12 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """df, written once to the shared checkpoint folder; Spark removes it when nothing refers to it any more."""
+    """df, written once to the shared checkpoint folder. Spark removes it there when nothing refers to it any more: it does
+    so only with a setting of the context that is off by default and turned on here, unless the session sets it itself."""
     context = df.sparkSession.sparkContext
+    conf, cleans = context._jsc.sc().conf(), "spark.cleaner.referenceTracking.cleanCheckpoints"
+    if not conf.contains(cleans):
+        conf.set(cleans, "true")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
@@ -112,20 +119,43 @@ def row_key(*columns: str) -> list[Column]:
 ROW = ["row_a", "row_b"]
 
 
-def sieve(keys: DataFrame, key: str) -> DataFrame:
-    """(bucket, bits): a bit map of the hashes in column key, SIEVE_BITS long in all whatever the data. Rows whose bit is
-    not set hold none of the keys, so only the others need to meet them in a join; a full sieve lets all rows through."""
-    spot = keys.select((F.pmod(F.col(key), F.lit(SIEVE_BITS)) + 1).alias("spot")).distinct()
+class Sieve(NamedTuple):
+    """A bit map of hashes as rows (bucket, bits). Rows whose bit is not set hold none of the keys, so only the others need
+    to meet them in a join. Its size follows the keys up to MOST_BITS, which bounds what is sent to the tasks; beyond some
+    hundred million keys it fills up and lets more and more rows through, with the same result."""
+
+    rows: DataFrame
+    size: int
+
+
+def sieve(keys: DataFrame, key: str) -> Sieve:
+    """Of the hashes in column key. keys is read twice, so it should have been written."""
+    size = max(SIEVE_BITS, min(MOST_BITS, 1 << (keys.count() * BITS_A_KEY).bit_length()))
+    spot = keys.select((F.pmod(F.col(key), F.lit(size)) + 1).alias("spot")).distinct()
     spot = spot.select(F.bitmap_bucket_number("spot").alias("bucket"), F.bitmap_bit_position("spot").alias("at")).repartition("bucket")
-    return cut_lineage(spot.groupBy("bucket").agg(F.bitmap_construct_agg("at").alias("bits")))
+    return Sieve(cut_lineage(spot.groupBy("bucket").agg(F.bitmap_construct_agg("at").alias("bits"))), size)
 
 
-def sifted(df: DataFrame, bits: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+def sifted(df: DataFrame, held: Sieve, key: str) -> tuple[DataFrame, DataFrame]:
     """The rows of df that may hold one of the sieve's keys, and the rows that do not."""
-    spot = F.pmod(F.col(key), F.lit(SIEVE_BITS)) + 1
-    named = bits.select(F.col("bucket").alias("_bucket"), F.col("bits").alias("_bits"))
+    spot = F.pmod(F.col(key), F.lit(held.size)) + 1
+    named = held.rows.select(F.col("bucket").alias("_bucket"), F.col("bits").alias("_bits"))
     joined = df.join(F.broadcast(named), F.bitmap_bucket_number(spot) == F.col("_bucket"), "left")
     at = F.bitmap_bit_position(spot)
     byte = F.conv(F.hex(F.substr("_bits", (F.shiftright(at.cast("int"), 3) + 1), F.lit(1))), 16, 10).cast("int")
-    held = F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))
-    return joined.filter(held).drop("_bucket", "_bits"), joined.filter(~held).drop("_bucket", "_bits")
+    told = F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))
+    return joined.filter(told).drop("_bucket", "_bits"), joined.filter(~told).drop("_bucket", "_bits")
+
+
+def sent(held: Sieve) -> Broadcast:
+    """The sieve's bits for Python tasks: at most MOST_BITS, however many keys there are."""
+    bits = np.zeros(-(-held.size // 32768) * 4096, np.uint8)
+    for bucket, own in held.rows.toLocalIterator():
+        bits[(bucket - 1) * 4096 : bucket * 4096] = np.frombuffer(bytes(own), np.uint8)
+    return held.rows.sparkSession.sparkContext.broadcast(bits)
+
+
+def passes(bits: np.ndarray, size: int, keys: np.ndarray) -> np.ndarray:
+    """Which of the 64-bit keys the sieve lets through."""
+    spot = keys.view(np.uint64) % np.uint64(size)
+    return (bits[(spot >> np.uint64(3)).astype(np.int64)] >> (spot & np.uint64(7)).astype(np.uint8)) & 1 > 0

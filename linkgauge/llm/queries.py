@@ -7,7 +7,7 @@ import zlib
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, langid, linetemplates, neardup, quality, reputation, runs, stableann, toxicity
+from . import bpe, chat, decontaminate, langid, linetemplates, neardup, phrases, quality, reputation, runs, stableann, toxicity
 from .common import held_out, table
 
 
@@ -144,5 +144,26 @@ def op11_runs(spark, sf_dir):
     return rows.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "start", "length", "period", milli.alias("exponent_milli"), F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
-QUERIES = {"op1_reputation": op1_reputation, "op2_neardup": op2_neardup, "op3_chat": op3_chat, "op4_lines": op4_lines, "op5_quality": op5_quality, "op6_langid": op6_langid, "op7_neighbours": op7_neighbours, "op8_decontaminate": op8_decontaminate, "op9_bpe": op9_bpe, "op10_toxicity": op10_toxicity, "op11_runs": op11_runs}
-ORACLE_SQL: dict[str, str] = {"op1_reputation": OP1_SQL, "op3_chat": OP3_SQL, "op8_decontaminate": OP8_SQL}
+def op12_phrases(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+with t as (select row_number() over () r, coalesce(lang, 'und') lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') t from documents),
+p as (select lang, regexp_extract_all(unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') w from t),
+g as (select lang, m, array_to_string(w[i : i + m - 1], ' ') phrase from (select lang, m, w, unnest(range(1, len(w) - m + 2)) i from p, (values (1), (2), (3), (4)) s(m) where len(w) >= m)),
+f as (select lang, m, phrase, count(*) a from g group by all having count(*) >= 30),
+n as (select lang, sum(len(w)) n from p group by lang),
+c as (select *, string_split(phrase, ' ') w from f where m > 1),
+cut as (select lang, phrase, m, a, k, array_to_string(w[1 : k], ' ') x, array_to_string(w[k + 1 :], ' ') y from (select *, unnest(range(1, m)) k from c)),
+s as (select cut.*, l.a l, r.a r, (2000000::hugeint * cut.a) // (l.a + r.a) score from cut join f l on l.lang = cut.lang and l.phrase = x join f r on r.lang = cut.lang and r.phrase = y),
+best as (select * from s qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+inside as (select lang, array_to_string(w[i : i + j - 1], ' ') phrase, max(a) longer from (select *, unnest(range(1, m - j + 2)) i from (select *, unnest(range(2, m)) j from c)) group by all),
+kept as (select best.* from best left join inside using (lang, phrase) where longer is null or 100::hugeint * longer < 80::hugeint * a),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) rank from kept)
+select lang, cast(rank as bigint) rank, phrase, cast(a as bigint) a, cast(l as bigint) l, cast(r as bigint) r, cast(n as bigint) n, cast(score as bigint) score from ranked join n using (lang) where rank <= 2000
+"""
+
+
+QUERIES = {"op1_reputation": op1_reputation, "op2_neardup": op2_neardup, "op3_chat": op3_chat, "op4_lines": op4_lines, "op5_quality": op5_quality, "op6_langid": op6_langid, "op7_neighbours": op7_neighbours, "op8_decontaminate": op8_decontaminate, "op9_bpe": op9_bpe, "op10_toxicity": op10_toxicity, "op11_runs": op11_runs, "op12_phrases": op12_phrases}
+ORACLE_SQL: dict[str, str] = {"op1_reputation": OP1_SQL, "op3_chat": OP3_SQL, "op8_decontaminate": OP8_SQL, "op12_phrases": OP12_SQL}
