@@ -7,7 +7,7 @@ import zlib
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, langid, linetemplates, neardup, phrases, quality, reputation, runs, stableann, toxicity
+from . import bpe, chat, decontaminate, langid, linetemplates, neardup, phrases, quality, reputation, runs, stableann, suffixes, toxicity
 from .common import held_out, table
 
 
@@ -165,5 +165,10 @@ select lang, cast(rank as bigint) rank, phrase, cast(a as bigint) a, cast(l as b
 """
 
 
-QUERIES = {"op1_reputation": op1_reputation, "op2_neardup": op2_neardup, "op3_chat": op3_chat, "op4_lines": op4_lines, "op5_quality": op5_quality, "op6_langid": op6_langid, "op7_neighbours": op7_neighbours, "op8_decontaminate": op8_decontaminate, "op9_bpe": op9_bpe, "op10_toxicity": op10_toxicity, "op11_runs": op11_runs, "op12_phrases": op12_phrases}
+def op13_suffixes(spark, sf_dir):
+    rows = suffixes.without_repeats(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {"op1_reputation": op1_reputation, "op2_neardup": op2_neardup, "op3_chat": op3_chat, "op4_lines": op4_lines, "op5_quality": op5_quality, "op6_langid": op6_langid, "op7_neighbours": op7_neighbours, "op8_decontaminate": op8_decontaminate, "op9_bpe": op9_bpe, "op10_toxicity": op10_toxicity, "op11_runs": op11_runs, "op12_phrases": op12_phrases, "op13_suffixes": op13_suffixes}
 ORACLE_SQL: dict[str, str] = {"op1_reputation": OP1_SQL, "op3_chat": OP3_SQL, "op8_decontaminate": OP8_SQL, "op12_phrases": OP12_SQL}
