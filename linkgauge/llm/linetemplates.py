@@ -20,7 +20,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import ROW, cut_lineage, map_batches, replaced, row_key, shelf, sieve, sifted, text_bytes
@@ -109,33 +109,60 @@ def _token_hashes(words: list[bytes]) -> np.ndarray:
     return np.array([0 if x == _WILD else xxhash.xxh3_64_intdigest(x) for x in words], np.uint64).view(np.int64)
 
 
+def _holders(hashed: DataFrame, counted: DataFrame, enough: int, put) -> DataFrame:
+    """(leaf, line, who): hashes of up to `enough` different documents that hold each line. Whether a set of lines is held
+    by `enough` documents in all is thereby told exactly: a line that has left any out has enough by itself."""
+    several = put(counted.filter("who <> whom").select("leaf", "line"))
+    held = sifted(hashed, sieve(several, "line"), "line")[0].join(several, ["leaf", "line"]).select("leaf", "line", _who("doc_id")).distinct()
+    order = Window.partitionBy("leaf", "line").orderBy("who")
+    some = held.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= enough).drop("nth")
+    return put(some.union(counted.filter("who = whom").select("leaf", "line", "who")))
+
+
+def _who(doc_id: str) -> Column:
+    """A document by its id; a null id is one document."""
+    return F.xxhash64(doc_id).alias("who")
+
+
 def _recurring(docs: DataFrame, hashed: DataFrame, min_docs: int, put) -> DataFrame:
-    """(leaf, line, kept, docs, first, row_a) of every masked line whose template recurs: which of its tokens the template
-    keeps (null for all), the documents that hold the template, the least doc_id of these, and a row that holds the line."""
-    counted = put(hashed.groupBy("leaf", "line").agg(F.count_if("once").alias("docs"), F.min("doc_id").alias("first"), F.max(F.col("raw").isNotNull()).alias("sparse"), F.min("row_a").alias("row_a")))
+    """(leaf, line, kept, template, first, row_a) of every masked line whose template recurs: which of its tokens the template
+    keeps (null for all), a hash of the template, the least id of the documents that hold it, and a row that holds the line.
+    Documents are counted once, however many lines and repeated rows they have of a token or template."""
+    who = _who("doc_id")
+    counted = put(hashed.groupBy("leaf", "line").agg(F.min(who).alias("who"), F.max(who).alias("whom"), F.count_if("once").alias("docs"), F.min("doc_id").alias("first"), F.max(F.col("raw").isNotNull()).alias("sparse"), F.min("row_a").alias("row_a")))
     leaves = counted.groupBy("leaf").agg(F.sum("docs").alias("in_leaf"), F.count("*").alias("kinds")).filter(F.col("in_leaf") >= min_docs)
-    counted = put(counted.join(leaves.drop("in_leaf"), "leaf"))
-    alone = counted.filter("kinds = 1 and not sparse").select("leaf", "line", F.lit(None).cast("array<boolean>").alias("kept"), "docs", "first", "row_a")
+    counted = put(counted.join(leaves.drop("in_leaf"), "leaf").drop("docs"))
+    holders = _holders(hashed, counted, min_docs, put)
+    enough = F.count("*") >= min_docs
+    many = holders.groupBy("leaf", "line").agg(enough.alias("enough")).filter("enough").drop("enough")
+    alone = counted.filter("kinds = 1 and not sparse").join(many, ["leaf", "line"]).select("leaf", "line", F.lit(None).cast("array<boolean>").alias("kept"), F.col("line").alias("template"), "first", "row_a")
 
     several = counted.filter("kinds > 1")
     words = _wanted_lines(docs, several.select("row_a", "leaf", "line"), _token_hashes, pa.int64())
-    several = put(several.drop("kinds", "sparse").join(words, ["leaf", "line"]))
-    tokens = several.select("leaf", "line", "docs", F.posexplode("got").alias("at", "token"))
-    steady = tokens.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("n")).filter(F.col("n") >= min_docs).select("leaf", "at", "token", F.lit(True).alias("kept"))
-    flags = tokens.drop("docs").join(steady, ["leaf", "at", "token"], "left").groupBy("leaf", "line").agg(F.array_sort(F.collect_list(F.struct("at", (F.coalesce("kept", F.lit(False)) & (F.col("token") != 0)).alias("kept"))))["kept"].alias("kept"))
+    several = put(several.select("leaf", "line", "first", "row_a").join(words, ["leaf", "line"]))
+    votes = several.select("leaf", "line", "got").join(holders, ["leaf", "line"]).select("leaf", "who", F.posexplode("got").alias("at", "token")).distinct()
+    steady = votes.groupBy("leaf", "at", "token").agg(enough.alias("kept")).filter("kept")
+    tokens = several.select("leaf", "line", F.posexplode("got").alias("at", "token"))
+    flags = tokens.join(steady, ["leaf", "at", "token"], "left").groupBy("leaf", "line").agg(F.array_sort(F.collect_list(F.struct("at", (F.coalesce("kept", F.lit(False)) & (F.col("token") != 0)).alias("kept"))))["kept"].alias("kept"))
     shaped = several.join(flags, ["leaf", "line"]).filter(F.size(F.filter("kept", lambda x: x)) >= CONSTANT * F.size("kept"))
     shaped = put(shaped.withColumn("template", F.xxhash64(F.zip_with("got", "kept", lambda word, kept: F.when(kept, word).otherwise(0)))).drop("got"))
-    totals = shaped.groupBy("leaf", "template").agg(F.sum("docs").alias("docs"), F.min("first").alias("first")).filter(F.col("docs") >= min_docs)
-    return alone.unionByName(shaped.drop("docs", "first").join(totals, ["leaf", "template"]).drop("template"))
+    held = shaped.select("leaf", "line", "template").join(holders, ["leaf", "line"]).select("leaf", "template", "who").distinct()
+    wide = held.groupBy("leaf", "template").agg(enough.alias("enough")).filter("enough").drop("enough")
+    totals = shaped.groupBy("leaf", "template").agg(F.min("first").alias("first")).join(wide, ["leaf", "template"])
+    return alone.unionByName(shaped.drop("first").join(totals, ["leaf", "template"]))
 
 
 def templates(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(template, docs, first) of every recurring template, as text; lines that recur as they stand are not among them."""
+    """(template, docs, first) of every recurring template, as text, with the number of documents that hold it and the least
+    id of these; lines that recur as they stand are not among them."""
     with shelf(docs.sparkSession) as put:
-        found = put(_recurring(docs, put(hashed_lines(docs)), min_docs, put))
+        hashed = put(hashed_lines(docs))
+        found = put(_recurring(docs, hashed, min_docs, put))
         lines = _wanted_lines(docs, found.select("row_a", "leaf", "line"), lambda words: [x.decode() for x in words], pa.string())
         words = F.when(F.col("kept").isNull(), F.col("got")).otherwise(F.zip_with("got", "kept", lambda word, kept: F.when(kept, word).otherwise(WILDCARD)))
-        return cut_lineage(found.join(lines, ["leaf", "line"]).select(F.array_join(words, " ").alias("template"), "docs", "first").distinct())
+        counts = hashed.join(found.select("leaf", "line", "template"), ["leaf", "line"]).select("leaf", "template", _who("doc_id")).distinct().groupBy("leaf", "template").agg(F.count("*").alias("docs"))
+        named = found.join(lines, ["leaf", "line"]).join(counts.withColumnRenamed("template", "id"), [found["leaf"] == counts["leaf"], found["template"] == F.col("id")])
+        return cut_lineage(named.select(F.array_join(words, " ").alias("template"), "docs", "first").distinct())
 
 
 def repeated(hashed: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -155,18 +182,13 @@ def dropped_places(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
         return cut_lineage(gone.groupBy(*ROW).agg(F.collect_set("at").alias("places")))
 
 
-def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """docs, all columns, with two more: `_lines` (number of lines) and `_dropped` (lines dropped), and the text without them.
-
-    A line stays in the document with the least id among those that hold its template (in repeated rows of that document
-    too), and wherever it has fewer than MIN_TOKENS tokens. Null texts stay null with no lines; a text may become empty.
-    Repeated rows are treated alike. Columns of docs named `_lines` or `_dropped` are replaced; other names may be anything."""
-    names = [c for c in docs.columns if c not in ("_lines", "_dropped")]
+def _cleaned(docs: DataFrame, min_docs: int) -> DataFrame:
+    """(doc, text, n_lines, n_dropped): doc holds all columns but the text, under whatever names."""
     gone = dropped_places(docs, min_docs)
-    wide = docs.select(F.struct(*[c for c in names if c != "text"]).alias("doc"), "text", *row_key("doc_id", "text"))
+    wide = docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("doc"), "text", *row_key("doc_id", "text"))
     hit, clean = sifted(wide, sieve(gone, "row_a"), "row_a")
-    n = F.coalesce(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("long")
-    hit = hit.join(gone, ROW, "left").select("doc", "text", n.alias("_lines"), F.coalesce(F.size("places"), F.lit(0)).cast("long").alias("_dropped"), "places")
+    n = F.coalesce(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("long").alias("n_lines")
+    hit = hit.join(gone, ROW, "left").select("doc", "text", n, F.coalesce(F.size("places"), F.lit(0)).cast("long").alias("n_dropped"), "places")
 
     def run(batches):
         for batch in batches:
@@ -179,13 +201,29 @@ def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
             yield replaced(batch, pa.schema([batch.schema.field(i) for i in range(4)]), text=pa.array(out, pa.binary()).cast(pa.string()))
 
     kept = map_batches(hit, run, hit.drop("places").schema)
-    kept = kept.union(clean.select("doc", "text", n.alias("_lines"), F.lit(0).cast("long").alias("_dropped")))
-    return kept.select(*[F.col("text") if c == "text" else F.col("doc").getField(c).alias(c) for c in names], "_lines", "_dropped")
+    return kept.union(clean.select("doc", "text", n, F.lit(0).cast("long")))
+
+
+def _columns(names: list[str], **own: Column) -> list[Column]:
+    return [own[c].alias(c) if c in own else F.col("doc").getField(c).alias(c) for c in names]
+
+
+def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """docs, all columns, with two more: `_lines` (number of lines) and `_dropped` (lines dropped), and the text without them.
+
+    A line stays in the document with the least id among those that hold its template (in repeated rows of that document
+    too), and wherever it has fewer than MIN_TOKENS tokens. Null texts stay null with no lines; a text may become empty.
+    Repeated rows are treated alike. Columns of docs named `_lines` or `_dropped` are replaced; other names may be anything."""
+    names = [c for c in docs.columns if c not in ("_lines", "_dropped")]
+    rows = _cleaned(docs.select(*names), min_docs)
+    return rows.select(*_columns(names, text=F.col("text")), F.col("n_lines").alias("_lines"), F.col("n_dropped").alias("_dropped"))
 
 
 def drop_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """docs, with its columns, without recurring lines; rows of which no other word is left go. n_chars follows the text.
-    Rows that lose no line stay as they are, null and empty texts too."""
-    cleaned = drop_recurring(docs, min_docs).filter((F.col("_dropped") == 0) | F.col("text").rlike(r"\S"))
-    n_chars = F.when(F.col("_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(dict(docs.dtypes)["n_chars"]).alias("n_chars") if "n_chars" in docs.columns else None
-    return cleaned.select(*[n_chars if c == "n_chars" else c for c in docs.columns])
+    """docs, with its columns, whatever their names, without recurring lines; rows of which no other word is left go. n_chars
+    follows the text. Rows that lose no line stay as they are, null and empty texts too."""
+    rows = _cleaned(docs, min_docs).filter((F.col("n_dropped") == 0) | F.col("text").rlike(r"\S"))
+    own = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        own["n_chars"] = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("doc.n_chars")).cast(dict(docs.dtypes)["n_chars"])
+    return rows.select(*_columns(docs.columns, **own))

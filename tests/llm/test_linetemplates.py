@@ -1,5 +1,5 @@
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 
 from linkgauge.llm import common
 from linkgauge.llm.linetemplates import CONSTANT, LEAD, MIN_TOKENS, drop_lines, drop_recurring, templates
@@ -10,20 +10,21 @@ def mask(line):
 
 
 def brute(rows, min_docs=3):
-    docs, first = Counter(), {}
+    """Documents are counted by id, each once for a token or template; all rows without an id are one document."""
+    docs, first = defaultdict(set), {}
     for i, text in rows:
         for line in {mask(x) for x in text.split("\n")} if text is not None else ():
             if len(line.split(" ")) >= MIN_TOKENS:
-                docs[line] += 1
+                docs[line].add(i)
                 first[line] = min((x for x in (i, first.get(line)) if x is not None), default=None)
     leaf = {line: (len(line.split(" ")), *line.split(" ")[:LEAD]) for line in docs}
-    in_leaf, steady, by_template = defaultdict(list), Counter(), defaultdict(list)
+    in_leaf, steady, by_template = defaultdict(list), defaultdict(set), defaultdict(list)
     for line in docs:
         in_leaf[leaf[line]].append(line)
         for at, token in enumerate(line.split(" ")):
-            steady[leaf[line], at, token] += docs[line]
+            steady[leaf[line], at, token] |= docs[line]
     for line in docs:
-        tokens = [t if steady[leaf[line], at, t] >= min_docs else "<*>" for at, t in enumerate(line.split(" "))]
+        tokens = [t if len(steady[leaf[line], at, t]) >= min_docs else "<*>" for at, t in enumerate(line.split(" "))]
         if len(in_leaf[leaf[line]]) == 1:
             tokens = line.split(" ")
         elif sum(t != "<*>" for t in tokens) < CONSTANT * len(tokens):
@@ -31,7 +32,7 @@ def brute(rows, min_docs=3):
         by_template[" ".join(tokens)].append(line)
     out = {}
     for lines in by_template.values():
-        if sum(docs[x] for x in lines) >= min_docs:
+        if len(set().union(*[docs[x] for x in lines])) >= min_docs:
             least = min((first[x] for x in lines if first[x] is not None), default=None)
             out |= dict.fromkeys(lines, least)
     return ["\n".join(x for x in text.split("\n") if mask(x) not in out or out[mask(x)] == i) if text is not None else None for i, text in rows]
@@ -76,3 +77,22 @@ def test_lines_of_numbers_go_only_where_they_recur_as_they_stand(spark):
     got = [(r.doc_id, r.text, r["_dropped"]) for r in drop_recurring(spark.createDataFrame(tables + same + twice, "doc_id long, text string").repartition(3)).collect()]
     expected = [(i, "", 1) if i is None or i in (11, 12, 13, 25, 26) else (i, text, 0) for i, text in tables + same + twice]
     assert sorted(got, key=repr) == sorted(expected, key=repr)
+
+
+def test_two_documents_are_not_enough(spark):
+    red = [(1, "The cat sat on a red mat today ok\nThe cat sat on a blue mat today ok"), (2, "The cat sat on a green mat today ok")]
+    alpha = [(3, "Alpha one two beta gamma delta\nAlpha one two beta gamma eps"), (4, "Alpha one two beta gamma delta")] + [(5, "Only one row of this text")] * 5
+    kept = drop_recurring(spark.createDataFrame(red + alpha, "doc_id long, text string").repartition(3)).collect()
+    assert all(r["_dropped"] == 0 for r in kept) and len(kept) == 9
+    third = [(6, "The cat sat on a black mat today ok")]
+    got = {r.doc_id: r["_dropped"] for r in drop_recurring(spark.createDataFrame(red + third, "doc_id long, text string")).collect()}
+    assert got == {1: 0, 2: 1, 6: 1}
+    counted = {r.template: (r.docs, r.first) for r in templates(spark.createDataFrame(red + third + third, "doc_id long, text string")).collect()}
+    assert counted == {"The cat sat on a <*> mat today ok": (3, 1)}
+
+
+def test_columns_of_any_name_stay(spark):
+    df = spark.createDataFrame([(i, "Call us on our free line today", 7, "l", i, 1.5) for i in range(4)], "doc_id long, text string, _dropped int, _lines string, n_lines long, doc double")
+    kept = drop_lines(df)
+    assert kept.dtypes == df.dtypes and [tuple(r) for r in kept.collect()] == [(0, "Call us on our free line today", 7, "l", 0, 1.5)]
+    assert drop_recurring(df).dtypes == [("doc_id", "bigint"), ("text", "string"), ("n_lines", "bigint"), ("doc", "double"), ("_lines", "bigint"), ("_dropped", "bigint")]
