@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
@@ -93,6 +94,13 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of what nothing refers to any more: it does so when the driver collects its garbage,
+    which a driver with little to do may not for hours."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 @contextmanager
 def shelf(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
     """A function that writes a table to the shared folder and reads it back. All its tables are removed at the end, so
