@@ -8,11 +8,13 @@ the lesser weights over the sum of the greater ones.
 3. In every bucket each node is compared with the bucket's pivot alone: no pairs within the group. The pivot is the node
    whose buckets hold the most nodes in all, which is the text that the others are variants of, if there is one. Links
    are exact Jaccard similarities of at least `least`, and connected nodes form a class.
-4. Buckets that still hold several classes are taken up again: the nodes outside a bucket's largest class meet the nodes
-   of other classes, in the first bucket that both share. A pair is passed over if the distances to the pivot differ by
-   more than a link may span (Jaccard distance is a metric) or if longer signatures agree in so few coordinates that a
-   link is out of the question (4.5 standard deviations); the others are compared exactly. Pairs inside one class need
-   no comparison, so no candidate link that would join two classes is lost.
+4. Buckets that still hold several classes are taken up again; only pairs of different classes are looked for, so no
+   candidate link that would join two classes is lost. In buckets of up to CROWD nodes, those outside the largest class
+   meet the nodes of other classes. The nodes of larger buckets, which mostly share a common passage and nothing else, are
+   paired by prefix filtering instead: of two sets with a link, the shingles that come first in an order with frequent ones last
+   share one, early enough for the rest to make up the link. Frequent passages thus make no pairs.
+5. A pair is passed over if longer signatures agree in so few coordinates that a link is out of the question (4.5 standard
+   deviations); the others are compared exactly.
 
 Texts are exchanged only to make the shingle sets of nodes that share a bucket, and to drop or keep rows that a sieve of
 fixed size cannot tell. With BANDS bands of ROWS coordinates a pair at similarity 0.8 shares no bucket with a probability of 3 in 100,000.
@@ -20,6 +22,7 @@ fixed size cannot tell. With BANDS bands of ROWS coordinates a pair at similarit
 
 from __future__ import annotations
 
+import math
 import re
 
 import numpy as np
@@ -29,13 +32,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, cut_lineage, map_batches, row_key, shelf, sieve, sifted, texts
+from .common import ROW, cut_lineage, map_batches, passes, row_key, sent, shelf, sieve, sifted, texts
 from .darts import band_keys, mix, signatures
 
 WORDS, LEAST = 5, 0.8
 BANDS, ROWS = 20, 4
 #: Coordinates of the longer signature that pairs across classes must agree in before they are compared.
-MARKS = 512
+MARKS = 256
+#: Nodes of a bucket that meet each other, and nodes that make a shingle a frequent one in larger buckets.
+CROWD, FREQUENT = 64, 32
 #: Shingles whose signatures are computed together, and word hashes that a task remembers.
 TOGETHER, REMEMBERED = 50_000, 100_000
 
@@ -147,18 +152,65 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _across(mixed: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) of nodes of different classes that share a bucket and may be linked, each once."""
+def _met(rows: DataFrame, key: str, condition=None) -> DataFrame:
+    """Pairs (a, b) of nodes of different classes that share a key of rows (key, node, label, ...), each once. For each key, nodes
+    outside the largest class meet those of other classes."""
+    parts = rows.groupBy(key, "label").agg(F.count("*").alias("n")).groupBy(key).agg(F.max(F.struct("n", "label"))["label"].alias("main"), F.count("*").alias("labels"))
+    mixed = rows.join(parts.filter("labels > 1").drop("labels"), key)
     x, y = mixed.filter("label <> main").alias("x"), mixed.alias("y")
-    other = ((F.col("y.label") == F.col("y.main")) | (F.col("x.label") < F.col("y.label"))) & (F.abs(F.col("x.near") - F.col("y.near")) <= 1 - least + 1e-9)
-    agree = F.aggregate(F.zip_with("x.marks", "y.marks", lambda p, q: F.when(p == q, 1).otherwise(0)), F.lit(0), lambda n, one: n + one)
-    likely = agree >= int(MARKS * least - 4.5 * (MARKS * least * (1 - least)) ** 0.5)
-    shared_first = F.array_position(F.zip_with("x.bands", "y.bands", lambda p, q: p == q), True) == F.array_position("x.bands", F.col("x.key"))
-    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & other & shared_first & likely)
+    other = (F.col("y.label") == F.col("y.main")) | (F.col("x.label") < F.col("y.label"))
+    pairs = x.join(y, (F.col(f"x.{key}") == F.col(f"y.{key}")) & other & (F.lit(True) if condition is None else condition))
     return pairs.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()
 
 
-def node_classes(docs: DataFrame, least: float, put) -> tuple[DataFrame, DataFrame]:
+def _prefixes(rows: DataFrame, again, hot, least: float) -> DataFrame:
+    """(token, node, label, size, at, inner) of the first shingles of each set (node, label, shingles) by an order with frequent ones
+    last: so many that one of two linked sets must hold one of the other's, of which the shorter set's is an inner one.
+    Shingles of one set alone are left out."""
+    bits, size_of, hot_bits, hot_size = sent(again), again.size, sent(hot), hot.size
+
+    def run(batches):
+        for batch in batches:
+            tokens, owner, sizes, at, inner = [], [], [], [], []
+            for i, own in enumerate(batch.column(2).to_pylist()):
+                own = np.array(own, np.int64)
+                n = len(own)
+                own = own[np.lexsort((own, passes(hot_bits.value, hot_size, own)))][: n - math.ceil(least * n - 1e-9) + 1]
+                kept = np.flatnonzero(passes(bits.value, size_of, own))
+                tokens.append(own[kept])
+                owner.append(np.full(len(kept), i))
+                sizes.append(np.full(len(kept), n))
+                at.append(kept)
+                inner.append(kept < n - math.ceil(2 * least / (1 + least) * n - 1e-9) + 1)
+            owner, *rest = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (owner, tokens, sizes, at, inner))
+            of = pa.array(owner.astype(np.int64))
+            tokens, sizes, at = (pa.array(x, pa.int64()) for x in rest[:3])
+            yield pa.RecordBatch.from_arrays([tokens, batch.column(0).take(of), batch.column(1).take(of), sizes, at, pa.array(rest[3].astype(bool))], ["token", "node", "label", "size", "at", "inner"])
+
+    return map_batches(rows, run, "token long, node binary, label binary, size long, at long, inner boolean")
+
+
+def _crowded(nodes: DataFrame, sets: DataFrame, least: float, put) -> DataFrame:
+    """Pairs (a, b) of different classes among nodes (node, label) that may be linked, by prefix filtering."""
+    own = put(sets.join(nodes, "node").select("node", "label", "shingles"))
+    counts = put(own.select(F.explode("shingles").alias("token")).groupBy("token").agg(F.count("*").alias("n")).filter("n > 1"))
+    rows = put(_prefixes(own, sieve(counts, "token"), sieve(counts.filter(F.col("n") >= FREQUENT), "token"), least))
+    x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
+    early = ((x("size") <= y("size")) & x("inner")) | ((y("size") <= x("size")) & y("inner"))
+    enough = F.least(x("size") - x("at"), y("size") - y("at")) >= least / (1 + least) * (x("size") + y("size")) - 1e-6
+    return _met(rows, "token", early & enough)
+
+
+def _likely(pairs: DataFrame, sets: DataFrame, least: float, put) -> DataFrame:
+    """The pairs whose longer signatures leave a link possible."""
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    marks = put(map_batches(sets.join(nodes, "node").select("node", "shingles"), _marks, "node binary, marks array<byte>"))
+    both = pairs.join(marks.select(F.col("node").alias("a"), F.col("marks").alias("x")), "a").join(marks.select(F.col("node").alias("b"), F.col("marks").alias("y")), "b")
+    agree = F.aggregate(F.zip_with("x", "y", lambda p, q: F.when(p == q, 1).otherwise(0)), F.lit(0), lambda n, one: n + one)
+    return both.filter(agree >= int(MARKS * least - 4.5 * (MARKS * least * (1 - least)) ** 0.5)).select("a", "b")
+
+
+def node_classes(docs: DataFrame, least: float, put, crowd: int = CROWD) -> tuple[DataFrame, DataFrame]:
     """(doc_id, row_a, row_b, node, n_bands) of every row of docs, and (node, class_id, first, row_a, row_b) of every node:
     class_id is the least doc_id of its class, first the least of the node's own rows, of which row_a and row_b tell one."""
     texts_ = docs.select("doc_id", *row_key("doc_id", "text"), "text")
@@ -171,7 +223,7 @@ def node_classes(docs: DataFrame, least: float, put) -> tuple[DataFrame, DataFra
     shared = put(held.join(sizes, "key"))
     central = shared.groupBy("node").agg(F.sum("n").alias("central"))
     pivots = shared.join(central, "node").groupBy("key").agg(F.max(F.struct("central", "node"))["node"].alias("pivot"))
-    shared = put(shared.select("key", "node").join(pivots, "key"))
+    shared = put(shared.select("key", "node", "n").join(pivots, "key"))
     stars = shared.filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
 
     wanted = put(shared.select("node").distinct().join(nodes.select("node", *ROW), "node"))
@@ -182,14 +234,12 @@ def node_classes(docs: DataFrame, least: float, put) -> tuple[DataFrame, DataFra
     links = first.filter(F.col("sim") >= least)
     labels = components(links)
 
-    apart = shared.join(labels, "node", "left").select("key", "node", "pivot", F.coalesce("label", "node").alias("label"))
-    parts = apart.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "label"))["label"].alias("main"), F.count("*").alias("labels"))
-    mixed = apart.join(parts.filter("labels > 1").drop("labels"), "key").join(first.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "sim"), ["node", "pivot"], "left")
-    mixed = put(mixed.select("key", "node", "label", "main", F.coalesce("sim", F.lit(1.0)).alias("near")).join(nodes.select("node", "bands"), "node"))
-    marks = map_batches(sets.join(mixed.select("node").distinct(), "node").select("node", "shingles"), _marks, "node binary, marks array<byte>")
-    mixed = mixed.join(marks, "node")
-    across = _across(mixed, least).join(first.select("a", "b"), ["a", "b"], "left_anti")
-    joined = put(_verified(across, sets).filter(F.col("sim") >= least))
+    apart = put(shared.join(labels, "node", "left").select("key", "node", "n", F.coalesce("label", "node").alias("label")))
+    several = apart.groupBy("key").agg(F.min("label").alias("one"), F.max("label").alias("other"), F.max("n").alias("n")).filter("one <> other")
+    crowded = apart.drop("n").join(several.filter(F.col("n") > crowd).select("key"), "key").select("node", "label").distinct()
+    pairs = _met(apart.filter(F.col("n") <= crowd), "key").union(_crowded(crowded, sets, least, put)).distinct()
+    pairs = put(pairs.join(first.select("a", "b"), ["a", "b"], "left_anti").join(first.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti"))
+    joined = put(_verified(put(_likely(pairs, sets, least, put)), sets).filter(F.col("sim") >= least))
     if not joined.isEmpty():
         labels = components(links.select("a", "b").union(joined.select("a", "b")))
 

@@ -4,9 +4,9 @@ from collections import Counter
 
 import numpy as np
 
-from linkgauge.llm.common import table
+from linkgauge.llm.common import shelf, table
 from linkgauge.llm.darts import band_keys, signatures
-from linkgauge.llm.neardup import _Words, classes, components, keep_first, shingles, weighted, words_of
+from linkgauge.llm.neardup import _Words, classes, components, keep_first, node_classes, shingles, weighted, words_of
 
 
 def hashes(rng, n):
@@ -114,3 +114,36 @@ def test_all_links_among_documents_are_found(spark):
     got = {r.doc_id: r.class_id for r in classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
     assert len(links) > 20 and all(got[rows[a][0]] == got[rows[b][0]] for a, b in links)
     assert len(set(got.values())) >= len(rows) - len(links)
+
+
+def test_crowded_buckets(spark):
+    """A passage in most texts, with families of near copies that differ in it and beside it: with every bucket crowded, and with none."""
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(4000)]
+    passage, rows = rng.choices(words, k=60), []
+    for share in (20, 34, 8, 6, 10):
+        for _ in range(30):
+            rows.append([*rng.choices(words, k=rng.randint(share - 3, share)), *passage])
+    for _ in range(6):
+        base = [*rng.choices(words, k=40), *passage, *rng.choices(words, k=20)]
+        for _ in range(8):
+            own = base[:]
+            for _ in range(rng.randint(0, 3)):
+                own[rng.randrange(len(own))] = rng.choice(words)
+            rows.append(own)
+    rows = [(i, " ".join(w)) for i, w in enumerate(rows)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    expected = dict(brute(rows))
+    assert 60 < len(set(expected.values())) < len(rows) - 20
+    for crowd in (1, 64, 10_000):
+        with shelf(spark) as put:
+            of, nodes = node_classes(df, 0.8, put, crowd)
+            assert {r.doc_id: r.class_id for r in of.join(nodes, "node").select("doc_id", "class_id").collect()} == expected
+
+
+def test_a_common_passage_makes_no_pairs(spark):
+    rng = random.Random(2)
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(i, passage + " " + " ".join(f"u{rng.randrange(10**9)}" for _ in range(34))) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert classes(df).filter("class_id <> doc_id").count() == 0
