@@ -6,14 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import urls
-from ..functions.html import INSIDE, attribute, bound, unescape
-from .pages import visible
+from ..functions import markup
+from ..functions.html import attribute, bound
 
 # fixed values: hosts and phrases of the link rules
 NEWS = ("nytimes.com", "washingtonpost.com", "wsj.com", "theguardian.com", "cnn.com", "bbc.co.uk", "reuters.com", "bloomberg.com", "economist.com")
 SHORTENERS = ("bit.ly", "tinyurl.com", "goo.gl", "t.co", "ow.ly", "short.link")
 PHRASES = ("click here", "free money", "make money", "work from home", "guaranteed", "miracle", "amazing", "incredible", "unbelievable", "shocking", "viral", "you won", "claim now", "limited time", "act fast", "download now")
-ANCHOR = rf"(?is)<a\s{INSIDE}>.*?</a>"
 KINDS = ("quality", "news", "internal", "neutral", "low_quality", "suspicious", "spam")
 
 
@@ -36,15 +35,14 @@ def resolve(page: Column, link: Column) -> Column:
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """(page_url, link_url, text, title, rel): one row for each anchor with an href that is not blank, however it is quoted;
-    entities are decoded; other schemes than http go."""
-    text = lambda a, head: F.trim(unescape(F.regexp_replace(F.substr(a, F.length(head) + 1), "<[^>]*>", "")))
-    target = lambda head: bound(F.trim(attribute(head, "href")), lambda href: F.when(href != "", resolve(F.col("url"), href)))
-    link = lambda a, head: F.struct(target(head).alias("link_url"), text(a, head).alias("text"), attribute(head, "title").alias("title"), attribute(head, "rel").alias("rel"))
-    anchors = F.regexp_extract_all(visible(F.coalesce("html", F.lit(""))), F.lit(ANCHOR), F.lit(0))
-    found = F.transform(anchors, lambda a: bound(F.regexp_extract(a, rf"(?is)^<a\s{INSIDE}>", 0), lambda head: link(a, head)))
+    """(page_url, link_url, text, title, rel): one row for each anchor with an href that is not blank, however it is quoted, closed or
+    nested (the text of an anchor inside another belongs to both); entities are decoded; other schemes than http go."""
+    page = F.col("_page")
+    target = lambda tag: bound(F.trim(attribute(tag, "href")), lambda href: F.when(href != "", resolve(F.col("url"), href)))
+    link = lambda span, tag: F.struct(target(tag).alias("link_url"), F.trim(markup.text_of(page, span)).alias("text"), attribute(tag, "title").alias("title"), attribute(tag, "rel").alias("rel"))
+    found = F.transform(markup.elements(page, "a"), lambda span: bound(F.get(page["tokens"], span["at"]), lambda tag: link(span, tag)))
     # read within the array, so that what follows the explode names plain columns
-    out = pages.select(F.col("url").alias("page_url"), F.explode(found).alias("link")).select("page_url", "link.*")
+    out = pages.withColumn("_page", markup.parsed(F.col("html"))).select(F.col("url").alias("page_url"), F.explode(found).alias("link")).select("page_url", "link.*")
     return out.filter(F.lower("link_url").rlike("^https?://"))
 
 

@@ -24,6 +24,9 @@ EDGE_PAGES = """select * from (values
 , ('https://a.org/dir/8', 200, concat('<meta content=''', repeat('e', 70), ''' name=''description''><META NAME=robots CONTENT=all><link href=/c rel=canonical><title>Tom &amp; Jerry &#39;n co</title><img src=a alt=b><img alt='''' src=c>',
   '<a href=''x.html?a=1&amp;b=2'' title=''t &lt; u''>single quoted</a><a class=z href=/bare>bare link here</a><a href="">blank one</a><a rel="me" href=''https://m.org/a>b''>odd &quot;mark&quot;</a><a name=top>no link</a><a href = "/spaced">spaced out</a>',
   '<form><input type=''password''><input name=p type=password></form>', repeat('<i style=''visibility: hidden''>h</i>', 6), repeat('x', 100)))
+, ('https://a.org/dir/9', 200, concat('<TITLE>Un&#x63;losed &eacute;&#233; &#128512; &unknown; &amp;lt; &#x96;</TITLE><p>', repeat('one ', 60), '<p>', repeat('two&nbsp;', 45), '<div><p>three<b>four</div>five</p><img alt="a > b" src=x><img src="y"/><a href="/o">outer <a href="/i" title="x > y">inner</a> tail</a>',
+  '<a href="/open" rel=nofollow>never closed <p/>', '<script>document.write("<a href=''/no''>no</a> contact about")</script><!-- <a href="/c">c</a> terms --><p>Contact</p>&copy; us</p></q> 1 < 2 <form action="?a>b"><input type=password></form><form><p><input type="PASSWORD"><div><input type=password></form> <i>Terms'))
+, ('https://a.org/dir/10', 200, concat('<h1>a</h1><h2 class="x>y">b</h2><H3>c</H3><p>', repeat('w ', 100), '</p><style>p{}</style><a name=x>no</a><a href>none</a>', repeat('<a href=z>z</a>', 4), '<meta name="a" content="og:x"><meta content=">" property="og:y"><span style="color: red">', repeat('y', 40)))
 ) e(url, status_code, html)"""
 
 
@@ -219,38 +222,21 @@ QUERIES = {name: globals()[name] for name in NAMES}
 QUOTE = """["'']"""
 VALUE = r"""("[^"]*"|''[^'']*''|[^\s"''>]+)"""
 INSIDE = """(?:[^>"'']|"[^"]*"|''[^'']*'')*"""
-PARAGRAPH, TAG = r"(?is)<p(?:\s[^>]*)?>(.*?)</p>", "<[^>]*>"
-TITLE = r"(?is)<title\b[^>]*>(.*?)</title>"
-
-
-def hidden_sql(text: str) -> str:
-    for pattern in ("(?is)<!--.*?-->", "(?is)<script.*?</script>", "(?is)<style.*?</style>"):
-        text = f"regexp_replace({text}, '{pattern}', ' ', 'g')"
-    return text
+TOKEN = rf"(?is)<!--.*?-->|<script\b{INSIDE}>.*?</script\s*>|<style\b{INSIDE}>.*?</style\s*>|</?[a-z]{INSIDE}>|<[!?][^>]*>|[^<]+|<"
+HEAD = rf"(?is)^<[a-z][^\s/>]*{INSIDE}>"
 
 
 def decoded(text: str) -> str:
     """Entities decoded: those that the pages hold."""
-    for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "''"), ("&nbsp;", " "), ("&copy;", "©"), ("&#39;", "''"), ("&amp;", "&")):
+    for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "''"), ("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&#39;", "''"), ("&#x63;", "c"), ("&eacute;", "é"), ("&#233;", "é"), ("&#128512;", "\U0001f600"), ("&#x96;", "–"), ("&amp;", "&")):
         text = f"replace({text}, '{name}', '{char}')"
     return text
 
 
 def attr_sql(tag: str, name: str) -> str:
-    raw = rf"""regexp_extract({tag}, '(?is)[\s"'']{name}\s*=\s*{VALUE}', 1)"""
-    return decoded(f"(case when regexp_matches({raw}, '^{QUOTE}') then substr({raw}, 2, length({raw}) - 2) else {raw} end)")
-
-
-def tag_sql(tag: str, name: str, value: str) -> str:
-    """Pattern of a tag with an attribute of a value."""
-    return rf"""(?is)<{tag}\b[^>]*[\s"'']{name}\s*=\s*["'']?{value}["''\s/>]"""
-
-
-ALT = r"""(?i)<img[^>]*\salt\s*=\s*("[^"]+"|''[^'']+''|[^\s"''>]+)"""
-HIDDEN_STYLE = r"""(?i)style\s*=\s*["''][^"'']*(?:display:\s*none|visibility:\s*hidden)"""
-GRAPH = r"""(?i)<meta[^>]*property\s*=\s*["'']?[^"''>]*og:"""
-ABOUT = attr_sql(f"list_filter(regexp_extract_all(html, '(?is)<meta{INSIDE}>'), lambda m: regexp_matches(m, '{tag_sql('meta', 'name', 'description')}'))[1]", "content")
-NAME = decoded(f"regexp_extract(body, '{TITLE}', 1)")
+    """An attribute of a tag, looked for outside the values of others: these are blanked unless they belong to it."""
+    own = rf"""regexp_extract({tag}, '(?is)^<(?:[^>"'']|"[^"]*"|''[^'']*'')*?\s{name}\s*=\s*{VALUE}', 1)"""
+    return decoded(f"(case when regexp_matches({own}, '^{QUOTE}') then substr({own}, 2, length({own}) - 2) else {own} end)")
 
 
 def count(text: str, pattern: str) -> str:
@@ -258,42 +244,63 @@ def count(text: str, pattern: str) -> str:
 
 
 def words_sql(text: str) -> str:
-    plain = f"trim(regexp_replace(regexp_replace({text}, '{TAG}', ' ', 'g'), '\\s+', ' ', 'g'))"
-    return f"case when {plain} = '' then 0 else length({plain}) - length(replace({plain}, ' ', '')) + 1 end"
+    return count(text, r"[^\s\x{00a0}]+")
+
+
+def markup_sql(source: str) -> str:
+    """CTEs of the pages of source (url, status_code, html): pg with their tokens, tg with their tags, sp with the extents of titles,
+    paragraphs, anchors and forms. Tags are taken one by one by recursion, with the open elements as a list."""
+    return rf"""pg as materialized (select row_number() over () k, url, status_code, coalesce(html, '') html, html is not null and status_code = 200 there, regexp_extract_all(coalesce(html, ''), '{TOKEN}') t from {source}),
+tg as materialized (select *, row_number() over (partition by k order by i) j from (select k, i, t[i] tag, lower(regexp_extract(t[i], '^</?([a-zA-Z][^\s/>]*)', 1)) tname, starts_with(t[i], '</') ends from (select k, t, unnest(range(1, len(t) + 1)) i from pg)) where starts_with(tag, '<') and tname <> ''),
+fo as materialized (select *, row_number() over (partition by k order by i) n from tg where tname not in ('area', 'base', 'br', 'col', 'embed', 'hr', 'img', 'input', 'link', 'meta', 'param', 'source', 'track', 'wbr', 'script', 'style')),
+fold(k, n, stack, done) as (select k, cast(0 as bigint), cast([] as struct(nm varchar, a bigint)[]), cast([] as struct(nm varchar, a bigint, e bigint)[]) from pg union all
+  select k, n, case when not ends and not single then list_append(stack, {{'nm': tname, 'a': i}}) when ends then stack[1 : keep] else stack end,
+    case when ends then list_concat(done, list_transform(stack[keep + 1 :], lambda x: {{'nm': x.nm, 'a': x.a, 'e': i}})) when single then list_append(done, {{'nm': tname, 'a': i, 'e': i + 1}}) else done end
+  from (select fo.k, fo.n, stack, done, tname, i, ends, tag like '%/>' single, case when list_contains(list_transform(stack, lambda x: x.nm), tname) then len(stack) - list_position(list_reverse(list_transform(stack, lambda x: x.nm)), tname) else len(stack) end keep
+    from fold join fo on fo.k = fold.k and fo.n = fold.n + 1)),
+en_ as (select k, arg_max(stack, n) stack, arg_max(done, n) done from fold group by k),
+sp as materialized (select k, url, x.nm nm, x.a a, x.e e, t[x.a] tag, array_to_string(list_transform(list_filter(t[x.a : x.e - 1], lambda y: not starts_with(y, '<') or y = '<'), lambda y: {decoded('y')}), '') txt
+  from (select k, unnest(list_concat(done, list_transform(stack, lambda x: {{'nm': x.nm, 'a': x.a, 'e': cast(len(t) + 1 as bigint)}}))) x from en_ join pg using (k)) join pg using (k) where x.nm in ('title', 'p', 'a', 'form'))"""
 
 
 PAGES = f"obs as (select url, 200 status_code, html from pages union all {sql(EDGE_PAGES)})"
 PHRASES = " + ".join(f"cast(contains(lower(html), '{p}') as int)" for p in pages.SPAM_PHRASES)
 
 
-def facts_sql(source: str) -> str:
-    """CTE pf: page features of source (url, status_code, html)."""
+def facts_sql() -> str:
+    """CTE pf: page features, from the CTEs of markup_sql."""
     when = lambda c, w: f"case when {c} then {w} else 0 end"
-    has = lambda p, w: when(f"regexp_matches(html, '{p}')", w)
-    return f"""p0 as (select url, status_code, coalesce(html, '') html, html is not null and status_code = 200 there, {hidden_sql("coalesce(html, '')")} body from {source}),
-p1 as (select *, there and length(html) >= 100 whole, length(trim({NAME})) tl, coalesce(length(trim({ABOUT})), 0) dl, {count('body', '(?i)<h[1-3][\\s>]')} hn,
-  {words_sql(f"array_to_string(regexp_extract_all(body, '{PARAGRAPH}', 1), ' ')")} wn, {count('body', '(?i)<img[\\s>]')} imgs, {count('body', ALT)} alts, {count('body', '(?i)<a\\s[^>]*href\\s*=')} ln, {count('html', '!')} marks from p0),
+    n = lambda c: f"count(*) filter (not ends and {c})"
+    has = lambda tag, name, value: n(f"tname = '{tag}' and lower({attr_sql('tag', name)}) = '{value}'")
+    said = lambda p: f"len(list_filter(plain, lambda y: regexp_matches(y, '{p}')))"
+    return f"""tx as (select *, list_transform(list_filter(t, lambda y: not starts_with(y, '<') or y = '<'), lambda y: {decoded('y')}) plain from pg),
+tc as (select k, {n("tname in ('h1', 'h2', 'h3')")} hn, {n("tname = 'img'")} imgs, count(*) filter (not ends and tname = 'img' and {attr_sql('tag', 'alt')} <> '') alts, {n(f"tname = 'a' and regexp_matches(tag, '(?is)^<(?:[^>{chr(34)}'']|{chr(34)}[^{chr(34)}]*{chr(34)}|''[^'']*'')*?\\shref\\s*=')")} ln,
+  {n("tname = 'form'")} fm, {has('meta', 'name', 'robots')} robots, {has('link', 'rel', 'canonical')} canon, {has('script', 'type', 'application/ld+json')} ld, {n(f"tname = 'meta' and contains(lower({attr_sql('tag', 'property')}), 'og:')")} og, {has('meta', 'name', 'twitter:card')} tw,
+  {has('meta', 'http-equiv', 'refresh')} refresh, {n(f"tname = 'script' and regexp_matches(regexp_replace(tag, '{HEAD}', ''), '(?is)alert|popup|window[.]open')")} pop, {n(f"regexp_matches({attr_sql('tag', 'style')}, '(?i)display:\\s*none|visibility:\\s*hidden')")} hid,
+  arg_min(trim({attr_sql('tag', 'content')}), i) filter (not ends and tname = 'meta' and lower({attr_sql('tag', 'name')}) = 'description') about from tg group by k),
+pw as (select k, i from tg where not ends and tname = 'input' and lower({attr_sql('tag', 'type')}) = 'password'),
+fp as (select k, count(*) bad from (select sp.k, sp.a, count(*) c from sp join pw on pw.k = sp.k and pw.i between sp.a and sp.e where nm = 'form' group by sp.k, sp.a) where c > 1 group by k),
+sc as (select k, {words_sql("string_agg(txt, ' ') filter (nm = 'p')")} wn, arg_min(trim(txt), a) filter (nm = 'title') title from sp group by k),
+p1 as (select tx.*, tc.*, coalesce(wn, 0) wn, coalesce(title, '') title, length(coalesce(title, '')) tl, coalesce(length(about), 0) dl, coalesce(bad, 0) bad, there and length(html) >= 100 whole, {count('html', '!')} marks from tx left join tc using (k) left join sc using (k) left join fp using (k)),
 pf as (select url, whole has_content, case when whole then least(1.0, case when tl between 10 and 60 then 0.2 when tl > 60 then 0.1 else 0 end + case when dl between 50 and 160 then 0.2 when dl > 160 then 0.1 else 0 end
     + {when('hn >= 1', 0.1)} + {when('hn >= 3', 0.1)} + case when wn >= 300 then 0.2 when wn >= 100 then 0.1 else 0 end + case when imgs > 0 then alts / imgs * 0.1 else 0 end + {when('ln >= 5', 0.1)}) else 0 end content_quality,
-  case when whole then least(1.0, {has(tag_sql('meta', 'name', 'robots'), 0.1)} + {has(tag_sql('link', 'rel', 'canonical'), 0.1)} + {has(tag_sql('script', 'type', 'application/ld[+]json'), 0.2)} + {has(GRAPH, 0.1)} + {has(tag_sql('meta', 'name', 'twitter:card'), 0.1)}
-    + {when("contains(lower(url), 'https://')", 0.2)} + {when(f"{count('body', '(?i)>[^<]*(?:contact|about|privacy|terms)[^<]*<')} >= 2", 0.1)} + {when(f"regexp_matches(body, '(?i)>[^<]*(?:copyright|©|[(]c[)])[^<]*<')", 0.1)}) else 0 end content_trust,
-  case when whole then least(1.0, least(({PHRASES}) * 0.1, 0.5) + least({count('html', '[A-Z]{5,}')} * 0.02, 0.3) + case when marks > 10 then least(marks * 0.01, 0.2) else 0 end + {has('(?is)<script[^>]*>[^<]*(?:alert|popup|window[.]open)', 0.2)} + {has(tag_sql('meta', 'http-equiv', 'refresh'), 0.3)}
-    + {when(f"{count('html', HIDDEN_STYLE)} > 5", 0.2)} + len(list_filter(regexp_extract_all(html, '(?is)<form.*?</form>'), lambda f: {count('f', tag_sql('input', 'type', 'password'))} > 1)) * 0.2) when there then 0.5 else 1.0 end content_spam,
-  case when whole then {words_sql('body')} else 0 end word_count, case when whole then trim({NAME}) else '' end title, whole and regexp_matches(body, '(?i)<img[\\s>]') has_images,
-  whole and regexp_matches(body, '(?i)<form[\\s>]') has_forms, case when whole then length(html) else 0 end content_length from p1)"""
+  case when whole then least(1.0, {when('robots > 0', 0.1)} + {when('canon > 0', 0.1)} + {when('ld > 0', 0.2)} + {when('og > 0', 0.1)} + {when('tw > 0', 0.1)}
+    + {when("contains(lower(url), 'https://')", 0.2)} + {when(f"{said('(?i)contact|about|privacy|terms')} >= 2", 0.1)} + {when(f"{said('(?i)copyright|©|[(]c[)]')} > 0", 0.1)}) else 0 end content_trust,
+  case when whole then least(1.0, least(({PHRASES}) * 0.1, 0.5) + least({count('html', '[A-Z]{5,}')} * 0.02, 0.3) + case when marks > 10 then least(marks * 0.01, 0.2) else 0 end + {when('pop > 0', 0.2)} + {when('refresh > 0', 0.3)}
+    + {when('hid > 5', 0.2)} + bad * 0.2) when there then 0.5 else 1.0 end content_spam,
+  case when whole then {words_sql("array_to_string(plain, '')")} else 0 end word_count, case when whole then title else '' end title, whole and coalesce(imgs, 0) > 0 has_images,
+  whole and coalesce(fm, 0) > 0 has_forms, case when whole then length(html) else 0 end content_length from p1)"""
 
 
-def links_sql(source: str) -> str:
-    """CTEs up to cl: classified links of source (url, html)."""
+def links_sql() -> str:
+    """CTEs up to cl: classified links, from the CTEs of markup_sql."""
 
     local = "case when starts_with(href, '/') then href else case when folder = '' then '/' else folder end || href end"
     dots = f"""case when contains({local}, '/./') or contains({local}, '/../') then regexp_replace(regexp_replace({local}, '/\\./', '/', 'g'), '[^/]+/\\.\\./', '', 'g') else {local} end"""
     among = lambda names: "(" + " or ".join(f"link_host = '{x}' or ends_with(link_host, '.{x}')" for x in names) + ")"
     says = lambda c: "(" + " or ".join(f"contains(lower({c}), '{p}')" for p in links.PHRASES) + ")"
     pattern = r"^(?:[a-z]+:)?//([^/?#:]+)([^?#]*)(?:\?([^#]*))?.*$"
-    return f"""a0 as (select url page_url, unnest(regexp_extract_all({hidden_sql("coalesce(html, '')")}, '(?is)<a\\s{INSIDE}>.*?</a>')) a from {source}),
-a01 as (select *, regexp_extract(a, '(?is)^<a\\s{INSIDE}>') head from a0),
-a1 as (select page_url, head, trim({decoded("regexp_replace(substr(a, length(head) + 1), '<[^>]*>', '', 'g')")}) text from a01),
+    return f"""a1 as (select url page_url, tag head, trim(txt) text from sp where nm = 'a'),
 a2 as (select *, trim({attr_sql('head', 'href')}) href, {attr_sql('head', 'title')} title, {attr_sql('head', 'rel')} rel, regexp_extract(page_url, '^[a-z]+://[^/?#]+') origin, regexp_extract(page_url, '^[^?#]*') base, regexp_extract(regexp_extract(page_url, '^[^?#]*'), '^[a-z]+://[^/?#]+(.*/)', 1) folder from a1),
 ex as (select page_url, case when regexp_matches(href, '^[a-zA-Z][a-zA-Z0-9+.-]*:') then href when starts_with(href, '//') then string_split(page_url, '//')[1] || href when href = '' then page_url
   when starts_with(href, '#') then regexp_extract(page_url, '^[^#]*') || href when starts_with(href, '?') then base || href else origin || {dots} end link_url, text, title, rel from a2 where href <> ''),
@@ -325,8 +332,8 @@ m as (select url, archive_count, successful, failed, {days('f')} days_since_firs
 OUT = f"oc as (select *, error_type is null accessible, case when error_type is null then null when error_type in ('ssl', 'connection', 'timeout') then error_type else 'unknown' end error_class from ({sql(OBSERVED)}))"
 OUT2 = "oo as (select url, accessible, case when accessible then status_code else 0 end status_code, case when error_class = 'timeout' then 10.0 when not accessible then 0.0 else response_time end response_time, case when accessible then redirect_count else 0 end redirect_count, error_class, etag, last_modified from oc)"
 C = sql(CAPTURES)
-ENHANCED = f"""with {OUT}, {OUT2}, src as (select url, timestamp '{NOW}' as timestamp from oc), {split_sql('src')}, {U.scored_sql(R)},
-page as (select oc.url url, 200 status_code, html from oc join pages on page_id = cast(string_split(oc.url, '/')[-1] as bigint)), {facts_sql('page')}, {links_sql('page')}, {outlinks_sql('page')},
+ENHANCED = f"""with recursive {OUT}, {OUT2}, src as (select url, timestamp '{NOW}' as timestamp from oc), {split_sql('src')}, {U.scored_sql(R)},
+page as (select oc.url url, 200 status_code, html from oc join pages on page_id = cast(string_split(oc.url, '/')[-1] as bigint)), {markup_sql('page')}, {facts_sql()}, {links_sql()}, {outlinks_sql('page')},
 {archive_sql(f"select string_split(url, '/item-')[1] || '/o/' || string_split(url, '-')[-1] url, ts, status from ({C})")},
 en as (select scored.url, scored.domain, oo.etag, oo.last_modified, score, confidence, score
   + case when accessible and status_code = 200 and has_content then content_quality * 0.3 + content_trust * 0.2 - content_spam * 0.4 else 0 end + case when accessible and status_code = 200 and total > 0 then quality_ratio * 0.15 - spam_ratio * 0.25 else 0 end
@@ -365,13 +372,13 @@ round(stddev(score), 6) score_stddev, round(quantile_disc(score, 0.5), 6) p50, r
     "model_score_diff": f"with {PAIRS} select url, {r6('score_a', 'score_b')}, round(round(abs(score_a - score_b), 9), 6) gap from pairs order by round(abs(score_a - score_b), 9) desc, url limit 10",
     "union_dedupe_feeds": f"""with {U.L}, good as (select url, min(t) t from (select url, timestamp + interval 1 day t from src where flag = 'A' union all select url, timestamp '2020-01-01' from pages) where trim(url) <> '' group by url),
 own as (select url, min(timestamp) t from src group by url) select coalesce(good.url, own.url) url, cast(epoch(coalesce(good.t, own.t)) as bigint) epoch, case when good.url is not null then 'good_data' else 'input_data' end data_source from own full join good on own.url = good.url""",
-    "content_quality": f"with {PAGES}, {facts_sql('obs')} select url, {r6('content_quality')} from pf",
-    "trust_signals": f"with {PAGES}, {facts_sql('obs')} select url, {r6('content_trust')} from pf",
-    "spam_indicators": f"with {PAGES}, {facts_sql('obs')} select url, {r6('content_spam')} from pf",
-    "page_facts": f"with {PAGES}, {facts_sql('obs')} select url, has_content, word_count, title, has_images, has_forms, content_length from pf",
-    "link_extract": f"with {PAGES}, {links_sql('obs')} select page_url, link_url, text, title, rel from l0",
-    "link_classes": f"with {PAGES}, {links_sql('obs')} select page_url, link_url, text, link_host, source_host, kind from cl",
-    "outlink_scores": f"""with {PAGES}, {links_sql('obs')}, {outlinks_sql('obs')} select url, total, "external", internal, hosts, {r6('quality_ratio', 'spam_ratio', 'diversity', 'external_ratio', 'trust')} from ol""",
+    "content_quality": f"with recursive {PAGES}, {markup_sql('obs')}, {facts_sql()} select url, {r6('content_quality')} from pf",
+    "trust_signals": f"with recursive {PAGES}, {markup_sql('obs')}, {facts_sql()} select url, {r6('content_trust')} from pf",
+    "spam_indicators": f"with recursive {PAGES}, {markup_sql('obs')}, {facts_sql()} select url, {r6('content_spam')} from pf",
+    "page_facts": f"with recursive {PAGES}, {markup_sql('obs')}, {facts_sql()} select url, has_content, word_count, title, has_images, has_forms, content_length from pf",
+    "link_extract": f"with recursive {PAGES}, {markup_sql('obs')}, {links_sql()} select page_url, link_url, text, title, rel from l0",
+    "link_classes": f"with recursive {PAGES}, {markup_sql('obs')}, {links_sql()} select page_url, link_url, text, link_host, source_host, kind from cl",
+    "outlink_scores": f"""with recursive {PAGES}, {markup_sql('obs')}, {links_sql()}, {outlinks_sql('obs')} select url, total, "external", internal, hosts, {r6('quality_ratio', 'spam_ratio', 'diversity', 'external_ratio', 'trust')} from ol""",
     "security_score": f"select url, round(0.3 + case when has_hsts then 0.3 else 0.2 end, 6) security_score from ({sql(OBSERVED)})",
     "request_outcome": f"with {OUT}, {OUT2} select url, accessible, status_code, round(response_time, 6) response_time, redirect_count, error_class from oo",
     "host_heuristic": f"""with {U.L}, u as (select url from pages union all select url from src), {split_sql('u')} select distinct domain, case when string_split(domain, '.')[-1] in ('tk', 'ml', 'ga', 'cf', 'gq', 'pw', 'top') then 0.1
