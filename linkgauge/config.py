@@ -46,4 +46,9 @@ class PipelineConfig:
     write_summary: bool = False
     use_features: bool = False
     max_sample: int = 6500
+    sample_fraction: float = 1.0
     sample_seed: str = "42"
+    write_db: bool = False
+    train_model: bool = False
+    base_every: int = 10
+    store_buckets: int = 200

@@ -37,6 +37,11 @@ def upsert(stored: DataFrame, batch: DataFrame) -> DataFrame:
     return joined.select(F.coalesce(o("domain"), n("domain")).alias("domain"), moved("reputation_score"), *[added(c) for c in ("total_urls_seen", "malicious_urls_count", "benign_urls_count")], moved("content_diversity_score"), *[moved(c) if c == "content_volatility_score" else F.coalesce(n(c), o(c), F.lit(REVISIT)).cast("int").alias(c) for c in optional])
 
 
+def changed(stored: DataFrame, batch: DataFrame) -> DataFrame:
+    """The rows of upsert that a batch changes: those of its domains."""
+    return upsert(stored.join(batch.select("domain"), "domain", "left_semi"), batch)
+
+
 def history_ema(batches: DataFrame) -> DataFrame:
     """The reputation that folding a domain's batches (domain, batch, value) in order yields, in closed form."""
     w = Window.partitionBy("domain")

@@ -51,10 +51,21 @@ def predict(rows: DataFrame, model: PipelineModel) -> DataFrame:
 
 
 def predict_features(table: DataFrame, model: PipelineModel) -> DataFrame:
-    out = model.transform(table).withColumn("score", clip(F.col("calibrated"), LOW, HIGH))
-    risk, trust = F.greatest(F.lit(0.0), -F.col("score")) / 5, F.greatest(F.lit(0.0), F.col("score")) / 2
+    return model.transform(table).select("url", *_judged())
+
+
+def _judged() -> list[Column]:
+    score = clip(F.col("calibrated"), LOW, HIGH)
     one = lambda c: clip(c, 0.0, 1.0)
-    return out.select("url", "score", (F.col("score") < -1.5).alias("is_spam"), one(risk).alias("risk_score"), one(trust).alias("trust_score"), (one(trust) - one(risk)).alias("composite_score"), (1 / (1 + F.exp(-F.col("score")))).alias("confidence"))
+    risk, trust = one(F.greatest(F.lit(0.0), -score) / 5), one(F.greatest(F.lit(0.0), score) / 2)
+    return [score.alias("score"), (score < -1.5).alias("is_spam"), risk.alias("risk_score"), trust.alias("trust_score"), (trust - risk).alias("composite_score"), (1 / (1 + F.exp(-score))).alias("confidence")]
+
+
+def judged(rows: DataFrame, model: PipelineModel) -> DataFrame:
+    """rows with features, all their columns, and the model's score and its parts beside them."""
+    inputs = model_features()
+    wide = rows.select(F.struct(*rows.columns).alias("_row"), *[inputs[name].alias(name) for name in MODEL_INPUTS])
+    return model.transform(wide).select("_row.*", *_judged())
 
 
 def evaluate(predicted: DataFrame, labels: DataFrame) -> DataFrame:

@@ -71,8 +71,10 @@ def frequent_domains(rows: DataFrame, n: int = 10, curated: bool = False) -> Dat
 
 def paired(a: DataFrame, b: DataFrame) -> DataFrame:
     """(url, score_a, score_b, spam_a, spam_b): one row for each url that both models scored."""
-    one = lambda df, x: df.groupBy("url").agg(F.max("score").alias(f"score_{x}"), F.max("is_spam").alias(f"spam_{x}"))
-    return one(a, "a").join(one(b, "b"), "url")
+    key = "url_hash" if "url_hash" in a.columns and "url_hash" in b.columns else "url"  # urls may have been cut
+    one = lambda df, x: df.groupBy(key).agg(F.max("url").alias("url"), F.max("score").alias(f"score_{x}"), F.max("is_spam").alias(f"spam_{x}"))
+    both = one(a, "a").join(one(b, "b").drop("url"), key) if key != "url" else a.groupBy("url").agg(F.max("score").alias("score_a"), F.max("is_spam").alias("spam_a")).join(b.groupBy("url").agg(F.max("score").alias("score_b"), F.max("is_spam").alias("spam_b")), "url")
+    return both.select("url", "score_a", "score_b", "spam_a", "spam_b")
 
 
 def agreement(pairs: DataFrame) -> DataFrame:
@@ -110,3 +112,10 @@ def sections(rows: DataFrame) -> dict[str, DataFrame]:
 def summary(rows: DataFrame) -> DataFrame:
     """The whole report of scored rows as one table (section, rank, metric, value, text)."""
     return reduce(DataFrame.unionByName, sections(rows).values())
+
+
+def lines(table: DataFrame, name: str, columns: list[str]) -> DataFrame:
+    """A section of a written report as (rank, one column a metric), in texts: whole numbers without decimals."""
+    number = F.when(F.col("value") == F.floor("value"), F.col("value").cast("bigint").cast("string")).otherwise(F.col("value").cast("string"))
+    shown = table.filter(F.col("section") == name).withColumn("shown", F.coalesce("text", number))
+    return shown.groupBy("rank").agg(*[F.max(F.when(F.col("metric") == c, F.col("shown"))).alias(c) for c in columns]).orderBy("rank")

@@ -138,15 +138,26 @@ def rescore(rows: DataFrame, stats: DataFrame, profile: ScoringProfile = DEFAULT
     return out.withColumn("is_spam_final", (F.round("rescored", 9) < profile.spam_below) | F.col("contains_phishing") | F.col("is_nsfw_domain") | (F.col("domain_entropy") > 4.2))
 
 
-def conform(rows: DataFrame, profile: ScoringProfile = DEFAULT, fallback: float = -2.0) -> DataFrame:
+def replaced_reputation(rows: DataFrame) -> DataFrame:
+    """Rows of rescore with the rescored score and the batch mean of their domain in place of the old ones."""
+    return rows.drop("score", "domain_reputation_score").withColumnsRenamed({"rescored": "score", "batch_reputation": "domain_reputation_score"})
+
+
+def conform(rows: DataFrame, profile: ScoringProfile = DEFAULT, fallback: float = -2.0, received_at: str | None = None) -> DataFrame:
     """The public result of scored rows: nulls replaced, texts cut to max_len, and rows without a usable url or score as
-    fallback rows (given score, spam, confidence 0.1, unknown domain)."""
+    fallback rows (given score, spam, confidence 0.1, unknown domain). meta is a JSON text of the score's parts, url_hash is of the
+    whole url, so that cut urls stay apart."""
     cut = lambda c: F.left(c, F.lit(profile.max_len))
     bad = F.col("url").isNull() | (F.trim("url") == "") | F.col("score").isNull() | F.isnan("score")
+    parts = [F.col(c) for c in ("risk_score", "trust_score", "composite_score") if c in rows.columns]
+    meta = F.to_json(F.struct("domain", "confidence", "is_spam", *parts))
+    share = F.col("domain_frequency_pct") if "domain_frequency_pct" in rows.columns else F.lit(None).cast("double")
     return rows.select(
         cut(F.coalesce("url", F.lit("invalid_url"))).alias("url"), "timestamp",
         cut(F.when(bad, urls.UNKNOWN).otherwise(F.coalesce("domain", F.lit(urls.UNKNOWN)))).alias("domain"),
         F.when(bad, fallback).otherwise(F.col("score")).alias("score"), F.when(bad, 0.1).otherwise(F.col("confidence")).alias("confidence"),
         (bad | F.col("is_spam")).alias("is_spam"), F.when(bad, 0.0).otherwise(F.col("domain_reputation_score")).alias("domain_reputation_score"),
         F.when(bad, F.lit(1)).otherwise(F.col("domain_frequency")).cast("long").alias("domain_frequency"), F.coalesce("data_source", F.lit("input_data")).alias("data_source"),
+        F.when(bad, 0.0).otherwise(share).alias("domain_frequency_pct"), F.when(~bad, meta).alias("meta"), F.lit(received_at).cast("timestamp").alias("received_at"),
+        urls.fingerprint(F.coalesce("url", F.lit("invalid_url"))).alias("url_hash"),
     )

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.urls import CONTENT, MODEL_INPUTS
 from ..operators import curated, ml, scoring
-from ..sources import readers
+from ..sources import readers, sinks
 from ..sources.shared import cut_lineage, shared_folder
 from ..streaming import batches
 from .inputs import URLS, sql
@@ -77,7 +77,7 @@ def stream_batches(spark, sf_dir):
     for flag in PARTS:  # files are taken up in the order of their times
         rows.filter(F.col("flag") == flag).select("ts", "url").repartition(files).write.mode("append").option("sep", "\t").option("quote", "").option("escape", "").csv(f"{path}/landed")
     batches.start(spark, f"{path}/landed", f"{path}/out", f"{path}/checkpoint", files=files, names="part-*").awaitTermination()
-    last = spark.read.parquet(f"{path}/out/reputation/batch={len(PARTS) - 1}")
+    last = sinks.latest_reputation(spark, f"{path}/out/reputation", len(PARTS))
     return rounded(last.select("domain", "reputation_score", "total_urls_seen", "malicious_urls_count", "benign_urls_count", "content_diversity_score"))
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,16 +24,61 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{shared}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame, otherwise: str | None = None) -> DataFrame:
-    """df, computed once and kept in the shared checkpoint folder until nothing refers to it any more; in the folder
-    `otherwise` if the session names none."""
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """df, computed once and kept in the shared checkpoint folder. Spark removes it there when nothing refers to it any more: it
+    does so only with a setting of the context that is off by default and turned on here, unless the session sets it itself."""
     spark = df.sparkSession
+    conf, cleans = spark.sparkContext._jsc.sc().conf(), "spark.cleaner.referenceTracking.cleanCheckpoints"
+    if not conf.contains(cleans):
+        conf.set(cleans, "true")
     if spark.sparkContext.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(otherwise if otherwise and not named else shared_folder(spark, "checkpoints"))
+        spark.sparkContext.setCheckpointDir(shared_folder(spark, "checkpoints"))
     return df.checkpoint()
 
 
+def _file_system(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    folder, system = _file_system(spark, path)
+    system.delete(folder, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    folder, system = _file_system(spark, path)
+    return system.exists(folder)
+
+
+def batches_in(spark: SparkSession, path: str) -> list[int]:
+    """The batches that have a complete folder batch=N in path, in order; none if there is no such path."""
+    folder, system = _file_system(spark, path)
+    if not system.exists(folder):
+        return []
+    names = [s.getPath().getName() for s in system.listStatus(folder) if s.isDirectory()]
+    found = sorted(int(name[6:]) for name in names if re.fullmatch("batch=[0-9]+", name))
+    return [n for n in found if system.exists(_file_system(spark, f"{path}/batch={n}/_SUCCESS")[0])]
+
+
+@contextmanager
+def workspace(spark: SparkSession, path: str) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A function that writes a table to a new folder in path and reads it back. The folder is removed at the end, so what is
+    used afterwards must not read it."""
+    folder, n = f"{path}/{uuid.uuid4().hex}", 0
+
+    def put(df: DataFrame) -> DataFrame:
+        nonlocal n
+        n += 1
+        df.write.parquet(f"{folder}/{n}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{n}")
+
+    try:
+        yield put
+    finally:
+        remove(spark, folder)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """df dealt out to all cores where its files make fewer splits than there are cores. Large tables come in more splits
     than that and stay as they are, without an exchange."""

@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import urls
+from .shared import batches_in, cut_lineage, exists, remove
+
 ROWS_PER_FILE = 500_000
+#: Parts of a meta text, of which none may be missing.
+META = ("domain", "confidence", "is_spam", "risk_score", "trust_score", "composite_score")
+KEY = ("url_hash", "source")
+#: Buckets of a new url store: as many as a batch's joins have partitions, or more.
+BUCKETS = 200
+#: Batches between two whole reputation tables, and how many of these are kept.
+BASE_EVERY, KEPT_BASES = 10, 3
 
 
 def write_parquet(df: DataFrame, path: str, by_model: bool = False) -> None:
@@ -28,48 +40,78 @@ def write_reputation_table(df: DataFrame, url: str, table: str, **options: str)
 
 
 def store_rows(scored: DataFrame, processed_at: str) -> DataFrame:
-    """Rows of the url store: source, state and a JSON text of the remaining parts (nulls are left out)."""
-    meta = F.to_json(F.struct(*[c for c in ("domain", "confidence", "is_spam", "risk_score", "trust_score", "composite_score") if c in scored.columns]))
-    return scored.select("url", F.col("data_source").alias("source"), F.lit(processed_at).cast("timestamp").alias("processed_at"), F.lit("processed").alias("status"), F.lit(0).alias("priority"), "score", meta.alias("meta"))
+    """Rows of the url store: a hash of the whole url, source, state and a JSON text of the parts in META (nulls are left out),
+    which scored rows hold as `meta` or one by one."""
+    meta = F.col("meta") if "meta" in scored.columns else F.to_json(F.struct(*META))
+    whole = F.col("url_hash") if "url_hash" in scored.columns else urls.fingerprint(F.col("url"))
+    return scored.select("url", whole.alias("url_hash"), F.col("data_source").alias("source"), F.lit(processed_at).cast("timestamp").alias("processed_at"), F.lit("processed").alias("status"), F.lit(0).alias("priority"), "score", meta.alias("meta"))
 
 
-def absent(rows: DataFrame, existing: DataFrame, key: tuple[str, ...] = ("url", "source")) -> DataFrame:
+def absent(rows: DataFrame, existing: DataFrame, key: tuple[str, ...] = KEY) -> DataFrame:
     """rows whose key the store does not hold, one a key (the highest score): what may be appended, however often it is tried."""
-    new = rows.join(existing.select(*key).distinct(), list(key), "left_anti")
+    new = rows.join(existing.select(*key), list(key), "left_anti")
     rest = [c for c in rows.columns if c not in key]
     best = new.groupBy(*key).agg(F.max(F.struct("score", *[c for c in rest if c != "score"])).alias("r"))
     return best.select(*key, *[F.col(f"r.{c}").alias(c) for c in rest]).select(*rows.columns)
 
 
-def insert_absent(rows: DataFrame, path: str, batch_id: int, key: tuple[str, ...] = ("url", "source")) -> None:
-    """Writes the batch's new rows as their own part of the store. A replayed batch leaves its part out of the comparison and
-    overwrites it, so it ends with the same rows."""
-    spark = rows.sparkSession
-    stored = _parts(spark, path, batch_id)
-    new = absent(rows, stored, key) if stored is not None else absent(rows, rows.limit(0), key)
-    new.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+def store_table(spark: SparkSession, path: str, schema: str, buckets: int = BUCKETS) -> str:
+    """The store in path as a table of the session, with a partition a batch and its rows in buckets by `entry`: joins by that
+    read its buckets as they lie, without exchanging them. A store that other sessions wrote is taken up with its batches;
+    its number of buckets has to stay the same."""
+    name = f"url_store_{hashlib.md5(path.encode()).hexdigest()[:16]}"
+    if not spark.catalog.tableExists(name):
+        spark.sql(f"create table {name} ({schema}, batch int) using parquet partitioned by (batch) clustered by (entry) into {buckets} buckets location '{path}'")
+        if exists(spark, path):
+            spark.sql(f"alter table {name} recover partitions")
+    return name
 
 
-def _parts(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
-    try:
-        return spark.read.option("basePath", path).option("mergeSchema", True).parquet(path).filter(F.col("batch") < batch_id)
-    except Exception as e:  # nothing has been written yet
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return None
-        raise
+def with_entry(rows: DataFrame, key: tuple[str, ...] = KEY) -> DataFrame:
+    """Adds entry, a hash of the key in one column: buckets and joins need no more, whichever columns the key has."""
+    return rows.withColumn("entry", F.sha2(F.concat_ws("\n", *key), 256))
 
 
-def latest_reputation(spark: SparkSession, path: str, before: int) -> DataFrame | None:
-    """The newest reputation snapshot older than a batch."""
-    found = _parts(spark, path, before)
-    if found is None:
-        return None
-    newest = found.agg(F.max("batch")).first()[0]
-    return None if newest is None else found.filter(F.col("batch") == newest).drop("batch")
+def insert_absent(rows: DataFrame, path: str, batch_id: int, key: tuple[str, ...] = KEY, buckets: int = BUCKETS) -> None:
+    """Writes the batch's new rows as their own part of the store. A replayed batch leaves its part out of the comparison and
+    overwrites it, so it ends with the same rows."""
+    spark, rows = rows.sparkSession, with_entry(rows, key)
+    name = store_table(spark, path, ", ".join(f"`{c}` {kind}" for c, kind in rows.dtypes), buckets)
+    new = cut_lineage(absent(rows, spark.table(name).filter(F.col("batch") < batch_id), ("entry",)))  # a table cannot be read and overwritten at once
+    spark.sql(f"insert overwrite table {name} partition (batch = {int(batch_id)}) select {', '.join(f'`{c}`' for c in rows.columns)} from {{new}}", new=new)
 
 
-def write_reputation(df: DataFrame, path: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+def latest_reputation(spark: SparkSession, path: str, before: int) -> DataFrame | None:
+    """The reputation table as the batches before one left it: the newest whole table, and of each domain that changed since
+    the newest row."""
+    bases = [n for n in batches_in(spark, f"{path}_base") if n < before]
+    changes = [n for n in batches_in(spark, path) if n < before and n > max(bases, default=-1)]
+    read = lambda root, n: spark.read.parquet(f"{root}/batch={n}").withColumn("_batch", F.lit(n))
+    parts = [read(f"{path}_base", n) for n in bases[-1:]] + [read(path, n) for n in changes]
+    if not parts:
+        return None
+    if len(parts) == 1:
+        return parts[0].drop("_batch")
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    names = [c for c in rows.columns if c not in ("domain", "_batch")]
+    newest = rows.groupBy("domain").agg(F.max_by(F.struct(*names), "_batch").alias("r"))
+    return newest.select("domain", "r.*")
+
+
+def write_reputation(changed: DataFrame, path: str, batch_id: int, base_every: int = BASE_EVERY, kept: int = KEPT_BASES) -> None:
+    """Writes the domains that a batch changed. Every base_every-th batch the whole table is written as well, and what lies before
+    the last `kept` whole tables is removed: batches older than these cannot be replayed any more."""
+    spark = changed.sparkSession
+    changed.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+    if (batch_id + 1) % base_every == 0:
+        latest_reputation(spark, path, batch_id + 1).write.mode("overwrite").parquet(f"{path}_base/batch={batch_id}")
+        bases = [n for n in batches_in(spark, f"{path}_base") if n <= batch_id]
+        oldest = bases[-kept] if len(bases) >= kept else -1
+        for root, old in ((path, lambda n: n <= oldest), (f"{path}_base", lambda n: n < oldest)):
+            for n in filter(old, batches_in(spark, root)):
+                remove(spark, f"{root}/batch={n}")
 
 
 def write_report(df: DataFrame, path: str) -> None:

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..config import PipelineConfig
 from ..operators import curated, domains, enhance, links, ml, observations, pages, reports, scoring
 from ..sources import sinks
-from ..sources.shared import cut_lineage
+from ..sources.shared import cut_lineage, workspace
 
 FEED = "ts string, url string"
 METHODS = ("rules", "gbt")
@@ -31,7 +31,8 @@ class Landed:
     archived_at: str | None = None
     model: PipelineModel | None = None
     lists: dict[str, DataFrame] | None = None  # hosts by the names of scoring.LISTS
-    keywords: dict[str, tuple[str, ...]] = field(default_factory=dict)  # nsfw and spam
+    keywords: dict[str, tuple[str, ...] | DataFrame] = field(default_factory=dict)  # nsfw and spam
+    database: dict[str, str] | None = None  # url, table, and further options of the connection
 
 
 def read_feed(spark: SparkSession, path: str) -> DataFrame:
@@ -51,7 +52,7 @@ def _require(config: PipelineConfig, landed: Landed) -> None:
         raise ValueError(f"methods are some of {METHODS}, not {config.methods}")
     if config.use_features and "rules" not in config.methods:
         raise ValueError("use_features enriches the scores of the method rules")
-    needed = {"curated": config.use_curated, "lists": config.use_lists, "model": "gbt" in config.methods} | dict.fromkeys(("pages", "requests", "captures", "archived_at"), config.use_features)
+    needed = {"curated": config.use_curated, "lists": config.use_lists, "model": "gbt" in config.methods, "database": config.write_db} | dict.fromkeys(("pages", "requests", "captures", "archived_at"), config.use_features)
     missing = [name for name, asked in needed.items() if asked and getattr(landed, name) is None]
     if missing:
         raise ValueError(f"the settings ask for landed {', '.join(missing)}")
@@ -64,13 +65,12 @@ def _provisional(rows: DataFrame, method: str, stored: DataFrame | None, config:
     if method == "rules":
         return scoring.score_rules(rows, stored, config.profile, lists, *words)
     found = scoring.with_reputation(scoring.featured(rows, config.profile, lists, *words), None).withColumn("reputation_part", F.lit(0.0))
-    scores = ml.predict(found, landed.model).withColumnRenamed("url", "_url")
-    return found.join(scores, F.col("url").eqNullSafe(F.col("_url"))).drop("_url")
+    return ml.judged(found, landed.model)
 
 
 def enhanced_sample(rows: DataFrame, landed: Landed, reputation: DataFrame, config: PipelineConfig) -> DataFrame:
     """One url a domain of the scored rows, with what was observed of it and its enhanced score."""
-    picked = enhance.sample(rows, config.sample_seed, config.max_sample).join(rows.select("url", "domain", "score", "confidence"), ["url", "domain"])
+    picked = enhance.sample(rows, config.sample_seed, config.max_sample, config.sample_fraction).join(rows.select("url", "domain", "score", "confidence"), ["url", "domain"])
     own = lambda table: table.join(picked.select("url"), "url", "left_semi")
     page = own(landed.pages)
     outlinks = links.outlink_scores(page, links.classify(links.extract(page), reputation))
@@ -79,24 +79,29 @@ def enhanced_sample(rows: DataFrame, landed: Landed, reputation: DataFrame, conf
 
 
 def _write_reports(result: DataFrame, path: str) -> None:
-    """The report as one table, and each of its sections as text."""
-    tables = {
-        "overall": reports.overall(result), "by_source": reports.by_source(result), "curated_benchmark": reports.curated_benchmark(result), "lift": reports.lift(result),
-        "best_urls": reports.extreme_urls(result), "worst_urls": reports.extreme_urls(result, best=False), "frequent_domains": reports.frequent_domains(result), "frequent_curated_domains": reports.frequent_domains(result, curated=True),
-    }
-    for name, table in tables.items():
-        sinks.write_report(table, f"{path}/{name}")
+    """The report as one table, and each of its sections as text, which is read from the table."""
     sinks.write_parquet(reports.summary(result), f"{path}/table")
+    table = result.sparkSession.read.parquet(f"{path}/table")
+    shown = {"best_urls": reports.extreme_urls(result), "worst_urls": reports.extreme_urls(result), "frequent_domains": reports.frequent_domains(result), "frequent_curated_domains": reports.frequent_domains(result)}
+    shown |= {"overall": reports.overall(result), "by_source": reports.by_source(result), "curated_benchmark": reports.curated_benchmark(result), "lift": reports.lift(result)}
+    for name, section in shown.items():  # of which the columns' names alone are used
+        sinks.write_report(reports.lines(table, name, section.columns).drop("rank"), f"{path}/{name}")
 
 
 def run_batch(batch: DataFrame, batch_id: int, out: str, config: PipelineConfig = PipelineConfig(), landed: Landed = Landed(), processed_at: str | None = None) -> DataFrame:
     """Scores one batch of the feed by each method and writes it under out: scored/batch=N, summary/batch=N (those of gbt
-    under out/gbt), comparison/batch=N if both methods ran and reports are asked for, reputation/batch=N, store/batch=N. The
-    reputation comes from the newest snapshot before N, so a replay writes the same; it and the store follow the first method,
-    so that no url counts twice. Rows and spam are counted while the result is written, without a job of their own, and put
+    under out/gbt), comparison/batch=N if both methods ran and reports are asked for, reputation/batch=N (the domains that it changed), store/batch=N, and with
+    train_model model/batch=N. The reputation is that which the batches before N left, so a replay writes the same; it and the
+    store follow the first method, so that no url counts twice. write_db appends the batch's new store rows to the database.
+    Between its steps a batch writes to out/work, which it clears. Rows and spam are counted while the result is written, without a job of their own, and put
     down in counts/batch=N. Store rows carry processed_at, the present time unless it is given. Urls that are null are one row,
     `invalid_url`, of the result. Gives that method's result."""
     _require(config, landed)
+    with workspace(batch.sparkSession, f"{out}/work") as keep:
+        return _run(batch, batch_id, out, config, landed, processed_at or datetime.now(UTC).strftime("%Y-%m-%d %H:%M:%S"), keep)
+
+
+def _run(batch: DataFrame, batch_id: int, out: str, config: PipelineConfig, landed: Landed, processed_at: str, keep) -> DataFrame:
     spark = batch.sparkSession
     rows = scoring.normalise_feed(batch)
     if config.use_curated:
@@ -105,11 +110,10 @@ def run_batch(batch: DataFrame, batch_id: int, out: str, config: PipelineConfig
         rows = rows.groupBy("url", "data_source").agg(F.min("timestamp").alias("timestamp"))
     stored = sinks.latest_reputation(spark, f"{out}/reputation", batch_id) if config.read_reputation else None
     results = {}
-    keep = lambda df: cut_lineage(df, f"{out}/checkpoints")
     for method in config.methods:
         first = keep(scoring.frequencies(_provisional(rows, method, stored, config, landed)))
         stats = scoring.domain_stats(first)
-        final = scoring.rescore(first, stats, config.profile).drop("score").withColumnRenamed("rescored", "score")
+        final = scoring.replaced_reputation(scoring.rescore(first, stats, config.profile))
         new = stats.selectExpr("domain", "mean_score reputation_score", "total_urls total_urls_seen", "malicious malicious_urls_count", "benign benign_urls_count", "content_diversity_score")
         old = stored if stored is not None else new.limit(0)
         if config.use_features and method == "rules":
@@ -117,16 +121,18 @@ def run_batch(batch: DataFrame, batch_id: int, out: str, config: PipelineConfig
             final = enhance.merge_enhanced(final, enhanced)
             changing = enhance.volatility(enhanced).selectExpr("domain", "volatility content_volatility_score", "revisit_hours predicted_revisit_interval_hours")
             new = new.join(changing, "domain", "left")
-        result = results[method] = scoring.conform(final, config.profile, -2.0 if method == "rules" else -3.0)
+        result = scoring.conform(final, config.profile, -2.0 if method == "rules" else -3.0, processed_at)
         own = out if method == "rules" else f"{out}/{method}"
         counts = [F.count("*").alias("urls"), F.count_if("is_spam").alias("spam"), F.count_if(F.col("url") == "invalid_url").alias("without_url")]
         if config.write_parquet:
             seen = Observation(f"{method}-{batch_id}")
             sinks.write_parquet(result.observe(seen, *counts), f"{own}/scored/batch={batch_id}")
             found = seen.get
-            result = results[method] = spark.read.parquet(f"{own}/scored/batch={batch_id}")  # what follows reads what is written
+            result = spark.read.parquet(f"{own}/scored/batch={batch_id}")  # what follows reads what is written
         else:
+            result = cut_lineage(result)
             found = result.agg(*counts).first().asDict()
+        results[method] = result
         sinks.write_counts(spark, found, f"{own}/counts", batch_id)
         if config.write_tsv:
             sinks.write_tsv(result, f"{own}/tsv/batch={batch_id}")
@@ -134,8 +140,14 @@ def run_batch(batch: DataFrame, batch_id: int, out: str, config: PipelineConfig
             _write_reports(result, f"{own}/summary/batch={batch_id}")
         if method == config.methods[0]:
             if config.write_reputation:
-                sinks.write_reputation(domains.upsert(old, new), f"{out}/reputation", batch_id)
-            sinks.insert_absent(sinks.store_rows(result, processed_at or datetime.now(UTC).strftime("%Y-%m-%d %H:%M:%S")), f"{out}/store", batch_id)
+                sinks.write_reputation(domains.changed(old, new), f"{out}/reputation", batch_id, config.base_every)
+            entries = sinks.store_rows(result, processed_at)
+            sinks.insert_absent(entries, f"{out}/store", batch_id, buckets=config.store_buckets)
+            if config.write_db:
+                fresh = spark.read.parquet(f"{out}/store/batch={batch_id}")  # urls that no batch before had
+                sinks.write_jdbc(fresh.drop("entry"), **landed.database)
+            if config.train_model:
+                ml.save(ml.train(first, ml.targets(first)), f"{out}/model/batch={batch_id}")
 
     if config.write_summary and len(results) == len(METHODS):
         pairs = reports.paired(results["rules"], results["gbt"])

@@ -129,7 +129,7 @@ def test_stream_restarts_where_it_stopped(spark, tmp_path):
     batches.start(spark, folder, out, check).awaitTermination()
     (tmp_path / "in" / "2.tsv").write_text("x\thttp://a.com/9\n17\thttp://a.com/0\n")
     batches.start(spark, folder, out, check).awaitTermination()
-    last = {r.domain: r.total_urls_seen for r in spark.read.parquet(f"{out}/reputation/batch=2").collect()}
+    last = {r.domain: r.total_urls_seen for r in sinks.latest_reputation(spark, f"{out}/reputation", 3).collect()}
     assert last == {"a.com": 4, "b0.com": 1, "b1.com": 1}
     assert spark.read.parquet(f"{out}/store").count() == 5 and spark.read.parquet(f"{out}/scored").count() == 6
 
