@@ -2,19 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import urls
 from . import domains
 
 
-def sample(rows: DataFrame, seed: str = "42", limit: int = 6500, fraction: float = 1.0) -> DataFrame:
-    """One url of each domain, the one with the least seeded hash: summed up before the exchange, so hot domains do no
-    harm; then the `limit` least hashes. fraction keeps that share of the domains' picks."""
+#: Parts that a domain's rows are dealt to before its first picks are taken.
+SALTS = 16
+
+
+def sample(rows: DataFrame, seed: str = "42", limit: int = 6500, fraction: float = 1.0, k: int = 1) -> DataFrame:
+    """k urls of each domain, those with the least seeded hashes, each url once; then the `limit` least hashes of all picks. A null
+    url is no pick. fraction keeps that share of the picks. One url a domain is summed up before the exchange; of
+    several, each of SALTS parts of a domain keeps its own k first, so hot domains do no harm."""
     h = F.md5(F.concat("url", F.lit(seed)))
-    one = rows.groupBy("domain").agg(F.min(F.struct(h.alias("h"), "url")).alias("p")).select("domain", "p.url", "p.h")
-    return one.filter(F.conv(F.left("h", F.lit(8)), 16, 10).cast("double") < fraction * 4294967296.0).orderBy("h").limit(limit).drop("h")
+    known = rows.filter("url is not null")
+    if k == 1:
+        picked = known.groupBy("domain").agg(F.min(F.struct(h.alias("h"), "url")).alias("p")).select("domain", "p.url", "p.h")
+    else:
+        first = lambda df, *by: df.withColumn("_n", F.row_number().over(Window.partitionBy(*by).orderBy("h", "url"))).filter(F.col("_n") <= k).drop("_n")
+        salted = known.select("domain", "url", h.alias("h"), F.pmod(F.xxhash64("url"), F.lit(SALTS)).alias("_salt")).distinct()
+        picked = first(first(salted, "domain", "_salt").drop("_salt"), "domain")
+    return picked.filter(F.conv(F.left("h", F.lit(8)), 16, 10).cast("double") < fraction * 4294967296.0).orderBy("h").limit(limit).drop("h")
 
 
 def enhance(picked: DataFrame, content: DataFrame, outlinks: DataFrame, requests: DataFrame, archive: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import urls
@@ -38,8 +38,20 @@ def captures(cdx: DataFrame) -> DataFrame:
     return out.select("url", F.col("r")[0].alias("ts"), F.col("r")[1].alias("status"))
 
 
-def archive_metrics(snapshots: DataFrame, now: Column) -> DataFrame:
-    """One row a url: counts, days since the first and last capture (-1 if no time is readable), captures a day."""
+def earliest(snapshots: DataFrame, most: int, salts: int = 16) -> DataFrame:
+    """The first `most` captures of each url by time (and then status): each of `salts` parts of a url's captures keeps its own first
+    ones before they meet, so urls with very many captures do no harm."""
+    order = [F.asc_nulls_last("ts"), F.asc_nulls_last("status")]
+    first = lambda df, *by: df.withColumn("_n", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col("_n") <= most).drop("_n")
+    salted = snapshots.withColumn("_salt", F.pmod(F.xxhash64(*snapshots.columns), F.lit(salts)))
+    return first(first(salted, "url", "_salt").drop("_salt"), "url")
+
+
+def archive_metrics(snapshots: DataFrame, now: Column, max_snapshots: int | None = None) -> DataFrame:
+    """One row a url: counts, days since the first and last capture (-1 if no time is readable), captures a day; of all captures, or
+    of the first max_snapshots of each url."""
+    if max_snapshots is not None:
+        snapshots = earliest(snapshots, max_snapshots)
     when = F.unix_timestamp(F.try_to_timestamp("ts", F.lit("yyyyMMddHHmmss")))
     good = F.coalesce(F.col("status").startswith("2"), F.lit(False))
     out = snapshots.groupBy("url").agg(F.count("*").alias("archive_count"), F.count_if(good).alias("successful"), F.count_if(~good).alias("failed"), F.min(when).alias("_first"), F.max(when).alias("_last"), F.count(when).alias("_times"))

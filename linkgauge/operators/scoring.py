@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, ScoringProfile
 from ..functions import urls
+from . import keywords
 
 LISTS = ("nsfw_domain", "quality_domain", "news_domain")
 #: What the second pass needs of the first.
@@ -39,8 +40,15 @@ def list_flags(rows: DataFrame, lists: dict[str, DataFrame] | None = None) -> Da
     return rows
 
 
-def featured(rows: DataFrame, profile: ScoringProfile = DEFAULT, lists: dict[str, DataFrame] | None = None, nsfw: list[str] = (), spam: list[str] = ()) -> DataFrame:
-    return list_flags(urls.rule_features(split_urls(rows), profile, nsfw, spam), lists)
+def featured(rows: DataFrame, profile: ScoringProfile = DEFAULT, lists: dict[str, DataFrame] | None = None, nsfw: list[str] | DataFrame = (), spam: list[str] | DataFrame = ()) -> DataFrame:
+    """Adds the rule features and list flags. Keywords are a list, which becomes one pattern, or a table (entry) of any size, which
+    is joined."""
+    plain = [() if isinstance(words, DataFrame) else words for words in (nsfw, spam)]
+    out = urls.rule_features(split_urls(rows), profile, *plain)
+    for name, words in (("is_nsfw_content", nsfw), ("is_spam_content", spam)):
+        if isinstance(words, DataFrame):
+            out = keywords.flag(out, F.concat("path", F.lit("?"), "query"), words, name)
+    return list_flags(out, lists)
 
 
 def anomalies(rows: DataFrame) -> DataFrame:

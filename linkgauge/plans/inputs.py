@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.shared import spread
 
+TABLES = ("lineitem", "supplier", "orders", "customer")
 TLD = "case {} % 4 when 0 then 'tk' when 1 then 'gov' when 2 then 'com' else 'xyz' end"
 URLS = f"""select concat('https://', case when l_linenumber = 1 then 'www.' else '' end, 'shop', cast(l_suppkey as {{S}}), '.example.', {TLD.format('l_suppkey')},
   '/', case when l_returnflag = 'R' then 'login' else 'news' end, '/', cast(year(l_shipdate) as {{S}}), '/', cast(month(l_shipdate) as {{S}}),
@@ -33,13 +34,18 @@ HOSTS = {name: HOST_LIST.format(tld=TLD.format("s_suppkey"), every=every) for na
 KEYWORDS = {"nsfw": ("item-13", "1994/7", "a.*c"), "spam": ("item-7", "long-title")}
 
 
+#: A keyword a customer, of which some occur in paths, and a few short ones.
+KEYWORD_TABLE = """select concat('item-', cast(c_custkey as {S}), '-') entry from customer union all select concat('-', cast(c_nationkey as {S}), '-') from customer
+  union all select * from (values ('/7/'), ('zq'), (''), (cast(null as {S})), ('1994/7/item-1'), ('ogin/1995')) v(entry)"""
+
+
 def view(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """A view's rows over the tables in sf_dir."""
-    for name in ("lineitem", "supplier", "orders"):
+    for name in TABLES:
         if f"from {name}" in text:
             text = text.replace(f"from {name}", f"from {{{name}}}")
     text = text.replace("{S}", "string").replace("{TS}", "date_format(l_shipdate, 'yyyyMMddHHmmss')").replace("{EPOCH}", "cast(unix_timestamp(ts) as string)")
-    tables = {n: spread(spark.read.parquet(f"{sf_dir}/{n}.parquet")) for n in ("lineitem", "supplier", "orders") if f"{{{n}}}" in text}
+    tables = {n: spread(spark.read.parquet(f"{sf_dir}/{n}.parquet")) for n in TABLES if f"{{{n}}}" in text}
     return spark.sql(text, **tables)
 
 

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from ..config import AS_PUBLISHED
 from ..functions import urls
-from ..operators import domains, scoring
+from ..operators import domains, scoring, sketches
 from ..sources.shared import cut_lineage
-from .inputs import EDGES, FEED, HOSTS, KEYWORDS, REPUTATION, URLS, sql, view
+from .inputs import EDGES, FEED, HOSTS, KEYWORDS, KEYWORD_TABLE, REPUTATION, URLS, sql, view
 
 NUMBERS = 6
 PUBLIC = ["url", "domain", "score", "confidence", "is_spam", "risk_score", "trust_score", "composite_score", "url_hash", "domain_reputation_score"]
@@ -76,6 +76,28 @@ def score_with_lists(spark, sf_dir):
     return rounded(rows.select(*PUBLIC))
 
 
+def keyword_index(spark, sf_dir):
+    """Keyword flags from a table of keywords that grows with the customers, short ones among them."""
+    words = view(spark, sf_dir, KEYWORD_TABLE)
+    return scoring.featured(feed(spark, sf_dir), nsfw=words, spam=words.filter("length(entry) < 8")).select("url", "is_nsfw_content", "is_spam_content")
+
+
+def domain_sketches(spark, sf_dir):
+    """Partial statistics of the feed's three parts, merged: exact sums, and whether the estimates are as near to the exact
+    values as they should be."""
+    rows = scores(spark, sf_dir)
+    parts = None
+    for flag in ("A", "N", "R"):
+        part = sketches.partial(rows.filter(F.col("flag") == flag))
+        parts = part if parts is None else parts.unionByName(part)
+    found = sketches.read(sketches.merged(parts))
+    exact = rows.groupBy("domain").agg(*[F.count_distinct(c).alias(f"exact_{c}") for c in sketches.DISTINCT], F.percentile("score", F.array(*[F.lit(p) for p in (0.5 - sketches.RANK_ERROR, 0.5 + sketches.RANK_ERROR, 0.95 - sketches.RANK_ERROR, 0.95 + sketches.RANK_ERROR)])).alias("p"))
+    near = lambda c: F.abs(F.col(f"distinct_{c}") - F.col(f"exact_{c}")) <= sketches.DISTINCT_ERROR * F.col(f"exact_{c}") + 0.5
+    between = lambda c, i: F.col(c).between(F.col("p")[i] - 1e-9, F.col("p")[i + 1] + 1e-9)
+    both = found.join(exact, "domain")
+    return rounded(both.select("domain", "total", "spam", "mean_score", "score_stddev", *[F.col(f"exact_{c}").alias(f"distinct_{c}") for c in sketches.DISTINCT], *[near(c).alias(f"near_{c}") for c in sketches.DISTINCT], between("p50", 0).alias("near_p50"), between("p95", 2).alias("near_p95")))
+
+
 def bad_row_fallback(spark, sf_dir):
     rows = scoring.frequencies(scoring.score_rules(scoring.normalise_feed(view(spark, sf_dir, FEED))))
     out = scoring.conform(rows)
@@ -155,7 +177,7 @@ def profile_as_published(spark, sf_dir):
     return rounded(scoring.rescore(rows, scoring.domain_stats(rows), AS_PUBLISHED).select("url", "score", "is_spam", "rescored"))
 
 
-NAMES = ["feed_normalise", "url_split", "url_features_rules", "host_entropy", "url_anomalies", "score_rules", "score_with_lists", "bad_row_fallback", "domain_stats_exact", "domain_stats_approx", "domain_frequency", "rescore_batch", "merge_partial_stats", "reputation_upsert", "reputation_history_ema", "top_domains", "worst_domains", "domains_by_category", "all_domains_ranked", "domain_lookup", "reputation_summary", "profile_as_published"]
+NAMES = ["feed_normalise", "url_split", "url_features_rules", "host_entropy", "url_anomalies", "score_rules", "score_with_lists", "keyword_index", "domain_sketches", "bad_row_fallback", "domain_stats_exact", "domain_stats_approx", "domain_frequency", "rescore_batch", "merge_partial_stats", "reputation_upsert", "reputation_history_ema", "top_domains", "worst_domains", "domains_by_category", "all_domains_ranked", "domain_lookup", "reputation_summary", "profile_as_published"]
 QUERIES = {name: globals()[name] for name in NAMES}
 
 # ---- the same in SQL ----
@@ -249,6 +271,10 @@ ORACLE_SQL = {
     "url_anomalies": f"with {SPLIT_L}, {scored_sql(None)} select url, length_anomaly, param_anomaly from j",
     "score_rules": f"with {SCORED} select url, domain, {r6('score', 'confidence')}, is_spam, {r6('risk_score', 'trust_score', 'composite_score')}, url_hash, {r6('domain_reputation_score')} from scores",
     "score_with_lists": f"with {SPLIT_L}, {scored_sql(R, lists=True)} select url, domain, {r6('score', 'confidence')}, is_spam, {r6('risk_score', 'trust_score', 'composite_score')}, url_hash, {r6('domain_reputation_score')} from scored",
+    "keyword_index": f"""with {SPLIT_L}, w as (select distinct entry from ({sql(KEYWORD_TABLE)}) where entry <> ''), c as (select distinct path || '?' || query c from s),
+h as (select c, bool_or(contains(c, entry)) a, bool_or(contains(c, entry) and length(entry) < 8) b from c, w group by c) select url, a is_nsfw_content, b is_spam_content from s join h on c = path || '?' || query""",
+    "domain_sketches": f"""with {STATS}, u as (select domain, count(distinct url) distinct_url from scores group by domain) select domain, total_urls total, malicious spam, {r6('mean_score', 'score_stddev')}, distinct_url, segments1 distinct_segment1, segments2 distinct_segment2,
+true near_url, true near_segment1, true near_segment2, true near_p50, true near_p95 from dstats join u using (domain)""",
     "bad_row_fallback": f"""with {F_CLEAN}, src as (select url, {EPOCH} as timestamp from e), {split_sql('src')}, {scored_sql(None)},
 x as (select *, url is null or trim(url) = '' bad, count(*) over (partition by domain) fr from scored)
 select substr(coalesce(url, 'invalid_url'), 1, 1000) url, case when bad then 'unknown.invalid' else domain end as domain, round(case when bad then -2 else score end, 6) score, round(case when bad then 0.1 else confidence end, 6) confidence, bad or is_spam is_spam, case when bad then 1 else fr end domain_frequency, 'input_data' data_source from x""",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 # fixed value: the columns of the curated feed
 CURATED = "url string, source_uri string, timestamp string, user_text string, source_type string, metadata string"
-#: A keyword list becomes one pattern, which every task compiles, so its length is bounded.
+#: Keywords up to which a list becomes one pattern, which every task compiles; longer lists stay tables, with the same flags.
 MOST_KEYWORDS = 10_000
 
 
@@ -30,11 +30,11 @@ def read_hosts(spark: SparkSession, path: str, strict: bool = True) -> DataFrame
     return read_list(spark, path, strict).withColumnRenamed("entry", "host")
 
 
-def read_keywords(spark: SparkSession, path: str, strict: bool = True) -> tuple[str, ...]:
-    found = [r.entry for r in read_list(spark, path, strict).orderBy("entry").limit(MOST_KEYWORDS + 1).collect()]
-    if len(found) > MOST_KEYWORDS:
-        raise ValueError(f"the list {path} has more than {MOST_KEYWORDS} keywords")
-    return tuple(found)
+def read_keywords(spark: SparkSession, path: str, strict: bool = True) -> tuple[str, ...] | DataFrame:
+    """The keywords of a list: in order, or, if they are many, as a table (entry)."""
+    entries = read_list(spark, path, strict)
+    found = [r.entry for r in entries.orderBy("entry").limit(MOST_KEYWORDS + 1).collect()]
+    return tuple(found) if len(found) <= MOST_KEYWORDS else entries
 
 
 def read_curated(spark: SparkSession, paths: str | list[str]) -> DataFrame:
