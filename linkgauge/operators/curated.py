@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import urls
+from ..sources.shared import DAY, of_days
 
 # fixed value: hosts whose links are not curated
 SKIPPED_HOSTS = ("web.archive.org", "archive.org", "www.wikipedia.org", "en.wikipedia.org", "www.wikidata.org", "commons.wikimedia.org")
@@ -14,16 +15,51 @@ SKIPPED_TITLES = ("Category:", "User:", "Talk:")
 ITEM = "link string, title string, pubDate string, domain string, source struct<_VALUE: string, _url: string, _mcFeedId: string, _mcSourceId: string>"
 
 
-def rss_items(spark: SparkSession, path: str, file_date: str, lines: bool = False) -> DataFrame:
-    """RSS day-files (or one item a line), also gzipped, to curated rows; missing times become the file's date, missing sources `mediacloud`."""
-    items = spark.read.format("xml").option("rowTag", "item").option("multiLine", not lines).schema(ITEM).load(path)
+CURATED = "url string, source_uri string, timestamp timestamp, source_type string, metadata string, source_file string"
+
+
+def _items(spark: SparkSession, paths: str | list[str], lines: bool) -> DataFrame:
+    return spark.read.format("xml").option("rowTag", "item").option("multiLine", not lines).schema(ITEM).load(paths)
+
+
+def _curated_items(items: DataFrame, file_date: Column) -> DataFrame:
     when = F.try_to_timestamp(F.expr("substr(pubDate, instr(pubDate, ',') + 2)"), F.lit("dd MMM yyyy HH:mm:ss Z"))
     meta = F.to_json(F.struct(F.col("title"), F.col("domain"), F.col("source._mcFeedId").alias("feed_id"), F.col("source._mcSourceId").alias("source_id")))
-    out = items.select(F.trim("link").alias("url"), F.coalesce("source._url", F.lit("mediacloud")).alias("source_uri"), F.coalesce(when, F.lit(file_date).cast("timestamp")).alias("timestamp"), F.lit("rss").alias("source_type"), meta.alias("metadata"))
+    kept = [c for c in ("source_file",) if c in items.columns]
+    out = items.select(F.trim("link").alias("url"), F.coalesce("source._url", F.lit("mediacloud")).alias("source_uri"), F.coalesce(when, file_date).alias("timestamp"), F.lit("rss").alias("source_type"), meta.alias("metadata"), *kept)
     return linkable(out)
 
 
-def wiki_changes(spark: SparkSession, changes: str, links: str, per_change: int = 5, lines: bool = False) -> DataFrame:
+def rss_items(spark: SparkSession, path: str, file_date: str, lines: bool = False) -> DataFrame:
+    """RSS day-files (or one item a line), also gzipped, to curated rows; missing times become the file's date, missing sources `mediacloud`."""
+    return _curated_items(_items(spark, path, lines), F.lit(file_date).cast("timestamp"))
+
+
+def file_day(path: Column) -> Column:
+    """The last day that a file's path names."""
+    found = F.regexp_extract_all(path, F.lit(DAY), F.lit(0))
+    return F.to_timestamp(F.translate(F.element_at(found, -1), "-", ""), "yyyyMMdd")
+
+
+def rss_days(spark: SparkSession, folder: str, first: str, last: str, lines: bool = False) -> DataFrame:
+    """rss_items of all files and folders in folder whose names hold a day from first to last, in one read; files of other days are not
+    opened. Missing times become the day of the item's own file, which source_file names."""
+    paths = of_days(spark, folder, first, last)
+    if not paths:
+        return spark.createDataFrame([], CURATED)
+    items = _items(spark, paths, lines).select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_name").alias("source_file"))
+    return _curated_items(items, file_day(F.col("_path")))
+
+
+def wiki_days(spark: SparkSession, folder: str, first: str, last: str, per_change: int = 5, lines: bool = False) -> DataFrame:
+    """wiki_changes of the days from first to last, of which folder holds a folder each with changes and links in it."""
+    days = of_days(spark, folder, first, last)
+    if not days:
+        return spark.createDataFrame([], "url string, timestamp timestamp, source_type string, metadata string")
+    return wiki_changes(spark, [f"{d}/changes" for d in days], [f"{d}/links" for d in days], per_change, lines)
+
+
+def wiki_changes(spark: SparkSession, changes: str | list[str], links: str | list[str], per_change: int = 5, lines: bool = False) -> DataFrame:
     """Landed recent-changes and external-links JSON (a document a file, or a line) to curated rows: the article and up to
     per_change links of it."""
     recent = spark.read.option("multiLine", not lines).schema("query struct<recentchanges: array<struct<title: string, user: string, timestamp: string>>>").json(changes)

@@ -17,10 +17,11 @@ SECOND_PASS = ("domain", "score", "reputation_part", "domain_reputation_score",
 
 
 def normalise_feed(feed: DataFrame, source: str = "input_data") -> DataFrame:
-    """Raw (ts, url) texts -> (url, timestamp, data_source): epoch seconds or ISO text, else null; the url is cleaned."""
+    """Raw (ts, url) texts -> (url, timestamp, data_source): epoch seconds or ISO text, else null; the url is cleaned. source_file
+    is kept if there is one."""
     epoch = F.timestamp_seconds(F.col("ts").try_cast("bigint"))
     when = F.coalesce(epoch, F.try_to_timestamp("ts"))
-    return feed.select(urls.clean(F.col("url")).alias("url"), when.alias("timestamp"), F.lit(source).alias("data_source"))
+    return feed.select(urls.clean(F.col("url")).alias("url"), when.alias("timestamp"), F.lit(source).alias("data_source"), *[c for c in feed.columns if c == "source_file"])
 
 
 def split_urls(rows: DataFrame) -> DataFrame:
@@ -167,5 +168,5 @@ def conform(rows: DataFrame, profile: ScoringProfile = DEFAULT, fallback: float
         (bad | F.col("is_spam")).alias("is_spam"), F.when(bad, 0.0).otherwise(F.col("domain_reputation_score")).alias("domain_reputation_score"),
         F.when(bad, F.lit(1)).otherwise(F.col("domain_frequency")).cast("long").alias("domain_frequency"), F.coalesce("data_source", F.lit("input_data")).alias("data_source"),
         F.when(bad, 0.0).otherwise(share).alias("domain_frequency_pct"), F.when(~bad, meta).alias("meta"), F.lit(received_at).cast("timestamp").alias("received_at"),
-        urls.fingerprint(F.coalesce("url", F.lit("invalid_url"))).alias("url_hash"),
+        urls.fingerprint(F.coalesce("url", F.lit("invalid_url"))).alias("url_hash"), *[c for c in rows.columns if c == "source_file"],
     )

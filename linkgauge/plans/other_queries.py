@@ -25,6 +25,21 @@ def rss_curated(spark, sf_dir):
 RSS_SQL = "select url, 'mediacloud' source_uri, 1756720800 epoch, 't' || page_id title from pages"
 
 
+def rss_days(spark, sf_dir):
+    """pages as gzipped RSS files of three days, every other item without a time, of which two days are read back."""
+    path = shared_folder(spark, "days")
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    for n in range(3):
+        date = F.when(F.col("page_id") % 2 == 0, "<pubDate>Mon, 01 Sep 2025 10:00:00 +0000</pubDate>").otherwise("")
+        item = F.concat(F.lit("<item><link>"), F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit("</link><title>t"), F.col("page_id").cast("string"), F.lit("</title>"), date, F.lit("</item>"))
+        pages.filter(F.col("page_id") % 3 == n).select(item).write.option("compression", "gzip").text(f"{path}/rss-2025-09-0{n + 3}")
+    rows = curated.rss_days(spark, path, "2025-09-04", "2025-09-30", lines=True)
+    return rows.select("url", F.unix_timestamp("timestamp").alias("epoch"), F.get_json_object("metadata", "$.title").alias("title"), F.col("source_file").endswith(".gz").alias("from_file"))
+
+
+RSS_DAYS_SQL = "select url, case when page_id % 2 = 0 then 1756720800 else cast(epoch(timestamp '2025-09-03') as bigint) + 86400 * (page_id % 3) end epoch, 't' || page_id title, true from_file from pages where page_id % 3 > 0"
+
+
 def wiki_curated(spark, sf_dir):
     """Pages as changed articles with the pages' urls as their links, landed and read back."""
     path = shared_folder(spark, "wiki")
@@ -81,7 +96,7 @@ def stream_batches(spark, sf_dir):
     return rounded(last.select("domain", "reputation_score", "total_urls_seen", "malicious_urls_count", "benign_urls_count", "content_diversity_score"))
 
 
-QUERIES = {"curated_files": curated_files, "rss_curated": rss_curated, "wiki_curated": wiki_curated, "gbt_features": gbt_features, "gbt_train_predict": gbt_train_predict, "stream_batches": stream_batches}
+QUERIES = {"curated_files": curated_files, "rss_curated": rss_curated, "rss_days": rss_days, "wiki_curated": wiki_curated, "gbt_features": gbt_features, "gbt_train_predict": gbt_train_predict, "stream_batches": stream_batches}
 
 
 def _stream_sql() -> str:
@@ -115,4 +130,4 @@ def _gbt_sql() -> str:
     return f"with {SPLIT_L}, {features_sql()} select url, " + ", ".join(f"{given.get(c, one(c))} as {c}" for c in MODEL_INPUTS) + " from f"
 
 
-ORACLE_SQL = {"curated_files": CURATED_SQL, "stream_batches": _stream_sql(), "gbt_features": _gbt_sql(), "rss_curated": RSS_SQL, "wiki_curated": WIKI_SQL}
+ORACLE_SQL = {"curated_files": CURATED_SQL, "stream_batches": _stream_sql(), "gbt_features": _gbt_sql(), "rss_curated": RSS_SQL, "rss_days": RSS_DAYS_SQL, "wiki_curated": WIKI_SQL}

@@ -61,6 +61,18 @@ def batches_in(spark: SparkSession, path: str) -> list[int]:
     return [n for n in found if system.exists(_file_system(spark, f"{path}/batch={n}/_SUCCESS")[0])]
 
 
+#: A day in the name of a landed file or folder.
+DAY = r"(20[0-9]{2})-?([01][0-9])-?([0-3][0-9])"
+
+
+def of_days(spark: SparkSession, path: str, first: str, last: str) -> list[str]:
+    """The files and folders in path whose names hold a day from first to last (yyyy-mm-dd), in order: no others are read."""
+    folder, system = _file_system(spark, path)
+    names = [s.getPath().getName() for s in system.listStatus(folder)] if system.exists(folder) else []
+    days = {name: "-".join(found.groups()) for name in names if (found := re.search(DAY, name))}
+    return [f"{path}/{name}" for name in sorted(days) if first <= days[name] <= last]
+
+
 @contextmanager
 def workspace(spark: SparkSession, path: str) -> Iterator[Callable[[DataFrame], DataFrame]]:
     """A function that writes a table to a new folder in path and reads it back. The folder is removed at the end, so what is

@@ -8,7 +8,7 @@ from datetime import UTC, datetime
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..config import PipelineConfig
 from ..operators import curated, domains, enhance, links, ml, observations, pages, reports, scoring
@@ -41,8 +41,9 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def watch_feed(spark: SparkSession, folder: str, files: int = 1, names: str = "*.tsv") -> DataFrame:
-    """The files of a folder as a stream, oldest first, so many a trigger."""
-    return spark.readStream.schema(FEED).option("sep", "\t").option("quote", "").option("escape", "").option("maxFilesPerTrigger", files).option("pathGlobFilter", names).csv(folder)
+    """The files of a folder as a stream, oldest first, so many a trigger; source_file names each row's file."""
+    stream = spark.readStream.schema(FEED).option("sep", "\t").option("quote", "").option("escape", "").option("maxFilesPerTrigger", files).option("pathGlobFilter", names).csv(folder)
+    return stream.select("ts", "url", F.col("_metadata.file_name").alias("source_file"))
 
 
 def _require(config: PipelineConfig, landed: Landed) -> None:
@@ -107,7 +108,8 @@ def _run(batch: DataFrame, batch_id: int, out: str, config: PipelineConfig, land
     if config.use_curated:
         rows = curated.union_feeds(rows, curated.clean_curated(landed.curated))
     else:
-        rows = rows.groupBy("url", "data_source").agg(F.min("timestamp").alias("timestamp"))
+        rows = rows.groupBy("url", "data_source").agg(*[F.min(c).alias(c) for c in ("timestamp", "source_file") if c in rows.columns])
+    rows = keep(rows)  # the source is read once, so what is observed of it is counted once
     stored = sinks.latest_reputation(spark, f"{out}/reputation", batch_id) if config.read_reputation else None
     results = {}
     for method in config.methods:
@@ -156,7 +158,32 @@ def _run(batch: DataFrame, batch_id: int, out: str, config: PipelineConfig, land
     return results[config.methods[0]]
 
 
-def start(spark: SparkSession, folder: str, out: str, checkpoint: str, config: PipelineConfig = PipelineConfig(), landed: Landed = Landed(), files: int = 1, names: str = "*.tsv") -> StreamingQuery:
-    """Runs over all files that are there, so many a batch, and ends; started again, it takes up the new ones."""
+class Arrivals(StreamingQueryListener):
+    """What the batches of a running query brought, as it is told while they run: rows, rows without a url, and files of each."""
+
+    def __init__(self) -> None:
+        self.batches: list[dict[str, int]] = []
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        seen = event.progress.observedMetrics.get("arrivals")
+        if seen is not None and seen["arrived"]:
+            self.batches.append({"batch": event.progress.batchId, **seen.asDict()})
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def start(spark: SparkSession, folder: str, out: str, checkpoint: str, config: PipelineConfig = PipelineConfig(), landed: Landed = Landed(), files: int = 1, names: str = "*.tsv", every: str | None = None) -> StreamingQuery:
+    """Runs over all files that are there, so many a batch, and ends; started again, it takes up the new ones. With `every` (such
+    as "1 minute") it goes on and looks for new files at that pace until it is stopped. A listener such as Arrivals, added to
+    spark.streams, is told what each batch brought."""
     stream = watch_feed(spark, folder, files, names)
-    return stream.writeStream.foreachBatch(lambda df, n: run_batch(df, n, out, config, landed) and None).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    stream = stream.observe("arrivals", F.count("*").alias("arrived"), F.count_if(F.col("url").isNull()).alias("without_url"), F.approx_count_distinct("source_file").alias("files"))
+    writer = stream.writeStream.foreachBatch(lambda df, n: run_batch(df, n, out, config, landed) and None).option("checkpointLocation", checkpoint)
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
