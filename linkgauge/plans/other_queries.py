@@ -71,6 +71,14 @@ def gbt_train_predict(spark, sf_dir):
     return rounded(ml.predict_features(rows, ml.train_features(rows, ml.targets(scores(spark, sf_dir)))))
 
 
+def gbt_accuracy(spark, sf_dir):
+    """Whether the trained model follows the rules on the tenth of the urls that its trees are not fitted to."""
+    rows = cut_lineage(ml.features(scoring.featured(feed(spark, sf_dir))))
+    labels = cut_lineage(ml.targets(scores(spark, sf_dir)))
+    found = ml.evaluate(ml.predict_features(rows, ml.train_features(rows, labels)), labels)
+    return found.select((F.col("urls") > 0).alias("held_back"), (F.col("correlation") > 0.9).alias("follows"), (F.col("mean_error") < 0.5).alias("near"))
+
+
 def curated_files(spark, sf_dir):
     """Pages as curated rows of tab-separated files with a header, landed and read back; every third lacks its url."""
     path = shared_folder(spark, "curated")
@@ -96,7 +104,7 @@ def stream_batches(spark, sf_dir):
     return rounded(last.select("domain", "reputation_score", "total_urls_seen", "malicious_urls_count", "benign_urls_count", "content_diversity_score"))
 
 
-QUERIES = {"curated_files": curated_files, "rss_curated": rss_curated, "rss_days": rss_days, "wiki_curated": wiki_curated, "gbt_features": gbt_features, "gbt_train_predict": gbt_train_predict, "stream_batches": stream_batches}
+QUERIES = {"curated_files": curated_files, "rss_curated": rss_curated, "rss_days": rss_days, "wiki_curated": wiki_curated, "gbt_features": gbt_features, "gbt_train_predict": gbt_train_predict, "gbt_accuracy": gbt_accuracy, "stream_batches": stream_batches}
 
 
 def _stream_sql() -> str:
@@ -130,4 +138,4 @@ def _gbt_sql() -> str:
     return f"with {SPLIT_L}, {features_sql()} select url, " + ", ".join(f"{given.get(c, one(c))} as {c}" for c in MODEL_INPUTS) + " from f"
 
 
-ORACLE_SQL = {"curated_files": CURATED_SQL, "stream_batches": _stream_sql(), "gbt_features": _gbt_sql(), "rss_curated": RSS_SQL, "rss_days": RSS_DAYS_SQL, "wiki_curated": WIKI_SQL}
+ORACLE_SQL = {"gbt_accuracy": "select true held_back, true follows, true near", "curated_files": CURATED_SQL, "stream_batches": _stream_sql(), "gbt_features": _gbt_sql(), "rss_curated": RSS_SQL, "rss_days": RSS_DAYS_SQL, "wiki_curated": WIKI_SQL}

@@ -180,6 +180,13 @@ def sample_three_per_domain(spark, sf_dir):
     return enhance.sample(rows.union(rows.select("url", F.lit("hot.example"))), k=3)
 
 
+def captures_read(spark, sf_dir):
+    """The captures of each url as an index answer, a JSON array with a header, read back; a row that is too short is in each."""
+    rows = view(spark, sf_dir, CAPTURES)
+    listed = F.concat(F.array(F.array(F.lit("timestamp"), F.lit("status"), F.lit("original"))), F.collect_list(F.array("ts", "status", "url")), F.array(F.array(F.lit("20200101000000"))))
+    return observations.captures(rows.groupBy("url").agg(F.to_json(listed).alias("body")))
+
+
 def archive_first_captures(spark, sf_dir):
     """Archive metrics of the first five captures of each url."""
     rows = view(spark, sf_dir, CAPTURES)
@@ -225,7 +232,7 @@ def insert_if_absent(spark, sf_dir):
     return sinks.absent(rows, rows.filter("source = 'good_data'")).select("url", "source")
 
 
-NAMES = ["summary_overall", "summary_by_source", "curated_benchmark", "score_lift", "summary_report", "summary_by_model", "top_curated_domains", "top_frequent_domains", "best_urls", "worst_urls", "model_agreement", "model_score_diff", "union_dedupe_feeds", "content_quality", "trust_signals", "spam_indicators", "page_facts", "link_extract", "link_classes", "outlink_scores", "security_score", "request_outcome", "host_heuristic", "archive_metrics", "archive_trust", "sample_per_domain", "sample_three_per_domain", "archive_first_captures", "enhanced_scores", "enhanced_batch", "domain_volatility", "store_rows", "insert_if_absent"]
+NAMES = ["summary_overall", "summary_by_source", "curated_benchmark", "score_lift", "summary_report", "summary_by_model", "top_curated_domains", "top_frequent_domains", "best_urls", "worst_urls", "model_agreement", "model_score_diff", "union_dedupe_feeds", "content_quality", "trust_signals", "spam_indicators", "page_facts", "link_extract", "link_classes", "outlink_scores", "security_score", "request_outcome", "host_heuristic", "archive_metrics", "archive_trust", "sample_per_domain", "sample_three_per_domain", "archive_first_captures", "captures_read", "enhanced_scores", "enhanced_batch", "domain_volatility", "store_rows", "insert_if_absent"]
 QUERIES = {name: globals()[name] for name in NAMES}
 
 # ---- the same in SQL ----
@@ -401,6 +408,7 @@ when len(string_split(domain, '.')) > 2 and not regexp_matches(domain, '^(www|bl
 + case when days_since_first >= 1095 then 0.2 when days_since_first >= 365 then 0.15 when days_since_first >= 180 then 0.1 else 0 end + successful / archive_count * 0.2 + case when per_day > 0.1 then 0.1 when per_day > 0.01 then 0.05 else 0 end) else 0 end, 6) archive_trust from m""",
     "sample_per_domain": f"with {SCORED}, x as (select domain, url, md5(url || '42') h, row_number() over (partition by domain order by md5(url || '42'), url) n from scores) select domain, url from x where n = 1 order by h limit 6500",
     "sample_three_per_domain": f"with {U.SPLIT_L}, b as (select distinct url, domain from s union select distinct url, 'hot.example' from s), x as (select *, md5(url || '42') h, row_number() over (partition by domain order by md5(url || '42'), url) n from b) select domain, url from x where n <= 3 order by h limit 6500",
+    "captures_read": f"select url, ts, status from ({C})",
     "archive_first_captures": f"with {archive_sql(f'select url, ts, status from ({C}) qualify row_number() over (partition by url order by ts, status) <= 5')} select url, archive_count, successful, failed, days_since_first, days_since_last, {r6('per_day')}, archived from m",
     "enhanced_scores": f"{ENHANCED} select url, {r6('score', 'enhanced_score')}, round(enhanced_score - score, 6) score_delta, {r6('enhanced_confidence')} from en",
     "enhanced_batch": f"""{ENHANCED}, best as (select domain, min_by(url, md5(url || '42')) url, min(md5(url || '42')) h from en group by domain order by h limit 6500)
