@@ -192,7 +192,7 @@ def _prefixes(rows: DataFrame, again, hot, least: float) -> DataFrame:
 
 def _crowded(nodes: DataFrame, sets: DataFrame, least: float, put) -> DataFrame:
     """Pairs (a, b) of different classes among nodes (node, label) that may be linked, by prefix filtering."""
-    own = put(sets.join(nodes, "node").select("node", "label", "shingles"))
+    own = put(sets.join(nodes, "node").select("node", "label", "shingles")).repartition("node")  # so that no task opens many sets
     counts = put(own.select(F.explode("shingles").alias("token")).groupBy("token").agg(F.count("*").alias("n")).filter("n > 1"))
     rows = put(_prefixes(own, sieve(counts, "token"), sieve(counts.filter(F.col("n") >= FREQUENT), "token"), least))
     x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
