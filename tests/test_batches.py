@@ -1,6 +1,9 @@
 """Batches: results and their columns, keys of long urls, what is left in folders, the store's and the reputation's parts."""
 
+import gc
 import json
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +11,7 @@ from pyspark.sql import functions as F
 from linkgauge.config import PipelineConfig
 from linkgauge.operators import domains, scoring
 from linkgauge.sources import sinks
-from linkgauge.sources.shared import batches_in
+from linkgauge.sources.shared import batches_in, cut_lineage
 from linkgauge.streaming import batches
 
 # fixed value: columns of a batch's result
@@ -105,3 +108,17 @@ def test_counts_of_domains_that_come_again(spark, tmp_path):
     got = {r.domain: r.total_urls_seen for r in sinks.latest_reputation(spark, f"{out}/reputation", 3).collect()}
     assert got == {"a.com": 3, "b0.com": 1, "b1.com": 1, "b2.com": 1} and batches_in(spark, f"{out}/reputation_base") == [1]
     assert spark.read.parquet(f"{out}/reputation/batch=2").agg(F.count("*")).first()[0] == 2
+
+
+def test_checkpoints_go_when_nothing_refers_to_them(spark):
+    rows = cut_lineage(spark.range(100).repartition(3))
+    folder = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    kept = {p.name for p in folder.glob("rdd-*")}
+    assert kept and rows.count() == 100
+    del rows
+    end = time.time() + 60
+    while time.time() < end and kept <= {p.name for p in folder.glob("rdd-*")}:
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
+    assert not kept <= {p.name for p in folder.glob("rdd-*")}
