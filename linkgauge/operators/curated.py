@@ -84,7 +84,7 @@ def _any_prefix(title):
 
 def linkable(rows: DataFrame) -> DataFrame:
     """http(s) links to hosts that are not skipped."""
-    host = urls.split(F.lower("url"))["domain"]
+    host = urls.host(F.lower("url"))
     return rows.filter(F.lower("url").rlike("^https?://") & ~host.isin(*SKIPPED_HOSTS))
 
 
