@@ -56,3 +56,21 @@ def test_sketches_merge_in_any_order(spark):
         assert r.distinct_url == w.distinct_url and abs(r.distinct_url - 300) <= 15 and abs(r.distinct_segment1 - 40) <= 2 and abs(r.distinct_segment2 - 400) <= 20
         assert abs(r.p50 - 5) < 0.4 and abs(r.p95 - 9.5) < 0.4
     assert sketches.read(sketches.merged(parts[0].limit(0))).count() == 0
+
+
+def test_keywords_exchange_no_texts(spark):
+    """Texts stay where they are, runs that only share a hash's bits are told apart, and large lists take several maps."""
+    words = spark.createDataFrame([(f"w{i}é",) for i in range(3000)], "entry string")
+    texts = [f"/x/{'😀' * (i % 3)}w{i}é{i}" for i in range(0, 6000, 7)] + ["", None, "w1", "é"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string").repartition(3)
+    expected = {i: t is not None and any(f"w{n}é" in t for n in range(3000)) for i, t in enumerate(texts)}
+    plan = keywords.flag(rows, F.col("t"), words, "hit")
+    assert {r.id: r.hit for r in plan.collect()} == expected
+    assert "hashpartitioning" not in plan._jdf.queryExecution().executedPlan().toString()
+    bits = keywords.LEAST_BITS, keywords.MOST_BITS, keywords.BITS_A_KEY
+    try:
+        for own in ((1 << 15, 1 << 15, 4), (1 << 15, 1 << 15, 64)):  # a crowded map, and several maps
+            keywords.LEAST_BITS, keywords.MOST_BITS, keywords.BITS_A_KEY = own
+            assert {r.id: r.hit for r in keywords.flag(rows, F.col("t"), words, "hit").collect()} == expected
+    finally:
+        keywords.LEAST_BITS, keywords.MOST_BITS, keywords.BITS_A_KEY = bits
