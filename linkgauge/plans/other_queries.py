@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.urls import CONTENT, MODEL_INPUTS
+from ..functions.urls import CONTENT, MODEL_INPUTS, model_features
 from ..operators import curated, ml, scoring
 from ..sources import readers, sinks
-from ..sources.shared import cut_lineage, shared_folder
+from ..sources.shared import shared_folder, stored
 from ..streaming import batches
 from .inputs import URLS, sql
 from .url_queries import SPLIT_L, feed, features_sql, r6, rounded, scored_sql, scores, split_sql
@@ -65,16 +65,23 @@ def gbt_features(spark, sf_dir):
     return rounded(ml.features(scoring.featured(feed(spark, sf_dir))))
 
 
+def _learned(spark, sf_dir):
+    """Model inputs of the feed and the labels of its urls, of features that are derived once."""
+    scored = scores(spark, sf_dir)
+    inputs = model_features()
+    rows = stored(scored.select("url", "score", "data_source", *[inputs[name].alias(name) for name in MODEL_INPUTS]))
+    return rows.drop("score", "data_source"), ml.targets(rows)
+
+
 def gbt_train_predict(spark, sf_dir):
     """Trains on rule scores of all urls and predicts them, with the operator's own settings."""
-    rows = cut_lineage(ml.features(scoring.featured(feed(spark, sf_dir))))
-    return rounded(ml.predict_features(rows, ml.train_features(rows, ml.targets(scores(spark, sf_dir)))))
+    rows, labels = _learned(spark, sf_dir)
+    return rounded(ml.predict_features(rows, ml.train_features(rows, labels)))
 
 
 def gbt_accuracy(spark, sf_dir):
     """Whether the trained model follows the rules on the tenth of the urls that its trees are not fitted to."""
-    rows = cut_lineage(ml.features(scoring.featured(feed(spark, sf_dir))))
-    labels = cut_lineage(ml.targets(scores(spark, sf_dir)))
+    rows, labels = _learned(spark, sf_dir)
     found = ml.evaluate(ml.predict_features(rows, ml.train_features(rows, labels)), labels)
     return found.select((F.col("urls") > 0).alias("held_back"), (F.col("correlation") > 0.9).alias("follows"))
 
