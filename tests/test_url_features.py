@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from linkgauge.functions import urls
+from linkgauge.operators import scoring
 
 
 def test_split_is_that_of_the_pattern(spark):
@@ -41,3 +42,27 @@ def test_patterns_are_searched_only_where_a_word_is(spark):
     t = F.col("t")
     same = [urls.holds(t, p, any_case).eqNullSafe(t.rlike(f"(?i){p}" if any_case else p)) for p in patterns.values() for any_case in (False, True)]
     assert rows.select(F.array_contains(F.array(*same), False).alias("differs")).filter("differs").isEmpty()
+
+
+def test_paths_are_searched_in_batches(spark):
+    """Marks and patterns of paths that are counted in Arrow batches, against the patterns; and what the plans do not do any more."""
+    texts = ["", "/", "/a/b/", "/A-b-c_d/x.y", "/a b~!@$%^()", "/\x1c\x1d\x1e\x1f", "/\t\x0b\x0c\r", "/\u00fc!!", "/\u00fc!!!!", "/\u65e5\u672c~~~~", "/user/x", "/c/", "/a-12345", "/a-1234/", "/2024/5/", "/1924/5/", "/LOGIN", "/login", "/\u00fclogin", "/v3/", "a /media/ b", "/Act Now", "/act now!", None]
+    rows = spark.createDataFrame([(t, q) for t in texts for q in ("", "exe=1", "x=\u00e9&Login", None)], "path string, query string")
+    path, content = F.coalesce("path", F.lit("")), F.concat_ws("?", F.coalesce("path", F.lit("")), F.coalesce("query", F.lit("")))
+    got = rows.withColumn("p", urls.profiled(F.col("path"), F.col("query"))).withColumn("any", F.arrow_udf(urls._any_case, "int")(F.col("path"), F.col("query")))
+    bit = lambda c, i: F.col(c).bitwiseAND(F.lit(1 << i)) > 0
+    same = [F.col("p.slashes") == urls.occurrences(path, "/"), F.col("p.hyphens") == urls.occurrences(path, "-"), F.when(F.col("p.odd") < 0, F.length(path) < F.octet_length(path)).otherwise(F.col("p.odd") == urls.counted(path, r"(?U)[^\w\s/.-]"))]
+    same += [bit("p.found", len(urls.CONTENT) + i) == path.rlike(p) for i, p in enumerate(urls.IN_PATH.values())]
+    ascii_only = F.length(content) == F.octet_length(content)  # word boundaries beside other letters are those of the comparison SQL
+    same += [~ascii_only | (bit("p.found", i) == content.rlike(p)) for i, p in enumerate(urls.CONTENT.values())]
+    same += [~ascii_only | (bit("any", i) == content.rlike(f"(?i){p}")) for i, p in enumerate(urls.CONTENT.values())]
+    told = got.select("path", "query", F.array(*same).alias("same")).collect()
+    assert len(told) == len(texts) * 4 and [(r.path, r.query, r.same) for r in told if not all(r.same)] == []
+    one = spark.createDataFrame([("http://a.com/b/c",)], "url string")
+    lists = {n: spark.createDataFrame([("A.com ",), ("a.com",), (None,)] if n != "news_domain" else [("b.com",)], "host string") for n in scoring.LISTS}
+    flagged = scoring.list_flags(scoring.split_urls(one), lists)
+    assert [tuple(r) for r in flagged.select("is_nsfw_domain", "is_quality_domain", "is_news_domain", "segment1", "segment2").collect()] == [(True, True, False, "b", "c")]
+    assert flagged._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+    spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+    scoring.featured(one.withColumn("timestamp", F.current_timestamp()))
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
