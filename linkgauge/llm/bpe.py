@@ -29,9 +29,10 @@ PATTERN = r" ?\p{L}+|'(?:s|t|re|ve|m|ll|d)| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N
 #: The same for texts below U+0250, where these are all letters, numerals and spaces; the standard module is faster.
 L, N, S = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾", r"\t-\r \x85\xa0"
 NARROW, WIDE = re.compile(rf" ?[{L}]+|'(?:s|t|re|ve|m|ll|d)| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"), re.compile("[^\x00-\u024f]")
-#: Pre-tokens longer than this many characters, and all beyond CACHE of them, are encoded anew each time; PAIRS of the
-#: pair table are remembered.
-CACHE_CHARS, CACHE, PAIRS = 40, 80_000, 50_000
+#: Pre-tokens longer than this many characters are encoded anew each time; CACHE of the others and PAIRS of the pair table are
+#: remembered at most, those that were met OFTEN times before there were
+#: so many. Times are counted by hashes, in SEEN bytes.
+CACHE_CHARS, CACHE, PAIRS, OFTEN, SEEN = 40, 80_000, 80_000, 3, 1 << 20
 
 
 def byte_letters() -> list[str]:
@@ -72,7 +73,7 @@ class Encoder:
         self.rank = {(a, b): r for r, (a, b, _) in enumerate(vocabulary.merges)}
         self.made = {c: (r, a, b) for r, (a, b, c) in reversed([*enumerate(vocabulary.merges)])}
         self.edges: dict[tuple[int, bool], list[tuple[int, int]]] = {}
-        self.apart: dict[tuple[int, int], bool] = {}
+        self.apart = _Frequent(lambda pair: self._fits(*divmod(pair, len(self.tokens))), lambda: PAIRS)
         self.byte_id = {t[0]: i for i, t in enumerate(self.tokens) if len(t) == 1 and i not in self.made}
         usable = [i for i, t in enumerate(self.tokens) if t and i not in self.special.values() and self._reachable(i)]
         self.id_of = {self.tokens[i]: i for i in usable}
@@ -83,7 +84,7 @@ class Encoder:
         self.shorter: dict[int, int | None] = {}
         self.pieces = regex.compile(PATTERN)
         self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.cache = _Pieces(self)
+        self.cache = _Frequent(lambda piece: np.array(self.encode_piece(piece.encode()), "<u4").tobytes(), lambda: CACHE, lambda piece: len(piece) <= CACHE_CHARS)
         self.sizes = [len(t) for t in self.tokens]
         lengths = np.array(self.sizes, np.int64)
         self.lengths, self.offsets = lengths, np.concatenate([[0], np.cumsum(lengths)])
@@ -112,26 +113,21 @@ class Encoder:
 
         While both form, the entries at the boundary change at known ranks. If a merge of the two that face each other
         comes before the next change, the boundary goes. Of equal merges the one further left comes first."""
-        if until == NEVER and (a, b) in self.apart:
-            return self.apart[a, b]
-        left, right, i, j, fits = self._edge(a, True), self._edge(b, False), 0, 0, True
+        return self.apart[a * len(self.tokens) + b] if until == NEVER else self._fits(a, b, until)
+
+    def _fits(self, a: int, b: int, until: int = NEVER) -> bool:
+        left, right, i, j = self._edge(a, True), self._edge(b, False), 0, 0
         while True:
             (x, ends_x), (y, ends_y) = left[i], right[j]
             joins = self.rank.get((x, y), NEVER)
             if joins < until and joins < ends_x and joins <= ends_y:
-                fits = False
-                break
+                return False
             if ends_x == ends_y == NEVER:
-                break
+                return True
             if ends_x <= ends_y:
                 i += 1
             else:
                 j += 1
-        if until == NEVER:
-            if len(self.apart) > PAIRS:
-                self.apart.clear()
-            self.apart[a, b] = fits
-        return fits
 
     def _shorten(self, i: int) -> int | None:
         """The longest entry that is a proper prefix of entry i."""
@@ -149,11 +145,11 @@ class Encoder:
     def encode_piece(self, data: bytes) -> list[int]:
         if (whole := self.id_of.get(data)) is not None:
             return [whole]
-        last, longest, sizes = len(data) - 1, self.longest(data), self.sizes
+        last, longest, sizes, apart, many = len(data) - 1, self.longest(data), self.sizes, self.apart, len(self.tokens)
         dead, out, at = bytearray(len(data) + 1), [], 0
         token: int | None = longest[last]
         while True:
-            while token is not None and (dead[at + sizes[token]] or out and not self.compatible(out[-1], token)):
+            while token is not None and (dead[at + sizes[token]] or out and not apart[out[-1] * many + token]):
                 token = self._shorten(token)
             if token is not None:
                 out.append(token)
@@ -189,18 +185,23 @@ class Encoder:
         return self.decode_bytes(np.array(ids, "<u4").tobytes()).decode("utf-8", "replace")
 
 
-class _Pieces(dict):
-    """Encoded pre-tokens, kept while there is room."""
+class _Frequent(dict):
+    """Results of a function by what they are of: those are remembered that were asked for several times, while there is room. So
+    rare keys, of which there are ever more, leave the room to frequent ones."""
 
-    def __init__(self, encoder: Encoder) -> None:
+    def __init__(self, made: Callable, room: Callable[[], int], kept: Callable = lambda key: True) -> None:
         super().__init__()
-        self.encoder = encoder
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.encoder.encode_piece(piece.encode()), "<u4").tobytes()
-        if len(piece) <= CACHE_CHARS and len(self) < CACHE:
-            self[piece] = ids
-        return ids
+        self.made, self.room, self.kept, self.seen = made, room, kept, bytearray(SEEN)
+
+    def __missing__(self, key):
+        found = self.made(key)
+        if len(self) < self.room() and self.kept(key):
+            at = hash(key) % len(self.seen)
+            if self.seen[at] < OFTEN:
+                self.seen[at] += 1
+            else:
+                self[key] = found
+        return found
 
 
 _encoders: OrderedDict[str, Encoder] = OrderedDict()

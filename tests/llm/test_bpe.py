@@ -38,3 +38,20 @@ def test_rows(spark):
     rows = {(r.doc_id, r.decoded, len(r.token_ids)) for r in tokenize(df, PATH).collect()}
     assert rows == {(1, "Hello there", 8), (2, "", 0), (3, "", 0), (None, "Hello there", 8)}
     assert tokenize(df.limit(0), PATH).count() == 0
+
+
+def test_frequent_pieces_are_remembered(both, monkeypatch):
+    """However many rare pieces came first."""
+    from linkgauge.llm import bpe
+
+    monkeypatch.setattr(bpe, "CACHE", 100)
+    monkeypatch.setattr(bpe, "PAIRS", 100)
+    own, library = bpe.Encoder(Vocabulary.from_file(PATH)), both[1]
+    rare = [f" qz{a}{b}x" for a in "abcdefghijklmnopqrst" for b in "abcdefghijklmnopqrst"]
+    assert all(own.encode(t) == library.encode(t, add_special_tokens=False).ids for t in rare)
+    met, plain = [], own.encode_piece
+    own.encode_piece = lambda data: met.append(data) or plain(data)
+    for i in range(400):
+        text = f" frequentlyzq{rare[i]}"
+        assert own.encode(text) == library.encode(text, add_special_tokens=False).ids
+    assert met.count(b" frequentlyzq") <= 5 and len(own.cache) <= 100 and len(own.apart) <= 100
