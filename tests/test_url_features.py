@@ -66,3 +66,10 @@ def test_paths_are_searched_in_batches(spark):
     spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
     scoring.featured(one.withColumn("timestamp", F.current_timestamp()))
     assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+def test_frequencies_of_counts_taken_before(spark):
+    rows = spark.createDataFrame([("a",), ("a",), ("b",), ("a",)], "domain string")
+    counts = scoring.domain_counts(rows)
+    got = [sorted(map(tuple, scoring.frequencies(rows, c).collect())) for c in (None, counts)]
+    assert got[0] == got[1] == [("a", 3, 0.75)] * 3 + [("b", 1, 0.25)]
