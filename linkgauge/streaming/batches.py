@@ -111,9 +111,9 @@ def _run(batch: DataFrame, batch_id: int, out: str, config: PipelineConfig, land
         rows = rows.groupBy("url", "data_source").agg(*[F.min(c).alias(c) for c in ("timestamp", "source_file") if c in rows.columns])
     rows = keep(rows)  # the source is read once, so what is observed of it is counted once
     stored = sinks.latest_reputation(spark, f"{out}/reputation", batch_id) if config.read_reputation else None
-    results = {}
+    counts, results = keep(scoring.domain_counts(scoring.split_urls(rows))), {}
     for method in config.methods:
-        first = keep(scoring.frequencies(_provisional(rows, method, stored, config, landed)))
+        first = keep(scoring.frequencies(_provisional(rows, method, stored, config, landed), counts))
         stats = scoring.domain_stats(first)
         final = scoring.replaced_reputation(scoring.rescore(first, stats, config.profile))
         new = stats.selectExpr("domain", "mean_score reputation_score", "total_urls total_urls_seen", "malicious malicious_urls_count", "benign benign_urls_count", "content_diversity_score")
@@ -125,15 +125,15 @@ def _run(batch: DataFrame, batch_id: int, out: str, config: PipelineConfig, land
             new = new.join(changing, "domain", "left")
         result = scoring.conform(final, config.profile, -2.0 if method == "rules" else -3.0, processed_at)
         own = out if method == "rules" else f"{out}/{method}"
-        counts = [F.count("*").alias("urls"), F.count_if("is_spam").alias("spam"), F.count_if(F.col("url") == "invalid_url").alias("without_url")]
+        totals = [F.count("*").alias("urls"), F.count_if("is_spam").alias("spam"), F.count_if(F.col("url") == "invalid_url").alias("without_url")]
         if config.write_parquet:
             seen = Observation(f"{method}-{batch_id}")
-            sinks.write_parquet(result.observe(seen, *counts), f"{own}/scored/batch={batch_id}")
+            sinks.write_parquet(result.observe(seen, *totals), f"{own}/scored/batch={batch_id}")
             found = seen.get
             result = spark.read.parquet(f"{own}/scored/batch={batch_id}")  # what follows reads what is written
         else:
             result = cut_lineage(result)
-            found = result.agg(*counts).first().asDict()
+            found = result.agg(*totals).first().asDict()
         results[method] = result
         sinks.write_counts(spark, found, f"{own}/counts", batch_id)
         if config.write_tsv:
