@@ -16,6 +16,7 @@ sieve of fixed size says that they may hold what is looked for.
 from __future__ import annotations
 
 import re
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -157,6 +158,7 @@ def templates(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     id of these; lines that recur as they stand are not among them."""
     with shelf(docs.sparkSession) as put:
         hashed = put(hashed_lines(docs))
+        put = partial(put, rows=hashed.count())
         found = put(_recurring(docs, hashed, min_docs, put))
         lines = _wanted_lines(docs, found.select("row_a", "leaf", "line"), lambda words: [x.decode() for x in words], pa.string())
         words = F.when(F.col("kept").isNull(), F.col("got")).otherwise(F.zip_with("got", "kept", lambda word, kept: F.when(kept, word).otherwise(WILDCARD)))
@@ -175,11 +177,13 @@ def dropped_places(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """(row_a, row_b, places): the places of the lines that go, of each row that loses any."""
     with shelf(docs.sparkSession) as put:
         hashed = put(hashed_lines(docs))
+        lines = hashed.count()
+        put = partial(put, rows=lines)
         found = put(_recurring(docs, hashed, min_docs, put).select("leaf", "line", "first"))
         own = sifted(hashed.filter("raw is null"), sieve(found, "line"), "line")[0].join(found, ["leaf", "line"])
         raw = hashed.filter("raw is not null").join(repeated(hashed, min_docs), "raw")
         gone = own.select("doc_id", "first", *ROW, "at").union(raw.select("doc_id", "first", *ROW, "at")).filter(~F.col("doc_id").eqNullSafe(F.col("first")))
-        return cut_lineage(gone.groupBy(*ROW).agg(F.collect_set("at").alias("places")))
+        return cut_lineage(gone.groupBy(*ROW).agg(F.collect_set("at").alias("places")), lines)
 
 
 def _cleaned(docs: DataFrame, min_docs: int) -> DataFrame:

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import math
 import re
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -140,13 +141,14 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each turn takes the least label among the neighbours and then that label's own label, so the turns grow with the
     logarithm of a chain's length. Labels are checkpointed; only the count of changes reaches the driver."""
-    ends = cut_lineage(edges.select("a", "b").union(edges.select("b", "a")).filter("a <> b").distinct())
-    labels = cut_lineage(ends.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "node"))
+    most = 2 * edges.count()
+    ends = cut_lineage(edges.select("a", "b").union(edges.select("b", "a")).filter("a <> b").distinct(), most)
+    labels = cut_lineage(ends.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "node"), most)
     while True:
         near = ends.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         step = labels.join(near, "node").select("node", F.col("label").alias("before"), F.least("label", "near").alias("label"))
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("beyond"))
-        step = cut_lineage(step.join(jump, "label").select("node", "before", F.least("label", "beyond").alias("label")))
+        step = cut_lineage(step.join(jump, "label").select("node", "before", F.least("label", "beyond").alias("label")), most)
         labels = step.select("node", "label")
         if step.filter("before <> label").isEmpty():
             return labels
@@ -216,6 +218,7 @@ def node_classes(docs: DataFrame, least: float, put, crowd: int = CROWD) -> tupl
     texts_ = docs.select("doc_id", *row_key("doc_id", "text"), "text")
     kind = dict(texts_.dtypes)["doc_id"]
     rows = put(map_batches(texts_, _bands, f"doc_id {kind}, row_a long, row_b long, node binary, bands array<long>"))
+    put = partial(put, rows=BANDS * rows.count())  # what is stored grows with the rows' bands
     known = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *ROW)  # a row with an id goes before one without
     nodes = put(rows.groupBy("node").agg(F.min(known).alias("first"), F.any_value("bands").alias("bands")).select("node", F.col("first.doc_id").alias("first"), "first.row_a", "first.row_b", "bands"))
     held = nodes.select("node", F.explode("bands").alias("key"))
@@ -257,7 +260,7 @@ def classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
     with shelf(docs.sparkSession) as put:
         rows, nodes = node_classes(docs, least, put)
         found = rows.join(nodes.select("node", "class_id"), "node")
-        return cut_lineage(found.select("doc_id", F.when(F.col("n_bands") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id")))
+        return cut_lineage(found.select("doc_id", F.when(F.col("n_bands") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id")), rows.count())
 
 
 def _touched(docs: DataFrame, least: float) -> DataFrame:
@@ -268,7 +271,7 @@ def _touched(docs: DataFrame, least: float) -> DataFrame:
         order = F.struct(F.coalesce(F.col("first") != F.col("class_id"), F.lit(True)).alias("other"), "node", *ROW)
         best = nodes.groupBy("class_id").agg(F.min(order).alias("best")).select("best.row_a", "best.row_b", F.lit(True).alias("best"))
         told = worded.join(best, ROW, "left").select(*ROW, "n", F.col("best").isNull().alias("gone"))
-        return cut_lineage(told.filter("gone or n > 1").drop("n"))
+        return cut_lineage(told.filter("gone or n > 1").drop("n"), rows.count())
 
 
 def keep_first(docs: DataFrame, least: float = LEAST) -> DataFrame:
