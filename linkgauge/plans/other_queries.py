@@ -66,23 +66,23 @@ def gbt_features(spark, sf_dir):
 
 
 def _learned(spark, sf_dir):
-    """Model inputs of the feed and the labels of its urls, of features that are derived once."""
+    """Model inputs of the feed, the labels of its urls and the model of both, of features that are derived once."""
     scored = scores(spark, sf_dir)
     inputs = model_features()
     rows = stored(scored.select("url", "score", "data_source", *[inputs[name].alias(name) for name in MODEL_INPUTS]))
-    return rows.drop("score", "data_source"), ml.targets(rows)
+    return rows.drop("score", "data_source"), ml.targets(rows), ml.train_scored(rows)
 
 
 def gbt_train_predict(spark, sf_dir):
     """Trains on rule scores of all urls and predicts them, with the operator's own settings."""
-    rows, labels = _learned(spark, sf_dir)
-    return rounded(ml.predict_features(rows, ml.train_features(rows, labels)))
+    rows, _, model = _learned(spark, sf_dir)
+    return rounded(ml.predict_features(rows, model))
 
 
 def gbt_accuracy(spark, sf_dir):
     """Whether the trained model follows the rules on the tenth of the urls that its trees are not fitted to."""
-    rows, labels = _learned(spark, sf_dir)
-    found = ml.evaluate(ml.predict_features(rows, ml.train_features(rows, labels)), labels)
+    rows, labels, model = _learned(spark, sf_dir)
+    found = ml.evaluate(ml.predict_features(rows, model), labels)
     return found.select((F.col("urls") > 0).alias("held_back"), (F.col("correlation") > 0.9).alias("follows"))
 
 

@@ -4,7 +4,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from linkgauge.operators import enhance, keywords, observations, scoring, sketches
+from linkgauge.functions.urls import MODEL_INPUTS, model_features
+from linkgauge.operators import enhance, keywords, ml, observations, scoring, sketches
 from linkgauge.sources import readers
 
 
@@ -74,3 +75,46 @@ def test_keywords_exchange_no_texts(spark):
             assert {r.id: r.hit for r in keywords.flag(rows, F.col("t"), words, "hit").collect()} == expected
     finally:
         keywords.LEAST_BITS, keywords.MOST_BITS, keywords.BITS_A_KEY = bits
+
+
+def test_training_exchanges_few_rows(spark, monkeypatch):
+    """Rows whose url comes once stay where they are, the others have one label; trees are fitted to equal rows once, by their weight."""
+    urls = [f"http://s{i % 9}.{['com', 'tk', 'gov'][i % 3]}/{['news', 'login'][i % 2]}/{i}" for i in range(500)]
+    feed = spark.createDataFrame([(u, i >= 500) for i, u in enumerate([*urls, *urls[:20], *urls[:5], None])], "url string, good boolean").withColumn("timestamp", F.current_timestamp())
+    scored = scoring.score_rules(feed).withColumn("data_source", F.when(F.col("good"), "good_data").otherwise("input_data"))
+    rows = scored.select("url", "score", "data_source", *[c.alias(name) for name, c in model_features().items()]).localCheckpoint()
+    seen, fitted, fit = [], ml._fitted, ml.GBTRegressor.fit
+    monkeypatch.setattr(ml.GBTRegressor, "fit", lambda self, table: seen.append(table.agg(F.sum("weight"), F.count("*"), F.count_distinct(*MODEL_INPUTS, "label", "held_back")).first()) or fit(self, table))
+
+    def spy(table, *settings):
+        found = table.select("url", "label").collect()
+        assert len(found) == 500 and dict(found) == {r.url: r.label for r in ml.targets(rows).collect() if r.url}
+        lines = table._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        (anti,) = (i for i, x in enumerate(lines) if "LeftAnti" in x)
+        assert not any("Aggregate" in x for x in lines[:anti])  # the rows of urls that come once
+        return fitted(table, *settings)
+
+    monkeypatch.setattr(ml, "_fitted", spy)
+    model = ml.train_scored(rows, trees=10, depth=4)
+    weight, n, distinct = seen[0]
+    assert weight == 500 and n == distinct < 500
+    found = ml.evaluate(ml.predict_features(rows, model), ml.targets(rows)).first()
+    assert found.urls > 20 and found.correlation > 0.5
+    seen.clear()
+    monkeypatch.setattr(ml, "MOST_SEVERAL", 1)
+    monkeypatch.setattr(ml, "_fitted", lambda table, *settings: seen.append(dict(table.select("url", "label").collect())))
+    ml.train_scored(rows)
+    assert seen[0] == {r.url: r.label for r in ml.targets(rows).collect() if r.url}
+
+
+def test_small_reputations_move_no_urls(spark):
+    rows = scoring.split_urls(spark.createDataFrame([("http://a.com/x",), ("http://b.com/",)], "url string"))
+    known = spark.createDataFrame([("a.com", 0.5, 0.25)], "domain string, reputation_score double, content_diversity_score double")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        found = scoring.with_reputation(rows, known)
+        assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
+        assert {r.domain: (r.domain_reputation_score, r.domain_diversity) for r in found.collect()} == {"a.com": (0.5, 0.25), "b.com": (0.0, 0.0)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
