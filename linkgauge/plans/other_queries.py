@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.urls import CONTENT, MODEL_INPUTS, model_features
 from ..operators import curated, ml, scoring
 from ..sources import readers, sinks
-from ..sources.shared import shared_folder, stored
+from ..sources.shared import release, remove, shared_folder, stored
 from ..streaming import batches
 from .inputs import URLS, sql
 from .url_queries import SPLIT_L, feed, features_sql, r6, rounded, scored_sql, scores, split_sql
@@ -101,12 +101,14 @@ PARTS = ("A", "N", "R")
 
 
 def stream_batches(spark, sf_dir):
-    """The url feed landed in three parts of several files each, taken up by the stream part by part; the reputation after the last."""
+    """The url feed landed in three parts of several files each, each taken up by the stream and then removed; the reputation after the last."""
     path, files = shared_folder(spark, "stream"), 4
     rows = feed(spark, sf_dir).select(F.unix_timestamp("timestamp").cast("string").alias("ts"), "url", "flag")
-    for flag in PARTS:  # files are taken up in the order of their times
+    for flag in PARTS:
         rows.filter(F.col("flag") == flag).select("ts", "url").repartition(files).write.mode("append").option("sep", "\t").option("quote", "").option("escape", "").csv(f"{path}/landed")
-    batches.start(spark, f"{path}/landed", f"{path}/out", f"{path}/checkpoint", files=files, names="part-*").awaitTermination()
+        release(spark)
+        batches.start(spark, f"{path}/landed", f"{path}/out", f"{path}/checkpoint", files=files, names="part-*").awaitTermination()
+        remove(spark, f"{path}/landed")
     last = sinks.latest_reputation(spark, f"{path}/out/reputation", len(PARTS))
     return rounded(last.select("domain", "reputation_score", "total_urls_seen", "malicious_urls_count", "benign_urls_count", "content_diversity_score"))
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import urls
-from .shared import batches_in, cut_lineage, exists, remove
+from .shared import batches_in, exists, release, remove, shared_folder, workspace
 
 ROWS_PER_FILE = 500_000
 #: Parts of a meta text, of which none may be missing.
@@ -61,7 +61,7 @@ def store_table(spark: SparkSession, path: str, schema: str, buckets: int = BUCK
     its number of buckets has to stay the same."""
     name = f"url_store_{hashlib.md5(path.encode()).hexdigest()[:16]}"
     if not spark.catalog.tableExists(name):
-        spark.sql(f"create table {name} ({schema}, batch int) using parquet partitioned by (batch) clustered by (entry) into {buckets} buckets location '{path}'")
+        spark.sql(f"create table {name} ({schema}, batch int) using parquet options (compression 'zstd') partitioned by (batch) clustered by (entry) into {buckets} buckets location '{path}'")
         if exists(spark, path):
             spark.sql(f"alter table {name} recover partitions")
     return name
@@ -74,11 +74,14 @@ def with_entry(rows: DataFrame, key: tuple[str, ...] = KEY) -> DataFrame:
 
 def insert_absent(rows: DataFrame, path: str, batch_id: int, key: tuple[str, ...] = KEY, buckets: int = BUCKETS) -> None:
     """Writes the batch's new rows as their own part of the store. A replayed batch leaves its part out of the comparison and
-    overwrites it, so it ends with the same rows."""
+    overwrites it, so it ends with the same rows. They are written to the shared folder before, as a table cannot be read and overwritten at
+    once, and removed there afterwards."""
     spark, rows = rows.sparkSession, with_entry(rows, key)
     name = store_table(spark, path, ", ".join(f"`{c}` {kind}" for c, kind in rows.dtypes), buckets)
-    new = cut_lineage(absent(rows, spark.table(name).filter(F.col("batch") < batch_id), ("entry",)))  # a table cannot be read and overwritten at once
-    spark.sql(f"insert overwrite table {name} partition (batch = {int(batch_id)}) select {', '.join(f'`{c}`' for c in rows.columns)} from {{new}}", new=new)
+    with workspace(spark, shared_folder(spark, "absent")) as put:
+        new = put(absent(rows, spark.table(name).filter(F.col("batch") < batch_id), ("entry",)))
+        release(spark)
+        spark.sql(f"insert overwrite table {name} partition (batch = {int(batch_id)}) select {', '.join(f'`{c}`' for c in rows.columns)} from {{new}}", new=new)
 
 
 def latest_reputation(spark: SparkSession, path: str, before: int) -> DataFrame | None:

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from ..config import PipelineConfig
 from ..operators import curated, domains, enhance, links, ml, observations, pages, reports, scoring
 from ..sources import sinks
-from ..sources.shared import cut_lineage, workspace
+from ..sources.shared import cut_lineage, release, workspace
 
 FEED = "ts string, url string"
 METHODS = ("rules", "gbt")
@@ -98,11 +98,34 @@ def run_batch(batch: DataFrame, batch_id: int, out: str, config: PipelineConfig
     down in counts/batch=N. Store rows carry processed_at, the present time unless it is given. Urls that are null are one row,
     `invalid_url`, of the result. Gives that method's result."""
     _require(config, landed)
-    with workspace(batch.sparkSession, f"{out}/work") as keep:
-        return _run(batch, batch_id, out, config, landed, processed_at or datetime.now(UTC).strftime("%Y-%m-%d %H:%M:%S"), keep)
+    spark, processed_at = batch.sparkSession, processed_at or datetime.now(UTC).strftime("%Y-%m-%d %H:%M:%S")
+    with workspace(spark, f"{out}/work") as keep:
+        results = _scored(batch, batch_id, out, config, landed, processed_at, keep)
+    release(spark)  # what the steps left, before the results are written in further forms
+    for method, result in results.items():
+        own = _own(out, method)
+        if config.write_tsv:
+            sinks.write_tsv(result, f"{own}/tsv/batch={batch_id}")
+        if config.write_summary:
+            _write_reports(result, f"{own}/summary/batch={batch_id}")
+    if config.write_summary and len(results) == len(METHODS):
+        pairs = reports.paired(results["rules"], results["gbt"])
+        sinks.write_report(reports.agreement(pairs), f"{out}/comparison/batch={batch_id}/agreement")
+        sinks.write_report(reports.differences(pairs), f"{out}/comparison/batch={batch_id}/differences")
+    sinks.insert_absent(sinks.store_rows(results[config.methods[0]], processed_at), f"{out}/store", batch_id, buckets=config.store_buckets)
+    release(spark)
+    if config.write_db:
+        fresh = spark.read.parquet(f"{out}/store/batch={batch_id}")  # urls that no batch before had
+        sinks.write_jdbc(fresh.drop("entry"), **landed.database)
+    return results[config.methods[0]]
+
+
+def _own(out: str, method: str) -> str:
+    return out if method == "rules" else f"{out}/{method}"
 
 
-def _run(batch: DataFrame, batch_id: int, out: str, config: PipelineConfig, landed: Landed, processed_at: str, keep) -> DataFrame:
+def _scored(batch: DataFrame, batch_id: int, out: str, config: PipelineConfig, landed: Landed, processed_at: str, keep) -> dict[str, DataFrame]:
+    """Results by method, written with their counts, the reputation and the trained model: they read nothing that keep writes."""
     spark = batch.sparkSession
     rows = scoring.normalise_feed(batch)
     if config.use_curated:
@@ -113,9 +136,13 @@ def _run(batch: DataFrame, batch_id: int, out: str, config: PipelineConfig, land
     stored = sinks.latest_reputation(spark, f"{out}/reputation", batch_id) if config.read_reputation else None
     counts, results = keep(scoring.domain_counts(scoring.split_urls(rows))), {}
     for method in config.methods:
-        first = keep(scoring.frequencies(_provisional(rows, method, stored, config, landed), counts))
-        stats = scoring.domain_stats(first)
-        final = scoring.replaced_reputation(scoring.rescore(first, stats, config.profile))
+        first = scoring.frequencies(_provisional(rows, method, stored, config, landed), scoring.sent(counts))
+        if not (config.use_features or config.train_model):  # which look at features
+            first = first.select(*[c for c in first.columns if c in (*scoring.SECOND_PASS, *scoring.RESULT)])
+        first = keep(first)
+        release(spark)
+        stats = keep(scoring.domain_stats(first))
+        final = scoring.replaced_reputation(scoring.rescore(first, scoring.sent(stats), config.profile))
         new = stats.selectExpr("domain", "mean_score reputation_score", "total_urls total_urls_seen", "malicious malicious_urls_count", "benign benign_urls_count", "content_diversity_score")
         old = stored if stored is not None else new.limit(0)
         if config.use_features and method == "rules":
@@ -124,7 +151,7 @@ def _run(batch: DataFrame, batch_id: int, out: str, config: PipelineConfig, land
             changing = enhance.volatility(enhanced).selectExpr("domain", "volatility content_volatility_score", "revisit_hours predicted_revisit_interval_hours")
             new = new.join(changing, "domain", "left")
         result = scoring.conform(final, config.profile, -2.0 if method == "rules" else -3.0, processed_at)
-        own = out if method == "rules" else f"{out}/{method}"
+        own = _own(out, method)
         totals = [F.count("*").alias("urls"), F.count_if("is_spam").alias("spam"), F.count_if(F.col("url") == "invalid_url").alias("without_url")]
         if config.write_parquet:
             seen = Observation(f"{method}-{batch_id}")
@@ -136,26 +163,12 @@ def _run(batch: DataFrame, batch_id: int, out: str, config: PipelineConfig, land
             found = result.agg(*totals).first().asDict()
         results[method] = result
         sinks.write_counts(spark, found, f"{own}/counts", batch_id)
-        if config.write_tsv:
-            sinks.write_tsv(result, f"{own}/tsv/batch={batch_id}")
-        if config.write_summary:
-            _write_reports(result, f"{own}/summary/batch={batch_id}")
         if method == config.methods[0]:
             if config.write_reputation:
                 sinks.write_reputation(domains.changed(old, new), f"{out}/reputation", batch_id, config.base_every)
-            entries = sinks.store_rows(result, processed_at)
-            sinks.insert_absent(entries, f"{out}/store", batch_id, buckets=config.store_buckets)
-            if config.write_db:
-                fresh = spark.read.parquet(f"{out}/store/batch={batch_id}")  # urls that no batch before had
-                sinks.write_jdbc(fresh.drop("entry"), **landed.database)
             if config.train_model:
                 ml.save(ml.train(first, ml.targets(first)), f"{out}/model/batch={batch_id}")
-
-    if config.write_summary and len(results) == len(METHODS):
-        pairs = reports.paired(results["rules"], results["gbt"])
-        sinks.write_report(reports.agreement(pairs), f"{out}/comparison/batch={batch_id}/agreement")
-        sinks.write_report(reports.differences(pairs), f"{out}/comparison/batch={batch_id}/differences")
-    return results[config.methods[0]]
+    return results
 
 
 class Arrivals(StreamingQueryListener):

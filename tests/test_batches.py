@@ -3,6 +3,7 @@
 import gc
 import json
 import time
+from contextlib import contextmanager
 from pathlib import Path
 
 import pytest
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from linkgauge.config import PipelineConfig
 from linkgauge.operators import domains, scoring
+from linkgauge.plans import other_queries
 from linkgauge.sources import sinks
 from linkgauge.sources.shared import batches_in, cut_lineage
 from linkgauge.streaming import batches
@@ -122,3 +124,34 @@ def test_checkpoints_go_when_nothing_refers_to_them(spark):
         spark._jvm.System.gc()
         time.sleep(0.5)
     assert not kept <= {p.name for p in folder.glob("rdd-*")}
+
+
+def test_a_batch_keeps_little_and_not_for_long(spark, tmp_path, monkeypatch):
+    """Between its steps a batch writes the columns that its result needs, and they are gone before the store is written; so are the
+    files that a registered stream has landed."""
+    urls = [f"http://s{i % 9}.{['com', 'tk', 'gov'][i % 3]}/{['news', 'login'][i % 2]}/{i}" for i in range(60)]
+    columns, left, insert, steps = [], [], sinks.insert_absent, batches.workspace
+
+    @contextmanager
+    def watched(session, path):
+        with steps(session, path) as keep:
+            yield lambda df: (columns.append(set(df.columns)), keep(df))[1]
+
+    def inserted(rows, path, *settings, **more):
+        left.append(list(Path(path).parent.glob("work/*")))
+        insert(rows, path, *settings, **more)
+
+    monkeypatch.setattr(batches, "workspace", watched)
+    monkeypatch.setattr(sinks, "insert_absent", inserted)
+    when = "2024-05-06 07:08:09"
+    plain = batches.run_batch(feed(spark, *urls), 0, f"{tmp_path}/plain", processed_at=when)
+    assert left == [[]] and not any({"path", "path_entropy", "url_hash"} & own for own in columns)
+    columns.clear()
+    trained = batches.run_batch(feed(spark, *urls), 0, f"{tmp_path}/trained", PipelineConfig(train_model=True), processed_at=when)
+    assert any("path_entropy" in own for own in columns) and left == [[], []]
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, trained.collect()))
+    monkeypatch.undo()
+    folder = Path(str(tmp_path / "streams"))
+    monkeypatch.setattr(other_queries, "shared_folder", lambda session, name: str(folder))
+    assert other_queries.stream_batches(spark, "/root/testdata/sf0.001").count() > 0
+    assert not (folder / "landed").exists() and len(list((folder / "out" / "scored").glob("batch=*"))) == 3
